@@ -11,9 +11,9 @@ subquery, so tasks receive it as one block of bytes, not as an object graph.
 :func:`encode_native` is that fold in Spark's higher-order functions.  They are
 interpreted at about 80 microseconds a word, several times what a corpus can
 afford (figures in the README), so :func:`encode` runs the same merges in Arrow
-batches: each worker folds a distinct word once, keeps its ids in a bounded
-cache and looks them up for every other occurrence.  Nothing is shuffled.  A
-word that finds the cache full is folded again, so the bound never changes a
+batches: each worker folds distinct words, all of one length a merge at a time,
+keeps their ids in a bounded cache and looks them up for every other occurrence.
+Nothing is shuffled.  A full cache is emptied, so its bound never changes a
 result.  Words of more than ``LONG_BYTES`` bytes are merged with a heap, since
 the fold is quadratic in a word's length.
 
@@ -23,7 +23,6 @@ In the native form bytes travel as strings whose code points are 0 to 255 (ISO 8
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import json
 
@@ -38,8 +37,8 @@ from .common import let
 
 NONE = 2_147_483_647
 LONG_BYTES = 200
-#: Words a worker keeps; at about 200 bytes each.
-CACHE_WORDS = 1_000_000
+#: Words a worker keeps; at about 150 bytes each.
+CACHE_WORDS = 400_000
 #: Unicode's White_Space; Java's own class holds ASCII only.
 WHITE = r"\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 
@@ -173,25 +172,103 @@ def _words(text: Column, pattern: str) -> Column:
     return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(java_pattern(pattern)), F.lit(0))
 
 
-def merge_short(word: bytes, ranks: dict[bytes, int]) -> tuple[int, ...]:
-    """Ids of one word: the leftmost pair of lowest rank merges until none has a rank."""
-    whole = ranks.get(word)
-    if whole is not None:
-        return (whole,)
-    get = ranks.get
-    cuts = list(range(len(word) + 1))
-    pairs = [get(word[i : i + 2], NONE) for i in range(len(word) - 1)]
-    while pairs:
-        least = min(pairs)
-        if least == NONE:
-            break
-        i = pairs.index(least)
-        del cuts[i + 1], pairs[i]
-        if i < len(pairs):
-            pairs[i] = get(word[cuts[i] : cuts[i + 2]], NONE)
-        if i:
-            pairs[i - 1] = get(word[cuts[i - 1] : cuts[i + 1]], NONE)
-    return tuple(ranks[word[a:b]] for a, b in zip(cuts, cuts[1:]))
+class Merges:
+    """The rank map as arrays: which ids merge, and into which.
+
+    An id is a rank.  Pieces merge by their bytes, whatever they were made of,
+    so every cut of a piece into two pieces is an entry.
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pairs = {}
+        for piece, r in ranks.items():
+            for i in range(1, len(piece)):
+                a, b = ranks.get(piece[:i]), ranks.get(piece[i:])
+                if a is not None and b is not None:
+                    pairs[a << 32 | b] = r
+        self.keys = np.array(sorted(pairs), np.int64)
+        self.into = np.array([pairs[k] for k in self.keys.tolist()], np.int32)
+        self.bytes = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int32)
+        self.ranks = ranks
+
+    def of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = a.astype(np.int64) << 32 | b
+        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        if not len(self.keys):
+            return np.full(key.shape, NONE, np.int32)
+        return np.where(self.keys[at] == key, self.into[at], NONE)
+
+    def fold(self, words: list[bytes]) -> list[np.ndarray]:
+        """Ids of each word; words of one length advance together, a merge a step."""
+        out: list = [None] * len(words)
+        by: dict[int, list[int]] = {}
+        for k, w in enumerate(words):
+            whole = self.ranks.get(w)
+            if whole is not None:
+                out[k] = np.array([whole], np.int32)
+            elif len(w) > LONG_BYTES:
+                out[k] = np.array(merge_long(w, self.ranks), np.int32)
+            else:
+                by.setdefault(len(w), []).append(k)
+        for n, places in by.items():
+            where = np.array(places)
+            tokens = self.bytes[np.frombuffer(b"".join(words[k] for k in places), np.uint8).reshape(-1, n)]
+            pairs = self.of(tokens[:, :-1], tokens[:, 1:])
+            while len(where):
+                left = tokens.shape[1]
+                at = pairs.argmin(1) if left > 1 else np.zeros(len(where), np.int64)
+                least = pairs[np.arange(len(where)), at] if left > 1 else np.full(len(where), NONE)
+                done = least == NONE
+                for k, ids in zip(where[done].tolist(), tokens[done]):
+                    out[k] = ids
+                go = ~done
+                where, tokens, pairs, at, least = where[go], tokens[go], pairs[go], at[go], least[go]
+                if not len(where):
+                    break
+                rows = np.arange(len(where))
+                tokens[rows, at] = least
+                tokens = np.take_along_axis(tokens, np.arange(left - 1) + (np.arange(left - 1) > at[:, None]), 1)
+                pairs = np.take_along_axis(pairs, np.arange(left - 2) + (np.arange(left - 2) >= at[:, None]), 1) if left > 2 else pairs[:, :0]
+                a = rows[at > 0]
+                if left > 2 and len(a):
+                    pairs[a, at[a] - 1] = self.of(tokens[a, at[a] - 1], tokens[a, at[a]])
+                b = rows[at < left - 2]
+                if len(b):
+                    pairs[b, at[b]] = self.of(tokens[b, at[b]], tokens[b, at[b] + 1])
+        return out
+
+
+class _Folded:
+    """Ids of the words a worker has met, at most ``most`` of them."""
+
+    def __init__(self, merges: Merges, most: int):
+        self.merges, self.most = merges, most
+        self.clear()
+
+    def clear(self):
+        self.place: dict[str, int] = {}
+        self.starts, self.flat = np.zeros(1, np.int64), np.empty(0, np.int32)
+
+    def ids(self, lists: list[list[str]]) -> list[np.ndarray]:
+        """The ids of each list of words."""
+        if len(self.place) > self.most:
+            self.clear()
+        new = list(set().union(*lists).difference(self.place)) if lists else []
+        if new:
+            folded = self.merges.fold([w.encode("utf-8", "surrogatepass") for w in new])
+            base = len(self.place)
+            self.place.update(zip(new, range(base, base + len(new))))
+            ends = self.starts[-1] + np.cumsum([len(x) for x in folded])
+            self.starts, self.flat = np.concatenate([self.starts, ends]), np.concatenate([self.flat, *folded])
+        out = []
+        place = self.place.__getitem__
+        for words in lists:
+            at = np.fromiter(map(place, words), np.int64, len(words))
+            first, counts = self.starts[at], self.starts[at + 1] - self.starts[at]
+            ends = np.cumsum(counts)
+            total = int(ends[-1]) if len(ends) else 0
+            out.append(self.flat[np.arange(total) + np.repeat(first - (ends - counts), counts)])
+        return out
 
 
 def encode(df: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, out: str = "ids", cache_words: int = CACHE_WORDS) -> DataFrame:
@@ -202,30 +279,24 @@ def encode(df: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, out:
     """
     # As large as the vocabulary, whatever the corpus.  A worker holds on to what it
     # has unpacked, so the words it has folded stay for its next task.
-    shared = df.sparkSession.sparkContext.broadcast((ranks, {}))
+    shared = df.sparkSession.sparkContext.broadcast((ranks, []))
 
     def batches(it):
         import regex
 
-        table, known = shared.value
-        find, seen = regex.compile(pattern).findall, known.get
-
-        def fold(word):
-            raw = word.encode()
-            ids = merge_short(raw, table) if len(raw) <= LONG_BYTES else tuple(merge_long(raw, table))
-            if len(known) < cache_words and len(raw) <= LONG_BYTES:
-                known[word] = ids
-            return ids
-
+        table, kept = shared.value
+        if not kept:
+            kept.append(_Folded(Merges(table), cache_words))
+        folded, find = kept[0], regex.compile(pattern).findall
         for texts in it:
-            lists = []
+            lists, part, size = [], [], 0
             for t in texts:
-                ids = []
-                extend = ids.extend
-                for w in find(t) if t else ():
-                    extend(seen(w) or fold(w))
-                lists.append(np.array(ids, np.int32))
-            yield pd.Series(lists, dtype=object)
+                part.append(find(t) if t else [])
+                size += len(part[-1])
+                if size > 100_000:
+                    lists += folded.ids(part)
+                    part, size = [], 0
+            yield pd.Series(lists + folded.ids(part), dtype=object)
 
     ids = F.pandas_udf(batches, T.ArrayType(T.IntegerType()), F.PandasUDFType.SCALAR_ITER)
     return df.withColumn(out, ids(F.col(text)))
@@ -252,19 +323,9 @@ def decode(df: DataFrame, ids: str, ranks: dict[bytes, int], out: str = "decoded
 
     Null ids give null; an id that the vocabulary lacks raises an error.
     """
-    shared = df.sparkSession.sparkContext.broadcast(_pieces(ranks))
-
-    @F.pandas_udf(T.BinaryType())
-    def joined(lists: pd.Series) -> pd.Series:
-        piece = shared.value.__getitem__
-        return lists.map(lambda ids: None if ids is None else b"".join(map(piece, ids.tolist())))
-
-    return df.withColumn(out, joined(ids))
-
-
-def decode_native(df: DataFrame, ids: str, ranks: dict[bytes, int], out: str = "decoded") -> DataFrame:
-    """What :func:`decode` returns, by higher-order functions alone."""
-    names = [None if x is None else x.decode("latin-1") for x in _pieces(ranks)]
+    names: list[str | None] = [None] * (max(ranks.values(), default=-1) + 1)
+    for k, v in ranks.items():
+        names[v] = k.decode("latin-1")
     table = df.sparkSession.createDataFrame([(json.dumps(names),)], "t string").select(F.from_json("t", "array<string>").alias("t")).scalar()
     unknown = F.raise_error(F.lit("an id without a piece")).cast("string")
     piece = let(F.col(_table(0)), lambda t: F.transform(ids, lambda i: F.coalesce(F.get(t, i), unknown)))
@@ -274,14 +335,10 @@ def decode_native(df: DataFrame, ids: str, ranks: dict[bytes, int], out: str = "
 def digests(df: DataFrame, ranks: dict[bytes, int], ids: str = "ids") -> DataFrame:
     """Adds ``n_tokens``, ``ids_sha256`` and ``decoded_sha256`` for column ``ids``."""
 
-    @F.pandas_udf("string")
-    def listed(lists: pd.Series) -> pd.Series:
-        return lists.map(lambda ids: hashlib.sha256(" ".join(map(str, ids.tolist())).encode()).hexdigest())
-
     return (
         decode(df, ids, ranks, "__decoded")
         .withColumn("n_tokens", F.size(ids).cast("long"))
-        .withColumn("ids_sha256", listed(ids))
+        .withColumn("ids_sha256", F.sha2(F.array_join(F.col(ids).cast("array<string>"), " "), 256))
         .withColumn("decoded_sha256", F.sha2("__decoded", 256))
         .drop("__decoded")
     )
