@@ -1,15 +1,59 @@
-"""Stages that turn the documents table into a tokenized training mix."""
+"""Stages that turn the documents table into a tokenized training mix.
+
+Each stage works on all that its predecessor kept and returns the columns of
+documents; the last adds token ids and the digests of its round trip.
+"""
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestone.llm import bpe, exact_dedup, langid, mixing, superminhash
+from lodestone.llm.common import cut
+from lodestone.llm.queries import VOCABULARY
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without letters or with too narrow a margin."""
+    return langid.identify(docs).filter(~F.col("rejected")).select(*docs.columns)
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return superminhash.drop_near(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeats and leaves out documents by their sources' targets, in training order."""
+    return mixing.curriculum(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    ranks = bpe.read_ranks(VOCABULARY)
+    ids = bpe.encode(docs.select("doc_id", "text"), "text", ranks, public_tokenizers.PATTERN)
+    return bpe.digests(ids, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
 
-STAGES: list = []
+STAGES = [
+    ("language ID", identify_language),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("source mix", mix_sources),
+    ("byte BPE", tokenize),
+]
+#: SQL expresses neither compression nor SuperMinHash nor merges.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    for name, stage in STAGES:
         docs = stage(spark, docs, sf_dir)
+        if name != STAGES[-1][0]:
+            docs = cut(docs)  # a lost executor costs a stage, not the run
     return docs
