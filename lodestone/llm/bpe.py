@@ -23,11 +23,11 @@ In the native form bytes travel as strings whose code points are 0 to 255 (ISO 8
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
 
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -271,35 +271,82 @@ class _Folded:
         return out
 
 
-def encode(df: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, out: str = "ids", cache_words: int = CACHE_WORDS) -> DataFrame:
-    """``df`` with the token ids of column ``text`` as ``array<int>`` column ``out``.
-
-    A null or empty text has no ids.  No special token is ever made.  An
-    existing column ``out`` is replaced; all others are kept.
-    """
+def _passes(df: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, cache_words: int):
+    """A function from Arrow batches to (slice of a batch, ids of its rows)."""
     # As large as the vocabulary, whatever the corpus.  A worker holds on to what it
     # has unpacked, so the words it has folded stay for its next task.
     shared = df.sparkSession.sparkContext.broadcast((ranks, []))
 
-    def batches(it):
+    def passes(it):
         import regex
 
         table, kept = shared.value
         if not kept:
             kept.append(_Folded(Merges(table), cache_words))
         folded, find = kept[0], regex.compile(pattern).findall
-        for texts in it:
-            lists, part, size = [], [], 0
-            for t in texts:
+        for batch in it:
+            column, part, size, start = batch.column(text), [], 0, 0
+            for row in range(batch.num_rows):
+                t = column[row].as_py()
                 part.append(find(t) if t else [])
                 size += len(part[-1])
-                if size > 100_000:
-                    lists += folded.ids(part)
-                    part, size = [], 0
-            yield pd.Series(lists + folded.ids(part), dtype=object)
+                if size > 100_000 or row == batch.num_rows - 1:
+                    yield batch.slice(start, row + 1 - start), folded.ids(part)
+                    part, size, start = [], 0, row + 1
+
+    return passes
+
+
+def encode(df: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, out: str = "ids", cache_words: int = CACHE_WORDS) -> DataFrame:
+    """``df`` with the token ids of column ``text`` as ``array<int>`` column ``out``.
+
+    A null or empty text has no ids.  No special token is ever made.  An
+    existing column ``out`` is replaced; all others are kept.
+    """
+    df = df.drop(out) if out != text else df.withColumnRenamed(out, "__text")
+    text = text if out != text else "__text"
+    passes = _passes(df, text, ranks, pattern, cache_words)
+    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(T.IntegerType()))])
+
+    def run(it):
+        import pyarrow as pa
+
+        for batch, ids in passes(it):
+            ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(ids)))
+            yield pa.RecordBatch.from_arrays([*batch.columns, lists], names=[*batch.schema.names, out])
+
+    return df.mapInArrow(run, schema).drop("__text")
+
+
+def round_trip(df: DataFrame, text: str, id_col: str, ranks: dict[bytes, int], pattern: str, cache_words: int = CACHE_WORDS) -> DataFrame:
+    """Encodes and decodes every text in one pass over it; returns digests of both.
+
+    ``id_col, n_tokens, ids_sha256`` (decimal ids joined by a space) and
+    ``decoded_sha256`` (their pieces joined).
+    """
+    rows = df.select(id_col, text)
+    passes = _passes(rows, text, ranks, pattern, cache_words)
+    pieces = _pieces(ranks)
+    schema = T.StructType([df.schema[id_col], *(T.StructField(n, t) for n, t in (("n_tokens", T.LongType()), ("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())))])
+
+    def run(it):
+        import pyarrow as pa
+
+        names = [str(i) for i in range(len(pieces))]
+        for batch, lists in passes(it):
+            plain = [x.tolist() for x in lists]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column(id_col),
+                    pa.array(map(len, plain), pa.int64(), size=len(plain)),
+                    pa.array([hashlib.sha256(" ".join(map(names.__getitem__, x)).encode()).hexdigest() for x in plain], pa.string()),
+                    pa.array([hashlib.sha256(b"".join(map(pieces.__getitem__, x))).hexdigest() for x in plain], pa.string()),
+                ],
+                names=[id_col, "n_tokens", "ids_sha256", "decoded_sha256"],
+            )
 
-    ids = F.pandas_udf(batches, T.ArrayType(T.IntegerType()), F.PandasUDFType.SCALAR_ITER)
-    return df.withColumn(out, ids(F.col(text)))
+    return rows.mapInArrow(run, schema)
 
 
 def encode_native(df: DataFrame, text: str, ranks: dict[bytes, int], pattern: str, out: str = "ids") -> DataFrame:

@@ -14,9 +14,7 @@ VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(VOCABULARY)
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    ids = bpe.encode(docs, "text", ranks, public_tokenizers.PATTERN)
-    return bpe.digests(ids, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.round_trip(table(spark, sf_dir, "documents"), "text", "doc_id", ranks, public_tokenizers.PATTERN)
 
 
 def op2_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
