@@ -35,8 +35,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     ranks = bpe.read_ranks(VOCABULARY)
-    ids = bpe.encode(docs.select("doc_id", "text"), "text", ranks, public_tokenizers.PATTERN)
-    return bpe.digests(ids, ranks).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.round_trip(docs, "text", "doc_id", ranks, public_tokenizers.PATTERN)
 
 
 STAGES = [
