@@ -47,7 +47,10 @@ def mark(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text)).alias("norm"))
     rows = rows.select("doc_id", F.md5("norm").alias("h"), F.sha2("norm", 256).alias("sha"))
-    found = rows.join(groups(docs, text, id_col), ["h", "sha"])
+    # A key of its own, not the grouped columns: both sides are dealt anew for the
+    # join, and Spark may then split the rows of a large group over many tasks.
+    rows = rows.withColumn("key", F.concat("h", "sha"))
+    found = rows.join(groups(docs, text, id_col).select(F.concat("h", "sha").alias("key"), "keep_id", "group_size"), "key")
     return found.select(
         "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256")
     )
@@ -56,15 +59,13 @@ def mark(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFra
 def drop_copies(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
     """``docs`` with the first row of every group of equal texts, all columns kept.
 
-    Rows that repeat both text and id leave one row.  Only ids are shuffled for
-    the second pass; texts of dropped rows are not.
+    Rows that repeat both text and id leave one row.
     """
     kept = groups(docs, text, id_col).select(F.col("keep_id").alias("__keep_id"), F.col("h").alias("__h"), F.col("sha").alias("__sha"))
     norm = normalised(F.col(text))
     rows = docs.withColumn("__h", F.md5(norm)).withColumn("__sha", F.sha2(norm, 256))
     same = (rows["__h"] == kept["__h"]) & (rows["__sha"] == kept["__sha"]) & rows[id_col].eqNullSafe(kept["__keep_id"])
-    found = rows.join(kept, same, "left_semi").drop("__h", "__sha")
-    return found
+    return rows.join(kept, same, "left_semi").dropDuplicates(["__h", "__sha", id_col]).drop("__h", "__sha")
 
 
 SQL = """

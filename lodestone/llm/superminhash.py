@@ -266,7 +266,7 @@ def components(
     full = sk.filter("n_shingles > 0 AND id IS NOT NULL")
     classes = full.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
     tagged = full.join(classes, ["d1", "d2"])
-    reps = tagged.filter("id = rep").select("id", "bands", "sig").dropDuplicates(["id"])
+    reps = tagged.filter("id = rep").dropDuplicates(["id", "d1", "d2"]).select("id", "bands", "sig")
     reps = cut(reps)
     members = reps.select("id", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
