@@ -39,9 +39,10 @@ def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> D
     lines = spark.read.text(path).filter(~F.col("value").startswith("#"))
     if partitions:
         lines = lines.repartition(partitions)
-    f = F.split("value", "\t")
+    parts = F.split("value", "\t")
+    f = [F.get(parts, F.lit(k)) for k in range(10)]  # an element that is not there is NULL, whatever runs first
     listed = lambda c, sep: F.filter(F.split(c, sep), lambda x: ~x.isin("", "."))
-    sample = F.when(F.size(f) >= 10, F.map_from_arrays(F.split(F.get(f, F.lit(8)), ":"), F.slice(F.concat(F.split(F.get(f, F.lit(9)), ":"), F.array_repeat(F.lit("."), 64)), F.lit(1), F.size(F.split(F.get(f, F.lit(8)), ":")))))
+    sample = F.when(f[9].isNotNull(), F.map_from_arrays(F.split(f[8], ":"), F.slice(F.concat(F.split(f[9], ":"), F.array_repeat(F.lit("."), 64)), F.lit(1), F.size(F.split(f[8], ":")))))
     return lines.select(
         f[0].alias("contig"), f[1].cast("bigint").alias("pos"), f[2].alias("id"), f[3].alias("ref"), listed(f[4], ",").alias("alts"), listed(f[6], ";").alias("filter"),
         info_map(f[7]).alias("info"), sample.alias("sample"),
@@ -150,7 +151,7 @@ def read_seed(spark: SparkSession, path: str, columns: list[str], lists: list[st
         raise ValueError(f"the header is {raw.columns}, not {columns}")
     if not raw.groupBy(key).count().filter("count > 1").isEmpty():
         raise ValueError(f"{key} is listed twice")
-    split = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), F.trim), lambda x: x != "")
+    split = lambda c: F.filter(F.transform(F.split(F.coalesce(c, F.lit("")), ";"), lambda x: F.trim(x)), lambda x: x != "")
     return raw.withColumns({c: split(F.col(c)) for c in lists})
 
 
