@@ -144,7 +144,7 @@ def test_bootstrap_of_one_positive_has_no_interval(spark):
 
 def test_graph_vectors(spark):
     pairs = [("P0", "P1", 950), ("P0", "P2", 920), ("P1", "P2", 900), ("P0", "P3", 800), ("P3", "P4", 750), ("P4", "P5", 720), ("P5", "P6", 400), ("P8", "P9", 990), ("P0", "P0", 999)]
-    sym = graph.both_ways(graph.build_edges(spark.createDataFrame(pairs, "a string, b string, score double"), 700))
+    sym = graph.both_ways(graph.build_edges(spark.createDataFrame(pairs, "a string, b string, score int"), 700))
     assert {r.node for r in graph.seeds(sym, "P0", 900).collect()} == {"P0", "P1", "P2"}
     assert {r.node for r in graph.largest_component(sym).collect()} == {"P0", "P1", "P2", "P3", "P4", "P5"}
     with pytest.raises(ValueError):
