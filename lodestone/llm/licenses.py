@@ -57,11 +57,11 @@ def _minhash(shingles: Column) -> Column:
 
 
 def _cover(words: list[str]) -> list[str]:
-    """Words that hit every shingle of a template: widest reach first, then the longest."""
+    """Words that hit every shingle of a template: the longest first, since short ones are everywhere."""
     spans = [set(words[i : i + WIDTH]) for i in range(max(1, len(words) - WIDTH + 1))]
     found = []
     while spans:
-        best = max(sorted(set().union(*spans)), key=lambda w: (sum(w in s for s in spans), len(w)))
+        best = max(sorted(set().union(*spans)), key=lambda w: (min(len(w), 8), sum(w in s for s in spans), len(w)))
         found.append(best)
         spans = [s for s in spans if best not in s]
     return found
@@ -97,8 +97,11 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     wanted = sorted({w for g in groups.values() for _, _, ws in g for w in _cover(ws)})
     if not wanted:
         return docs.select(F.col(id_col).alias("doc_id"), F.lit("").alias("license_id"), F.lit(0).cast("bigint").alias("matches"), F.lit(0.0).alias("containment")).limit(0)
-    any_word = "(?<![a-z0-9])(?:" + "|".join(map(re.escape, wanted)) + ")(?![a-z0-9])"
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("t")).filter(F.lower(F.col("t")).rlike(any_word))
+    low = F.lower(F.col(text))
+    some = F.lit(False)
+    for w in wanted:
+        some = some | F.contains(low, F.lit(w))
+    texts = docs.filter(some).select(F.col(id_col).alias("doc_id"), F.col(text).alias("t"))
     worded = texts.select("doc_id", _words(F.col("t")).alias("w"))
     spots = []
     for size, group in sorted(groups.items()):
