@@ -74,4 +74,5 @@ QUERIES = {
     )
 }
 
-ORACLES: dict[str, str] = {"op5_exact_dedup": exact_dedup.SQL}
+#: The other operators rest on hashes, models or merges that SQL does not have.
+ORACLES: dict[str, str] = {"op3_superminhash": superminhash.SQL, "op5_exact_dedup": exact_dedup.SQL, "op6_warc_salvage": warc.SQL}

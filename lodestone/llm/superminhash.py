@@ -9,10 +9,10 @@ place.  The signature is cut into bands; equal bands make a bucket.
 Candidates are kept linear in the number of rows.  Documents with equal sets form
 a class at once.  In every bucket the class of smallest id is the leader and all
 others are verified against it only.  A bucket whose classes are thereby of one
-component needs no more.  Buckets that still hold several components go on in
-blocks: each pair of blocks of bounded size is one group, in which pairs of
-different components whose signatures may reach the threshold are verified on
-their full sets; only links leave a group.  No pair that shares a band is lost.
+component needs no more.  In the others, members outside the bucket's largest
+component visit blocks of bounded size; pairs of different components whose
+signatures may reach the threshold are verified on their full sets, and only
+links leave a block.  No pair that shares a band is lost.
 
 At 0.75 and 32 bands of 4, two documents share no band with probability 5e-6.
 """
@@ -30,7 +30,7 @@ WIDTH = 5
 PLACES = 128
 ROWS = 4
 #: Members a block holds, and pairs of one leader that share a copy of its text.
-BLOCK = 200
+BLOCK = 400
 SALT_ROWS = 1000
 #: Equal places (of 8 bits) below which 0.75 is out of reach: six deviations under the mean.
 LEAST_EQUAL = 66
@@ -74,7 +74,7 @@ def signature(elements: np.ndarray, places: int = PLACES) -> np.ndarray:
     p = None
     rows = np.arange(n)
     for j in range(m):
-        v = _mix(elements + _GOLD * np.uint64(j + 1))
+        v = _mix(elements + np.uint64((int(_GOLD) * (j + 1)) & 0xFFFFFFFFFFFFFFFF))
         draw = (v >> np.uint64(32)) | np.uint64(j << 32)
         k = (j + (((v & np.uint64(0xFFFFFFFF)) * np.uint64(m - j)) >> np.uint64(32))).astype(np.int64)
         if j == 0:
@@ -170,19 +170,19 @@ def connected(edges: DataFrame) -> DataFrame:
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (leader a, member b) that are similar on their full sets.
+    """The pairs (leader a, member b, bucket size n) that are similar on their full sets.
 
-    A leader's text is laid out once per ``SALT_ROWS`` members, so a leader of
-    any number of members is spread evenly.
+    A leader's text is laid out once per ``SALT_ROWS`` members of a bucket, so a
+    leader of any number of members is spread evenly.
     """
-    leaders = pairs.groupBy("a").agg(F.ceil(F.count("*") / SALT_ROWS).cast("int").alias("salts"))
-    salted = pairs.join(leaders, "a").withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int")).drop("salts")
+    salts = F.ceil(F.col("n") / SALT_ROWS).cast("int")
+    salted = pairs.select("a", "b", salts.alias("salts")).withColumn("salt", F.pmod(F.xxhash64("b"), F.col("salts")).cast("int"))
     copies = (
-        leaders.join(texts, F.col("a") == F.col("id"))
+        salted.select("a", "salts").distinct().join(texts, F.col("a") == F.col("id"))
         .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-        .select("a", "salt", F.col("t").alias("ta"))
-    )
-    placed = salted.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").join(copies, ["a", "salt"])
+        .select("a", "salts", "salt", F.col("t").alias("ta"))
+    )
+    placed = salted.join(texts.select(F.col("id").alias("b"), F.col("t").alias("tb")), "b").join(copies, ["a", "salts", "salt"])
 
     def check(it):
         for pdf in it:
@@ -199,11 +199,14 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 def _among(width: int, percent: int):
     def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Links between different components inside one pair of blocks."""
-        n = len(pdf)
-        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(n, -1)
-        ids, comps, side = pdf["id"].to_numpy(), list(pdf["c"]), pdf["side"].to_numpy()
-        parent = {c: c for c in comps}
+        """Links of the visitors of one block with its residents, between components."""
+        key = int(pdf["key"].iloc[0])
+        sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
+        band = np.stack(pdf["bands"].to_numpy())
+        ids, comps, texts = pdf["id"].to_numpy(), pdf["c"].to_numpy(), list(pdf["t"])
+        visits, minor = pdf["visits"].to_numpy(), pdf["minor"].to_numpy()
+        here = np.flatnonzero(~visits)
+        parent = {c: c for c in comps.tolist()}
 
         def root(c):
             while parent[c] != c:
@@ -211,40 +214,56 @@ def _among(width: int, percent: int):
                 c = parent[c]
             return c
 
-        sets, texts, out = {}, list(pdf["t"]), []
+        sets, out = {}, []
 
         def set_of(i):
             if i not in sets:
                 sets[i] = shingles(texts[i], width)
             return sets[i]
 
-        within = (side == 2).all()  # the block against itself
-        for i in range(n):
-            others = np.flatnonzero((sig[i + 1 :] == sig[i]).sum(1) >= LEAST_EQUAL * sig.shape[1] // PLACES) + i + 1
-            for j in others:
-                if (within or side[i] != side[j]) and root(comps[i]) != root(comps[j]) and similar(set_of(i), set_of(j), percent):
+        for i in np.flatnonzero(visits):
+            near = here[(sig[here] == sig[i]).sum(1) >= LEAST_EQUAL * sig.shape[1] // PLACES]
+            # two visitors meet in both their blocks: once is enough
+            near = near[(comps[near] != comps[i]) & (~minor[near] | (ids[near] > ids[i]))]
+            if not len(near):
+                continue
+            # a pair belongs to the first band it shares
+            equal = band[near] == band[i]
+            near = near[band[i][equal.argmax(1)] == key]
+            for j in near:
+                a, b = root(int(comps[i])), root(int(comps[j]))
+                if a != b and similar(set_of(i), set_of(j), percent):
                     out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
-                    parent[root(comps[i])] = root(comps[j])
+                    parent[a] = b
         return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
 
     return links
 
 
 def _rest(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links inside the buckets that still hold several components."""
-    labelled = members.join(comps.withColumnRenamed("v", "id"), "id", "left").withColumn("c", F.coalesce("c", "id"))
-    labelled = cut(labelled)
-    open_ = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi"), F.count("*").alias("n")).filter("lo <> hi")
-    rows = labelled.join(open_.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("nb")), "key")
-    rows = rows.withColumn("blk", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int"))
-    # a block meets itself and every other once: groups (lo, hi) of two block numbers
-    met = rows.withColumn("o", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)))
-    met = met.select(
-        "key", "id", "c", F.least("blk", "o").alias("lo"), F.greatest("blk", "o").alias("hi"),
-        F.when(F.col("blk") == F.col("o"), 2).when(F.col("blk") < F.col("o"), 0).otherwise(1).alias("side"),
-    )
-    full = met.join(reps.select("id", "sig"), "id").join(texts, "id")
-    return full.groupBy("key", "lo", "hi").applyInPandas(_among(width, percent), "a long, b long").distinct()
+    """Links among those of a bucket that its leader was not enough for.
+
+    The leader has met everyone.  Of the others, members of the bucket's largest
+    component stay in their blocks and all the rest visit every block.
+    """
+    others = members.filter("id <> a").select("key", "id")
+    labelled = cut(others.join(comps.withColumnRenamed("v", "id"), "id", "left").withColumn("c", F.coalesce("c", "id")))
+    per = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
+    open_ = per.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("major"), F.sum("n").alias("total"), F.max("n").alias("most")).filter("most < total")
+    rows = labelled.join(open_.select("key", "major", F.ceil(F.col("total") / BLOCK).cast("int").alias("nb")), "key").withColumn("minor", F.col("c") != F.col("major"))
+    stay = rows.select("key", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int").alias("blk"), "id", "c", "minor", F.lit(False).alias("visits"))
+    visit = rows.filter("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("blk"), "id", "c", "minor", F.lit(True).alias("visits"))
+    full = stay.union(visit).join(reps, "id").join(texts, "id")
+    return full.groupBy("key", "blk").applyInPandas(_among(width, percent), "a long, b long").distinct()
+
+
+def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` with the components that ``links`` connect made one."""
+    ends = links.select(F.col("a").alias("v")).union(links.select("b")).distinct()
+    base = cut(comps.union(ends.join(comps, "v", "left_anti").select("v", F.col("v").alias("c"))))
+    a, b = (base.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
+    moved = connected(links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    return base.join(moved.select(F.col("v").alias("c"), F.col("c").alias("cc")), "c", "left").select("v", F.coalesce("cc", "c").alias("c"))
 
 
 def components(
@@ -269,9 +288,9 @@ def components(
     reps = tagged.filter("id = rep").dropDuplicates(["id", "d1", "d2"]).select("id", "bands", "sig")
     reps = cut(reps)
     members = reps.select("id", F.explode("bands").alias("key"))
-    buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
+    buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     members = cut(members.join(buckets, "key"))
-    pairs = cut(members.filter("id <> a").select("a", F.col("id").alias("b")).distinct())
+    pairs = cut(members.filter("id <> a").groupBy("a", F.col("id").alias("b")).agg(F.max("n").alias("n")))
     texts = docs.select(F.col(id_col).alias("id"), F.col(text).alias("t")).filter("id IS NOT NULL")
     links = cut(_verified(pairs, texts, width, percent))
     # ids repeated over different texts are one vertex already; their classes join here
@@ -280,9 +299,9 @@ def components(
     ).select("a", "b")
     links = links.union(twice)
     comps = connected(links)
-    more = cut(_rest(members.select("key", "id"), comps, reps, texts, width, percent))
+    more = cut(_rest(members, comps, reps, texts, width, percent))
     if not more.isEmpty():
-        comps = connected(links.union(more))
+        comps = _joined(comps, more)
     final = tagged.select(F.col("id"), "rep").distinct().join(comps.withColumnRenamed("v", "rep"), "rep", "left")
     final = final.groupBy("id").agg(F.min(F.coalesce("c", "rep")).alias("c"))
     out = sk.select("id", "n_shingles").join(final, "id", "left")
@@ -298,3 +317,17 @@ def drop_near(docs: DataFrame, text: str = "text", id_col: str = "doc_id", **opt
     """``docs`` with one document of each component, all columns kept; rows of null id stay."""
     lost = components(docs, text, id_col, **options).filter("NOT kept").select(F.col("doc_id").alias("__lost")).distinct()
     return docs.join(lost, docs[id_col] == lost["__lost"], "left_anti")
+
+
+SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh FROM d
+), u AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS x FROM s),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, any_value(a.n) AS na, any_value(b.n) AS nb, count(*) AS k FROM u a JOIN u b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+e AS (SELECT a, b FROM p WHERE 100 * k >= 75 * (na + nb - k) UNION SELECT b, a FROM p WHERE 100 * k >= 75 * (na + nb - k)),
+r AS (SELECT doc_id AS v, doc_id AS c FROM s UNION SELECT r.v, e.b FROM r JOIN e ON e.a = r.c)
+SELECT doc_id, CAST(len(sh) AS BIGINT) AS n_shingles, m AS component_id, doc_id = m AS kept FROM s JOIN (SELECT v, min(c) AS m FROM r GROUP BY v) ON v = doc_id
+"""

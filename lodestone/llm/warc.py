@@ -315,3 +315,13 @@ def round_trip(pages: DataFrame) -> DataFrame:
     return rows.select(
         number("record_id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", number("refers_to").alias("refers_to")
     )
+
+
+SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS h, strlen(coalesce(html, '')) AS n FROM pages),
+m AS (SELECT *, max(page_id) OVER (PARTITION BY h) AS last FROM p)
+SELECT page_id, n AS payload_bytes, sha1(h) AS payload_digest,
+       CASE WHEN n >= {REVISIT_BYTES} AND page_id <> last THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {REVISIT_BYTES} AND page_id <> last THEN last END AS refers_to
+FROM m
+"""

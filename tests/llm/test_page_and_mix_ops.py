@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from lodestone.llm import exact_dedup, mixing, sharding, site_tree, warc
 from lodestone.llm import queries as Q
+from tests.compare import differences
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var t="</p>";</script></head><body>
 <header>Site name</header><nav><ul><li><a href="/">Home</a></li></ul></nav><div class="cookie-notice">We use cookies</div><div class="ad">Buy</div>
@@ -198,10 +199,9 @@ def test_shards(spark):
     assert sharding.shard(df.limit(0)).count() == 0
 
 
-def test_dedup_sql(spark, sf_dir):
-    from tests.compare import differences
-
-    assert differences(spark, Q.op5_exact_dedup, exact_dedup.SQL, sf_dir) == ""
+@pytest.mark.parametrize("name", sorted(Q.ORACLES))
+def test_queries_with_sql(spark, sf_dir, name):
+    assert differences(spark, Q.QUERIES[name], Q.ORACLES[name], sf_dir) == ""
 
 
 def test_pipeline_stage_by_stage(spark, sf_dir):
