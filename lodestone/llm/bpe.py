@@ -9,8 +9,8 @@ single map would be searched entry by entry.  The constant is a scalar
 subquery, so tasks receive it as one block of bytes, not as an object graph.
 
 :func:`encode_native` is that fold in Spark's higher-order functions.  They are
-interpreted at about 80 microseconds a word, several times what a corpus can
-afford (figures in the README), so :func:`encode` runs the same merges in Arrow
+interpreted and take several times what a corpus can afford (figures in the
+README), so :func:`encode` runs the same merges in Arrow
 batches: each worker folds distinct words, all of one length a merge at a time,
 keeps their ids in a bounded cache and looks them up for every other occurrence.
 Nothing is shuffled.  A full cache is emptied, so its bound never changes a
