@@ -68,9 +68,9 @@ def plan(
     most: int = MOST_REPEATS,
     buckets: int = BUCKETS,
 ) -> DataFrame:
-    """``docs`` with ``size``, ``source_size``, ``target``, ``offset`` and ``repeats``.
+    """``docs`` with ``size``, ``source_size``, ``target``, ``offset``, ``key`` and ``repeats``.
 
-    ``repeats`` is how often the mix takes the document: all full rounds of its
+    ``key`` tells documents of one id apart.  ``repeats`` is how often the mix takes the document: all full rounds of its
     source's target, and one more if the middle of the document lies within what
     is left of it, so a source misses its target by half a document at most.
     Null texts have size 0; a null source is a source of its own, the last;
@@ -84,8 +84,9 @@ def plan(
     sizes = sizes.withColumn("source", F.when(F.col("__s") != "-", F.substring("__s", 2, 1 << 30)))
     targets = source_targets(sizes, weight, most).select("__s", F.col("source_size").alias("__total"), F.col("target").alias("__target"))
     starts = starts.select("__s", "__b", "__start").join(targets, "__s")
-    inside = Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col).asc_nulls_last(), "__size").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("__inside", F.coalesce(F.sum("__size").over(inside), F.lit(0)))
+    inside = Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col).asc_nulls_last(), "__size")
+    rows = rows.withColumn("__inside", F.coalesce(F.sum("__size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    rows = rows.withColumn("__key", F.struct("__s", "__b", F.row_number().over(inside).alias("nth")))
     found = rows.join(starts, ["__s", "__b"])
     offset = F.col("__start") + F.col("__inside")
     rounds = F.coalesce(F.floor(F.try_divide(F.col("__target"), F.col("__total"))), F.lit(0)).cast("int")
@@ -95,18 +96,6 @@ def plan(
     return found.withColumn("__repeats", F.col("__rounds") + extra).drop("__h", "__s", "__b", "__inside", "__start", "__rounds")
 
 
-def mix(docs: DataFrame, **options) -> DataFrame:
-    """One row per document: its size, its source's size and target, the words taken."""
-    id_col = options.get("id_col", "doc_id")
-    return plan(docs.select(id_col, options.get("text", "text"), options.get("source", "source")), **options).select(
-        F.col(id_col).alias("doc_id"),
-        F.col("__size").alias("size"),
-        F.col("__total").alias("source_size"),
-        F.col("__target").cast("double").alias("target"),
-        (F.col("__size") * F.col("__repeats")).cast("bigint").alias("taken"),
-    )
-
-
 def position(offset: Column, target: Column, tilt: Column) -> Column:
     """The time t at which a source's demand reaches ``offset`` words.
 
@@ -117,20 +106,56 @@ def position(offset: Column, target: Column, tilt: Column) -> Column:
     return F.when(F.abs(tilt) < 1e-12, share).otherwise(2 * share / (1 + tilt + root))
 
 
+def _placed(docs: DataFrame, tilt: float, seed: int, **options) -> DataFrame:
+    """``plan`` with a row for every taking of a document: its ``__round`` and its position ``__at``.
+
+    Sources tilt towards the start or the end of training by a hash of their
+    name, within ``tilt``.  A document that is not taken keeps one row, its
+    round and position null.
+    """
+    lean = (F.pmod(mix64(F.col(options.get("source", "source")), F.lit(seed)), F.lit(2001)) - 1000) / 1000.0 * tilt
+    taken = F.col("__repeats") > 0
+    # a document without words is dealt at its offset
+    rounds = plan(docs, **options).withColumn("__round", F.explode_outer(F.when(taken, F.sequence(F.lit(0), F.col("__repeats") - 1))))
+    at = position(F.col("__offset") + F.col("__round") * F.col("__total"), F.col("__target"), lean)
+    return rounds.withColumn("__at", F.when(taken, at))
+
+
+def _ranged(rows: DataFrame, order: list, partitions: int | None = None) -> DataFrame:
+    ranged = rows.repartitionByRange(partitions, *order) if partitions else rows.repartitionByRange(*order)
+    return ranged.sortWithinPartitions(*order)
+
+
+def mix(docs: DataFrame, tilt: float = 0.5, seed: int = 7, partitions: int | None = None, **options) -> DataFrame:
+    """One row per document: its size, its source's size and target, the words taken, its positions.
+
+    The takings are range-sorted with their texts as in ``curriculum``, and the
+    words taken are counted in what has been moved.  Rows come in the order of
+    their first positions, documents that are not taken last.
+    """
+    id_col, text, source = options.get("id_col", "doc_id"), options.get("text", "text"), options.get("source", "source")
+    placed = _placed(docs.select(id_col, text, source), tilt, seed, **options).select(
+        F.col(id_col).alias("doc_id"),
+        F.when(F.col("__round").isNotNull(), F.col(text)).alias("text"),  # what is not taken need not move
+        *("__key", "__size", "__total", "__target", "__round", "__at"),
+    )
+    rows = _ranged(placed, [F.col("__at"), F.col("doc_id"), F.col("__round")], partitions)
+    each = rows.groupBy("doc_id", "__key").agg(
+        F.first("__size").alias("size"),
+        F.first("__total").alias("source_size"),
+        F.first("__target").cast("double").alias("target"),
+        F.sum(count_words(F.col("text"))).alias("taken"),
+        F.sort_array(F.collect_list("__at")).alias("__places"),
+    )
+    ordered = _ranged(each, [F.get("__places", F.lit(0)).asc_nulls_last(), F.col("doc_id"), F.col("__key")], partitions)
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", F.transform("__places", lambda x: F.round(x, 9)).alias("positions"))
+
+
 def curriculum(docs: DataFrame, tilt: float = 0.5, seed: int = 7, partitions: int | None = None, **options) -> DataFrame:
     """The mix in training order: a row for every taking of a document.
 
-    Columns are those of ``docs``.  Sources tilt towards the start or the end
-    of training by a hash of their name, within ``tilt``.  Rows are
-    range-sorted by position, ties by id and round.
+    Columns are those of ``docs``.  Rows are range-sorted by position, ties by
+    id and round.
     """
-    columns = docs.columns
-    source, id_col = options.get("source", "source"), options.get("id_col", "doc_id")
-    lean = (F.pmod(mix64(F.col(source), F.lit(seed)), F.lit(2001)) - 1000) / 1000.0 * tilt
-    taken = plan(docs, **options).filter(F.col("__repeats") > 0)
-    # a document without words is dealt once, at its offset
-    rounds = taken.withColumn("__round", F.explode(F.sequence(F.lit(0), F.col("__repeats") - 1)))
-    placed = rounds.withColumn("__at", position(F.col("__offset") + F.col("__round") * F.col("__total"), F.col("__target"), lean))
-    order = [F.col("__at"), F.col(id_col), F.col("__round")]
-    ranged = placed.repartitionByRange(partitions, *order) if partitions else placed.repartitionByRange(*order)
-    return ranged.sortWithinPartitions(*order).select(*columns)
+    placed = _placed(docs, tilt, seed, **options).filter(F.col("__repeats") > 0)
+    return _ranged(placed, [F.col("__at"), F.col(options.get("id_col", "doc_id")), F.col("__round")], partitions).select(*docs.columns)

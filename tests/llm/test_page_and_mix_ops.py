@@ -177,6 +177,20 @@ def test_curriculum_orders_and_repeats(spark):
         assert (1 + b) * t - b * t * t == pytest.approx(x)
 
 
+def test_mix_query_deals_positions_in_training_order(spark, tmp_path):
+    rows = [(k, " ".join(["w"] * (k % 6)), "abc"[k % 3]) for k in range(200)] + [(5, "x y", "b"), (None, "z", None), (201, None, "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = Q.op9_curriculum_mix(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    assert all(r.taken == r.size * len(r.positions) and list(r.positions) == sorted(r.positions) for r in got)
+    firsts = [r.positions[0] for r in got if r.positions]
+    assert firsts == sorted(firsts) and not any(r.positions for r in got[len(firsts) :]) and len(set(firsts)) > 50
+    # the training order that the positions tell is that of the mix itself
+    dealt = [r.doc_id for r in mixing.curriculum(spark.read.parquet(f"{tmp_path}/documents.parquet")).collect()]
+    told = [i for *_, i in sorted((p, r.doc_id is not None, r.doc_id or 0, r.doc_id) for r in got for p in r.positions)]
+    assert told == dealt
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 10, 97, 1000])
 def test_permutation_is_one(spark, n):
     got = spark.range(n).select(sharding.permute(F.col("id"), F.lit(n).cast("long"), 9).alias("y")).collect()
