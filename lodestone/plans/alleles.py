@@ -39,6 +39,13 @@ def outside_regions(spark, sf_dir):
     return p.join(ops.in_regions(p, _regions(spark), PAD).select("id"), "id", "left_anti").filter("pos < 3000").select("id", "pos")
 
 
+@query(f"{_JOINED} SELECT id, pos FROM points p WHERE NOT EXISTS (SELECT 1 FROM j WHERE j.id = p.id)")
+def outside_regions_whole(spark, sf_dir):
+    """``outside_regions`` over all orders."""
+    p = _points(spark, sf_dir)
+    return p.join(ops.in_regions(p, _regions(spark), PAD).select("id"), "id", "left_anti").select("id", "pos")
+
+
 _NEAR = """WITH p AS (SELECT o_orderkey AS id, o_custkey % 7 AS contig, o_orderkey AS pos FROM orders WHERE o_orderpriority = '1-URGENT'),
 s AS (SELECT l_suppkey % 7 AS contig, l_orderkey AS pos, CAST(l_quantity AS DOUBLE) AS an FROM lineitem WHERE l_returnflag = 'A')"""
 
@@ -148,10 +155,14 @@ _HITS = """h AS (SELECT 'G' || (l_partkey % 40) AS gene, l_orderkey * 10 + l_lin
   l_suppkey % 5 AS pid, l_linenumber % 2 AS pgt FROM lineitem WHERE l_orderkey < 4000 AND l_quantity > 40)"""
 
 
-def _hits(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_orderkey < 4000 AND l_quantity > 40")
-    return li.selectExpr(
-        "concat('G', l_partkey % 40) AS gene", "l_orderkey * 10 + l_linenumber AS id", "l_returnflag = 'R' AS lof", "l_linestatus = 'F' AS passing",
+#: All line items; a part is a gene, so genes grow in number with the table, not in size.
+_ALL_HITS = _HITS.replace("(l_partkey % 40)", "l_partkey").replace(" WHERE l_orderkey < 4000 AND l_quantity > 40", "")
+
+
+def _hits(spark, sf_dir, whole=False):
+    li = table(spark, sf_dir, "lineitem")
+    return (li if whole else li.filter("l_orderkey < 4000 AND l_quantity > 40")).selectExpr(
+        "concat('G', l_partkey) AS gene" if whole else "concat('G', l_partkey % 40) AS gene", "l_orderkey * 10 + l_linenumber AS id", "l_returnflag = 'R' AS lof", "l_linestatus = 'F' AS passing",
         "CASE WHEN l_discount = 0 THEN 'hom_alt' ELSE 'het' END AS zyg", "l_tax > 0.04 AS mane", "l_partkey % 3 = 0 AS altering", "l_suppkey % 5 AS pid", "l_linenumber % 2 AS pgt",
     )
 
@@ -164,9 +175,12 @@ _CONFIGS = f"""WITH {_HITS}, p AS (SELECT * FROM h WHERE passing), l AS (SELECT
     FROM l x JOIN a y ON x.gene = y.gene WHERE x.zyg = 'het' AND (y.zyg = 'hom_alt' OR NOT (x.pid = y.pid AND x.pgt = y.pgt)))"""
 
 
-def _configurations(spark, sf_dir):
+_ALL_CONFIGS = _CONFIGS.replace(_HITS, _ALL_HITS)
+
+
+def _configurations(spark, sf_dir, whole=False):
     """Homozygous, paired and mixed configurations of each gene's passing hits."""
-    p = _hits(spark, sf_dir).filter("passing")
+    p = _hits(spark, sf_dir, whole).filter("passing")
     lof, altering = p.filter("lof"), p.filter("NOT lof AND altering")
     hom = lof.filter("zyg = 'hom_alt'").select("gene", F.when(F.col("mane"), 0).otherwise(1).alias("rank"), F.col("id").alias("a_id"), F.lit(None).cast("bigint").alias("b_id"), F.lit("homozygous").alias("phase"))
     het = lof.filter("zyg = 'het'")
@@ -185,15 +199,38 @@ def _configurations(spark, sf_dir):
 _KIND = "CASE rank WHEN 0 THEN 'biallelic_lof' WHEN 1 THEN 'biallelic_lof_non_mane' ELSE 'lof_plus_protein_altering' END"
 
 
-@query(f"{_CONFIGS} SELECT gene, {_KIND} AS kind, phase, count(*) AS n FROM c GROUP BY ALL")
-def biallelic_pairs(spark, sf_dir):
-    return _configurations(spark, sf_dir)[1].selectExpr("gene", f"{_KIND} AS kind", "phase").groupBy("gene", "kind", "phase").agg(F.count("*").alias("n"))
+_PAIRS_SQL = f"SELECT gene, {_KIND} AS kind, phase, count(*) AS n FROM c GROUP BY ALL"
+_VERDICT_SQL = f""", g AS (SELECT gene, count(*) AS n_pass, count(*) FILTER (WHERE lof) AS n_lof FROM p GROUP BY gene), b AS (SELECT gene, min(rank) AS rank, count(*) AS n FROM c GROUP BY gene)
+SELECT gene, n_pass, n_lof, coalesce(n, 0) AS n_configurations, CASE WHEN rank IS NOT NULL THEN {_KIND} WHEN n_lof > 0 THEN 'monoallelic_lof' ELSE 'no_lof' END AS verdict FROM g LEFT JOIN b USING (gene)"""
 
 
-@query(f"""{_CONFIGS}, g AS (SELECT gene, count(*) AS n_pass, count(*) FILTER (WHERE lof) AS n_lof FROM p GROUP BY gene), b AS (SELECT gene, min(rank) AS rank, count(*) AS n FROM c GROUP BY gene)
-SELECT gene, n_pass, n_lof, coalesce(n, 0) AS n_configurations, CASE WHEN rank IS NOT NULL THEN {_KIND} WHEN n_lof > 0 THEN 'monoallelic_lof' ELSE 'no_lof' END AS verdict FROM g LEFT JOIN b USING (gene)""")
-def gene_verdict(spark, sf_dir):
-    p, configs = _configurations(spark, sf_dir)
+def _pairs(configs):
+    return configs.selectExpr("gene", f"{_KIND} AS kind", "phase").groupBy("gene", "kind", "phase").agg(F.count("*").alias("n"))
+
+
+def _verdicts(p, configs):
     counts = p.groupBy("gene").agg(F.count("*").alias("n_pass"), F.count_if("lof").alias("n_lof"))
     best = configs.groupBy("gene").agg(F.min("rank").alias("rank"), F.count("*").alias("n"))
     return counts.join(best, "gene", "left").selectExpr("gene", "n_pass", "n_lof", "coalesce(n, 0) AS n_configurations", f"CASE WHEN rank IS NOT NULL THEN {_KIND} WHEN n_lof > 0 THEN 'monoallelic_lof' ELSE 'no_lof' END AS verdict")
+
+
+@query(f"{_CONFIGS} {_PAIRS_SQL}")
+def biallelic_pairs(spark, sf_dir):
+    return _pairs(_configurations(spark, sf_dir)[1])
+
+
+@query(f"{_ALL_CONFIGS} {_PAIRS_SQL}")
+def biallelic_pairs_whole(spark, sf_dir):
+    """``biallelic_pairs`` over all line items, a part a gene."""
+    return _pairs(_configurations(spark, sf_dir, whole=True)[1])
+
+
+@query(f"{_CONFIGS}{_VERDICT_SQL}")
+def gene_verdict(spark, sf_dir):
+    return _verdicts(*_configurations(spark, sf_dir))
+
+
+@query(f"{_ALL_CONFIGS}{_VERDICT_SQL}")
+def gene_verdict_whole(spark, sf_dir):
+    """``gene_verdict`` over all line items, a part a gene."""
+    return _verdicts(*_configurations(spark, sf_dir, whole=True))
