@@ -9,13 +9,14 @@ each match lies whole inside one of the overlapping windows.
 A window and a template meet if one of 128 MinHash values is equal (bands of one
 row).  The smallest similarity a match can have with its window is 1 in 13, at
 which they miss each other with probability 4e-5; longer templates stand out
-more.  Matches are then verified: a share of at least 0.75 of the template's
-shingles is in the window.
+more.  Matches are then verified, each template for itself: a share of at least
+0.75 of the template's shingles is in the window.  Only matches that share places
+of the text compete, so different statements in one window all stay.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import let
@@ -67,6 +68,50 @@ def _cover(words: list[str]) -> list[str]:
     return found
 
 
+def _matched(win: Column, start: Column, shingles: Column) -> Column:
+    """Places of the text where a template's shingles are, and which ones they are."""
+    last = F.greatest(F.size(win) - WIDTH + 1, F.lit(1))
+    at = F.transform(
+        F.sequence(F.lit(1), last),
+        lambda i: F.struct((start + i - 1).alias("p"), F.array_position(shingles, F.array_join(F.slice(win, i, F.lit(WIDTH)), " ")).cast("int").alias("k")),
+    )
+    return F.filter(at, lambda x: x["k"] > 0)
+
+
+def _enough(found: Column, n: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(found, lambda x: x["k"]))) * 100 >= PERCENT * n
+
+
+def _statements(found: Column, n: Column, words: Column) -> Column:
+    """A template's matched places, in order, parted into its statements."""
+    place = "struct<p:int,k:int>"
+    none = F.struct(F.array().cast(f"array<array<{place}>>").alias("done"), F.array().cast(f"array<{place}>").alias("at"))
+
+    def step(acc, x):
+        at, first = acc["at"], F.get(acc["at"], F.lit(0))
+        # a statement ends where it begins again, or is half as long again as its template
+        ends = (F.size(at) > 0) & ((x["p"] - first["p"] >= words * 1.5) | ((x["k"] == first["k"]) & _enough(at, n)))
+        begun = F.struct(F.concat(acc["done"], F.array(at)).alias("done"), F.array(x).alias("at"))
+        return F.when(ends, begun).otherwise(F.struct(acc["done"].alias("done"), F.concat(at, F.array(x)).alias("at")))
+
+    return F.filter(F.aggregate(found, none, step, lambda acc: F.concat(acc["done"], F.array(acc["at"]))), lambda at: _enough(at, n))
+
+
+def _settled(hits: DataFrame) -> DataFrame:
+    """Of hits that share places the one with the largest share, then the longest, then the first by template stays."""
+    line = Window.partitionBy("doc_id", "d").orderBy("lo", "hi", "template")
+    apart = F.col("lo") > F.max("hi").over(line.rowsBetween(Window.unboundedPreceding, -1))
+    rows = hits.withColumn("apart", F.coalesce(apart, F.lit(False)).cast("int")).withColumn("island", F.sum("apart").over(line))
+    each = F.struct((-F.col("share")).alias("less"), (-F.col("n")).alias("short"), "template", "lo", "license_id", "share", "places")
+    ranked = rows.groupBy("doc_id", "d", "island").agg(F.sort_array(F.collect_list(each)).alias("all"))
+
+    def step(kept, x):
+        return F.when(F.exists(kept, lambda y: F.arrays_overlap(y["places"], x["places"])), kept).otherwise(F.concat(kept, F.array(x)))
+
+    kept = F.aggregate("all", F.slice("all", 1, 0), step)
+    return ranked.select("doc_id", F.explode(kept).alias("b")).select("doc_id", "b.license_id", "b.share")
+
+
 def _window(size: int):
     def around(i):
         start = F.greatest(i - size, F.lit(1)).cast("int")
@@ -81,7 +126,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     ``matches`` counts the places, ``containment`` is the best of their shares
     of the template's shingles.  Null, empty and wordless texts state none.  Of
     templates that match at one place the one with the largest share counts,
-    then the longest, then the first by name.
+    then the longest, then the first of the list.
     """
     import re
 
@@ -102,27 +147,38 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     for w in wanted:
         some = some | F.contains(low, F.lit(w))
     texts = docs.filter(some).select(F.col(id_col).alias("doc_id"), F.col(text).alias("t"))
-    worded = texts.select("doc_id", _words(F.col("t")).alias("w"))
+    worded = texts.select("doc_id", F.xxhash64("t").alias("d"), _words(F.col("t")).alias("w"))
     spots = []
     for size, group in sorted(groups.items()):
         anchors = F.array(*[F.lit(w) for w in sorted({w for _, _, ws in group for w in _cover(ws)})])
         at = F.filter(F.sequence(F.lit(1), F.size("w")), lambda i: F.array_contains(anchors, F.get(F.col("w"), i - 1)))
         windows = F.transform(at, _window(size))
         spots.append(windows)
-    rows = worded.filter(F.size("w") > 0).select("doc_id", F.explode(F.concat(*spots)).alias("x")).select("doc_id", "x.*")
-    # the same words around two places are looked at once in the end: places are counted by start
+    rows = worded.filter(F.size("w") > 0).select("doc_id", "d", F.explode(F.concat(*spots)).alias("x")).select("doc_id", "d", "x.*")
     rows = rows.withColumn("sh", _shingles(F.col("win")))
     known = spark.createDataFrame([(size, n, name, " ".join(ws)) for size, g in groups.items() for n, name, ws in g], "size int, template int, license_id string, body string")
     known = known.withColumn("tsh", _shingles(F.split("body", " ")))
     bands = known.select("size", "template", F.posexplode(_minhash(F.col("tsh"))).alias("band", "value"))
     met = (
-        rows.select("doc_id", "size", "start", "sh", F.posexplode(_minhash(F.col("sh"))).alias("band", "value"))
+        rows.select("doc_id", "d", "size", "start", "win", "sh", F.posexplode(_minhash(F.col("sh"))).alias("band", "value"))
         .join(F.broadcast(bands), ["size", "band", "value"])  # as large as the templates
-        .dropDuplicates(["doc_id", "size", "start", "template"])
+        .dropDuplicates(["doc_id", "d", "size", "start", "template"])
+    )
+    known = known.select("size", "template", "license_id", "tsh", F.size("tsh").alias("n"), F.size(F.split("body", " ")).alias("words"))
+    joined = met.join(F.broadcast(known), ["size", "template"])
+    verified = joined.filter(F.size(F.array_intersect("sh", "tsh")) * 100 >= PERCENT * F.col("n"))
+    verified = verified.withColumn("at", _matched(F.col("win"), F.col("start"), F.col("tsh")))
+    # windows overlap: their places are put together before statements are told apart
+    found = verified.groupBy("doc_id", "d", "template", "license_id", "n", "words").agg(
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("at")))).alias("at"), F.max_by("at", F.struct(F.size("at"), -F.col("start"))).alias("best")
+    )
+    found = found.withColumn("all", _statements(F.col("at"), F.col("n"), F.col("words")))
+    # one that is spread too widely to be told apart stays as its best window has it
+    hits = found.withColumn("hit", F.explode(F.when(F.size("all") > 0, F.col("all")).otherwise(F.array("best"))))
+    hits = hits.select(
+        *("doc_id", "d", "template", "license_id", "n"),
+        F.transform("hit", lambda x: x["p"]).alias("places"),
+        (F.size(F.array_distinct(F.transform("hit", lambda x: x["k"]))) / F.col("n")).alias("share"),
     )
-    joined = met.join(F.broadcast(known.drop("body")), ["size", "template"])
-    share = F.size(F.array_intersect("sh", "tsh")) / F.size("tsh")
-    verified = joined.select("doc_id", "license_id", "template", "size", "start", share.alias("share"), F.size("tsh").alias("n")).filter(F.col("share") * 100 >= PERCENT)
-    best = verified.groupBy("doc_id", "size", "start").agg(F.max_by(F.struct("license_id", "share"), F.struct("share", "n", -F.col("template"))).alias("b"))
-    hits = best.groupBy("doc_id", F.col("b.license_id").alias("license_id"))
-    return hits.agg(F.count("*").alias("matches"), F.max("b.share").alias("containment"))
+    hits = _settled(hits.withColumn("lo", F.array_min("places")).withColumn("hi", F.array_max("places")))
+    return hits.groupBy("doc_id", "license_id").agg(F.count("*").alias("matches"), F.max("share").alias("containment"))

@@ -252,6 +252,19 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0)).count() == 0 and licenses.scan(df, []).count() == 0
 
 
+def test_licenses_of_one_window_all_stay(spark):
+    gpl = "This work is licensed under the GNU General Public License, version 3."
+    rows = [
+        (1, "We say: Released under the MIT License.\nLicensed under CC BY-NC 4.0. That is all."), (2, f"word {gpl} word"), (3, f"{gpl} {gpl} Licensed under the MIT License."),
+        (4, "Released under the MIT License. " * 3), (4, "Licensed under CC BY 4.0. Licensed under CC BY-SA 4.0."),
+    ]
+    got = licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.license_id): r.matches for r in got} == {
+        (1, "MIT"): 1, (1, "CC-BY-NC-4.0"): 1, (2, "GPL-3.0"): 1, (3, "GPL-3.0"): 2, (3, "MIT"): 1, (4, "MIT"): 3, (4, "CC-BY-4.0"): 1, (4, "CC-BY-SA-4.0"): 1,
+    }
+    assert all(r.containment == 1.0 for r in got)
+
+
 def test_license_query_finds_every_statement(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
