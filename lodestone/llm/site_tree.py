@@ -181,14 +181,14 @@ def _mains(root: Node) -> list[Node]:
 
 
 def main_text(html: str | None, cut_paths=frozenset()) -> str:
-    """The page's main text; cut nodes never empty an article altogether."""
+    """The page's main text; cut nodes never empty an article, or a page, altogether."""
     root = parse(html)
     mains = _mains(root)
     for paths in (cut_paths, frozenset()) if cut_paths else (cut_paths,):
         text = " ".join(b for n in mains for b in blocks(n, paths))
         if text:
             return text
-    return " ".join(blocks(root, cut_paths))
+    return " ".join(blocks(root, cut_paths)) or " ".join(blocks(root))
 
 
 def observe(html: str | None) -> list[tuple[str, int, int]]:
@@ -215,7 +215,7 @@ def observe(html: str | None) -> list[tuple[str, int, int]]:
 def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
     """``host, path, pages, layout, content, importance``: the merged trees' nodes.
 
-    With m pages and shares p of the values a node takes, its entropy is
+    Copies of a page count once a host.  With m pages and shares p of the values a node takes, its entropy is
     - sum p log_m p.  A node's importance is the larger of its two; a node of
     one page has importance 1.  A node passes on what its subtree is worth: it
     is no less important than its most important child.
@@ -224,12 +224,13 @@ def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
     def rows(it):
         for pdf in it:
             out = []
-            for u, page in zip(pdf["u"], pdf["h"]):
+            for u, page, same in zip(pdf["u"], pdf["h"], pdf["page"]):
                 host = host_of(u)
-                out += [(host, *x) for x in observe(page)]
-            yield pd.DataFrame(out, columns=["host", "path", "layout", "content"])
+                out += [(host, *x, same) for x in observe(page)]
+            yield pd.DataFrame(out, columns=["host", "path", "layout", "content", "page"])
 
-    seen = pages.select(F.col(url).alias("u"), F.col(html).alias("h")).mapInPandas(rows, "host string, path string, layout long, content long")
+    seen = pages.select(F.col(url).alias("u"), F.col(html).alias("h"), F.xxhash64(F.col(html)).alias("page"))
+    seen = seen.mapInPandas(rows, "host string, path string, layout long, content long, page long").distinct()
 
     # one pass over the pages: both counts come from the same grouped rows
     pairs = cut(seen.groupBy("host", "path", "layout", "content").agg(F.count("*").alias("n")))

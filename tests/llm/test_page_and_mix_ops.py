@@ -45,6 +45,22 @@ def test_style_tree_cuts_what_every_page_repeats(spark):
     assert site_tree.extract(df.limit(0)).count() == 0
 
 
+def test_copies_of_a_page_are_no_evidence(spark):
+    body = "<html><body><div><p>{}</p></div></body></html>"
+    article = "<body><article><p>Text {}</p>{}</article></body>"
+    listed = article.format("with a list", "<ul><li>One</li></ul>")
+    pages = [("http://copied.org/", body.format("Story"))] * 6 + [("http://mixed.org/", body.format("Copied"))] * 90
+    pages += [("http://mixed.org/", body.format(f"Distinct {k}")) for k in range(10)]
+    pages += [("http://lists.org/", listed)] * 5 + [("http://lists.org/", article.format(k, "")) for k in range(5)]
+    got = site_tree.extract(spark.createDataFrame([(k, *p) for k, p in enumerate(pages)], "page_id long, url string, html string")).collect()
+    text = {r.page_id: r.text for r in got}
+    assert {text[k] for k in range(6)} == {"Story"} and {text[k] for k in range(6, 96)} == {"Copied"}
+    assert [text[96 + k] for k in range(10)] == [f"Distinct {k}" for k in range(10)]
+    assert {text[k] for k in range(106, 111)} == {"Text with a list One"}
+    # where the cuts leave nothing the page stays whole
+    assert site_tree.main_text("<body><p>All</p></body>", frozenset(["/body"])) == "All"
+
+
 def test_site_query_against_the_template(spark, sf_dir):
     import html
     import re
