@@ -68,10 +68,20 @@ def host_of(url: str | None) -> str:
     return m[1].rpartition("@")[2].partition(":")[0].lower() if m else ""
 
 
+def _named_noise(given: dict) -> bool:
+    """Whether a class or id is a word for noise, or made of such words alone."""
+    for token in " ".join(given.get(a) or "" for a in ("class", "id")).lower().split():
+        words = _names.findall(token)
+        if words and NOISE.issuperset(words):
+            return True
+    return False
+
+
 class Node:
-    __slots__ = ("children", "label", "noise", "parent", "parts", "path", "tag")
+    __slots__ = ("children", "label", "noise", "parent", "parts", "path", "soft", "tag")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, noise: bool):
+    def __init__(self, tag: str, label: str, parent: Node | None, noise: bool, soft: bool = False):
+        self.soft = soft  # noise by its names, its role or as a form only
         self.tag, self.label, self.parent, self.noise = tag, label, parent, noise
         self.path = f"{parent.path}/{label}" if parent else label
         self.children: list[Node] = []
@@ -106,13 +116,19 @@ class _Builder(HTMLParser):
             return
         given = dict(attrs)
         names = sorted({w for a in ("class", "id") for w in _names.findall((given.get(a) or "").lower())})
-        noise = tag in DROPPED or (given.get("role") or "").lower() in ROLES or not NOISE.isdisjoint(names) and tag not in ("html", "body", *MAIN)
-        noise = noise or "hidden" in given or (tag == "header" and not any(t in MAIN for t, _ in self.open))
+        named = _named_noise(given)
+        hard = tag in DROPPED and tag != "form" or "hidden" in given or (tag == "header" and not any(t in MAIN for t, _ in self.open))
+        noise = hard or tag == "form" or (given.get("role") or "").lower() in ROLES or named and tag not in ("html", "body", *MAIN)
+        if tag in MAIN and not noise and not named:
+            above = self.at  # what holds the main text is no noise, whatever its names
+            while above is not None:
+                above.noise = above.noise and not above.soft
+                above = above.parent
         if tag in INLINE and not noise:
             self.open.append((tag, None))
             return
         label = ".".join([tag, *names])
-        node = Node(tag, label, self.at, noise)
+        node = Node(tag, label, self.at, noise, not hard)
         self.at.children.append(node)
         self.at.parts.append(node)
         self.open.append((tag, node))

@@ -61,6 +61,18 @@ def test_copies_of_a_page_are_no_evidence(spark):
     assert site_tree.main_text("<body><p>All</p></body>", frozenset(["/body"])) == "All"
 
 
+@pytest.mark.parametrize("attribute", ["class='layout has-sidebar'", "id='page' class='no-sidebar'", "class='with-menu'", "class='post-related'", "id='skip-target'"])
+def test_a_word_in_a_name_is_no_noise(attribute):
+    assert site_tree.main_text(f"<body><div {attribute}><p>Kept</p></div></body>") == "Kept"
+    assert site_tree.main_text(f"<body><div {attribute}><main>Kept</main></div></body>") == "Kept"
+
+
+def test_what_holds_the_main_text_is_no_noise():
+    assert site_tree.main_text("<body><div class='sidebar'><main>Kept</main></div><div class='cookie-notice'>No</div></body>") == "Kept"
+    assert site_tree.main_text("<form><div role='menu'><article>Kept</article></div></form>") == "Kept"
+    assert site_tree.main_text("<p>Kept</p><div class='cookie-notice ad-300'>No</div><div class='comments'><article class='comment'>No</article></div>") == "Kept"
+
+
 def test_site_query_against_the_template(spark, sf_dir):
     import html
     import re
