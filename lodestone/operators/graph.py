@@ -2,21 +2,46 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Edges up to which the rest of a contraction is solved in one task.
+LOCAL_EDGES = 50_000
+#: Parts a node's moves are dealt over in a walk, so that a hub is many tasks' work.
+SALTS = 8
+
+
+def shared_folder(df: DataFrame) -> str:
+    """The folder named by ``spark.checkpoint.dir``; on one machine without it a temporary one."""
+    spark = df.sparkSession
+    sc = spark.sparkContext
+    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    held = sc._jsc.sc().getCheckpointDir()
+    if not where and held.isDefined():
+        return held.get()
+    if not where:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: executors share no folder")
+        import tempfile
+
+        where = tempfile.mkdtemp(prefix="lodestone-graph-")
+    if not held.isDefined():
+        sc.setCheckpointDir(where)
+    return where
+
 
 def cut(df: DataFrame) -> DataFrame:
-    """Ends the lineage in the checkpoint folder the session names, a temporary one in tests."""
-    sc = df.sparkSession.sparkContext
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
-        where = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        if not where:
-            import tempfile
-
-            where = tempfile.mkdtemp(prefix="lodestone-graph-")
-        sc.setCheckpointDir(where)
-    return df.checkpoint(eager=True)
+    """``df`` as a table in the shared folder, read back.
+
+    The lineage ends, a lost executor costs one step, and the next plan sees real
+    sizes: a checkpoint hands on its plan's estimate, which squares with every
+    self-join of a loop.
+    """
+    path = f"{shared_folder(df).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def build_edges(pairs: DataFrame, score_min: float) -> DataFrame:
@@ -58,29 +83,33 @@ def seeds(sym: DataFrame, node, strong: float) -> DataFrame:
     return own.unionAll(near).distinct()
 
 
-def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: int, tolerance: float = 0.0) -> DataFrame:
+def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: int, tolerance: float = 1e-10) -> DataFrame:
     """Random walk with restart over weighted edges: ``node, score``.
 
-    Mass moves by weight over out-strength.  Runs ``rounds`` rounds, or fewer
-    once no score moves by more than ``tolerance``.
+    Mass moves by weight over out-strength, until no score moves by more than
+    ``tolerance`` or ``rounds`` rounds are done.  Moves stay partitioned by
+    (node, salt) over all rounds: only scores are shuffled, and a hub's moves lie
+    in several partitions.
     """
     strength = sym.groupBy("src").agg(F.sum("score").alias("total"))
-    moves = cut(sym.join(strength, "src").select("src", "dst", (F.col("score") / F.col("total")).alias("share")))
+    salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
+    moves = cut(sym.join(strength, "src").select("src", salt.alias("salt"), "dst", (F.col("score") / F.col("total")).alias("share")))
+    moves = moves.repartition("src", "salt").checkpoint()
     n = seed_nodes.count()
     nodes = sym.select(F.col("src").alias("node")).distinct()
     start = nodes.join(seed_nodes.withColumn("s", F.lit(1.0 / n)), "node", "left").select("node", F.coalesce("s", F.lit(0.0)).alias("home"))
     start = cut(start)
     score = start.select("node", F.col("home").alias("score"))
-    for k in range(rounds):
-        moved = score.join(moves, score["node"] == moves["src"]).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("score") * F.col("share")).alias("inflow"))
-        fresh = start.join(moved, "node", "left").select("node", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"))
-        if tolerance or k % 5 == 4:
-            fresh = cut(fresh)
-        if tolerance:
-            off = fresh.alias("f").join(score.alias("s"), "node").agg(F.max(F.abs(F.col("f.score") - F.col("s.score"))).alias("d")).first()["d"]
-            if off is not None and off <= tolerance:
-                return fresh
-        score = fresh
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    for _ in range(rounds):
+        laid = score.filter("score > 0").select(F.col("node").alias("src"), salts.alias("salt"), "score")
+        moved = laid.join(moves, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("score") * F.col("share")).alias("inflow"))
+        fresh = start.join(moved, "node", "left").join(score.withColumnRenamed("score", "old"), "node")
+        fresh = cut(fresh.select("node", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"), "old"))
+        off = fresh.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"]
+        score = fresh.select("node", "score")
+        if off is None or off <= tolerance:
+            break
     return score
 
 
@@ -93,24 +122,67 @@ def top_module(scores: DataFrame, seed_nodes: DataFrame, size: int) -> DataFrame
 
 
 def bfs_distances(sym: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
-    """Hops from the nearest source: ``node, distance``; unreachable nodes are absent."""
-    seen = cut(sources.select("node").distinct().withColumn("distance", F.lit(0).cast("bigint")))
-    front, k = seen, 0
-    while most is None or k < most:
-        k += 1
+    """Hops from the nearest source: ``node, distance``; unreachable nodes are absent.
+
+    Edges go both ways, so neighbours of one front lie in it, in the one before
+    or in the next: no step looks at all that was seen.
+    """
+    front = cut(sources.select("node").distinct().withColumn("distance", F.lit(0).cast("bigint")))
+    fronts = [front]
+    while most is None or len(fronts) <= most:
         step = front.select("node").join(sym, F.col("node") == F.col("src")).select(F.col("dst").alias("node")).distinct()
-        front = cut(step.join(seen.select("node"), "node", "left_anti").withColumn("distance", F.lit(k).cast("bigint")))
+        for near in fronts[-2:]:
+            step = step.join(near.select("node"), "node", "left_anti")
+        front = cut(step.withColumn("distance", F.lit(len(fronts)).cast("bigint")))
         if front.isEmpty():
             break
-        seen = cut(seen.unionAll(front))
-    return seen
+        fronts.append(front)
+    out = fronts[0]
+    for f in fronts[1:]:
+        out = out.unionAll(f)
+    return out
+
+
+def _solved(edges: DataFrame) -> DataFrame:
+    """``a, p``: the least node that each end of a bounded number of edges reaches, in one task."""
+    kind = edges.schema["a"].dataType.simpleString()
 
+    def run(it):
+        import pandas as pd
 
-def components(sym: DataFrame) -> DataFrame:
-    """``node, component``: the least node that can be reached, by contraction in O(log n) rounds."""
+        parent: dict = {}
+
+        def root(x):
+            while parent.setdefault(x, x) != x:
+                parent[x] = parent[parent[x]]
+                x = parent[x]
+            return x
+
+        for pdf in it:
+            for a, b in zip(pdf["a"], pdf["b"]):
+                a, b = root(a), root(b)
+                if a != b:
+                    parent[max(a, b)] = min(a, b)
+        yield pd.DataFrame({"a": list(parent), "p": [root(x) for x in list(parent)]})
+
+    return edges.select("a", "b").coalesce(1).mapInPandas(run, f"a {kind}, p {kind}")
+
+
+def components(sym: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """``node, component``: the least node that can be reached.
+
+    Contraction halves the nodes that still have edges every round; once at most
+    ``local_edges`` edges are left, one task joins the rest.
+    """
     edges = cut(sym.select(F.col("src").alias("a"), F.col("dst").alias("b")).distinct())
-    labels = cut(edges.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node")))
-    while not edges.isEmpty():
+    labels = edges.select(F.col("a").alias("node")).distinct().withColumn("component", F.col("node"))
+
+    def relabelled(parent: DataFrame) -> DataFrame:
+        root = parent.select(F.col("a").alias("component"), "p")
+        return cut(labels.join(root, "component", "left").select("node", F.coalesce("p", "component").alias("component")))
+
+    edges = edges.filter("a <> b")
+    while edges.count() > local_edges:
         parent = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p")))
         while True:
             up = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
@@ -118,11 +190,10 @@ def components(sym: DataFrame) -> DataFrame:
             parent = jumped.select("a", F.col("pp").alias("p"))
             if jumped.filter("p <> pp").isEmpty():
                 break
-        root = parent.select(F.col("a").alias("component"), "p")
-        labels = cut(labels.join(root, "component", "left").select("node", F.coalesce("p", "component").alias("component")))
+        labels = relabelled(parent)
         ends = edges.join(parent, "a").select(F.col("p").alias("x"), F.col("b").alias("a")).join(parent, "a").select(F.col("x").alias("a"), F.col("p").alias("b"))
         edges = cut(ends.filter("a <> b").distinct())
-    return labels
+    return relabelled(_solved(edges))
 
 
 def largest_component(sym: DataFrame) -> DataFrame:

@@ -101,10 +101,19 @@ def passing_depth(rungs: DataFrame, observed: str, p_max: float) -> DataFrame:
 
 
 def spearman(signatures: DataFrame) -> DataFrame:
-    """Rank correlation of each pair of signatures (a before b); average ranks for ties."""
-    long = signatures.select("sig", F.posexplode("z").alias("gene", "z"))
+    """Rank correlation of each pair (a before b) of signatures of one group; average ranks for ties.
+
+    A signature's ranks become one centred vector of length 1, so a pair is one
+    row and its correlation one product of arrays.  The result is quadratic in a
+    group: groups are replicates of one treatment.  A constant signature has no
+    correlation (NULL).
+    """
+    long = signatures.select("sig", "grp", F.posexplode("z").alias("gene", "z"))
     low = F.rank().over(Window.partitionBy("sig").orderBy("z"))
     ties = F.count("*").over(Window.partitionBy("sig", "z"))
     ranks = long.withColumn("r", low + (ties - 1) / 2.0)
-    a, b = (ranks.select(F.col("sig").alias(x), "gene", F.col("r").alias(f"r{x}")) for x in "ab")
-    return a.join(b, "gene").filter("a < b").groupBy("a", "b").agg(F.corr("ra", "rb").alias("rho"))
+    lists = ranks.groupBy("sig", "grp").agg(F.avg("r").alias("m"), F.sqrt(F.count("*") * F.var_pop("r")).alias("s"), F.sort_array(F.collect_list(F.struct("gene", "r"))).alias("v"))
+    unit = lists.select("sig", "grp", F.transform("v", lambda x: F.try_divide(x["r"] - F.col("m"), F.col("s"))).alias("u"))
+    a, b = (unit.select("grp", F.col("sig").alias(x), F.col("u").alias(f"u{x}")) for x in "ab")
+    product = F.aggregate(F.zip_with("ua", "ub", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    return a.join(b, "grp").filter("a < b").select("a", "b", product.alias("rho"))

@@ -33,15 +33,8 @@ def first_region(spark, sf_dir):
     return ops.first_region(_points(spark, sf_dir), _regions(spark), PAD).select("id", "gene")
 
 
-@query(f"{_JOINED} SELECT id, pos FROM points p WHERE NOT EXISTS (SELECT 1 FROM j WHERE j.id = p.id) AND pos < 3000")
-def outside_regions(spark, sf_dir):
-    p = _points(spark, sf_dir)
-    return p.join(ops.in_regions(p, _regions(spark), PAD).select("id"), "id", "left_anti").filter("pos < 3000").select("id", "pos")
-
-
 @query(f"{_JOINED} SELECT id, pos FROM points p WHERE NOT EXISTS (SELECT 1 FROM j WHERE j.id = p.id)")
-def outside_regions_whole(spark, sf_dir):
-    """``outside_regions`` over all orders."""
+def outside_regions(spark, sf_dir):
     p = _points(spark, sf_dir)
     return p.join(ops.in_regions(p, _regions(spark), PAD).select("id"), "id", "left_anti").select("id", "pos")
 
@@ -149,20 +142,15 @@ def ann_best(spark, sf_dir):
     return best.select("id", "gene", "transcript", "effect_class", fn.protein_position(F.col("hgvs_p")).cast("bigint").alias("protein_pos"), fn.last_exon(F.col("rank")).alias("last_exon"))
 
 
-#: Line items stand for alleles: a part's type for its gene.
-_HITS = """h AS (SELECT 'G' || (l_partkey % 40) AS gene, l_orderkey * 10 + l_linenumber AS id, l_returnflag = 'R' AS lof, l_linestatus = 'F' AS passing,
+#: Line items stand for alleles, parts for genes: genes grow in number with the table, not in size.
+_HITS = """h AS (SELECT 'G' || l_partkey AS gene, l_orderkey * 10 + l_linenumber AS id, l_returnflag = 'R' AS lof, l_linestatus = 'F' AS passing,
   CASE WHEN l_discount = 0 THEN 'hom_alt' ELSE 'het' END AS zyg, l_tax > 0.04 AS mane, l_partkey % 3 = 0 AS altering,
-  l_suppkey % 5 AS pid, l_linenumber % 2 AS pgt FROM lineitem WHERE l_orderkey < 4000 AND l_quantity > 40)"""
-
-
-#: All line items; a part is a gene, so genes grow in number with the table, not in size.
-_ALL_HITS = _HITS.replace("(l_partkey % 40)", "l_partkey").replace(" WHERE l_orderkey < 4000 AND l_quantity > 40", "")
+  l_suppkey % 5 AS pid, l_linenumber % 2 AS pgt FROM lineitem)"""
 
 
-def _hits(spark, sf_dir, whole=False):
-    li = table(spark, sf_dir, "lineitem")
-    return (li if whole else li.filter("l_orderkey < 4000 AND l_quantity > 40")).selectExpr(
-        "concat('G', l_partkey) AS gene" if whole else "concat('G', l_partkey % 40) AS gene", "l_orderkey * 10 + l_linenumber AS id", "l_returnflag = 'R' AS lof", "l_linestatus = 'F' AS passing",
+def _hits(spark, sf_dir):
+    return table(spark, sf_dir, "lineitem").selectExpr(
+        "concat('G', l_partkey) AS gene", "l_orderkey * 10 + l_linenumber AS id", "l_returnflag = 'R' AS lof", "l_linestatus = 'F' AS passing",
         "CASE WHEN l_discount = 0 THEN 'hom_alt' ELSE 'het' END AS zyg", "l_tax > 0.04 AS mane", "l_partkey % 3 = 0 AS altering", "l_suppkey % 5 AS pid", "l_linenumber % 2 AS pgt",
     )
 
@@ -175,12 +163,9 @@ _CONFIGS = f"""WITH {_HITS}, p AS (SELECT * FROM h WHERE passing), l AS (SELECT
     FROM l x JOIN a y ON x.gene = y.gene WHERE x.zyg = 'het' AND (y.zyg = 'hom_alt' OR NOT (x.pid = y.pid AND x.pgt = y.pgt)))"""
 
 
-_ALL_CONFIGS = _CONFIGS.replace(_HITS, _ALL_HITS)
-
-
-def _configurations(spark, sf_dir, whole=False):
+def _configurations(spark, sf_dir):
     """Homozygous, paired and mixed configurations of each gene's passing hits."""
-    p = _hits(spark, sf_dir, whole).filter("passing")
+    p = _hits(spark, sf_dir).filter("passing")
     lof, altering = p.filter("lof"), p.filter("NOT lof AND altering")
     hom = lof.filter("zyg = 'hom_alt'").select("gene", F.when(F.col("mane"), 0).otherwise(1).alias("rank"), F.col("id").alias("a_id"), F.lit(None).cast("bigint").alias("b_id"), F.lit("homozygous").alias("phase"))
     het = lof.filter("zyg = 'het'")
@@ -219,18 +204,6 @@ def biallelic_pairs(spark, sf_dir):
     return _pairs(_configurations(spark, sf_dir)[1])
 
 
-@query(f"{_ALL_CONFIGS} {_PAIRS_SQL}")
-def biallelic_pairs_whole(spark, sf_dir):
-    """``biallelic_pairs`` over all line items, a part a gene."""
-    return _pairs(_configurations(spark, sf_dir, whole=True)[1])
-
-
 @query(f"{_CONFIGS}{_VERDICT_SQL}")
 def gene_verdict(spark, sf_dir):
     return _verdicts(*_configurations(spark, sf_dir))
-
-
-@query(f"{_ALL_CONFIGS}{_VERDICT_SQL}")
-def gene_verdict_whole(spark, sf_dir):
-    """``gene_verdict`` over all line items, a part a gene."""
-    return _verdicts(*_configurations(spark, sf_dir, whole=True))

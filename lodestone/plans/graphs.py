@@ -9,20 +9,20 @@ from ..operators import graph as ops
 from ..operators import nulls
 from .registry import query, table
 
-BIN, PERMS, SEED, ROUNDS, RESTART = 50, 50, 42, 20, 0.7
+BIN, PERMS, SEED, ROUNDS, RESTART, HOPS = 50, 50, 42, 24, 0.7, 64
 
 _PAIRS = """pairs AS (SELECT 'c' || o_custkey AS a, 'p' || l_partkey AS b, l_quantity * 20 AS score FROM orders JOIN lineitem ON l_orderkey = o_orderkey
-  WHERE o_orderpriority = '1-URGENT' AND l_quantity >= 45)"""
+  WHERE o_orderpriority = '1-URGENT')"""
 _EDGES = f"{_PAIRS}, e AS (SELECT least(a, b) AS a, greatest(a, b) AS b, max(score) AS score FROM pairs WHERE a <> b AND score >= 900 GROUP BY ALL)"
 _SYM = f"{_EDGES}, s AS (SELECT a AS src, b AS dst, score FROM e UNION ALL SELECT b, a, score FROM e)"
 _DEG = f"{_SYM}, deg AS (SELECT src AS node, count(*) AS degree FROM s GROUP BY src)"
 _BINS = f"{_DEG}, bins AS (SELECT node, degree, CAST(least((rn - 1) // {BIN}, greatest(n // {BIN} - 1, 0)) AS BIGINT) AS bin FROM (SELECT *, row_number() OVER (ORDER BY degree, node) AS rn, count(*) OVER () AS n FROM deg))"
-_DIST = f"{_BINS}, src AS (SELECT node FROM deg JOIN (SELECT 'p' || p_partkey AS node FROM part WHERE p_type LIKE 'PROMO%') USING (node)), walk AS (SELECT node, CAST(0 AS BIGINT) AS d FROM src UNION SELECT s.dst, d + 1 FROM walk JOIN s ON s.src = walk.node WHERE d < 12), dist AS (SELECT node, min(d) AS distance FROM walk GROUP BY node)"
+_DIST = f"{_BINS}, src AS (SELECT node FROM deg JOIN (SELECT 'p' || p_partkey AS node FROM part WHERE p_type LIKE 'PROMO%') USING (node)), walk AS (SELECT node, CAST(0 AS BIGINT) AS d FROM src UNION SELECT s.dst, d + 1 FROM walk JOIN s ON s.src = walk.node WHERE d < {HOPS}), dist AS (SELECT node, min(d) AS distance FROM walk GROUP BY node)"
 
 
 def _pairs(spark, sf_dir):
     o = table(spark, sf_dir, "orders").filter("o_orderpriority = '1-URGENT'").select("o_orderkey", "o_custkey")
-    li = table(spark, sf_dir, "lineitem").filter("l_quantity >= 45").select("l_orderkey", "l_partkey", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_quantity")
     return o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).select(
         F.concat(F.lit("c"), "o_custkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b"), (F.col("l_quantity") * 20).alias("score")
     )
@@ -34,7 +34,7 @@ def _sym(spark, sf_dir):
 
 def _distances(spark, sf_dir, sym):
     promo = table(spark, sf_dir, "part").filter(F.col("p_type").startswith("PROMO")).select(F.concat(F.lit("p"), "p_partkey").alias("node"))
-    return ops.bfs_distances(sym, promo.join(sym.select(F.col("src").alias("node")).distinct(), "node", "left_semi"), 12)
+    return ops.bfs_distances(sym, promo.join(sym.select(F.col("src").alias("node")).distinct(), "node", "left_semi"))
 
 
 @query(f"WITH {_EDGES} SELECT * FROM e")
@@ -102,7 +102,7 @@ def proximity_rank(spark, sf_dir):
     return top.select("key", F.row_number().over(Window.orderBy(*order)).cast("bigint").alias("rank"))
 
 
-_SP = """sp AS (SELECT 's' || l_suppkey AS a, 'p' || l_partkey AS b, max(l_quantity) AS score FROM lineitem WHERE l_quantity >= 40 GROUP BY ALL),
+_SP = """sp AS (SELECT 's' || l_suppkey AS a, 'p' || l_partkey AS b, max(l_quantity) AS score FROM lineitem GROUP BY ALL HAVING max(l_quantity) >= 40),
 g AS (SELECT a AS src, b AS dst, score FROM sp UNION ALL SELECT b, a, score FROM sp), strong AS (SELECT src, sum(score) AS total FROM g GROUP BY src),
 mv AS (SELECT g.src, dst, score / total AS share FROM g JOIN strong USING (src)),
 seed AS (SELECT DISTINCT node FROM (SELECT src AS node FROM g WHERE src = 's1' UNION ALL SELECT dst FROM g WHERE src = 's1' AND score >= 48)),
@@ -118,7 +118,7 @@ def _walk_sql(rounds: int) -> str:
 
 
 def _supplier_parts(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_quantity >= 40")
+    li = table(spark, sf_dir, "lineitem")
     pairs = li.select(F.concat(F.lit("s"), "l_suppkey").alias("a"), F.concat(F.lit("p"), "l_partkey").alias("b"), F.col("l_quantity").alias("score"))
     return ops.cut(ops.both_ways(ops.build_edges(pairs, 40)))
 
@@ -128,17 +128,17 @@ def seed_module(spark, sf_dir):
     return ops.seeds(_supplier_parts(spark, sf_dir), "s1", 48)
 
 
-@query(f"WITH {_walk_sql(ROUNDS)} SELECT node, round(score, 8) AS score FROM w{ROUNDS} WHERE score > 1e-6")
+@query(f"WITH {_walk_sql(ROUNDS)} SELECT node, round(score, 6) AS score FROM w{ROUNDS}")
 def random_walk(spark, sf_dir):
     g = _supplier_parts(spark, sf_dir)
-    return ops.random_walk(g, ops.seeds(g, "s1", 48), RESTART, ROUNDS).filter("score > 1e-6").select("node", F.round("score", 8).alias("score"))
+    return ops.random_walk(g, ops.seeds(g, "s1", 48), RESTART, ROUNDS).select("node", F.round("score", 6).alias("score"))
 
 
-@query(f"WITH {_walk_sql(ROUNDS)} SELECT node, is_seed, row_number() OVER (ORDER BY is_seed DESC, score DESC, node) AS rank FROM (SELECT node, node IN (SELECT node FROM seed) AS is_seed, round(score, 10) AS score FROM w{ROUNDS}) ORDER BY 3 LIMIT 100")
+@query(f"WITH {_walk_sql(ROUNDS)} SELECT node, is_seed, row_number() OVER (ORDER BY is_seed DESC, score DESC, node) AS rank FROM (SELECT node, node IN (SELECT node FROM seed) AS is_seed, round(score, 7) AS score FROM w{ROUNDS}) ORDER BY 3 LIMIT 100")
 def module_topk(spark, sf_dir):
     g = ops.cut(_supplier_parts(spark, sf_dir))
     seeds = ops.cut(ops.seeds(g, "s1", 48))
-    walk = ops.random_walk(g, seeds, RESTART, ROUNDS).withColumn("score", F.round("score", 10))
+    walk = ops.random_walk(g, seeds, RESTART, ROUNDS).withColumn("score", F.round("score", 7))
     return ops.top_module(walk, seeds, 100).select("node", "is_seed", F.col("rank").cast("bigint").alias("rank"))
 
 

@@ -20,39 +20,29 @@ def name_index(spark, sf_dir):
     return ops.name_index(preferred.unionAll(synonyms))
 
 
-_CROSSWALK = """WITH k AS (SELECT p_partkey AS key, p_brand AS name FROM part WHERE p_partkey % 3 = 0), tried AS (SELECT key, x.ord, x.id FROM k, LATERAL (VALUES (0, key * 2), (1, key + 7), (2, key // 2)) x(ord, id)),
-f AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS code FROM lineitem WHERE l_returnflag = 'A' AND l_quantity >= 49), s AS (SELECT p_brand AS name, min(p_size) AS code FROM part GROUP BY p_brand),
+_CROSSWALK = """WITH k AS (SELECT p_partkey AS key, p_brand AS name FROM part), tried AS (SELECT key, x.ord, x.id FROM k, LATERAL (VALUES (0, key * 2), (1, key + 7), (2, key // 2)) x(ord, id)),
+f AS (SELECT DISTINCT l_partkey AS id, l_suppkey AS code FROM lineitem WHERE l_returnflag = 'A'), s AS (SELECT p_brand AS name, min(p_size) AS code FROM part GROUP BY p_brand),
 hit AS (SELECT key, arg_min(id, ord) AS id FROM (SELECT DISTINCT key, ord, tried.id FROM tried JOIN f USING (id)) GROUP BY key)
 SELECT key, code, 'id' AS via FROM hit JOIN f USING (id) UNION ALL SELECT key, CAST(code AS BIGINT), 'name' FROM k JOIN s USING (name) WHERE key NOT IN (SELECT key FROM hit)"""
 
 
-def _crosswalk(spark, sf_dir, some):
+@query(_CROSSWALK)
+def crosswalk_fallback(spark, sf_dir):
     p = table(spark, sf_dir, "part")
-    k = p.filter(some).select(
+    k = p.select(
         F.col("p_partkey").alias("key"), F.array(F.col("p_partkey") * 2, F.col("p_partkey") + 7, F.floor(F.col("p_partkey") / 2)).alias("ids"), F.col("p_brand").alias("name")
     )
-    first = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A' AND l_quantity >= 49").select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("code")).distinct()
+    first = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'A'").select(F.col("l_partkey").alias("id"), F.col("l_suppkey").alias("code")).distinct()
     second = p.groupBy(F.col("p_brand").alias("name")).agg(F.min("p_size").cast("bigint").alias("code"))
     return ops.fallback(k, first, second)
 
 
-@query(_CROSSWALK)
-def crosswalk_fallback(spark, sf_dir):
-    return _crosswalk(spark, sf_dir, "p_partkey % 3 = 0")
-
-
-@query(_CROSSWALK.replace(" WHERE p_partkey % 3 = 0", ""))
-def crosswalk_fallback_whole(spark, sf_dir):
-    """``crosswalk_fallback`` over all parts."""
-    return _crosswalk(spark, sf_dir, "true")
-
-
-@query("""WITH m AS (SELECT o_custkey AS key, list_sort(list(DISTINCT l_suppkey % 4)) AS whole FROM orders JOIN lineitem ON l_orderkey = o_orderkey WHERE l_quantity >= 49 GROUP BY 1),
+@query("""WITH m AS (SELECT o_custkey AS key, list_sort(list(DISTINCT l_suppkey % 4)) AS whole FROM orders JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1),
 r AS (SELECT c_custkey AS key, c_name AS name, whole FROM customer LEFT JOIN m ON key = c_custkey),
 b AS (SELECT whole, arg_min(key, {'a': CASE WHEN length(trim(name)) = 0 THEN 99 ELSE length(name) END, 'k': key}) AS survivor FROM r WHERE len(whole) > 0 GROUP BY whole)
 SELECT r.key, coalesce(b.survivor, r.key) AS survivor FROM r LEFT JOIN b ON r.whole = b.whole""")
 def set_merge(spark, sf_dir):
-    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem").filter("l_quantity >= 49")
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
     m = o.join(li, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("key")).agg(F.collect_set(F.col("l_suppkey") % 4).alias("members"))
     c = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("key"), F.col("c_name").alias("name"))
     return ops.merge_identical_sets(c.join(m, "key", "left"))

@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from ..operators import signatures as ops
 from .registry import query, table
 
-SIZE, SIGS, DEPTHS = 8, 120, [1, 5, 10, 25]
+SIZE, DEPTHS = 8, [1, 5, 10, 25]
 
-_LONG = f"""sg AS (SELECT vec_id AS sig, label AS grp, embedding AS z FROM embeddings WHERE vec_id < {SIGS}),
+_LONG = """sg AS (SELECT vec_id AS sig, label AS grp, embedding AS z FROM embeddings),
 lg AS (SELECT sig, grp, CAST(unnest(z) AS DOUBLE) AS z, unnest(range(len(z))) AS gene FROM sg),
 rk AS (SELECT *, row_number() OVER (PARTITION BY sig ORDER BY z DESC, gene) - 1 AS pos, count(*) OVER (PARTITION BY sig) AS n FROM lg)"""
 _MEANS = "ev AS (SELECT label AS query, CAST(unnest(embedding) AS DOUBLE) AS z, unnest(range(len(embedding))) AS gene FROM embeddings), mn AS (SELECT query, gene, avg(z) AS z FROM ev GROUP BY ALL)"
@@ -29,7 +29,7 @@ _NCS = f"{_WTCS}, nc AS (SELECT *, CASE WHEN wtcs = 0 THEN 0 ELSE wtcs / avg(abs
 
 
 def _signatures(spark, sf_dir):
-    return table(spark, sf_dir, "embeddings").filter(F.col("vec_id") < SIGS).select(F.col("vec_id").alias("sig"), F.col("label").alias("grp"), F.col("embedding").alias("z"))
+    return table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sig"), F.col("label").alias("grp"), F.col("embedding").alias("z"))
 
 
 def _tails(spark, sf_dir):
@@ -100,9 +100,9 @@ def deflate_axis(spark, sf_dir):
     )
 
 
-@query("""WITH s AS (SELECT vec_id AS sig, CAST(unnest(embedding) AS DOUBLE) AS z, unnest(range(len(embedding))) AS gene FROM embeddings WHERE label = 3 AND vec_id < 200),
-r AS (SELECT sig, gene, rank() OVER (PARTITION BY sig ORDER BY z) + (count(*) OVER (PARTITION BY sig, z) - 1) / 2.0 AS r FROM s)
-SELECT x.sig AS a, y.sig AS b, round(corr(x.r, y.r), 6) AS rho FROM r x JOIN r y USING (gene) WHERE x.sig < y.sig GROUP BY ALL""")
+@query("""WITH s AS (SELECT vec_id AS sig, CAST(unnest(embedding) AS DOUBLE) AS z, unnest(range(len(embedding))) AS gene, label AS grp FROM embeddings),
+r AS (SELECT sig, grp, gene, rank() OVER (PARTITION BY sig ORDER BY z) + (count(*) OVER (PARTITION BY sig, z) - 1) / 2.0 AS r FROM s)
+SELECT x.sig AS a, y.sig AS b, round(corr(x.r, y.r), 6) AS rho FROM r x JOIN r y USING (grp, gene) WHERE x.sig < y.sig GROUP BY ALL""")
 def spearman_concordance(spark, sf_dir):
-    e = table(spark, sf_dir, "embeddings").filter("label = 3 AND vec_id < 200").select(F.col("vec_id").alias("sig"), F.transform("embedding", lambda v: v.cast("double")).alias("z"))
+    e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("sig"), F.col("label").alias("grp"), F.transform("embedding", lambda v: v.cast("double")).alias("z"))
     return ops.spearman(e).withColumn("rho", F.round("rho", 6))

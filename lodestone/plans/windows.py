@@ -115,8 +115,8 @@ def _fold(d: str) -> str:
     return f"(s * sqrt(2 / pi()) * exp(-{z} * {z}) + ({d}) * {_ERF.format(z=z)})"
 
 
-@query(f"""WITH {WINDOWS}, st AS (SELECT contig, "start", mean_abs_dev AS m, 0.5 / sqrt(median_dp) AS s FROM win WHERE n_het >= 150 AND "start" < 8000)
-SELECT contig, "start", round(s, 6) AS sigma, round({_fold('0.1')}, 6) AS folded,
+@query(f"""WITH {WINDOWS}, st AS (SELECT contig, "start", mean_abs_dev AS m, 0.5 / sqrt(median_dp) AS s FROM win WHERE median_dp IS NOT NULL)
+SELECT contig, "start", round(s, 6) AS sigma, round({_fold('0.1')}, 5) AS folded,
   round(CASE WHEN m <= s * sqrt(2 / pi()) THEN 0 WHEN m >= {_fold('0.4999')} THEN NULL ELSE
     (list_reduce(list_prepend([0.0, 0.4999], list_transform(range(1, 31), lambda k: [k * 1.0, 0.0])),
        lambda b, k: CASE WHEN {_fold('(b[1] + b[2]) / 2')} < m THEN [(b[1] + b[2]) / 2, b[2]] ELSE [b[1], (b[1] + b[2]) / 2] END)[1]
@@ -124,9 +124,9 @@ SELECT contig, "start", round(s, 6) AS sigma, round({_fold('0.1')}, 6) AS folded
        lambda b, k: CASE WHEN {_fold('(b[1] + b[2]) / 2')} < m THEN [(b[1] + b[2]) / 2, b[2]] ELSE [b[1], (b[1] + b[2]) / 2] END)[2]) / 2 END, 5) AS shift
 FROM st""")
 def noise_deconvolution(spark, sf_dir):
-    w = _windows(spark, sf_dir).filter("n_het >= 150 AND start < 8000").withColumn("sigma", burden.sigma_at_depth(F.col("median_dp")))
+    w = _windows(spark, sf_dir).filter("median_dp IS NOT NULL").withColumn("sigma", burden.sigma_at_depth(F.col("median_dp")))
     return w.select(
         "contig", "start", F.round("sigma", 6).alias("sigma"),
-        F.round(burden.folded_mean(F.lit(0.1), F.col("sigma")), 6).alias("folded"),
+        F.round(burden.folded_mean(F.lit(0.1), F.col("sigma")), 5).alias("folded"),
         F.round(burden.deconvolve_shift(F.col("mean_abs_dev"), F.col("sigma")), 5).alias("shift"),
     )

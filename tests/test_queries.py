@@ -19,16 +19,16 @@ def test_query_equals_its_sql(spark, sf_dir, name):
     assert differences(spark, registry.QUERIES[name], registry.ORACLES[name], sf_dir) == ""
 
 
-def test_whole_queries_cover_their_tables(spark, sf_dir):
+def test_queries_cover_their_tables(spark, sf_dir):
     def of(name):
         return registry.QUERIES[name](spark, sf_dir)
 
     li, part = registry.table(spark, sf_dir, "lineitem"), registry.table(spark, sf_dir, "part")
-    assert of("gene_verdict_whole").agg(F.sum("n_pass")).first()[0] == li.filter("l_linestatus = 'F'").count()
-    assert of("biallelic_pairs_whole").agg(F.sum("n")).first()[0] == of("gene_verdict_whole").agg(F.sum("n_configurations")).first()[0]
-    assert of("crosswalk_fallback_whole").select("key").distinct().count() == part.count()
+    assert of("gene_verdict").agg(F.sum("n_pass")).first()[0] == li.filter("l_linestatus = 'F'").count()
+    assert of("biallelic_pairs").agg(F.sum("n")).first()[0] == of("gene_verdict").agg(F.sum("n_configurations")).first()[0]
+    assert of("crosswalk_fallback").select("key").distinct().count() == part.count()
     inside = of("interval_join").select("id").distinct().count()
-    assert of("outside_regions_whole").count() + inside == registry.table(spark, sf_dir, "orders").count()
+    assert of("outside_regions").count() + inside == registry.table(spark, sf_dir, "orders").count()
 
 
 def test_entry(spark):
