@@ -1,15 +1,23 @@
 """Main text of web pages by a site style tree.
 
-The pages of a host are merged into one tree: a node is the path of block
-elements with their presentation (tag, class and id names).  Over the pages that
-have a node, two entropies measure its importance: that of the child sequences
-it is laid out with, and that of the texts it holds.  A node that looks and
-reads the same on every page has importance 0, one that differs on every page
-1; nodes of low importance are cut from each page with all below them.
-
-A tree of few pages tells little, so elements and names that mark menus,
-adverts, notices, forms and reader comments are cut by themselves, and a page's
-article or main element, where it has one, bounds what is taken.
+The pages of a host are merged into one tree.  A node is the path of block
+elements with their presentation (tag, class and id names, and what they mark)
+and the kinds of its children, known by a 64-bit hash that its path is chained
+to, so a node costs the same at any depth.  Over the distinct pages that have it
+a node shows
+
+* layout entropy, of the child sequences it is laid out with,
+* content entropy, of the texts it holds, their digits masked,
+* a share, of the words of its parent that stand in it or below.
+
+A node that looks and reads the same everywhere has importance 0, one that
+differs on every page 1; a branch is cut if all its nodes on the page are of low
+importance.  Where one branch holds nearly all words, slight branches beside it
+(menus, adverts, footers whose words change from page to page) are cut as well.
+Marks are evidence of the same table: elements and whole names that mark
+boilerplate, and all beside an article or main element, have importance 0; a
+name that only holds such a word counts if the node's share is small.  A tree of
+few pages has marks alone.
 
 The tree is a table of one row a host and node; pages are not grouped, so a host
 of any size is spread evenly.
@@ -29,16 +37,24 @@ from .common import cut
 #: Importance below which a node is cut, and the fewest pages that can show it.
 LOW = 0.2
 PAGES = 4
-#: Rows of the table of cut nodes up to which it is broadcast.
+#: Share of its parent's words that a branch must have to be the main one, and that others must stay under.
+MAIN_SHARE = 0.75
+SLIGHT = 0.1
+#: Share under which a name that holds a word for noise is believed.
+DOUBTED = 0.25
+#: Rows of the table of cut nodes up to which tasks hold it whole, and the parts a host has beyond.
 BROADCAST_ROWS = 100_000
-SALTS = 16
+SALTS = 64
+#: What a node marks: nothing, the main text, perhaps noise, noise, a place beside the main text.
+PLAIN, MAINLY, DOUBT, NOISY, BESIDE = range(5)
 
 # HTML's elements by kind, and names that mark boilerplate.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img input ins kbd label mark meter output progress q rp rt ruby s samp small span strike strong sub sup time tt u var wbr".split()
 )
-DROPPED = frozenset("script style noscript template head title svg math iframe object canvas audio video nav footer aside form button select textarea menu dialog".split())
+UNSEEN = frozenset("script style noscript template head title svg math iframe object canvas audio video".split())
+DROPPED = frozenset("nav footer aside form button select textarea menu dialog".split())
 MAIN = frozenset("article main".split())
 NOISE = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice alert popup modal overlay newsletter subscribe subscription signup login sidebar widget menu nav navbar navigation breadcrumb breadcrumbs pagination pager toc comment comments reply replies respond discussion disqus share sharing social related recommended footer masthead topbar toolbar skip copyright".split()
@@ -68,96 +84,167 @@ def host_of(url: str | None) -> str:
     return m[1].rpartition("@")[2].partition(":")[0].lower() if m else ""
 
 
-def _named_noise(given: dict) -> bool:
-    """Whether a class or id is a word for noise, or made of such words alone."""
+def _named(given: dict) -> int:
+    """NOISY if a class or id is made of words for noise alone, DOUBT if it holds one, else PLAIN."""
+    found = PLAIN
     for token in " ".join(given.get(a) or "" for a in ("class", "id")).lower().split():
         words = _names.findall(token)
         if words and NOISE.issuperset(words):
-            return True
-    return False
+            return NOISY
+        if not NOISE.isdisjoint(words):
+            found = DOUBT
+    return found
 
 
 class Node:
-    __slots__ = ("children", "label", "noise", "parent", "parts", "path", "soft", "tag")
+    __slots__ = ("children", "head", "id", "label", "main", "mark", "parent", "parts", "path", "soft", "unseen", "words")
 
-    def __init__(self, tag: str, label: str, parent: Node | None, noise: bool, soft: bool = False):
+    def __init__(self, tag: str, label: str, parent: Node | None, mark: int = PLAIN, soft: bool = False, unseen: bool = False):
+        self.label, self.parent, self.mark = label, parent, mark
         self.soft = soft  # noise by its names, its role or as a form only
-        self.tag, self.label, self.parent, self.noise = tag, label, parent, noise
-        self.path = f"{parent.path}/{label}" if parent else label
+        self.unseen = unseen
+        self.head = tag == "h1"
         self.children: list[Node] = []
         self.parts: list = []  # texts, and nodes at their places
+        self.id = self.path = self.words = self.main = 0
 
 
 class _Builder(HTMLParser):
-    """A tree of block elements; inline elements leave their text to the block around."""
+    """A tree of block elements; inline elements leave their text to the block around.
+
+    The places of every tag on the stack are kept, so no tag searches it.
+    """
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.root = Node("", "", None, False)
-        self.open: list[tuple[str, Node | None]] = [("", self.root)]
-        self.at = self.root
+        self.root = Node("", "", None)
+        self.open: list[tuple[str, Node]] = [("", self.root)]  # a tag and the block its text goes to
+        self.places: dict[str, list[int]] = {}
+
+    def _last(self, tags) -> int:
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
 
     def _close(self, k: int):
+        for tag, _ in self.open[k:]:
+            self.places[tag].pop()
         del self.open[k:]
-        self.at = next(n for _, n in reversed(self.open) if n is not None)
+
+    def _push(self, tag: str, node: Node):
+        self.places.setdefault(tag, []).append(len(self.open))
+        self.open.append((tag, node))
 
     def handle_starttag(self, tag, attrs):
         if tag in CLOSES:
             ends, bounds = CLOSES[tag]
-            for k in range(len(self.open) - 1, 0, -1):
-                if self.open[k][0] in ends:
-                    self._close(k)
-                    break
-                if self.open[k][0] in bounds:
-                    break
+            k = self._last(ends)
+            if k and k > self._last(bounds):
+                self._close(k)
+        at = self.open[-1][1]
         if tag == "br" or tag == "hr":
-            self.at.parts.append(" ")
+            at.parts.append(" ")
         if tag in VOID:
             return
         given = dict(attrs)
         names = sorted({w for a in ("class", "id") for w in _names.findall((given.get(a) or "").lower())})
-        named = _named_noise(given)
-        hard = tag in DROPPED and tag != "form" or "hidden" in given or (tag == "header" and not any(t in MAIN for t, _ in self.open))
-        noise = hard or tag == "form" or (given.get("role") or "").lower() in ROLES or named and tag not in ("html", "body", *MAIN)
-        if tag in MAIN and not noise and not named:
-            above = self.at  # what holds the main text is no noise, whatever its names
-            while above is not None:
-                above.noise = above.noise and not above.soft
+        named = _named(given) if tag not in ("html", "body") else PLAIN
+        unseen = tag in UNSEEN or "hidden" in given
+        hard = unseen or (tag in DROPPED and tag != "form") or (tag == "header" and not self._last(MAIN))
+        noise = hard or tag == "form" or (given.get("role") or "").lower() in ROLES or (named == NOISY and tag not in MAIN)
+        mark = NOISY if noise else MAINLY if tag in MAIN and named == PLAIN else DOUBT if named else PLAIN
+        if mark == MAINLY:
+            above = at  # what holds the main text is no noise, whatever its names
+            while above is not None and above.mark != MAINLY:
+                above.mark = PLAIN if above.soft or above.mark == DOUBT else above.mark
                 above = above.parent
         if tag in INLINE and not noise:
-            self.open.append((tag, None))
+            self._push(tag, at)
             return
-        label = ".".join([tag, *names])
-        node = Node(tag, label, self.at, noise, not hard)
-        self.at.children.append(node)
-        self.at.parts.append(node)
-        self.open.append((tag, node))
-        self.at = node
+        node = Node(tag, ".".join([tag, *names]), at, mark, noise and not hard, unseen)
+        at.children.append(node)
+        at.parts.append(node)
+        self._push(tag, node)
 
     def handle_endtag(self, tag):
-        for k in range(len(self.open) - 1, 0, -1):
-            if self.open[k][0] == tag:
-                self._close(k)
-                return
-            if self.open[k][0] in MAIN and tag in INLINE:
-                return
+        k = self._last((tag,))
+        if k and not (tag in INLINE and self._last(MAIN) > k):
+            self._close(k)
 
     def handle_data(self, data):
-        self.at.parts.append(data)
+        self.open[-1][1].parts.append(data)
+
+
+def _below(root: Node, enter=lambda n: True) -> list[Node]:
+    """Nodes below ``root`` that are entered, each before its children, in page order."""
+    found, todo = [], list(reversed(root.children))
+    while todo:
+        n = todo.pop()
+        if not n.unseen and enter(n):
+            found.append(n)
+            todo += reversed(n.children)
+    return found
 
 
 def parse(html: str | None) -> Node:
+    """The page's tree with marks, ids and words: all that the tree of its site is made of."""
     b = _Builder()
     try:
         b.feed(html or "")
         b.close()
     except (AssertionError, ValueError):  # a declaration the parser gives up on; what was read stands
         pass
-    return b.root
+    root = b.root
+    nodes = _below(root)
+    for n in reversed(nodes):
+        own = "".join(p if isinstance(p, str) else " " for p in n.parts)
+        n.words += len(own.split())
+        n.parent.words += n.words
+        n.parent.head |= n.head
+    quiet = _below(root, lambda n: n.mark != NOISY)
+    outer = _outermost(quiet)
+    if any(blocks(n, _marked) for n in outer):
+        around, inside = set(), {id(n) for n in outer}
+        for n in outer:
+            while n.parent is not None and id(n.parent) not in around:
+                n = n.parent
+                around.add(id(n))
+        for n in quiet:  # in page order, parents first
+            if id(n) not in around and id(n) not in inside:
+                if id(n.parent) in inside:
+                    inside.add(id(n))
+                else:
+                    n.mark = BESIDE
+    for n in nodes:
+        if n.children and not _marked(n):
+            n.parent.main = max(n.parent.main, n.words)
+        n.path = _hash(f"{n.parent.path} {n.mark} {n.label}")
+        n.id = _hash(" ".join([str(n.path), *sorted({c.label for c in n.children})]))
+    return root
+
+
+def _hash(text: str) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
+def _outermost(nodes: list[Node]) -> list[Node]:
+    """Main nodes among ``nodes`` (parents first) that lie in no other one."""
+    inside, found = set(), []
+    for n in nodes:
+        if id(n.parent) in inside:
+            inside.add(id(n))
+        elif n.mark == MAINLY:
+            inside.add(id(n))
+            found.append(n)
+    return found
+
 
+def _marked(node: Node) -> bool:
+    return node.mark in (NOISY, BESIDE)
 
-def blocks(node: Node, cut_paths=frozenset()) -> list[str]:
-    """Texts of the blocks below ``node`` in page order, noise and cut nodes left out."""
+
+def blocks(node: Node, gone=_marked, mute=lambda n: False) -> list[str]:
+    """Texts of the blocks below ``node`` in page order, without ``gone`` branches and ``mute`` nodes' own texts."""
     out: list[str] = []
     held: list[str] = []
 
@@ -167,14 +254,16 @@ def blocks(node: Node, cut_paths=frozenset()) -> list[str]:
         if text:
             out.append(text)
 
-    stack = [iter(node.parts)]
+    stack = [(iter(node.parts), not mute(node))]
     while stack:
-        for part in stack[-1]:
+        parts, heard = stack[-1]
+        for part in parts:
             if isinstance(part, str):
-                held.append(part)
-            elif not part.noise and part.path not in cut_paths:
+                if heard:
+                    held.append(part)
+            elif not part.unseen and not gone(part):
                 flush()
-                stack.append(iter(part.parts))
+                stack.append((iter(part.parts), not mute(part)))
                 break
         else:
             flush()
@@ -182,113 +271,145 @@ def blocks(node: Node, cut_paths=frozenset()) -> list[str]:
     return out
 
 
-def _mains(root: Node) -> list[Node]:
-    """Outermost article or main elements that are not noise, in page order."""
-    found, todo = [], [root]
-    while todo:
-        n = todo.pop()
-        if n.noise:
-            continue
-        if n.tag in MAIN:
-            found.append(n)
-        else:
-            todo += reversed(n.children)
-    return found
-
+def main_text(html: str | None, cuts=frozenset(), lows=frozenset()) -> str:
+    """The page's text without the ``cuts`` branches and those made of ``lows`` nodes alone.
 
-def main_text(html: str | None, cut_paths=frozenset()) -> str:
-    """The page's main text; cut nodes never empty an article, or a page, altogether."""
+    Neither empties a page: low nodes stay where nothing else is left, and where
+    the cuts leave nothing the marks of the page itself decide.  Without ``cuts``
+    and ``lows`` they do so at once.
+    """
     root = parse(html)
-    mains = _mains(root)
-    for paths in (cut_paths, frozenset()) if cut_paths else (cut_paths,):
-        text = " ".join(b for n in mains for b in blocks(n, paths))
+    if cuts or lows:
+        kept: set[int] = set()
+        for n in reversed(_below(root, lambda n: n.id not in cuts)):
+            if n.id not in lows or id(n) in kept:
+                kept.add(id(n))
+                kept.add(id(n.parent))
+        text = " ".join(blocks(root, lambda n: id(n) not in kept, lambda n: n.id in lows)) or " ".join(blocks(root, lambda n: n.id in cuts))
         if text:
             return text
-    return " ".join(blocks(root, cut_paths)) or " ".join(blocks(root))
+    return " ".join(blocks(root))
 
 
-def observe(html: str | None) -> list[tuple[str, int, int]]:
-    """(path, presentation hash, content hash) for every node path of a page that is not noise."""
-    import xxhash
+NODE = "node long, mark int, head boolean, words long, held long, main long, layout long, content long"
+_digits = re.compile(r"\d")
 
-    seen: dict[str, tuple[list, list]] = {}
-    todo = [parse(html)]
-    while todo:
-        n = todo.pop()
-        if n.noise:
-            continue
-        layout, text = seen.setdefault(n.path, ([], []))
-        layout.append(",".join(c.label for c in n.children))
-        text += [p for p in n.parts if isinstance(p, str)]
-        todo += reversed(n.children)
 
-    def h(x):
-        return xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass")) - (1 << 63)
+def observe(html: str | None) -> list[tuple]:
+    """Rows of ``NODE`` for every node of a page, the places of one node taken together.
 
-    return [(p, h(";".join(a)), h(" ".join(" ".join(b).split()))) for p, (a, b) in seen.items()]
+    ``held`` are the words of its parents, ``main`` those of the largest branch
+    with blocks below each of them.
+    """
+    seen: dict[int, list] = {}
+    for n in _below(parse(html)):
+        row = seen.setdefault(n.id, [n.mark, False, 0, 0, 0, [], [], None])
+        row[1] |= n.head
+        row[2] += n.words
+        if row[7] is not n.parent:
+            row[7] = n.parent
+            row[3] += n.parent.words
+            row[4] += n.parent.main
+        row[5].append(",".join(c.label for c in n.children))
+        row[6] += [p for p in n.parts if isinstance(p, str)]
+    return [(k, *r[:5], _hash(";".join(r[5])), _hash(_digits.sub("0", " ".join(" ".join(r[6]).split())))) for k, r in seen.items()]
 
 
 def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """``host, path, pages, layout, content, importance``: the merged trees' nodes.
+    """The merged trees' nodes: ``host``, ``node``, ``mark``, ``head``, ``pages``, ``importance``, ``share``, ``main``.
 
-    Copies of a page count once a host.  With m pages and shares p of the values a node takes, its entropy is
-    - sum p log_m p.  A node's importance is the larger of its two; a node of
-    one page has importance 1.  A node passes on what its subtree is worth: it
-    is no less important than its most important child.
+    Copies of a page count once a host.  With m pages and shares p of the values a
+    node takes, its entropy is - sum p log_m p; a node's importance is the larger
+    of its two, 1 on a single page.  ``share`` is that of its parents' words,
+    ``main`` that of the largest branches there.
     """
 
     def rows(it):
+        names = ["host", "page", *(f.split()[0] for f in NODE.split(", "))]
         for pdf in it:
             out = []
             for u, page, same in zip(pdf["u"], pdf["h"], pdf["page"]):
                 host = host_of(u)
-                out += [(host, *x, same) for x in observe(page)]
-            yield pd.DataFrame(out, columns=["host", "path", "layout", "content", "page"])
+                out += [(host, same, *x) for x in observe(page)]
+            yield pd.DataFrame(out, columns=names)
 
     seen = pages.select(F.col(url).alias("u"), F.col(html).alias("h"), F.xxhash64(F.col(html)).alias("page"))
-    seen = seen.mapInPandas(rows, "host string, path string, layout long, content long, page long").distinct()
+    seen = seen.mapInPandas(rows, f"host string, page long, {NODE}").distinct()
+
+    # one pass over the pages: all counts come from the same grouped rows
+    sums = [F.sum(c).alias(c) for c in ("words", "held", "main")]
+    pairs = cut(seen.groupBy("host", "node", "layout", "content").agg(F.count("*").alias("n"), F.min("mark").alias("mark"), F.bool_or("head").alias("head"), *sums))
+
+    def of(value: str, *more) -> DataFrame:
+        n = pairs.groupBy("host", "node", value).agg(F.sum("n").alias("n"), *more)
+        again = [F.min("mark").alias("mark"), F.bool_or("head").alias("head"), *sums] if more else []
+        total = n.groupBy("host", "node").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.ln("n")).alias("s"), *again)
+        return total.withColumn(value, F.when(F.col("m") < 2, 1.0).otherwise(1 - F.col("s") / F.col("m") / F.ln("m"))).drop("s")
 
-    # one pass over the pages: both counts come from the same grouped rows
-    pairs = cut(seen.groupBy("host", "path", "layout", "content").agg(F.count("*").alias("n")))
+    both = of("layout").join(of("content", F.min("mark").alias("mark"), F.bool_or("head").alias("head"), *sums).drop("m"), ["host", "node"])
+    share, main = (F.coalesce(F.try_divide(c, "held"), F.lit(0.0)).alias(a) for c, a in (("words", "share"), ("main", "main")))
+    return both.select("host", "node", "mark", "head", F.col("m").alias("pages"), F.greatest("layout", "content").alias("importance"), share, main)
 
-    def of(value: str) -> DataFrame:
-        n = pairs.groupBy("host", "path", value).agg(F.sum("n").alias("n"))
-        total = n.groupBy("host", "path").agg(F.sum("n").alias("m"), F.sum(F.col("n") * F.ln("n")).alias("s"))
-        return total.select("host", "path", "m", F.when(F.col("m") < 2, 1.0).otherwise(1 - F.col("s") / F.col("m") / F.ln("m")).alias(value))
 
-    both = of("layout").join(of("content").drop("m"), ["host", "path"])
-    own = both.withColumn("own", F.greatest("layout", "content"))
-    # every prefix of a path is a node above it
-    steps = F.split("path", "/")
-    above = own.select(
-        "host", "own", F.explode(F.transform(F.sequence(F.lit(1), F.size(steps)), lambda k: F.array_join(F.slice(steps, 1, k), "/"))).alias("path")
-    )
-    best = above.groupBy("host", "path").agg(F.max("own").alias("importance"))
-    return own.join(best, ["host", "path"]).select("host", "path", F.col("m").alias("pages"), "layout", "content", "importance")
+def decisions(tree: DataFrame, low: float = LOW) -> DataFrame:
+    """``host, node, whole``: the nodes that go, with their whole branches or only in branches of such nodes."""
+    many = F.col("pages") >= PAGES
+    slight = (F.col("main") >= MAIN_SHARE) & (F.col("share") < SLIGHT) & ~F.col("head")
+    whole = F.when(F.col("mark").isin(NOISY, BESIDE), True).when(F.col("mark") == DOUBT, many & (F.col("share") < DOUBTED)).when(F.col("mark") == PLAIN, many & slight).otherwise(False)
+    lows = many & (F.col("importance") < low) & F.col("mark").isin(PLAIN, DOUBT)
+    return tree.withColumn("whole", whole).filter(F.col("whole") | lows).select("host", "node", "whole")
 
 
-def extract(pages: DataFrame, html: str = "html", url: str = "url", id_col: str = "page_id", low: float = LOW) -> DataFrame:
-    """``page_id, url, text, n_chars``: one row per row of ``pages``.
+def extract(
+    pages: DataFrame, html: str = "html", url: str = "url", id_col: str = "page_id", low: float = LOW, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS
+) -> DataFrame:
+    """``page_id, url, text, n_chars``: one row per row of ``pages``, repeated rows alike.
 
     Null html is an empty page with an empty text.  Pages of a null url, or one
     without a host, form one site.  Other columns are not read.
+
+    Up to ``broadcast_rows`` nodes that go are held by every task.  Beyond, pages
+    and nodes meet by host and salt, nodes first, and a task holds one host's.
     """
-    tree = style_tree(pages, html, url)
-    cuts = tree.filter((F.col("pages") >= PAGES) & (F.col("importance") < low)).groupBy("host").agg(F.collect_set("path").alias("cuts"))
-    cuts = cut(cuts)
+    gone = cut(decisions(style_tree(pages, html, url), low))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("h"))
+    out = "page_id long, url string, text string, n_chars long"
+    none = (frozenset(), frozenset())
+
+    def texts(pdf, sets):
+        found = [main_text(h, *s) for h, s in zip(pdf["h"], sets)]
+        return pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": found, "n_chars": [len(t) for t in found]})
+
+    if gone.count() <= broadcast_rows:
+        by: dict[str, tuple[set, set]] = {}
+        for r in gone.collect():
+            by.setdefault(r["host"], (set(), set()))[not r["whole"]].add(r["node"])
+        shared = pages.sparkSession.sparkContext.broadcast(by)
+
+        def held(it):
+            for pdf in it:
+                yield texts(pdf, [shared.value.get(host_of(u), none) for u in pdf["url"]])
+
+        return rows.mapInPandas(held, out)
+
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#]*@)?([^/?#:@]*)", 1))
-    rows = rows.withColumn("host", host)
-    n = cuts.select(F.sum(F.size("cuts")).alias("n")).first()["n"] or 0
-    if n <= BROADCAST_ROWS:
-        rows = rows.join(F.broadcast(cuts), "host", "left")
-    else:  # too many sites for every task to hold: meet by host, hot hosts in parts
-        spread = cuts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        rows = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "h"), F.lit(SALTS)).cast("int")).join(spread, ["host", "salt"], "left")
-
-    def texts(it):
-        for pdf in it:
-            out = [main_text(h, frozenset(c) if c is not None else frozenset()) for h, c in zip(pdf["h"], pdf["cuts"])]
-            yield pd.DataFrame({"page_id": pdf["page_id"].astype("Int64"), "url": pdf["url"], "text": out, "n_chars": [len(t) for t in out]})
+    keyed = rows.withColumn("host", host).withColumn("salt", F.pmod(F.xxhash64("page_id", "h"), F.lit(salts)).cast("int"))
+    keyed = keyed.withColumn("node", F.lit(None).cast("long")).withColumn("whole", F.lit(None).cast("boolean"))
+    laid = gone.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    met = keyed.unionByName(laid, allowMissingColumns=True).repartition("host", "salt").sortWithinPartitions("host", "salt", F.col("node").isNull())
 
-    return rows.select("page_id", "url", "h", "cuts").mapInPandas(texts, "page_id long, url string, text string, n_chars long")
+    def merged(it):
+        at, sets = None, none
+        for pdf in it:
+            here = []
+            for place, node, whole in zip(zip(pdf["host"], pdf["salt"]), pdf["node"], pdf["whole"]):
+                if place != at:
+                    at, sets = place, (set(), set())
+                if not pd.isna(node):
+                    sets[not whole].add(int(node))
+                here.append(sets)
+            pages_here = pdf["node"].isna().to_numpy()
+            yield texts(pdf[pages_here], [s for s, k in zip(here, pages_here) if k])
+
+    text = F.col("node").cast("string")  # a long column with nulls would come as floats
+    return met.withColumn("node", text).mapInPandas(merged, out)

@@ -40,9 +40,47 @@ def test_style_tree_cuts_what_every_page_repeats(spark):
     by = {r.page_id: r for r in got}
     assert by[3].text == "Story 3 tells of 21 things. And ends 3." and by[3].n_chars == len(by[3].text)
     assert by[50].text == "Only here" and by[60].text == "" and by[61].n_chars == 0 and by[None].text == by[3].text
-    tree = {(r.host, r.path): r.importance for r in site_tree.style_tree(df).collect()}
-    assert tree["a.org", "/html/body/div.top"] < 0.2 < tree["a.org", "/html/body/div"]
+    low = {(r.host, r.whole) for r in site_tree.decisions(site_tree.style_tree(df)).collect()}
+    assert low == {("a.org", False)}  # by entropy alone
     assert site_tree.extract(df.limit(0)).count() == 0
+    # past the bound of what tasks hold whole, pages meet their nodes by host and salt
+    for salts in (1, 5):
+        assert sorted(map(str, site_tree.extract(df, broadcast_rows=0, salts=salts).collect())) == sorted(map(str, got))
+    twice = site_tree.extract(df.union(df)).collect()
+    assert sorted(map(str, twice)) == sorted(map(str, got + got))
+
+
+def _unmarked(html):
+    """A page without telling elements or names."""
+    for tag in ("article", "nav", "footer"):
+        html = html.replace(f"<{tag}>", "<div>").replace(f"</{tag}>", "</div>")
+    return html.replace('class="ad"', 'class="b"')
+
+
+def test_the_tree_alone_finds_the_articles(spark):
+    """Without any mark, menus, adverts and footers that differ from page to page go by the tree."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").collect()
+    df = spark.createDataFrame([(r.page_id, r.url, _unmarked(r.html)) for r in pages], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in site_tree.extract(df).collect()}
+    assert [r.page_id for r in pages if got[r.page_id] != _article(r.html)] == []
+    assert not any(site_tree.main_text(_unmarked(r.html)) == got[r.page_id] for r in pages)
+
+
+def test_the_tree_judges_doubtful_names(spark):
+    page = "<body><div class='has-sidebar'><p>Long story {0} told in very many words {0} that go on and on</p></div><div class='post-related'><p>See {0}</p></div></body>"
+    df = spark.createDataFrame([(k, "http://a.org", page.format(k)) for k in range(8)], "page_id long, url string, html string")
+    assert {r.text for r in site_tree.extract(df).collect()} == {f"Long story {k} told in very many words {k} that go on and on" for k in range(8)}
+    few = site_tree.extract(df.limit(2)).collect()  # too few pages to tell
+    assert all(r.text.endswith(f"See {r.page_id}") for r in few)
+
+
+@pytest.mark.parametrize("html", ["<div>" * 50_000 + "x", "<b>" * 50_000 + "<div>" * 50_000 + "x", "<ul><li>" + "<b>" * 50_000 + "<li></li>" * 20_000 + "x", "<div>" + "<b>" * 50_000 + "x" + "</b>" * 50_000 + "</i>" * 50_000, "<table><td>" * 20_000 + "x"])
+def test_deep_pages_cost_their_length(html):
+    import time
+
+    began = time.process_time()
+    assert site_tree.main_text(html) == "x" and len(site_tree.observe(html)) <= 50_000
+    assert time.process_time() - began < 20
 
 
 def test_copies_of_a_page_are_no_evidence(spark):
@@ -58,7 +96,8 @@ def test_copies_of_a_page_are_no_evidence(spark):
     assert [text[96 + k] for k in range(10)] == [f"Distinct {k}" for k in range(10)]
     assert {text[k] for k in range(106, 111)} == {"Text with a list One"}
     # where the cuts leave nothing the page stays whole
-    assert site_tree.main_text("<body><p>All</p></body>", frozenset(["/body"])) == "All"
+    body = site_tree.parse("<body><p>All</p></body>").children[0]
+    assert site_tree.main_text("<body><p>All</p></body>", {body.id}) == site_tree.main_text("<body><p>All</p></body>", set(), {body.id, body.children[0].id}) == "All"
 
 
 @pytest.mark.parametrize("attribute", ["class='layout has-sidebar'", "id='page' class='no-sidebar'", "class='with-menu'", "class='post-related'", "id='skip-target'"])
@@ -73,14 +112,18 @@ def test_what_holds_the_main_text_is_no_noise():
     assert site_tree.main_text("<p>Kept</p><div class='cookie-notice ad-300'>No</div><div class='comments'><article class='comment'>No</article></div>") == "Kept"
 
 
-def test_site_query_against_the_template(spark, sf_dir):
+def _article(page):
     import html
     import re
 
+    inner = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    return " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br)>", " ", inner))).split())
+
+
+def test_site_query_against_the_template(spark, sf_dir):
     pages = {r.page_id: r.html for r in spark.read.parquet(f"{sf_dir}/pages.parquet").collect()}
     for r in Q.op2_site_style_tree(spark, sf_dir).collect():
-        inner = re.search(r"<article>(.*)</article>", pages[r.page_id], re.S)[1]
-        assert r.text == " ".join(html.unescape(re.sub(r"</?b>", "", re.sub(r"</?(?:p|h1|br)>", " ", inner))).split())
+        assert r.text == _article(pages[r.page_id])
 
 
 def test_salvage():
