@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,27 +16,40 @@ SPACE = r"[\x20\x09-\x0D]"
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` of the session.
 
-    Where the setting is absent (tests on one machine) a temporary folder is
-    set, once for the session.
+    Where the setting is absent on one machine (tests) a temporary folder is set,
+    once for the session; on a cluster that is an error.
     """
     sc = spark.sparkContext
     where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    held = sc._jsc.sc().getCheckpointDir()
     if not where:
-        held = sc._jsc.sc().getCheckpointDir()
         if held.isDefined():
             return held.get()
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir is not set: executors share no folder")
         where = tempfile.mkdtemp(prefix="lodestone-ckpt-")
-    if not sc._jsc.sc().getCheckpointDir().isDefined():
+    if not held.isDefined():
         sc.setCheckpointDir(where)
     return where
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, ending its lineage."""
+    """Ends the lineage of ``df`` with a checkpoint in the shared folder; its partitioning stays known."""
     shared_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` as a table in the shared folder, read back: for loops.
+
+    A checkpoint hands on its plan's size estimate, which squares with every
+    self-join of a loop; a table has its real size.
+    """
+    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

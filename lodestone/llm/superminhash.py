@@ -10,30 +10,33 @@ Candidates are kept linear in the number of rows.  Documents with equal sets for
 a class at once.  In every bucket the class of smallest id is the leader and all
 others are verified against it only.  A bucket whose classes are thereby of one
 component needs no more.  In the others, members outside the bucket's largest
-component visit blocks of bounded size; pairs of different components whose
-signatures may reach the threshold are verified on their full sets, and only
-links leave a block.  No pair that shares a band is lost.
-
-At 0.75 and 32 bands of 4, two documents share no band with probability 5e-6.
+component meet all members in tiles of bounded size, first by their signatures
+alone.  Those with a partner of another component whose signature agrees in
+enough places meet again with their texts; pairs are verified on their full
+sets, and only links leave a tile.  A bucket of m such members makes m + m^2 /
+1000 rows of a few hundred bytes, whatever their texts.
+
+At 0.75 and 32 bands of 4, two documents share no band with probability 5e-6;
+``least_equal`` passes over a similar pair with probability 1e-9.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut
+from .common import cut, stored
 
 WIDTH = 5
 PLACES = 128
 ROWS = 4
-#: Members a block holds, and pairs of one leader that share a copy of its text.
-BLOCK = 400
+#: Members a side of a tile holds, and pairs of one leader that share a copy of its text.
+BLOCK = 1000
 SALT_ROWS = 1000
-#: Equal places (of 8 bits) below which 0.75 is out of reach: six deviations under the mean.
-LEAST_EQUAL = 66
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
@@ -113,6 +116,12 @@ def similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
     return 100 * common >= percent * (len(both) - common)
 
 
+def least_equal(places: int, percent: int) -> int:
+    """Equal places (of 8 bits) below which ``percent`` is out of reach: six deviations under the mean."""
+    share = percent / 100
+    return max(0, math.floor(places * share - 6 * math.sqrt(places * share * (1 - share))))
+
+
 def sketch(docs: DataFrame, text: str, id_col: str, width: int, places: int, rows: int) -> DataFrame:
     """``id, n_shingles, d1, d2, bands, sig`` for each row; no bands without words."""
 
@@ -143,14 +152,14 @@ def connected(edges: DataFrame) -> DataFrame:
     halves the vertices that still have edges.  Nothing comes to the driver but
     counts.
     """
-    edges = cut(edges.select("a", "b").filter("a <> b").distinct())
+    edges = stored(edges.select("a", "b").filter("a <> b").distinct())
     labels = None
     while not edges.isEmpty():
         both = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select(F.col("b"), F.col("a")))
-        parents = cut(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("c")))
+        parents = stored(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("c")))
         while True:  # follow pointers; chains halve each time
             up = parents.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-            jumped = cut(parents.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("n"), "c"))
+            jumped = stored(parents.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("n"), "c"))
             moved = not jumped.filter("n <> c").isEmpty()
             parents = jumped.select("v", F.col("n").alias("c"))
             if not moved:
@@ -159,11 +168,11 @@ def connected(edges: DataFrame) -> DataFrame:
             labels = parents
         else:
             up = parents.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-            labels = cut(labels.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("c")))
+            labels = stored(labels.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("c")))
         for end in ("a", "b"):
             up = parents.select(F.col("v").alias(end), F.col("c").alias("cc"))
             edges = edges.join(up, end).withColumn(end, F.col("cc")).drop("cc")
-        edges = cut(edges.filter("a <> b").distinct())
+        edges = stored(edges.filter("a <> b").distinct())
     if labels is None:
         return edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
     return labels
@@ -197,15 +206,20 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
     return placed.select("a", "b", "ta", "tb").mapInPandas(check, "a long, b long")
 
 
-def _among(width: int, percent: int):
-    def links(pdf: pd.DataFrame) -> pd.DataFrame:
-        """Links of the visitors of one block with its residents, between components."""
+def _among(width: int, percent: int, verify: bool):
+    """Of a tile's visitors and residents those that may be linked, or their links.
+
+    Both look at pairs of different components that share this tile's band as
+    their first and whose signatures agree in enough places.
+    """
+
+    def found(pdf: pd.DataFrame) -> pd.DataFrame:
         key = int(pdf["key"].iloc[0])
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
         band = np.stack(pdf["bands"].to_numpy())
-        ids, comps, texts = pdf["id"].to_numpy(), pdf["c"].to_numpy(), list(pdf["t"])
-        visits, minor = pdf["visits"].to_numpy(), pdf["minor"].to_numpy()
+        ids, comps, minor, visits = (pdf[c].to_numpy() for c in ("id", "c", "minor", "visits"))
         here = np.flatnonzero(~visits)
+        least = least_equal(sig.shape[1], percent)
         parent = {c: c for c in comps.tolist()}
 
         def root(c):
@@ -214,53 +228,72 @@ def _among(width: int, percent: int):
                 c = parent[c]
             return c
 
-        sets, out = {}, []
+        sets, links, some = {}, [], np.zeros(len(pdf), bool)
 
         def set_of(i):
             if i not in sets:
-                sets[i] = shingles(texts[i], width)
+                sets[i] = shingles(pdf["t"].iloc[i], width)
             return sets[i]
 
         for i in np.flatnonzero(visits):
-            near = here[(sig[here] == sig[i]).sum(1) >= LEAST_EQUAL * sig.shape[1] // PLACES]
-            # two visitors meet in both their blocks: once is enough
-            near = near[(comps[near] != comps[i]) & (~minor[near] | (ids[near] > ids[i]))]
+            # two visitors meet in both their tiles: once is enough
+            near = here[(comps[here] != comps[i]) & (~minor[here] | (ids[here] > ids[i]))]
+            near = near[(sig[near] == sig[i]).sum(1) >= least]
             if not len(near):
                 continue
-            # a pair belongs to the first band it shares
             equal = band[near] == band[i]
-            near = near[band[i][equal.argmax(1)] == key]
+            near = near[band[i][equal.argmax(1)] == key]  # a pair belongs to the first band it shares
+            if not verify:
+                some[near] = True
+                some[i] |= len(near) > 0
+                continue
             for j in near:
                 a, b = root(int(comps[i])), root(int(comps[j]))
                 if a != b and similar(set_of(i), set_of(j), percent):
-                    out.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
+                    links.append((min(ids[i], ids[j]), max(ids[i], ids[j])))
                     parent[a] = b
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        if verify:
+            return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        return pdf.loc[some, ["key", "blk", "visit", "id", "c", "minor", "visits"]]
 
-    return links
+    return found
 
 
-def _rest(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
+def _rest(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int, block: int) -> DataFrame:
     """Links among those of a bucket that its leader was not enough for.
 
     The leader has met everyone.  Of the others, members of the bucket's largest
-    component stay in their blocks and all the rest visit every block.
+    component stay in their blocks and all the rest visit every block, in parts
+    of bounded size: a tile is a block with a part of the visitors.
     """
     others = members.filter("id <> a").select("key", "id")
     labelled = cut(others.join(comps.withColumnRenamed("v", "id"), "id", "left").withColumn("c", F.coalesce("c", "id")))
     per = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
-    open_ = per.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("major"), F.sum("n").alias("total"), F.max("n").alias("most")).filter("most < total")
-    rows = labelled.join(open_.select("key", "major", F.ceil(F.col("total") / BLOCK).cast("int").alias("nb")), "key").withColumn("minor", F.col("c") != F.col("major"))
-    stay = rows.select("key", F.pmod(F.xxhash64("id"), F.col("nb")).cast("int").alias("blk"), "id", "c", "minor", F.lit(False).alias("visits"))
-    visit = rows.filter("minor").select("key", F.explode(F.sequence(F.lit(0), F.col("nb") - 1)).alias("blk"), "id", "c", "minor", F.lit(True).alias("visits"))
-    full = stay.union(visit).join(reps, "id").join(texts, "id")
-    return full.groupBy("key", "blk").applyInPandas(_among(width, percent), "a long, b long").distinct()
+    sums = per.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("major"), F.sum("n").alias("total"), F.max("n").alias("most"))
+    open_ = sums.filter("most < total").select("key", "major", F.ceil(F.col("total") / block).cast("int").alias("nb"), F.ceil((F.col("total") - F.col("most")) / block).cast("int").alias("nv"))
+    rows = labelled.join(open_, "key").withColumn("minor", F.col("c") != F.col("major"))
+
+    def part(n: str):
+        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
+
+    def every(n: str):
+        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+
+    names = ["key", "blk", "visit", "id", "c", "minor"]
+    stay = rows.withColumn("blk", part("nb")).withColumn("visit", every("nv")).select(*names, F.lit(False).alias("visits"))
+    visit = rows.filter("minor").withColumn("visit", part("nv")).withColumn("blk", every("nb")).select(*names, F.lit(True).alias("visits"))
+    sketched = stay.union(visit).join(reps, "id")
+    near = sketched.groupBy("key", "blk", "visit").applyInPandas(
+        _among(width, percent, False), "key long, blk int, visit int, id long, c long, minor boolean, visits boolean"
+    )
+    full = stored(near).join(reps, "id").join(texts, "id")
+    return full.groupBy("key", "blk", "visit").applyInPandas(_among(width, percent, True), "a long, b long").distinct()
 
 
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
     """``comps`` with the components that ``links`` connect made one."""
     ends = links.select(F.col("a").alias("v")).union(links.select("b")).distinct()
-    base = cut(comps.union(ends.join(comps, "v", "left_anti").select("v", F.col("v").alias("c"))))
+    base = stored(comps.union(ends.join(comps, "v", "left_anti").select("v", F.col("v").alias("c"))))
     a, b = (base.select(F.col("v").alias(x), F.col("c").alias(f"c{x}")) for x in "ab")
     moved = connected(links.join(a, "a").join(b, "b").select(F.col("ca").alias("a"), F.col("cb").alias("b")))
     return base.join(moved.select(F.col("v").alias("c"), F.col("c").alias("cc")), "c", "left").select("v", F.coalesce("cc", "c").alias("c"))
@@ -274,19 +307,21 @@ def components(
     percent: int = 75,
     places: int = PLACES,
     rows: int = ROWS,
+    block: int | None = None,
 ) -> DataFrame:
     """``doc_id, n_shingles, component_id, kept``: one row per row of ``docs``.
 
     Null or empty texts have no shingles and are linked with nothing; rows of a
     null id are linked with nothing either.  Rows that share an id share its
     component.  Texts of equal sets are one class before any candidate is made.
+    Other columns are not read; an empty table gives an empty result.
     """
     sk = cut(sketch(docs, text, id_col, width, places, rows))
-    full = sk.filter("n_shingles > 0 AND id IS NOT NULL")
+    # a key that no aggregate is dealt by: the join deals both sides anew and may split a hot class
+    full = sk.filter("n_shingles > 0 AND id IS NOT NULL").withColumn("set", F.concat_ws(":", "d1", "d2"))
     classes = full.groupBy("d1", "d2").agg(F.min("id").alias("rep"))
-    tagged = full.join(classes, ["d1", "d2"])
-    reps = tagged.filter("id = rep").dropDuplicates(["id", "d1", "d2"]).select("id", "bands", "sig")
-    reps = cut(reps)
+    tagged = full.join(classes.select(F.concat_ws(":", "d1", "d2").alias("set"), "rep"), "set")
+    reps = cut(tagged.filter("id = rep").dropDuplicates(["id", "d1", "d2"]).select("id", "bands", "sig"))
     members = reps.select("id", F.explode("bands").alias("key"))
     buckets = members.groupBy("key").agg(F.min("id").alias("a"), F.count("*").alias("n")).filter("n > 1")
     members = cut(members.join(buckets, "key"))
@@ -299,7 +334,7 @@ def components(
     ).select("a", "b")
     links = links.union(twice)
     comps = connected(links)
-    more = cut(_rest(members, comps, reps, texts, width, percent))
+    more = stored(_rest(members, comps, reps, texts, width, percent, block or BLOCK))
     if not more.isEmpty():
         comps = _joined(comps, more)
     final = tagged.select(F.col("id"), "rep").distinct().join(comps.withColumnRenamed("v", "rep"), "rep", "left")

@@ -87,7 +87,7 @@ def test_exact_dedup(spark):
     assert exact_dedup.mark(df.limit(0)).count() == 0 and exact_dedup.drop_copies(df.limit(0)).count() == 0
 
 
-def _near_brute(rows):
+def _near_brute(rows, percent=75):
     sets = {}
     for i, t in rows:
         w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), t or ""))
@@ -104,7 +104,7 @@ def _near_brute(rows):
         for b in ids:
             if a < b and sets[a] and sets[b]:
                 k = len(sets[a] & sets[b])
-                if 100 * k >= 75 * (len(sets[a]) + len(sets[b]) - k) and root(a) != root(b):
+                if 100 * k >= percent * (len(sets[a]) + len(sets[b]) - k) and root(a) != root(b):
                     parent[max(root(a), root(b))] = min(root(a), root(b))
     return {i: (len(sets[i]), root(i)) for i in ids}
 
@@ -146,6 +146,28 @@ def test_near_duplicates_in_blocks(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _near_brute(rows)
 
 
+def _shared_passage(n, seed=9):
+    """Texts that share one passage and are below 0.75 in pairs, with a few that are not."""
+    rng = random.Random(seed)
+    passage = [f"p{k}" for k in range(60)]
+    rows = [(k, " ".join([*passage, *(f"w{rng.randrange(10**6)}" for _ in range(40))])) for k in range(n)]
+    return rows + [(n + k, rows[k * 7][1] + " end") for k in range(5)]
+
+
+@pytest.mark.parametrize("block", [7, 1000])
+def test_documents_of_one_passage(spark, block):
+    rows = _shared_passage(150)
+    got = superminhash.components(spark.createDataFrame(rows, "doc_id long, text string"), block=block).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _near_brute(rows)
+
+
+def test_similarity_is_a_parameter(spark):
+    assert superminhash.least_equal(128, 75) == 66 and superminhash.least_equal(128, 50) == 30 and superminhash.least_equal(128, 1) == 0
+    rows = _near_rows(4, 48) + [(1000 + i, t) for i, t in _shared_passage(30)]
+    got = superminhash.components(spark.createDataFrame(rows, "doc_id long, text string"), percent=50, places=256, rows=2).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == _near_brute(rows, 50)
+
+
 def test_near_duplicates_edges(spark):
     df = spark.createDataFrame([(None, "a b c d e f"), (1, "a b c d e f"), (1, "a b c d e f"), (2, "x " * 50_000)], "doc_id long, text string")
     got = superminhash.components(df.withColumn("rep", F.lit(1)).withColumn("id", F.lit("x"))).collect()
