@@ -287,9 +287,69 @@ def test_licenses_of_one_window_all_stay(spark):
     assert all(r.containment == 1.0 for r in got)
 
 
-def test_license_query_finds_every_statement(spark):
+def _license_brute(text):
+    """Every place of every template's shingles in the whole text, no windows, no MinHash."""
+    words = re.findall(licenses.WORDS, (text or "").lower())
+    grams = [" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))] if words else []
+    hits = []
+    for t, (name, body) in enumerate(licenses.TEMPLATES):
+        tw = re.findall(licenses.WORDS, body.lower())
+        shingles = list(dict.fromkeys(" ".join(tw[i : i + 5]) for i in range(len(tw) - 4)))
+        enough = lambda at: 100 * len({k for _, k in at}) >= 75 * len(shingles)  # noqa: E731, B023
+        done, at = [], []
+        for p, g in enumerate(grams):
+            if g in shingles:
+                k = shingles.index(g)
+                if at and (p - at[0][0] >= 1.5 * len(tw) or (k == at[0][1] and enough(at))):
+                    done.append(at)
+                    at = []
+                at.append((p, k))
+        for one in [*done, at]:
+            if one and enough(one):
+                hits.append((-len(one), -len({k for _, k in one}) / len(shingles), t, one[0][0], name, {p for p, _ in one}))
+    kept = []
+    for h in sorted(hits, key=lambda h: h[:4]):
+        if not any(h[5] & x[5] for x in kept):
+            kept.append(h)
+    return collections.Counter(h[4] for h in kept)
+
+
+def test_license_query_against_every_place(spark):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
-    want = {(r.doc_id, n) for r in docs for n, body in licenses.TEMPLATES if body.lower().rstrip(".") in (r.text or "").lower()}
-    got = {(r.doc_id, r.license_id) for r in Q.op4_license_scan(spark, sf).collect()}
-    assert want <= got and len(got - want) <= 2
+    want = {(r.doc_id, n): k for r in docs for n, k in _license_brute(r.text).items()}
+    got = Q.op4_license_scan(spark, sf).collect()
+    assert {(r.doc_id, r.license_id): r.matches for r in got} == want and len(got) == len(want)
+    plain = {(r.doc_id, n) for r in docs for n, body in licenses.TEMPLATES[:11] if body.lower().rstrip(".") in (r.text or "").lower()}
+    assert plain <= set(want)
+
+
+def test_licenses_against_every_place(spark):
+    """Whole texts, notices and statements, cut, edited, repeated and strewn in filler."""
+    rng = random.Random(3)
+    filler = [f"word{k}" for k in range(50)] + ["software", "license", "copyright", "the", "warranty", "released"]
+    rows = []
+    for i in range(120):
+        parts = []
+        for _ in range(rng.randint(0, 4)):
+            body = rng.choice(licenses.TEMPLATES)[1].split()
+            for _ in range(rng.choice([0, 0, 1, 3])):
+                body[rng.randrange(len(body))] = "xx"
+            parts += [" ".join(body), " ".join(rng.choices(filler, k=rng.choice([0, 1, 5, 90])))]
+        rows.append((i, "\n".join(parts)))
+    want = {(i, n): k for i, t in rows for n, k in _license_brute(t).items()}
+    got = licenses.scan(spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, license_id string, size int")).collect()
+    assert {(r.doc_id, r.license_id): r.matches for r in got} == want
+    assert {n for _, n in want} >= {"BSD-2-Clause", "BSD-3-Clause", "LGPL-2.1-or-later", "GPL-3.0-or-later", "MIT", "ISC"}
+
+
+def test_license_texts(spark):
+    rows = [(k, f"File header.\n{body}\nThe end of it.") for k, (_, body) in enumerate(licenses.TEMPLATES)] + [(None, "Licensed under the MIT License."), (None, "Licensed under CC BY 4.0.")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = collections.defaultdict(list)
+    for r in licenses.scan(df.union(df)).collect():
+        got[r.doc_id].append((r.license_id, r.matches))
+    assert all(got[k] == [(name, 1)] for k, (name, _) in enumerate(licenses.TEMPLATES))
+    assert sorted(got[None]) == [("CC-BY-4.0", 1), ("MIT", 1)]
+    with pytest.raises(ValueError, match="five|5"):
+        licenses.scan(df, [("X", "four words are few")])
