@@ -8,8 +8,10 @@ so a task that runs twice replaces its own file.
 The reader checks every record: gzip checksum, version line, header block,
 Content-Length, closing line ends and block digest.  Where a check fails it
 looks for the next gzip member or version line that holds a valid record, goes
-on from there and reports the bytes between as a quarantined gap.  It reads by
-offset and holds one record at a time.
+on from there and reports the bytes between as a quarantined gap.  A member may
+hold many records; inside it the search goes on in what it inflates to, and of a
+member whose tail is damaged the records before the damage are recovered.  The
+reader works by offset, inflates as it goes and holds one record at a time.
 """
 
 from __future__ import annotations
@@ -27,8 +29,10 @@ from .common import cut, shared_dir
 
 #: Payloads below this size are always written whole.
 REVISIT_BYTES = 1000
-#: A record of more bytes than this is quarantined.
-MOST_BYTES = 1 << 30
+#: What one row can hold: no record that was written from a row is longer.
+MOST_BYTES = (1 << 31) - 1
+#: Bytes in which the header block of an uncompressed record must end.
+MOST_HEAD = 1 << 26
 LEVEL = 4
 _MAGIC, _VERSION, _END = b"\x1f\x8b\x08", b"WARC/1.", b"\r\n\r\n"
 _PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -135,22 +139,47 @@ class Damaged(ValueError):
     pass
 
 
-def _inflate(src: _Bytes, start: int) -> tuple[bytes, int]:
-    """The content of the gzip member at ``start`` and the offset after it."""
-    z, out, at, size = zlib.decompressobj(31), [], start, 0
-    while not z.eof:
-        chunk = src.get(at, 1 << 16)
-        if not chunk:
-            raise Damaged("member is cut off")
-        try:
-            out.append(z.decompress(chunk))
-        except zlib.error as e:
-            raise Damaged(f"gzip: {e}") from None
-        size += len(out[-1])
-        if size > MOST_BYTES:
-            raise Damaged("record is too long")
-        at += len(chunk) - len(z.unused_data)
-    return b"".join(out), at
+class _Member:
+    """The content of the gzip member at ``start``, inflated as far as it is asked for."""
+
+    def __init__(self, src: _Bytes, start: int):
+        self.src, self.at, self.z = src, start, zlib.decompressobj(31)
+        self.base, self.held, self.error = 0, bytearray(), ""
+
+    def get(self, start: int, n: int) -> bytes:
+        while self.base + len(self.held) < start + n and not self.z.eof and not self.error:
+            chunk = self.z.unconsumed_tail or self.src.get(self.at, 1 << 16)
+            if not chunk:
+                self.error = "member is cut off"
+                break
+            fresh = not self.z.unconsumed_tail
+            try:
+                self.held += self.z.decompress(chunk, 1 << 22)
+            except zlib.error as e:
+                self.error = f"gzip: {e}"
+                break
+            if fresh:
+                self.at += len(chunk)
+            if self.z.eof:
+                self.at -= len(self.z.unused_data)
+        return bytes(self.held[start - self.base : start - self.base + n])
+
+    def drop(self, upto: int):
+        """Forgets what lies before ``upto``."""
+        del self.held[: upto - self.base]
+        self.base = upto
+
+    def find(self, start: int) -> int:
+        """Offset of the next version line at or after ``start``; -1 if none."""
+        while chunk := self.get(start, 1 << 18):
+            hit = chunk.find(_VERSION)
+            if hit >= 0:
+                return start + hit
+            if len(chunk) < len(_VERSION):
+                return -1
+            start += len(chunk) - len(_VERSION) + 1
+            self.drop(start)
+        return -1
 
 
 def _headers(raw: bytes) -> dict[str, str]:
@@ -168,8 +197,8 @@ def _headers(raw: bytes) -> dict[str, str]:
     return found
 
 
-def _parse(get, start: int, whole: int | None) -> tuple[dict, bytes, int]:
-    """Headers, block and end of the record that ``get`` yields bytes of."""
+def _parse(get, start: int, most_head: int) -> tuple[dict, bytes, int, bool]:
+    """Headers, block and end of the record that ``get`` yields bytes of; whether a digest proved the block."""
     head, n = b"", 1 << 12
     while True:
         head = get(start, n)
@@ -178,7 +207,7 @@ def _parse(get, start: int, whole: int | None) -> tuple[dict, bytes, int]:
         stop = head.find(_END)
         if stop >= 0:
             break
-        if len(head) < n or n > 1 << 20:
+        if len(head) < n or n > most_head:
             raise Damaged("header block does not end")
         n *= 4
     version, _, rest = head[:stop].partition(b"\r\n")
@@ -190,38 +219,83 @@ def _parse(get, start: int, whole: int | None) -> tuple[dict, bytes, int]:
     block = get(body, int(length) + len(_END))
     if len(block) != int(length) + len(_END) or not block.endswith(_END):
         raise Damaged("block does not end where it says")
-    if whole is not None and body + len(block) != whole:
-        raise Damaged("member holds more than its record")
     block = block[: -len(_END)]
     said = headers.get("warc-block-digest", "")
     if said.startswith("sha1:") and said != _b32(block):
         raise Damaged("block digest differs")
-    return headers, block, body + len(block) + len(_END)
+    return headers, block, body + len(block) + len(_END), said.startswith("sha1:")
 
 
-def records_of(file, size: int):
-    """Yields ('record', start, stop, headers, block) and ('gap', start, stop, reason, b'')."""
-    src = _Bytes(file, size)
-    at, bad, why = 0, None, ""
-    while at < size:
+def _inside(src: _Bytes, start: int):
+    """What the gzip member at ``start`` holds; returns its end, or -1 and why it cannot be read to it.
+
+    Offsets are those of the file.  A gap inside names the inflated bytes.
+    """
+    member, at, bad, why, found = _Member(src, start), 0, None, "", False
+    while member.get(at, 1):
         try:
-            if src.get(at, 3) == _MAGIC:
-                raw, stop = _inflate(src, at)
-                headers, block, _ = _parse(lambda s, n, raw=raw: raw[s : s + n], 0, len(raw))
-            else:
-                headers, block, stop = _parse(src.get, at, None)
+            headers, block, end, proved = _parse(member.get, at, MOST_BYTES)
+            member.get(end, 1)  # to the member's own checksum, if it ends here
+            if member.error and not proved:
+                raise Damaged(member.error)
         except Damaged as e:
             if bad is None:
                 bad, why = at, str(e)
-            at = src.find(at + 1)
+            at = member.find(at + 1)
             if at < 0:
                 break
             continue
         if bad is not None:
-            yield "gap", bad, at, why, b""
+            yield "gap", start, member.at, f"{why}; inflated bytes {bad} to {at}", b""
             bad = None
-        yield "record", at, stop, headers, block
-        at = stop
+        found = True
+        yield "record", start, member.at, headers, block
+        member.drop(end)
+        at = end
+    if member.error or not found:
+        return (-1 if member.error else member.at), member.error or why or "an empty member", found
+    if bad is not None:
+        yield "gap", start, member.at, f"{why}; inflated bytes from {bad}", b""
+    return member.at, "", True
+
+
+def records_of(file, size: int):
+    """Yields ('record', start, stop, headers, block) and ('gap', start, stop, reason, b'')."""
+    src = _Bytes(file, size)
+    at, bad, why = 0, None, ""
+    while at < size:
+        if src.get(at, 3) == _MAGIC:
+            inner = _inside(src, at)
+            try:
+                while True:
+                    row = next(inner)
+                    if bad is not None:
+                        yield "gap", bad, at, why, b""
+                        bad = None
+                    yield row
+            except StopIteration as end:
+                stop, reason, found = end.value
+            if reason and bad is None:
+                bad, why = at, reason
+            if stop >= 0:
+                at = stop
+                continue
+        else:
+            try:
+                headers, block, stop, _ = _parse(src.get, at, MOST_HEAD)
+            except Damaged as e:
+                if bad is None:
+                    bad, why = at, str(e)
+            else:
+                if bad is not None:
+                    yield "gap", bad, at, why, b""
+                    bad = None
+                yield "record", at, stop, headers, block
+                at = stop
+                continue
+        at = src.find(at + 1)
+        if at < 0:
+            break
     if bad is not None:
         yield "gap", bad, size, why, b""
 
@@ -286,11 +360,15 @@ def archive_pages(pages: DataFrame, folder: str, html: str = "html", url: str =
 
     Of rows with equal payloads of at least ``REVISIT_BYTES`` that with the
     largest id is the response.  Null html is an empty payload; rows of null id
-    are responses of their own.  Rows that repeat id and payload are alike.
+    are responses of their own.  Rows that repeat id and payload are alike.  Other
+    columns are not read; an empty table writes no file.
     """
     rows = pages.select(F.col(id_col).alias("id"), F.col(url).alias("uri"), F.coalesce(F.col(html), F.lit("")).cast("binary").alias("payload"))
-    rows = rows.withColumn("digest", F.when(F.octet_length("payload") >= REVISIT_BYTES, F.sha1("payload")))
-    same = rows.filter("digest IS NOT NULL").groupBy("digest").agg(F.max("id").alias("last"), F.count("*").alias("n")).filter("n > 1")
+    rows = rows.withColumn("whole", F.octet_length("payload") >= REVISIT_BYTES)
+    # two digests, so that payloads that share one stay apart; small pages meet nothing and are dealt evenly
+    spread = F.concat(F.lit("-"), F.pmod(F.xxhash64("id", "payload"), F.lit(1 << 20)).cast("string"))
+    rows = rows.withColumn("digest", F.when(F.col("whole"), F.concat(F.sha1("payload"), F.md5("payload"))).otherwise(spread))
+    same = rows.filter("whole").groupBy("digest").agg(F.max("id").alias("last"), F.count("*").alias("n")).filter("n > 1")
     joined = rows.join(same.select(F.col("digest").alias("d"), "last"), F.col("digest") == F.col("d"), "left")
     made = joined.select(
         F.concat(F.lit("urn:page:"), F.coalesce(F.col("id").cast("string"), F.lit("none"))).alias("record_id"),
@@ -302,12 +380,17 @@ def archive_pages(pages: DataFrame, folder: str, html: str = "html", url: str =
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
-    """Archives ``pages`` in the shared folder and reads the archives back."""
+    """Archives ``pages`` in the shared folder and reads the archives back.
+
+    One row per row of ``pages``: a gap in what was just written is an error.
+    """
     spark = pages.sparkSession
     folder = f"{_as_uri(shared_dir(spark)).rstrip('/')}/warc-{uuid.uuid4().hex}"
     files = archive_pages(pages, folder)
     files = files.repartition(max(1, min(files.count(), 10_000)), "path")
-    rows = read(files, keep_payload=False).filter("kind = 'record'")
+    rows = read(files, keep_payload=False)
+    lost = F.raise_error(F.concat_ws(" ", F.lit("quarantined:"), "path", "start", "stop", "reason")).cast("string")
+    rows = rows.withColumn("kind", F.when(F.col("kind") == "gap", lost).otherwise(F.col("kind"))).filter("kind = 'record'")
 
     def number(col: str):
         return F.regexp_extract(F.col(col), r"^urn:page:(-?\d+)$", 1).try_cast("bigint")
