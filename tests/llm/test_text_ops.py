@@ -193,14 +193,51 @@ def test_components_of_long_chains_and_stars(spark):
 
 
 def test_language_held_out_accuracy(spark):
-    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     truth = {r.doc_id: (r.lang, len(r.text or "")) for r in docs.collect()}
-    got = [r for r in Q.op7_compression_langid(spark, "/root/testdata/sf0.01").collect() if r.held_out]
+    got = [r for r in Q.op7_compression_langid(spark, "/root/testdata/sf0.1").collect() if r.held_out]
     assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got)
-    long = [r for r in got if truth[r.doc_id][1] >= 200]
-    # a few labels of the table are wrong on purpose
-    assert np.mean([r.lang_pred == truth[r.doc_id][0] for r in long]) > 0.93
     assert all(0 <= r.score <= 1 for r in got)
+    right = {r.doc_id: r.lang_pred == truth[r.doc_id][0] for r in got}
+    # a few labels of the table are wrong on purpose
+    assert np.mean([right[r.doc_id] for r in got if truth[r.doc_id][1] >= 200]) > 0.93
+    assert np.mean([r.rejected for r in got if right[r.doc_id]]) < 0.02
+    # what is rejected is far more often wrong than what is not
+    short = [r for r in got if truth[r.doc_id][1] < 200]
+    assert np.mean([right[r.doc_id] for r in short if not r.rejected]) > 0.9
+    assert sum(r.rejected for r in got) > 0
+
+
+def test_language_by_hand(spark):
+    """The prediction is the least sum of compressed blocks, computed here from the dictionaries."""
+    import zstandard
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(langid.sample(docs.filter(~langid.held_out(F.col("doc_id")))))
+    for r in langid.predict(docs, model).collect():
+        raw = (r.text or "").lower().encode()
+        if not any(map(str.isalpha, r.text or "")):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+            continue
+        sizes = {}
+        for lang, d in zip(model.languages, model.dictionaries):
+            c = zstandard.ZstdCompressor(level=langid.LEVEL, dict_data=zstandard.ZstdCompressionDict(d, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_checksum=False)
+            sizes[lang] = sum(len(c.compress(raw[i : i + langid.BLOCK])) for i in range(0, len(raw), langid.BLOCK))
+        first, second = sorted(sizes.values())[:2]
+        assert sizes[r.lang_pred] == first and r.score == (second - first) / second
+        assert r.rejected == (r.score <= model.margins[langid.length_class(r.text)])
+
+
+def test_what_is_no_language_is_rejected(spark):
+    import base64
+
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").select("doc_id", "text", "lang")
+    model = langid.fit(langid.sample(docs.filter(~langid.held_out(F.col("doc_id")))))
+    rng = random.Random(1)
+    greek = ["".join(rng.choice("αβγδεζηθικλμνξοπρστυφχψω ") for _ in range(n)) for n in [10, 40, 150, 600, 1500, 6000] * 20]
+    coded = [base64.b64encode(rng.randbytes(n)).decode() for n in [10, 40, 150, 600, 1500, 6000] * 20]
+    assert np.mean([model.classify(t)[2] for t in greek]) > 0.95
+    assert np.mean([model.classify(t)[2] for t in coded]) > 0.8
 
 
 def test_language_edges(spark):
