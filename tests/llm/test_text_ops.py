@@ -289,6 +289,44 @@ def test_quality_query(spark):
     assert again == {r.doc_id: r.kept for r in got}
 
 
+def test_forest_by_hand():
+    """Paths walked one row and one node at a time, and a threshold found by trying all."""
+    rng = np.random.default_rng(2)
+    good, bad = rng.normal(0, 1, (300, 4)), rng.normal(6, 0.3, (30, 4))
+    stats = np.column_stack([np.full(330, 100), np.vstack([good, bad]) * 20 + 500])
+    stats = np.abs(np.round(stats))
+    stats[:, 4] %= 51
+    label = np.arange(330) < 300
+    forest = quality.fit(stats, label)
+    x = quality.features(stats)
+
+    def path(tree, row):
+        column, value, left, right, length = tree
+        k = 0
+        while column[k] >= 0:
+            k = left[k] if row[column[k]] < value[k] else right[k]
+        return length[k]
+
+    depth = 2 * sum(1 / k for k in range(1, 256)) - 2 * 255 / 256  # of an unsuccessful search
+    want = [2 ** (-np.mean([path(t, row) for t in forest.trees]) / quality._expected(quality.SUBSAMPLE)) for row in x]
+    assert np.allclose(forest.score(x), want) and abs(quality._expected(256) - depth) < 0.01
+    scores = forest.score(x)
+    ok = [t for t in [*scores, *(scores + 1e-9), 1.0] if (scores[label] > t).mean() <= quality.LOST]
+    best = max((scores[~label] > t).mean() - (scores[label] > t).mean() for t in ok)
+    assert (scores[~label] > forest.threshold).mean() - (scores[label] > forest.threshold).mean() == best
+    # every statistic is split on, none by preference
+    counts = np.bincount(np.concatenate([t[0][t[0] >= 0] for t in forest.trees]), minlength=4)
+    assert counts.min() > 0.15 * counts.sum()
+
+
+def test_a_repeated_id_is_learned_once(spark):
+    docs = spark.createDataFrame([(1, "a b " * 40), (1, "c " * 80), (2, "d e " * 50)] * 50, "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (2, None)], "doc_id long, quality int")
+    forest = quality.learn(docs, labels)
+    again = quality.learn(docs.repartition(5).orderBy(F.rand(3)), labels)
+    assert forest.threshold == again.threshold and [t[0].tolist() for t in forest.trees] == [t[0].tolist() for t in again.trees]
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, 5), (2, "", 6), (None, "a " * 60, 7), (3, "b c d e f " * 30_000, 8)], "doc_id long, text string, n_words int")
     labels = spark.createDataFrame([], "doc_id long, quality int")
