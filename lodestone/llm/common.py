@@ -59,12 +59,16 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def mix64(*parts: Column) -> Column:
-    """A stateless 64-bit draw for the given columns; nulls take part."""
-    flat = []
-    for p in parts:
-        flat += [p.isNull(), p]
-    return F.xxhash64(*flat)
+def draw(*parts: Column) -> Column:
+    """A stateless draw of 60 bits from the md5 of the given columns; nulls take part."""
+    key = F.concat_ws("|", *[F.coalesce(p.cast("string"), F.lit("~")) for p in parts])
+    return F.conv(F.substring(F.md5(key), 1, 15), 16, 10).cast("bigint")
+
+
+def draw_sql(*parts: str) -> str:
+    """The same draw in the oracle's SQL."""
+    key = " || '|' || ".join(f"coalesce(CAST({p} AS VARCHAR), '~')" for p in parts)
+    return f"CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT)"
 
 
 def count_words(text: Column) -> Column:

@@ -11,7 +11,8 @@ linearly from ``target * (1 + tilt)`` to ``target * (1 - tilt)``; the integral i
 the demand for its words up to t, and inverting that demand at a document's
 offset gives the document's position.  The mix is all documents range-sorted by
 position.  Offsets come from two levels of sums, per bucket and inside a bucket,
-so a source of any size is spread over many tasks.
+so a source of any size is spread over many tasks.  Hashes are md5 of values, so
+SQL computes the same mix.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, mix64
+from .common import count_words, draw, draw_sql
 
 MOST_REPEATS = 3
 BUCKETS = 1024
+TILT, SEED = 0.5, 7
 
 
 def cycled_weights(ordinal: Column) -> Column:
@@ -37,6 +39,7 @@ def source_targets(sizes: DataFrame, weight=cycled_weights, most: int = MOST_REP
     line = Window.orderBy("fill", F.col("source").asc_nulls_last())
     before = line.rowsBetween(Window.unboundedPreceding, -1)
     rest = line.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    # one row a source: the few aggregates here need no partitions
     every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     levels = ordered.withColumn("fill", ratio).select(
         "*",
@@ -53,7 +56,7 @@ def source_targets(sizes: DataFrame, weight=cycled_weights, most: int = MOST_REP
 
 def _bucketed(docs: DataFrame, text: str, id_col: str, source: str, buckets: int) -> DataFrame:
     rows = docs.withColumn("__size", count_words(F.col(text)))
-    rows = rows.withColumn("__h", mix64(F.col(id_col), F.col(source), F.col("__size")))
+    rows = rows.withColumn("__h", draw(F.col(id_col), F.col(source), F.col("__size")))
     # a name for the source that is never null: windows and joins then share one partitioning
     rows = rows.withColumn("__s", F.when(F.col(source).isNull(), "-").otherwise(F.concat(F.lit("+"), F.col(source).cast("string"))))
     return rows.withColumn("__b", F.pmod(F.shiftright("__h", 20), F.lit(buckets)).cast("int"))
@@ -74,7 +77,9 @@ def plan(
     source's target, and one more if the middle of the document lies within what
     is left of it, so a source misses its target by half a document at most.
     Null texts have size 0; a null source is a source of its own, the last;
-    documents of a source without words are taken by no target.
+    documents of a source without words are taken by no target.  Documents of one
+    id, source and size are ordered by a hash of their texts, so reruns agree; rows
+    equal in all of these are interchangeable.
     """
     rows = _bucketed(docs, text, id_col, source, buckets)
     sums = rows.groupBy("__s", "__b").agg(F.sum("__size").alias("words"))
@@ -84,7 +89,8 @@ def plan(
     sizes = sizes.withColumn("source", F.when(F.col("__s") != "-", F.substring("__s", 2, 1 << 30)))
     targets = source_targets(sizes, weight, most).select("__s", F.col("source_size").alias("__total"), F.col("target").alias("__target"))
     starts = starts.select("__s", "__b", "__start").join(targets, "__s")
-    inside = Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col).asc_nulls_last(), "__size")
+    rows = rows.withColumn("__t", F.xxhash64(F.col(text)))
+    inside = Window.partitionBy("__s", "__b").orderBy("__h", F.col(id_col).asc_nulls_last(), "__size", "__t")
     rows = rows.withColumn("__inside", F.coalesce(F.sum("__size").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     rows = rows.withColumn("__key", F.struct("__s", "__b", F.row_number().over(inside).alias("nth")))
     found = rows.join(starts, ["__s", "__b"])
@@ -93,7 +99,7 @@ def plan(
     found = found.withColumn("__offset", offset).withColumn("__rounds", rounds)
     left = F.col("__target") - F.col("__rounds") * F.col("__total")
     extra = F.when((F.col("__size") > 0) & (F.col("__offset") + F.col("__size") / 2 <= left), 1).otherwise(0)
-    return found.withColumn("__repeats", F.col("__rounds") + extra).drop("__h", "__s", "__b", "__inside", "__start", "__rounds")
+    return found.withColumn("__repeats", F.col("__rounds") + extra).drop("__h", "__t", "__s", "__b", "__inside", "__start", "__rounds")
 
 
 def position(offset: Column, target: Column, tilt: Column) -> Column:
@@ -113,7 +119,7 @@ def _placed(docs: DataFrame, tilt: float, seed: int, **options) -> DataFrame:
     name, within ``tilt``.  A document that is not taken keeps one row, its
     round and position null.
     """
-    lean = (F.pmod(mix64(F.col(options.get("source", "source")), F.lit(seed)), F.lit(2001)) - 1000) / 1000.0 * tilt
+    lean = (draw(F.lit(seed), F.col(options.get("source", "source"))) % 2001 - 1000) / F.lit(1000.0) * tilt
     taken = F.col("__repeats") > 0
     # a document without words is dealt at its offset
     rounds = plan(docs, **options).withColumn("__round", F.explode_outer(F.when(taken, F.sequence(F.lit(0), F.col("__repeats") - 1))))
@@ -126,12 +132,13 @@ def _ranged(rows: DataFrame, order: list, partitions: int | None = None) -> Data
     return ranged.sortWithinPartitions(*order)
 
 
-def mix(docs: DataFrame, tilt: float = 0.5, seed: int = 7, partitions: int | None = None, **options) -> DataFrame:
+def mix(docs: DataFrame, tilt: float = TILT, seed: int = SEED, partitions: int | None = None, **options) -> DataFrame:
     """One row per document: its size, its source's size and target, the words taken, its positions.
 
     The takings are range-sorted with their texts as in ``curriculum``, and the
     words taken are counted in what has been moved.  Rows come in the order of
-    their first positions, documents that are not taken last.
+    their first positions, documents that are not taken last and without one.
+    Columns of other names are not read.
     """
     id_col, text, source = options.get("id_col", "doc_id"), options.get("text", "text"), options.get("source", "source")
     placed = _placed(docs.select(id_col, text, source), tilt, seed, **options).select(
@@ -143,19 +150,42 @@ def mix(docs: DataFrame, tilt: float = 0.5, seed: int = 7, partitions: int | Non
     each = rows.groupBy("doc_id", "__key").agg(
         F.first("__size").alias("size"),
         F.first("__total").alias("source_size"),
-        F.first("__target").cast("double").alias("target"),
+        F.round(F.first("__target").cast("double"), 6).alias("target"),
         F.sum(count_words(F.col("text"))).alias("taken"),
         F.sort_array(F.collect_list("__at")).alias("__places"),
     )
     ordered = _ranged(each, [F.get("__places", F.lit(0)).asc_nulls_last(), F.col("doc_id"), F.col("__key")], partitions)
-    return ordered.select("doc_id", "size", "source_size", "target", "taken", F.transform("__places", lambda x: F.round(x, 9)).alias("positions"))
+    return ordered.select("doc_id", "size", "source_size", "target", "taken", F.round(F.get("__places", F.lit(0)), 9).alias("position"), F.transform("__places", lambda x: F.round(x, 9)).alias("positions"))
 
 
-def curriculum(docs: DataFrame, tilt: float = 0.5, seed: int = 7, partitions: int | None = None, **options) -> DataFrame:
+def curriculum(docs: DataFrame, tilt: float = TILT, seed: int = SEED, partitions: int | None = None, **options) -> DataFrame:
     """The mix in training order: a row for every taking of a document.
 
     Columns are those of ``docs``.  Rows are range-sorted by position, ties by
-    id and round.
+    id and round.  Null, empty and repeated rows are dealt as ``plan`` says; an
+    empty table gives an empty mix.
     """
     placed = _placed(docs, tilt, seed, **options).filter(F.col("__repeats") > 0)
     return _ranged(placed, [F.col("__at"), F.col(options.get("id_col", "doc_id")), F.col("__round")], partitions).select(*docs.columns)
+
+
+SQL = f"""
+WITH d AS (SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS size FROM documents),
+h AS (SELECT *, {draw_sql('doc_id', 'source', 'size')} AS h FROM d),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM d GROUP BY source),
+w AS (SELECT *, CAST((row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS DOUBLE) AS w FROM s),
+f AS (SELECT *, source_size * {MOST_REPEATS} / w AS fill FROM w),
+l AS (SELECT *, row_number() OVER o AS nth,
+  (CAST(sum(source_size) OVER () AS DOUBLE) - coalesce(CAST(sum(source_size * {MOST_REPEATS}) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS DOUBLE), 0))
+    / sum(w) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM f WINDOW o AS (ORDER BY fill, source NULLS LAST)),
+c AS (SELECT arg_min(level, nth) AS level FROM l WHERE level <= fill),
+t AS (SELECT l.source, source_size, least(CAST(source_size * {MOST_REPEATS} AS DOUBLE), w * c.level) AS target, ({draw_sql(f"'{SEED}'", 'l.source')} % 2001 - 1000) / 1000.0::DOUBLE * {TILT}::DOUBLE AS tilt FROM l LEFT JOIN c ON true),
+o AS (SELECT h.*, source_size, target, tilt, coalesce(CAST(sum(size) OVER (PARTITION BY h.source ORDER BY (h >> 20) % {BUCKETS}, h, doc_id NULLS LAST, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS BIGINT), 0) AS place
+  FROM h JOIN t ON h.source IS NOT DISTINCT FROM t.source),
+k AS (SELECT *, coalesce(CAST(floor(target / nullif(source_size, 0)) AS BIGINT), 0) AS rounds FROM o),
+x AS (SELECT *, rounds + CASE WHEN size > 0 AND place + size / 2 <= target - rounds * source_size THEN 1 ELSE 0 END AS takes FROM k),
+p AS (SELECT *, list_transform(range(takes), lambda i: least(greatest((place + i * source_size) / target, 0.0), 1.0)) AS shares FROM x)
+SELECT doc_id, size, source_size, round(target, 6) AS target, size * takes AS taken, round(list_extract(ps, 1), 9) AS position, list_transform(ps, lambda y: round(y, 9)) AS positions
+FROM (SELECT *, list_transform(shares, lambda v: CASE WHEN abs(tilt) < 1e-12 THEN v ELSE 2 * v / (1 + tilt + sqrt(greatest((1 + tilt) * (1 + tilt) - 4 * tilt * v, 0.0))) END) AS ps FROM p)
+"""

@@ -74,5 +74,11 @@ QUERIES = {
     )
 }
 
-#: The other operators rest on hashes, models or merges that SQL does not have.
-ORACLES: dict[str, str] = {"op3_superminhash": superminhash.SQL, "op5_exact_dedup": exact_dedup.SQL, "op6_warc_salvage": warc.SQL}
+#: The other operators rest on models, parsers or merges that SQL does not have.
+ORACLES: dict[str, str] = {
+    "op3_superminhash": superminhash.SQL,
+    "op5_exact_dedup": exact_dedup.SQL,
+    "op6_warc_salvage": warc.SQL,
+    "op9_curriculum_mix": mixing.SQL,
+    "op10_feistel_shards": sharding.SQL,
+}

@@ -4,7 +4,8 @@ Rows get global numbers without a global sort: a row's bucket comes from a hash
 of its id and text, bucket counts are summed up to offsets (one row a bucket)
 and rows are numbered inside their bucket.  A Feistel network over a mixed-radix
 domain of just over n numbers, with cycle walking for the few outside, permutes
-the numbers; the image alone gives shard (modulo) and slot (quotient).
+the numbers; the image alone gives shard (modulo) and slot (quotient).  Hashes
+are md5 of values, so SQL computes the same shards.
 """
 
 from __future__ import annotations
@@ -12,12 +13,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import let, mix64
+from .common import draw, draw_sql, let
 
 #: Buckets of the numbering; the offsets table has a row for each of them.
 BUCKETS = 4096
 ROUNDS = 6
 WALKS = 64
+SHARDS, KEY = 16, 20_240_101
 
 
 def row_numbers(df: DataFrame, keys: list[Column], buckets: int = BUCKETS) -> DataFrame:
@@ -26,7 +28,7 @@ def row_numbers(df: DataFrame, keys: list[Column], buckets: int = BUCKETS) -> Da
     The order is that of a hash of ``keys``, then of the keys; rows equal in all
     keys are interchangeable and take consecutive numbers.
     """
-    hashed = df.withColumn("__h", mix64(*keys))
+    hashed = df.withColumn("__h", draw(*keys))
     # the top bits choose the bucket; a bucket's rows are of different keys, so no key makes it large
     hashed = hashed.withColumn("__b", F.pmod(F.shiftright(F.col("__h"), 20), F.lit(buckets)).cast("int"))
     counts = hashed.groupBy("__b").agg(F.count("*").alias("__n"))
@@ -46,7 +48,7 @@ def row_numbers(df: DataFrame, keys: list[Column], buckets: int = BUCKETS) -> Da
 
 
 def _round(half: Column, key: int, k: int, size: Column) -> Column:
-    return F.pmod(F.xxhash64(half, F.lit(key), F.lit(k)), size)
+    return draw(half, F.lit(key), F.lit(k)) % size
 
 
 def permute(x: Column, n: Column, key: int) -> Column:
@@ -82,13 +84,13 @@ def permute(x: Column, n: Column, key: int) -> Column:
     return walked
 
 
-def shard(df: DataFrame, shards: int = 16, text: str = "text", id_col: str = "doc_id", key: int = 20_240_101) -> DataFrame:
+def shard(df: DataFrame, shards: int = SHARDS, text: str = "text", id_col: str = "doc_id", key: int = KEY) -> DataFrame:
     """One row per document with its ``shard`` and ``slot``; counts differ by one at most.
 
     ``size`` is the text's UTF-8 bytes plus 1 and ``text_crc32`` its unsigned
     CRC-32; a null text has no bytes.  Null ids take part like any other value.
-    Rows equal in id and text are interchangeable.  An empty table gives an
-    empty result.
+    Rows equal in id and text are interchangeable.  Other columns are not read; an
+    empty table gives an empty result.
     """
     rows = df.select(
         F.col(id_col).alias("doc_id"),
@@ -106,3 +108,45 @@ def shard(df: DataFrame, shards: int = 16, text: str = "text", id_col: str = "do
         F.floor(F.col("at") / shards).cast("bigint").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"),
     )
+
+
+def _crc_sql() -> str:
+    """``v``'s register after one more zero byte: the step is linear, so a constant for each low bit."""
+    return "xor(v >> 8, " + "".join(f"xor(((v >> {b}) & 1) * {c}, " for b, c in enumerate(_BITS)) + "0" + ")" * 9
+
+
+def _bit(b: int) -> int:
+    v = 1 << b
+    for _ in range(8):
+        v = (v >> 1) ^ (0xEDB88320 if v & 1 else 0)
+    return v
+
+
+_BITS = [_bit(b) for b in range(8)]
+
+
+def _feistel_sql(x: str, source: str) -> str:
+    """One pass of the network over ``x`` of rows with a, b and n."""
+    q = f"SELECT *, ({x}) // b AS l, ({x}) % b AS r FROM {source}"
+    for k in range(ROUNDS):
+        moved = f"l, (r + {draw_sql('l', str(KEY), str(k))} % b) % b AS r" if k % 2 else f"(l + {draw_sql('r', str(KEY), str(k))} % a) % a AS l, r"
+        q = f"SELECT row_no, a, b, n, {moved} FROM ({q})"
+    return f"SELECT row_no, a, b, n, l * b + r AS x FROM ({q})"
+
+
+_STEP = _crc_sql()
+#: A text's checksum is that of as many zero bytes, changed by every bit's own constant, moved on by the bytes after it.
+SQL = f"""
+WITH RECURSIVE d AS (SELECT doc_id, coalesce(text, '') AS t, CAST(strlen(coalesce(text, '')) AS BIGINT) AS len, row_number() OVER () AS id FROM documents),
+pw AS (SELECT CAST(0 AS BIGINT) AS far, CAST(4294967295 AS BIGINT) AS z, {', '.join(f'CAST({c} AS BIGINT) AS t{b}' for b, c in enumerate(_BITS))}
+  UNION ALL SELECT far + 1, {', '.join(f"{_STEP.replace('v', v)} AS {v}" for v in ['z', *(f't{b}' for b in range(8))])} FROM pw WHERE far < (SELECT max(len) FROM d)),
+bytes AS (SELECT id, len - 1 - unnest(range(len)) AS far, CAST('0x' || unnest(regexp_extract_all(hex(encode(t)), '..')) AS BIGINT) AS v FROM d WHERE len > 0),
+crc AS (SELECT id, bit_xor({"".join(f"xor(((v >> {b}) & 1) * t{b}, " for b in range(8))}0{")" * 8}) AS c FROM bytes JOIN pw USING (far) GROUP BY id),
+k AS (SELECT d.id, doc_id, len + 1 AS size, xor(xor(z, coalesce(c, 0)), 4294967295) AS text_crc32 FROM d JOIN pw ON pw.far = d.len LEFT JOIN crc ON crc.id = d.id),
+h AS (SELECT *, {draw_sql('doc_id', 'text_crc32', 'size')} AS h FROM k),
+num AS (SELECT *, row_number() OVER (ORDER BY (h >> 20) % {BUCKETS}, h, doc_id NULLS LAST, text_crc32, size) - 1 AS row_no, count(*) OVER () AS n FROM h),
+ab AS (SELECT n, a, CAST(ceil(CAST(n AS DOUBLE) / a) AS BIGINT) + 1 AS b FROM (SELECT any_value(n) AS n, CAST(ceil(sqrt(CAST(any_value(n) AS DOUBLE))) AS BIGINT) AS a FROM num)),
+w AS ({_feistel_sql('row_no', '(SELECT row_no, ab.* FROM num, ab)')}
+  UNION ALL {_feistel_sql('x', 'w WHERE x >= n')})
+SELECT doc_id, size, text_crc32, 'rows' AS law, CAST(x % {SHARDS} AS INTEGER) AS shard, CAST(x // {SHARDS} AS BIGINT) AS slot, CAST(NULL AS INTEGER) AS grown_shard FROM num JOIN w USING (row_no) WHERE x < w.n
+"""

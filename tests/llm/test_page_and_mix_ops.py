@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import io
+import random
 import zlib
 
 import pytest
@@ -159,7 +160,6 @@ def test_salvage():
     assert [(r[0], r[3]) for r in run(many + m1)] == [("record", f"<urn:page:{k}>") for k in (1, 2, 3, 1)]
     inner = run(member(one + two.replace(b"pppp", b"qqqq", 1) + three))
     assert [r[0] for r in inner] == ["record", "gap", "record"] and "inflated bytes" in inner[1][3]
-    import random
 
     noise = [warc.record(f"urn:page:{k}", None, random.Random(k).randbytes(200_000)) for k in range(4)]
     packed = bytearray(member(b"".join(noise)))
@@ -248,6 +248,49 @@ def test_targets(spark, sizes):
     assert got == pytest.approx(_targets_brute(sizes))
 
 
+def _draw(*parts):
+    return int(hashlib.md5("|".join("~" if p is None else str(p) for p in parts).encode()).hexdigest()[:15], 16)
+
+
+def _mix_brute(rows):
+    """Every taking's position, one document after the other."""
+    size = [len((t or "").split()) for _, t, _ in rows]
+    total = collections.Counter()
+    for n, (_, _, s) in zip(size, rows):
+        total[s] += n
+    target = _targets_brute(dict(total))
+    out = []
+    for source in total:
+        tilt = (_draw(7, source) % 2001 - 1000) / 1000 * 0.5
+        line = [(_draw(i, s, n), i is None, i or 0, n, i) for n, (i, _, s) in zip(size, rows) if s == source]
+        before = 0
+        for *_, n, i in sorted((h >> 20 & 1023, h, *rest) for h, *rest in line):
+            whole = int(target[source] // total[source]) if total[source] else 0
+            takes = whole + (n > 0 and before + n / 2 <= target[source] - whole * total[source])
+            places = []
+            for k in range(takes):
+                share = (before + k * total[source]) / target[source]
+                lo, hi = 0.0, 1.0
+                for _ in range(60):  # the demand is inverted by halving
+                    t = (lo + hi) / 2
+                    lo, hi = (t, hi) if (1 + tilt) * t - tilt * t * t < share else (lo, t)
+                places.append(lo)
+            out.append((i, n, total[source], target[source], n * takes, places))
+            before += n
+    return out
+
+
+def test_positions_against_brute_force(spark):
+    rng = random.Random(5)
+    rows = [(k, "w " * rng.randrange(30), rng.choice(["b", "a", None, "c", "c", "c"])) for k in range(400)] + [(900, None, "a"), (901, "", "z"), (None, "q q", "a"), (902, "long " * 60_000, "b")]
+    df = spark.createDataFrame([(*r, 1, 2) for r in rows], "doc_id long, text string, source string, position int, __size int")
+    got = sorted(((r.doc_id, r.size, r.source_size, r.target, r.taken, r.positions, r.position) for r in mixing.mix(df).collect()), key=lambda r: str(r[0]))
+    want = sorted(_mix_brute(rows), key=lambda r: str(r[0]))
+    assert [g[:3] + g[4:5] for g in got] == [w[:3] + w[4:5] for w in want]
+    for g, w in zip(got, want):
+        assert g[3] == pytest.approx(w[3]) and g[5] == pytest.approx(w[5], abs=1e-7) and g[6] == (g[5][0] if g[5] else None)
+
+
 def test_mix(spark):
     rows = [(k, " ".join(["w"] * (k % 17)), ["b", "a", None, "c"][min(3, k % 7)]) for k in range(300)] + [(900, None, "a"), (901, "", "z"), (None, "q q", "a"), (5, "w " * 5, "c")]
     df = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, source string, size int")
@@ -303,6 +346,35 @@ def test_permutation_is_one(spark, n):
     assert sorted(r.y for r in got) == list(range(n))
 
 
+def _permuted(x, n, key):
+    import math
+
+    a = math.ceil(math.sqrt(n))
+    b = math.ceil(n / a) + 1
+    while True:
+        left, right = divmod(x, b)
+        for k in range(sharding.ROUNDS):
+            if k % 2:
+                right = (right + _draw(left, key, k)) % b
+            else:
+                left = (left + _draw(right, key, k)) % a
+        x = left * b + right
+        if x < n:
+            return x
+
+
+def test_shards_against_brute_force(spark):
+    rows = [(k, "é" * (k % 7)) for k in range(250)] + [(None, None), (3, "again"), (3, "again")]
+    keyed = [(i, zlib.crc32((t or "").encode()), len((t or "").encode()) + 1) for i, t in rows]
+    order = sorted(keyed, key=lambda r: (_draw(*r) >> 20 & 4095, _draw(*r), r[0] is None, r[0] or 0, r[1:]))
+    want = collections.Counter()
+    for number, (i, crc, size) in enumerate(order):
+        at = _permuted(number, len(rows), sharding.KEY)
+        want[i, size, crc, at % 16, at // 16] += 1
+    got = sharding.shard(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert collections.Counter((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in got) == want
+
+
 def test_shards(spark):
     rows = [(k, "x" * (k % 9)) for k in range(333)] + [(None, None), (None, None), (5, "dup"), (5, "dup"), (7, "é" * 100_000)]
     df = spark.createDataFrame([(*r, 3) for r in rows], "doc_id long, text string, shard int")
