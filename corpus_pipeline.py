@@ -1,7 +1,10 @@
 """Stages that turn the documents table into a tokenized training mix.
 
 Each stage works on all that its predecessor kept and returns the columns of
-documents; the last adds token ids and the digests of its round trip.
+documents; the last returns token counts and the digests of its round trip.
+
+Columns beside ``doc_id``, ``text``, ``lang`` and ``source`` are carried along
+unread, whatever their names.  Empty tables pass every stage as empty ones.
 """
 
 from __future__ import annotations
@@ -16,24 +19,42 @@ from lodestone.llm.queries import VOCABULARY
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters or with too narrow a margin."""
+    """Drops documents without letters (null and empty texts among them) or with too narrow a margin.
+
+    Rows that repeat are judged alike; a null ``lang`` teaches nothing and a null
+    ``doc_id`` may.
+    """
     return langid.identify(docs).filter(~F.col("rejected")).select(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the row of smallest id of every group of equal texts, null as empty; a null id only where all are null.
+
+    Rows that repeat text and id leave one.
+    """
     return exact_dedup.drop_copies(docs)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document of smallest id of every component of near copies.
+
+    Rows of a null id, and texts without words, are linked with nothing and stay;
+    rows that share an id stay or go together.
+    """
     return superminhash.drop_near(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeats and leaves out documents by their sources' targets, in training order."""
+    """Repeats and leaves out documents by their sources' targets, in training order.
+
+    A null source is one of its own; a document without words stands for itself,
+    as often as its source is taken whole.
+    """
     return mixing.curriculum(docs)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Encodes and decodes every text: ``doc_id``, ``n_tokens`` and both digests; a null text has no tokens."""
     ranks = bpe.read_ranks(VOCABULARY)
     return bpe.round_trip(docs, "text", "doc_id", ranks, public_tokenizers.PATTERN)
 
