@@ -143,6 +143,17 @@ def fit(rows: list[tuple[str, str]]) -> Model:
     return model
 
 
+def _classified(docs: DataFrame, model: Model, text: str) -> DataFrame:
+    """``docs`` with a struct ``__lid`` of prediction, score and rejection."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.pandas_udf("lang_pred string, score double, rejected boolean")
+    def classify(texts: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame([shared.value.classify(t) for t in texts], columns=["lang_pred", "score", "rejected"])
+
+    return docs.withColumn("__lid", classify(F.col(text)))
+
+
 def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``rejected``.
 
@@ -151,17 +162,21 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     rejected.  Rows that repeat are judged alike; columns named as the three new
     ones are replaced.
     """
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    out = _classified(docs, model, text)
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "rejected")], "__lid.*")
 
-    @F.pandas_udf("lang_pred string, score double, rejected boolean")
-    def classify(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame([shared.value.classify(t) for t in texts], columns=["lang_pred", "score", "rejected"])
 
-    out = docs.withColumn("__lid", classify(F.col(text)))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "rejected")], "__lid.*")
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> Model:
+    """A model of the rows of ``docs`` that are not held out."""
+    return fit(sample(docs.filter(~held_out(F.col(id_col))), text, lang, id_col))
+
+
+def drop_rejected(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> DataFrame:
+    """``docs`` without the rows whose language is rejected, all columns as they are."""
+    out = _classified(docs, learn(docs, text, lang, id_col), text)
+    return out.filter("NOT __lid.rejected").drop("__lid")
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> DataFrame:
     """Learns from the rows of ``docs`` that are not held out and predicts all of them."""
-    model = fit(sample(docs.filter(~held_out(F.col(id_col))), text, lang, id_col))
-    return predict(docs, model, text)
+    return predict(docs, learn(docs, text, lang, id_col), text)

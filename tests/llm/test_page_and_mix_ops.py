@@ -419,3 +419,62 @@ def test_pipeline_stage_by_stage(spark, sf_dir):
     assert collections.Counter((r.doc_id, r.decoded_sha256) for r in final.collect()) == texts
     ran = corpus_pipeline.run(spark, sf_dir)
     assert sorted(map(str, ran.collect())) == sorted(map(str, final.collect()))
+
+
+EDGES = [
+    (1, None, "en", "a"), (2, "", "en", "a"), (3, " \n ", None, None), (4, "the cat and the dog sat on the mat " * 8, "en", "a"), (4, "the cat and the dog sat on the mat " * 8, "en", "a"),
+    (5, "the cat and the dog sat on the mat " * 8 + "too", "en", "b"), (6, "der hund und die katze sind im haus " * 8, "de", "b"), (None, "der hund und die katze gehen nach haus " * 8, "de", None),
+    (7, "123 456", "de", "b"), (8, "the dog and the house " * 40_000, "en", "b"), (9, "der hund " * 30, None, "z"), (9, "the dog " * 30, "en", "z"),
+]
+
+
+def test_pipeline_stages_on_every_kind_of_row(spark):
+    import corpus_pipeline
+
+    rows = [(*r, len(r[1] or ""), "x", 1, 2.0) for r in EDGES]
+    # names the operators use themselves
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, kept string, size int, score double")
+    stages = dict(corpus_pipeline.STAGES)
+    out = {}
+    for name, stage in list(stages.items())[:-1]:
+        got = stage(spark, docs, "/nowhere")
+        assert got.columns == docs.columns, name
+        out[name] = sorted((str(r.doc_id), (r.text or "")[:30], r.kept, r.size, r.score) for r in got.collect())
+        assert set(out[name]) <= {(str(i), (t or "")[:30], "x", 1, 2.0) for i, t, *_ in rows}, name
+        assert stage(spark, docs.limit(0), "/nowhere").count() == 0, name
+    assert not {i for i, *_ in out["language ID"]} & {"1", "2", "3", "7"} and {i for i, *_ in out["language ID"]} >= {"4", "6", "8"}
+    assert [i for i, *_ in out["exact dedup"]] == sorted(["1", "3", "4", "5", "6", "None", "7", "8", "9", "9"])
+    assert [i for i, *_ in out["near dedup"]] == sorted(["1", "2", "3", "4", "4", "6", "None", "7", "8", "9", "9"])
+    final = stages["byte BPE"](spark, docs, "/nowhere").collect()
+    assert sorted((str(r.doc_id), r.decoded_sha256) for r in final) == sorted((str(i), hashlib.sha256((t or "").encode()).hexdigest()) for i, t, *_ in rows)
+    assert stages["byte BPE"](spark, docs.limit(0), "/nowhere").count() == 0
+
+
+def test_pipeline_decisions_by_brute_force(spark):
+    """Each stage's rows from plain Python over the rows its predecessor kept."""
+    import corpus_pipeline
+
+    from tests.llm.test_text_ops import _dedup_brute, _expected, _near_brute
+
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    stages = dict(corpus_pipeline.STAGES)
+    kept = stages["language ID"](spark, docs, "").cache()
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    want = sorted(i for i, _, _, k, _ in _dedup_brute(rows) if k)
+    kept = stages["exact dedup"](spark, kept, "").cache()
+    assert sorted(r.doc_id for r in kept.collect()) == want
+    rows = [(r.doc_id, r.text) for r in kept.collect()]
+    want = sorted(i for i, (_, c) in _near_brute(rows).items() if i == c)
+    kept = stages["near dedup"](spark, kept, "").cache()
+    assert sorted(r.doc_id for r in kept.collect()) == want
+    rows = [(r.doc_id, r.text, r.source) for r in kept.collect()]
+    takes = sorted((p, i) for i, *_, places in _mix_brute(rows) for p in places)
+    mixed = stages["source mix"](spark, kept, "").collect()
+    assert collections.Counter(r.doc_id for r in mixed) == collections.Counter(i for _, i in takes)
+    places = {}
+    for p, i in takes:
+        places.setdefault(i, []).append(p)
+    dealt = [places[r.doc_id].pop(0) for r in mixed]
+    assert all(a <= b + 1e-9 for a, b in zip(dealt, dealt[1:]))
+    final = stages["byte BPE"](spark, spark.createDataFrame(mixed, docs.schema), "").collect()
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in final) == sorted((r.doc_id, *_expected(r.text)) for r in mixed)
