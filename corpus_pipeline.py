@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestone.llm import bpe, exact_dedup, langid, mixing, superminhash
 from lodestone.llm.common import cut
@@ -24,7 +23,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows that repeat are judged alike; a null ``lang`` teaches nothing and a null
     ``doc_id`` may.
     """
-    return langid.identify(docs).filter(~F.col("rejected")).select(*docs.columns)
+    return langid.drop_rejected(docs)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
