@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import count_words, draw, draw_sql
+from .common import count_words, draw, draw_sql, stored
 
 MOST_REPEATS = 3
 BUCKETS = 1024
@@ -82,7 +82,8 @@ def plan(
     equal in all of these are interchangeable.
     """
     rows = _bucketed(docs, text, id_col, source, buckets)
-    sums = rows.groupBy("__s", "__b").agg(F.sum("__size").alias("words"))
+    # one pass over the texts: a row a source and bucket, used twice
+    sums = stored(rows.groupBy("__s", "__b").agg(F.sum("__size").alias("words")))
     up_to = Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("__start", F.coalesce(F.sum("words").over(up_to), F.lit(0)))
     sizes = sums.groupBy("__s").agg(F.sum("words").alias("source_size"))
