@@ -14,7 +14,7 @@ component meet all members in tiles of bounded size, first by their signatures
 alone.  Those with a partner of another component whose signature agrees in
 enough places meet again with their texts; pairs are verified on their full
 sets, and only links leave a tile.  A bucket of m such members makes m + m^2 /
-250 rows of a few hundred bytes, whatever their texts.
+150 rows of a few hundred bytes, whatever their texts.
 
 At 0.75 and 32 bands of 4, two documents share no band with probability 5e-6;
 ``least_equal`` passes over a similar pair with probability 1e-9.
@@ -35,7 +35,7 @@ WIDTH = 5
 PLACES = 128
 ROWS = 4
 #: Members a side of a tile holds, and pairs of one leader that share a copy of its text.
-BLOCK = 500
+BLOCK = 300
 SALT_ROWS = 1000
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
