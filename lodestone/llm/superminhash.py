@@ -10,11 +10,11 @@ Candidates are kept linear in the number of rows.  Documents with equal sets for
 a class at once.  In every bucket the class of smallest id is the leader and all
 others are verified against it only.  A bucket whose classes are thereby of one
 component needs no more.  In the others, members outside the bucket's largest
-component meet all members in tiles of bounded size, first by their signatures
-alone.  Those with a partner of another component whose signature agrees in
-enough places meet again with their texts; pairs are verified on their full
-sets, and only links leave a tile.  A bucket of m such members makes m + m^2 /
-150 rows of a few hundred bytes, whatever their texts.
+component meet all members in tiles of two parts of bounded size, first by their
+signatures alone.  Those with a partner of another component whose signature
+agrees in enough places meet again with their texts; pairs are verified on their
+full sets, and only links leave a tile.  A bucket of m such members makes m rows
+of a few hundred bytes for every 250 of them, whatever their texts.
 
 At 0.75 and 32 bands of 4, two documents share no band with probability 5e-6;
 ``least_equal`` passes over a similar pair with probability 1e-9.
@@ -34,8 +34,8 @@ from .common import cut, stored
 WIDTH = 5
 PLACES = 128
 ROWS = 4
-#: Members a side of a tile holds, and pairs of one leader that share a copy of its text.
-BLOCK = 300
+#: Members a part of a tile holds, and pairs of one leader that share a copy of its text.
+BLOCK = 250
 SALT_ROWS = 1000
 
 _MULT = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], dtype=np.uint64)
@@ -207,18 +207,18 @@ def _verified(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> D
 
 
 def _among(width: int, percent: int, verify: bool):
-    """Of a tile's visitors and residents those that may be linked, or their links.
+    """Of a tile's members those that may be linked, or their links.
 
-    Both look at pairs of different components that share this tile's band as
-    their first and whose signatures agree in enough places.
+    Both look at pairs of different components and parts, or of one part that is
+    settled here, that share this tile's band as their first and whose signatures
+    agree in enough places.
     """
 
     def found(pdf: pd.DataFrame) -> pd.DataFrame:
         key = int(pdf["key"].iloc[0])
         sig = np.frombuffer(b"".join(pdf["sig"]), np.uint8).reshape(len(pdf), -1)
         band = np.stack(pdf["bands"].to_numpy())
-        ids, comps, minor, visits = (pdf[c].to_numpy() for c in ("id", "c", "minor", "visits"))
-        here = np.flatnonzero(~visits)
+        ids, comps, part, settled = (pdf[c].to_numpy() for c in ("id", "c", "part", "settled"))
         least = least_equal(sig.shape[1], percent)
         parent = {c: c for c in comps.tolist()}
 
@@ -235,9 +235,8 @@ def _among(width: int, percent: int, verify: bool):
                 sets[i] = shingles(pdf["t"].iloc[i], width)
             return sets[i]
 
-        for i in np.flatnonzero(visits):
-            # two visitors meet in both their tiles: once is enough
-            near = here[(comps[here] != comps[i]) & (~minor[here] | (ids[here] > ids[i]))]
+        for i in range(len(pdf) - 1):
+            near = np.flatnonzero((comps[i + 1 :] != comps[i]) & (settled[i] | (part[i + 1 :] != part[i]))) + i + 1
             near = near[(sig[near] == sig[i]).sum(1) >= least]
             if not len(near):
                 continue
@@ -254,7 +253,7 @@ def _among(width: int, percent: int, verify: bool):
                     parent[a] = b
         if verify:
             return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-        return pdf.loc[some, ["key", "blk", "visit", "id", "c", "minor", "visits"]]
+        return pdf.loc[some, ["key", "x", "y", "id", "c", "part", "settled"]]
 
     return found
 
@@ -262,32 +261,34 @@ def _among(width: int, percent: int, verify: bool):
 def _rest(members: DataFrame, comps: DataFrame, reps: DataFrame, texts: DataFrame, width: int, percent: int, block: int) -> DataFrame:
     """Links among those of a bucket that its leader was not enough for.
 
-    The leader has met everyone.  Of the others, members of the bucket's largest
-    component stay in their blocks and all the rest visit every block, in parts
-    of bounded size: a tile is a block with a part of the visitors.
+    The leader has met everyone.  The others are dealt to parts, those of the
+    bucket's largest component to parts of their own, the last ones.  A tile
+    (x, y) holds two parts, the first never of that component, whose members need
+    not meet.  Pairs inside a part are settled in the first tile that has it.
     """
     others = members.filter("id <> a").select("key", "id")
     labelled = cut(others.join(comps.withColumnRenamed("v", "id"), "id", "left").withColumn("c", F.coalesce("c", "id")))
     per = labelled.groupBy("key", "c").agg(F.count("*").alias("n"))
     sums = per.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("major"), F.sum("n").alias("total"), F.max("n").alias("most"))
-    open_ = sums.filter("most < total").select("key", "major", F.ceil(F.col("total") / block).cast("int").alias("nb"), F.ceil((F.col("total") - F.col("most")) / block).cast("int").alias("nv"))
-    rows = labelled.join(open_, "key").withColumn("minor", F.col("c") != F.col("major"))
 
-    def part(n: str):
-        return F.pmod(F.xxhash64("id"), F.col(n)).cast("int")
-
-    def every(n: str):
-        return F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-
-    names = ["key", "blk", "visit", "id", "c", "minor"]
-    stay = rows.withColumn("blk", part("nb")).withColumn("visit", every("nv")).select(*names, F.lit(False).alias("visits"))
-    visit = rows.filter("minor").withColumn("visit", part("nv")).withColumn("blk", every("nb")).select(*names, F.lit(True).alias("visits"))
-    sketched = stay.union(visit).join(reps, "id")
-    near = sketched.groupBy("key", "blk", "visit").applyInPandas(
-        _among(width, percent, False), "key long, blk int, visit int, id long, c long, minor boolean, visits boolean"
+    def parts(n):
+        return F.ceil(n / block).cast("int")
+
+    open_ = sums.filter("most < total").select("key", "major", parts(F.col("total") - F.col("most")).alias("nv"), parts(F.col("most")).alias("nm"))
+    h = F.xxhash64("id")
+    part = F.when(F.col("c") != F.col("major"), F.pmod(h, F.col("nv"))).otherwise(F.col("nv") + F.pmod(h, F.col("nm"))).cast("int")
+    rows = labelled.join(open_, "key").withColumn("part", part)
+    most = F.when(F.col("part") < F.col("nv"), F.col("nv") + F.col("nm")).otherwise(F.col("nv"))
+    met = F.filter(F.sequence(F.lit(0), most - 1), lambda q: q != F.col("part"))
+    rows = rows.select("key", "id", "c", "nv", "part", F.explode(met).alias("q"))
+    rows = rows.withColumn("x", F.least("part", "q")).withColumn("y", F.greatest("part", "q"))
+    settled = (F.col("part") < F.col("nv")) & (F.col("x") == 0) & (F.col("y") == F.greatest("part", F.lit(1)))
+    sketched = rows.select("key", "x", "y", "id", "c", "part", settled.alias("settled")).join(reps, "id")
+    near = sketched.groupBy("key", "x", "y").applyInPandas(
+        _among(width, percent, False), "key long, x int, y int, id long, c long, part int, settled boolean"
     )
     full = stored(near).join(reps, "id").join(texts, "id")
-    return full.groupBy("key", "blk", "visit").applyInPandas(_among(width, percent, True), "a long, b long").distinct()
+    return full.groupBy("key", "x", "y").applyInPandas(_among(width, percent, True), "a long, b long").distinct()
 
 
 def _joined(comps: DataFrame, links: DataFrame) -> DataFrame:
