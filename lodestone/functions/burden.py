@@ -94,3 +94,9 @@ def excess_shift(statistic: Column, baseline: Column, sigma: Column) -> Column:
     """Shift over the baseline's own, not below 0; NULL where either is."""
     over = deconvolve_shift(statistic, sigma) - deconvolve_shift(baseline, sigma)
     return F.when(over.isNotNull(), F.greatest(F.lit(0.0), over))
+
+
+def detection_limit(baseline: Column, sd: Column, sigma: Column, z: float = 5.0) -> Column:
+    """The least fraction (gain) at which a window reaches ``z``; NULL without scatter or noise."""
+    delta = excess_shift(baseline + z * sd, baseline, sigma)
+    return F.when((sd > 0) & (sigma > 0), mosaic_fraction(delta, True))

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,6 +42,7 @@ REPORT = [
     ("karyotype_string", r"\b4[5-9],\s*(?:XX|XY)\b"),
     ("disease_ontology_id", r"\bMONDO:\d+\b"),
 ]
+# Fixed value: the form of a publication's identifier.
 DOI = r"\b10\.\d{4,9}/[^\s\"')\]]+"
 # Phrases that give a record its direction.
 SUPPORT = [
@@ -99,6 +99,7 @@ PEDIATRIC_ESTABLISHED = [
     ("indicated_in_children", r"\bindicated\b(?:\s+\w+){0,8}\s+pediatric\s+patients\b"),
     ("age_band", r"\bpediatric\s+patients\s+(?:aged\s+)?\d+\s+(?:years?|months?)\s+(?:of\s+age\s+)?(?:and\s+older|or\s+older|to\s+\d+)"),
 ]
+# Classes of drugs that are taken as genotoxic.
 CYTOTOXIC_CLASSES = [
     r"\balkylating\b", r"\bantimetabolite\b", r"\btopoisomerase inhibitor\b", r"\bnucleoside metabolic inhibitor\b", r"\banthracycline\b",
     r"\bplatinum-based drug\b", r"\bmicrotubule inhibitor\b", r"\bdna (?:methyltransferase|synthesis) inhibitor\b", r"\bradiopharmaceutical\b",
@@ -179,28 +180,68 @@ def valid_citations(given: Column, allowed: Column) -> Column:
     return F.struct(F.filter(keys, lambda k: F.array_contains(ok, k)).alias("kept"), F.filter(keys, lambda k: ~F.array_contains(ok, k)).alias("dropped"))
 
 
-def _covered(text: str, spans: list) -> list[tuple[int, int]]:
-    return [m.span() for p in spans for m in p.finditer(text)]
+def _spans(text: Column, pattern: str) -> Column:
+    """Places (start, end) of all matches: lengths of the pieces between them and of the matches themselves."""
+    java = f"(?iU){pattern}"
+    between, found = F.split(text, java, -1), F.regexp_extract_all(text, F.lit(java), F.lit(0))
+    sizes = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda b, m: F.struct(F.length(b).alias("b"), F.length(m).alias("m")))
+    none = F.array().cast("array<struct<start:int,end:int>>")
 
+    def step(done, x):
+        start = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + x["b"]
+        return F.concat(done, F.array(F.struct(start.alias("start"), (start + x["m"]).alias("end"))))
 
-def first_unmasked(patterns: list[tuple[str, str]], masks: list[str]):
-    """An Arrow UDF: the first pattern, in pattern order, with a match that no mask's span covers.
+    return F.aggregate(sizes, none, step)
 
-    A match is masked only if its start lies inside a span; every match is
-    looked at.  Spark's functions return no offsets of all matches, so this
-    gate is the one place where text leaves the JVM.
+
+def first_unmasked(text: Column, patterns: list[tuple[str, str]], masks: list[str]) -> Column:
+    """The first pattern, in pattern order, with a match that no mask's span covers; NULL if none has.
+
+    A match is masked only if its start lies inside a span; every match is looked
+    at.  Texts that no pattern matches at all cost one search a pattern.
     """
-    compiled = [(n, re.compile(p, re.I)) for n, p in patterns]
-    spans = [re.compile(p, re.I) for p in masks]
+    covered = F.concat(*[_spans(text, m) for m in masks])
+    out = F.lit(None).cast("string")
+    for name, pattern in reversed(patterns):
+        free = F.exists(_spans(text, pattern), lambda m: ~F.exists(covered, lambda c: (c["start"] <= m["start"]) & (m["start"] < c["end"])))
+        out = F.when(text.rlike(f"(?iU){pattern}") & free, F.lit(name)).otherwise(out)
+    return out
 
-    def first(text):
-        if text is None:
-            return None
-        covered = _covered(text, spans)
-        return next((n for n, p in compiled if any(not any(a <= m.start() < b for a, b in covered) for m in p.finditer(text))), None)
 
-    @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return texts.map(first)
+def as_list(value: Column) -> Column:
+    """A list column that may come as text: NULL is empty, ``[..]`` is read, anything else is its one element."""
+    text = F.trim(value)
+    listed = F.when(text.startswith("[") & text.endswith("]"), F.from_json(text, "array<string>"))
+    return F.when(value.isNull(), F.array().cast("array<string>")).otherwise(F.coalesce(listed, F.array(value)))
 
-    return run
+
+def search_query(field: str, names: Column, context: list[str]) -> Column:
+    """Names AND context for a literature search: phrases quoted, wildcards bare.
+
+    A term with a wildcard and a space cannot be said and is an error, as is an
+    empty context.
+    """
+    if not context:
+        raise ValueError("without context a name alone would find all of its literature")
+
+    def rendered(term: Column) -> Column:
+        t = F.trim(term)
+        wrong = F.raise_error(F.concat(F.lit("a wildcard stands in a phrase: "), t)).cast("string")
+        bare = F.when(t.rlike(r"\s"), wrong).otherwise(F.concat(F.lit(f"{field}:"), t))
+        return F.when(F.contains(t, F.lit("*")), bare).otherwise(F.concat(F.lit(f'{field}:"'), t, F.lit('"')))
+
+    def clause(terms: Column) -> Column:
+        return F.concat(F.lit("("), F.array_join(F.transform(terms, rendered), " OR "), F.lit(")"))
+
+    return F.concat(clause(names), F.lit(" AND "), clause(_strings(context)))
+
+
+def snippet(text: Column, pattern: str, limit: int = 600) -> Column:
+    """The sentence round the first match, else the text's opening; white space collapsed, at most ``limit`` characters."""
+    flat = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " "))
+    hit = F.regexp_extract(flat, f"({pattern})", 1)
+    at = F.instr(flat, hit)
+    before, after = F.left(flat, at - 1), F.substring(flat, at + F.length(hit), F.length(flat))
+    end = F.concat(F.substring_index(after, ".", 1), F.when(F.contains(after, F.lit(".")), ".").otherwise(""))
+    sentence = F.trim(F.concat(F.substring_index(before, ".", -1), hit, end))
+    return F.left(F.when((hit != "") & (sentence != ""), sentence).otherwise(flat), F.lit(limit))

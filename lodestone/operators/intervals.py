@@ -20,8 +20,9 @@ def in_regions(points: DataFrame, regions: DataFrame, pad: int, bin_width: int =
 
 
 def first_region(points: DataFrame, regions: DataFrame, pad: int) -> DataFrame:
-    """Per point the region of the first name that holds it; points in none are left out."""
-    return in_regions(points, regions, pad).groupBy(*points.columns).agg(F.min("gene").alias("gene"))
+    """Per point the region of the first name that holds it; points in none are left out, repeated ones stay."""
+    numbered = points.withColumn("__row", F.monotonically_increasing_id())
+    return in_regions(numbered, regions, pad).groupBy("__row", *points.columns).agg(F.min("gene").alias("gene")).drop("__row")
 
 
 def near(points: DataFrame, sites: DataFrame, reach: int) -> DataFrame:

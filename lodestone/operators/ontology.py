@@ -72,3 +72,8 @@ def term_ratios(query: DataFrame, terms: DataFrame, closed: DataFrame, ic: DataF
     own = ic.select(F.col("term").alias("q"), F.col("ic").alias("icq"))
     share = F.try_divide(F.col("sim"), F.nullif("icq", F.lit(0.0)))
     return related.join(sims, ["q", "t"]).join(own, "q").groupBy(F.col("t").alias("term")).agg(F.max(share).alias("ratio"))
+
+
+def subtree(closed: DataFrame, root: str) -> DataFrame:
+    """Terms under a root, itself included, by their closure (term, ancestor)."""
+    return closed.filter(F.col("ancestor") == root).select("term").distinct()

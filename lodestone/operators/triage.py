@@ -30,15 +30,13 @@ def verdicts(labels: DataFrame) -> DataFrame:
     NULL without a record) and classes (array).  What cannot be read excludes.
     """
     risk = [p for p in lexical.GENOTOXIC if p[0] in ("malignancy_risk", "secondary_malignancy")]
-    # plain columns first: an Arrow UDF takes them as arguments
     rows = labels.withColumns({f"__{n}": _section(n) for n in [*WARNINGS, "pediatric_use"]})
     rows = rows.withColumn("__finding", F.coalesce(*[_section(n) for n in FINDINGS]))
-    in_warning = lexical.first_unmasked(risk, lexical.NEGATED)
-    rows = rows.withColumns({f"__hit_{n}": in_warning(F.col(f"__{n}")) for n in WARNINGS})
-    rows = rows.withColumn("__geno", lexical.first_unmasked(lexical.GENOTOXIC, lexical.NEGATED)(F.col("__finding")))
+    rows = rows.withColumns({f"__hit_{n}": lexical.first_unmasked(F.col(f"__{n}"), risk, lexical.NEGATED) for n in WARNINGS})
+    rows = rows.withColumn("__geno", lexical.first_unmasked(F.col("__finding"), lexical.GENOTOXIC, lexical.NEGATED))
     denied = [p for _, p in lexical.PEDIATRIC_DENIED]
-    rows = rows.withColumn("__ok", lexical.first_unmasked(lexical.PEDIATRIC_ESTABLISHED, denied)(F.col("__pediatric_use")))
-    rows = rows.withColumn("__no", lexical.first_unmasked(lexical.PEDIATRIC_DENIED, lexical.NEGATED)(F.col("__pediatric_use")))
+    rows = rows.withColumn("__ok", lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_ESTABLISHED, denied))
+    rows = rows.withColumn("__no", lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_DENIED, lexical.NEGATED))
 
     classes = F.coalesce(F.array_join("classes", " "), F.lit(""))
     toxic_class = classes.rlike("(?i)" + "|".join(lexical.CYTOTOXIC_CLASSES))

@@ -104,24 +104,71 @@ LABELS = [
 ]
 
 
-def _judged(spark):
-    rows = [
-        (i, {triage.FINDINGS[0]: geno, "pediatric_use": ped} | ({"boxed_warning": "Serious."} if i == "L2" else {}), ["Prescription"] if k % 2 else ["Discontinued"], ["Kinase Inhibitor"] if k < 5 else ["Alkylating Drug"])
-        for k, (i, geno, ped) in enumerate(LABELS)
-    ] + [("L7", None, None, None)]
-    labels = spark.createDataFrame(rows, "id string, sections map<string,string>, statuses array<string>, classes array<string>")
+_LABELS = f"""lab(k, finding, pediatric) AS (VALUES {', '.join(f"({k}, '{g}', '{p}')" for k, (_, g, p) in enumerate(LABELS))}),
+d AS (SELECT doc_id, doc_id % 7 <> 3 AS labelled, CASE WHEN doc_id % 7 <> 3 THEN trim(finding || ' ' || coalesce(text, '')) END AS finding, CASE WHEN doc_id % 7 <> 3 THEN nullif(trim(pediatric), '') END AS pediatric,
+  CASE WHEN doc_id % 7 <> 3 AND doc_id % 5 = 0 THEN 'There is an increased risk of lymphoma.' END AS boxed, CASE doc_id % 4 WHEN 0 THEN 'Prescription' WHEN 1 THEN 'Discontinued' WHEN 2 THEN 'Over-the-counter' END AS status,
+  CASE WHEN doc_id % 11 = 0 THEN 'Alkylating Drug' ELSE 'Kinase Inhibitor' END AS class FROM documents JOIN lab ON k = doc_id % 6)"""
+
+
+def _free_sql(text: str, patterns, masks) -> str:
+    """The first pattern with a match whose start lies in no mask's span: places from the pieces between matches."""
+
+    def spans(p):
+        p = "(?i)" + p.replace("'", "''")
+        between, found = f"string_split_regex({text}, '{p}')", f"regexp_extract_all({text}, '{p}')"
+        start = f"CAST(coalesce(list_sum(list_transform({between}[1:i], lambda v: length(v))), 0) + coalesce(list_sum(list_transform({found}[1:i - 1], lambda v: length(v))), 0) AS BIGINT)"
+        return f"list_transform(range(1, len({found}) + 1), lambda i: [{start}, {start} + length({found}[i])])"
+
+    covered = "flatten([" + ", ".join(map(spans, masks)) + "])"
+    cases = " ".join(f"WHEN regexp_matches({text}, '(?i){p}') AND len(list_filter({spans(p)}, lambda m: len(list_filter({covered}, lambda c: c[1] <= m[1] AND m[1] < c[2])) = 0)) > 0 THEN '{n}'" for n, p in patterns)
+    return f"CASE {cases} END"
+
+
+_RISK = [p for p in fn.GENOTOXIC if p[0] in ("malignancy_risk", "secondary_malignancy")]
+_TRIAGE = f"""WITH {_LABELS}, g AS (SELECT *, CASE WHEN regexp_matches(class, '(?i){'|'.join(fn.CYTOTOXIC_CLASSES)}') THEN 'cytotoxic_class' WHEN warned IS NOT NULL THEN warned WHEN found IS NOT NULL THEN found
+    WHEN coalesce(regexp_matches(finding, '(?i){'|'.join(fn.NEGATIVE)}'), false) THEN 'negative_findings_reported' ELSE 'insufficient_evidence' END AS geno
+  FROM (SELECT *, {_free_sql('boxed', _RISK, fn.NEGATED)} AS warned, {_free_sql('finding', fn.GENOTOXIC, fn.NEGATED)} AS found,
+    {_free_sql('pediatric', fn.PEDIATRIC_ESTABLISHED, [p for _, p in fn.PEDIATRIC_DENIED])} AS ok, {_free_sql('pediatric', fn.PEDIATRIC_DENIED, fn.NEGATED)} AS denied FROM d)),
+v AS (SELECT doc_id, unnest([
+  {{'rule': 'genotoxic_or_cancer_risk', 'verdict': CASE WHEN geno = 'negative_findings_reported' THEN 'pass' ELSE 'excluded' END, 'reason': geno}},
+  {{'rule': 'pediatric_use', 'verdict': CASE WHEN ok IS NOT NULL THEN 'pass' ELSE 'excluded' END, 'reason': coalesce(ok, denied, 'insufficient_evidence')}},
+  {{'rule': 'currently_marketed', 'verdict': CASE WHEN status IN ('Prescription', 'Over-the-counter') THEN 'pass' ELSE 'excluded' END, 'reason': CASE WHEN status IS NULL THEN 'insufficient_evidence' WHEN status = 'Discontinued' THEN 'not_currently_marketed' ELSE 'marketed' END}},
+  {{'rule': 'bbb_penetration', 'verdict': 'not_applicable', 'reason': 'endpoint_has_no_cns_requirement'}},
+  {{'rule': 'clinical_status', 'verdict': CASE WHEN labelled THEN 'pass' ELSE 'not_applicable' END, 'reason': CASE WHEN NOT labelled THEN 'no_label' WHEN boxed IS NOT NULL THEN 'boxed_warning_present' ELSE 'no_warning_sections' END}}], recursive := true) FROM g)"""
+
+
+def _judged(spark, sf_dir):
+    """Every document as a label: invented findings before its text, some without a label, status or class."""
+    k = F.col("doc_id") % 6
+    pick = lambda i: F.get(F.array(*[F.lit(x[i]) for x in LABELS]), k.cast("int"))
+    sections = F.map_filter(
+        F.create_map(
+            F.lit(triage.FINDINGS[0]), F.trim(F.concat(pick(1), F.lit(" "), F.coalesce("text", F.lit("")))), F.lit("pediatric_use"), pick(2),
+            F.lit("boxed_warning"), F.when(F.col("doc_id") % 5 == 0, "There is an increased risk of lymphoma."),
+        ), lambda _, v: v.isNotNull(),
+    )
+    status = F.when(F.col("doc_id") % 4 == 0, "Prescription").when(F.col("doc_id") % 4 == 1, "Discontinued").when(F.col("doc_id") % 4 == 2, "Over-the-counter")
+    labels = table(spark, sf_dir, "documents").select(
+        "doc_id", F.when(F.col("doc_id") % 7 != 3, sections).alias("sections"), F.when(status.isNotNull(), F.array(status)).alias("statuses"),
+        F.array(F.when(F.col("doc_id") % 11 == 0, "Alkylating Drug").otherwise("Kinase Inhibitor")).alias("classes"),
+    )
     return triage.verdicts(labels)
 
 
-@query()
+@query(f"{_TRIAGE} SELECT doc_id, rule, verdict, reason FROM v")
 def triage_verdicts(spark, sf_dir):
-    """Spans are matched outside SQL; the vectors are tested one by one."""
-    return _judged(spark).select("id", F.explode("verdicts").alias("v")).select("id", "v.*")
+    return _judged(spark, sf_dir).select("doc_id", F.explode("verdicts").alias("v")).select("doc_id", "v.*")
 
 
-@query()
+@query(f"{_TRIAGE} SELECT rule, verdict, reason, count(*) AS n FROM v GROUP BY GROUPING SETS ((rule, verdict), (rule, reason))")
 def triage_counts(spark, sf_dir):
-    return triage.verdict_counts(_judged(spark))
+    return triage.verdict_counts(_judged(spark, sf_dir))
+
+
+@query(f"""{_TRIAGE} SELECT doc_id, coalesce(bool_and(verdict <> 'excluded') FILTER (WHERE rule IN ('genotoxic_or_cancer_risk', 'pediatric_use', 'currently_marketed')), true) AS survives,
+ CASE min(CASE WHEN verdict = 'excluded' THEN CASE rule WHEN 'genotoxic_or_cancer_risk' THEN 1 WHEN 'pediatric_use' THEN 2 WHEN 'currently_marketed' THEN 3 END END) WHEN 1 THEN 'genotoxic_or_cancer_risk' WHEN 2 THEN 'pediatric_use' WHEN 3 THEN 'currently_marketed' END AS excluded_by FROM v GROUP BY doc_id""")
+def triage_survivors(spark, sf_dir):
+    return _judged(spark, sf_dir).select("doc_id", "survives", "excluded_by")
 
 
 def _guards_sql(patterns):

@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.alleles import info_map
+from ..functions.alleles import bare_contig, info_map, review_stars, significance_class
 
 VCF = "contig string, pos bigint, id string, ref string, alts array<string>, filter array<string>, info map<string,string>, sample map<string,string>"
 RECORD = "id string, source string, pmid string, doi string, title string, journalTitle string, pubYear string, abstractText string, pubTypeList struct<pubType:array<string>>, meshHeadingList struct<meshHeading:array<struct<descriptorName:string>>>"
@@ -180,6 +180,66 @@ def read_recorded(spark: SparkSession, status_path: str, base: str) -> DataFrame
     return require(out, ["key"])
 
 
+#: Fixed value: the form of a protein accession.
+ACCESSION = r"^([OPQ][0-9][A-Z0-9]{3}[0-9]|[A-NR-Z][0-9]([A-Z][A-Z0-9]{2}[0-9]){1,2})$"
+
+
+def read_regions(spark: SparkSession, path: str, genes: list[str] | None = None) -> DataFrame:
+    """``gene, contig, start, end`` of a four-column region table; a gene that is asked for and missing is an error."""
+    raw = spark.read.schema("contig string, start bigint, end bigint, gene string").option("sep", "\t").csv(path)
+    rows = raw.select("gene", bare_contig(F.col("contig")).alias("contig"), "start", "end")
+    if genes is None:
+        return rows
+    wanted = spark.createDataFrame([(g,) for g in genes], "gene string")
+    missing = [r["gene"] for r in wanted.join(rows.select("gene"), "gene", "left_anti").collect()]
+    if missing:
+        raise ValueError(f"no region is known for {sorted(missing)}")
+    return rows.join(wanted.distinct(), "gene", "left_semi").select("gene", "contig", "start", "end")
+
+
+def read_accessions(spark: SparkSession, path: str) -> DataFrame:
+    """``accession, protein`` of an alias table: accessions of the protein archive, isoforms cut off, the first line of each wins."""
+    raw = spark.read.schema("protein string, alias string, source string").option("sep", "\t").option("header", True).option("enforceSchema", True).csv(path)
+    rows = raw.filter(F.contains("source", F.lit("UniProt"))).select(F.substring_index("alias", "-", 1).alias("accession"), "protein", F.monotonically_increasing_id().alias("line"))
+    return first_wins(rows.filter(F.col("accession").rlike(ACCESSION)), "accession", "line")
+
+
+def read_memberships(spark: SparkSession, path: str, accessions: DataFrame, species: str) -> DataFrame:
+    """Distinct ``node, grp``: pathways of one species, by the proteins of their accessions."""
+    raw = spark.read.schema("accession string, grp string, url string, name string, code string, species string").option("sep", "\t").csv(path)
+    rows = raw.filter(F.col("species") == species).select(F.substring_index("accession", "-", 1).alias("accession"), "grp")
+    return rows.join(accessions, "accession").select(F.col("protein").alias("node"), "grp").distinct()
+
+
+def read_metadata(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+    """A tab-separated table with a header, compressed or not, that must have the columns."""
+    return require(spark.read.option("sep", "\t").option("header", True).csv(path), columns)
+
+
+def read_identifier_map(spark: SparkSession, path: str) -> DataFrame:
+    """Distinct ``key, code`` of a two-column mapping whose header names its sources."""
+    raw = spark.read.option("sep", "\t").option("header", True).csv(path)
+    if not any("src" in c.lower() for c in raw.columns):
+        raise ValueError(f"{path} is no mapping: its header is {raw.columns}")
+    a, b = raw.columns[:2]
+    rows = raw.select(F.col(f"`{a}`").alias("key"), F.col(f"`{b}`").alias("code"))
+    return rows.filter("key <> '' AND code <> ''").distinct()
+
+
+def archive_records(vcf: DataFrame) -> DataFrame:
+    """Records of a variant archive, one an allele: place, gene, class, stars, review status as given.
+
+    A status that the vocabulary lacks has NULL stars and keeps its text, so it can be counted.
+    """
+    info = F.col("info")
+    rows = vcf.select("*", F.explode("alts").alias("alt"))
+    return rows.select(
+        bare_contig(F.col("contig")).alias("contig"), "pos", "ref", "alt", F.col("id").alias("rec"),
+        F.substring_index(F.substring_index(info["GENEINFO"], "|", 1), ":", 1).alias("gene"),
+        significance_class(F.coalesce(info["CLNSIG"], F.lit(""))).alias("class"), review_stars(info["CLNREVSTAT"]).alias("stars"), info["CLNREVSTAT"].alias("status"),
+    )
+
+
 def sha256(path: str) -> str:
     """Digest of a file, kept beside it with the size and time it was taken at."""
     stat, side = os.stat(path), f"{path}.sha256.json"

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.functions import alleles, burden, lexical
-from lodestone.operators import graph, harmonize, ranking, signatures, triage
+from lodestone.operators import graph, harmonize, intervals, ranking, records, signatures, triage
 from lodestone.plans import registry
 from tests.compare import differences
 
@@ -102,7 +102,7 @@ GENOTOXIC = [
 
 def test_negation_covers_only_its_span(spark):
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(GENOTOXIC)], "k int, t string")
-    got = df.select("k", lexical.first_unmasked(lexical.GENOTOXIC, lexical.NEGATED)(F.col("t")).alias("x")).orderBy("k").collect()
+    got = df.select("k", lexical.first_unmasked(F.col("t"), lexical.GENOTOXIC, lexical.NEGATED).alias("x")).orderBy("k").collect()
     assert [r.x for r in got] == [w for _, w in GENOTOXIC]
 
 
@@ -207,3 +207,33 @@ def test_guards(spark):
     assert not broken("ordinary prose with 10.1158/0008-5472.CAN-13-1174")
     assert _one(spark, lexical.unqualified(F.lit("For chemoprevention."))) and not _one(spark, lexical.unqualified(F.lit("For secondary chemoprevention.")))
     assert _one(spark, lexical.confidence(F.lit("in_vitro"), F.lit(False), F.lit(False), F.lit(2), F.lit(2), F.lit(False))) == 0.132
+
+
+def test_components_of_a_long_chain(spark):
+    line = spark.range(10_000).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"), F.lit(1.0).alias("score"))
+    sym = graph.both_ways(line)
+    for local in (graph.LOCAL_EDGES, 100):  # joined in one task, and contracted down to few edges
+        got = graph.components(sym, local)
+        assert got.count() == 10_001 and got.filter("component <> 0").isEmpty()
+
+
+def test_record_vectors(spark):
+    configs = spark.createDataFrame([(1, ["b", "a", "b"]), (2, [])], "id int, members array<string>")
+    got = {r.id: r.evidence for r in records.attach(configs, spark.createDataFrame([("a", 5)], "key string, value int")).collect()}
+    assert got == {1: [None, 5, None], 2: [None]}
+    assert [_one(spark, lexical.as_list(F.lit(x))) for x in (None, "a", "['a', 'b']", '["c"]')] == [[], ["a"], ["a", "b"], ["c"]]
+    texts = spark.createDataFrame([("k", 2, "a warning"), ("k", 1, "a warning and more"), ("k", 3, "else"), ("k", 4, "else")], "key string, ord int, text string")
+    assert records.merged_texts(texts).first().text == "a warning and more else"
+    with pytest.raises(ValueError):
+        records.gene_axis(texts.select(F.col("key").alias("gene"), F.col("ord").alias("place")), texts.selectExpr("'x' AS gene"), texts.selectExpr("key AS gene"))
+    with pytest.raises(Exception, match="nothing is recorded for"):
+        records.complete(texts.selectExpr("key AS id", "text"), spark.createDataFrame([("z",)], "id string"), "id").collect()
+    with pytest.raises(Exception, match="wildcard"):
+        _one(spark, lexical.search_query("T", F.array(F.lit("two words*")), ["x"]))
+    rungs = spark.createDataFrame([(1, True), (10, False), (50, True), (250, False)], "depth int, passes boolean")
+    assert records.deepest(rungs).first().depth == 50 and records.deepest(rungs.filter("NOT passes")).first().depth == 0
+    assert _one(spark, lexical.snippet(F.lit("One.  Two is\n here, yes. Three"), "here")) == "Two is here, yes."
+    points = spark.createDataFrame([(1, 1, 5), (1, 1, 5)], "id int, contig int, pos int")
+    assert intervals.first_region(points, spark.createDataFrame([("g", 1, 0, 9)], "gene string, contig int, start int, end int"), 0).count() == 2
+    limit = _one(spark, burden.detection_limit(F.lit(0.06), F.lit(0.004), F.lit(0.0754)))
+    assert 0 < limit < 0.5 and _one(spark, burden.detection_limit(F.lit(0.06), F.lit(0.0), F.lit(0.07))) is None

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lodestone.plans import runner
-from lodestone.sources import readers, sinks
+from lodestone.sources import readers, sinks, submission
 from lodestone.streaming import events
 
 HEAD = "##fileformat=VCFv4.2\n#CHROM\tPOS\tID\tREF\tALT\tQUAL\tFILTER\tINFO\tFORMAT\tSAMPLE\n"
@@ -82,6 +82,49 @@ def test_seed_and_records(spark, tmp_path):
     assert set(got) == {"7", "PPR:9"}
 
 
+def test_crosswalk_tables(spark, tmp_path):
+    (tmp_path / "g.bed").write_text("chr1\t10\t20\tG1\nchr2\t5\t9\tG2\n")
+    assert [tuple(r) for r in readers.read_regions(spark, str(tmp_path / "g.bed"), ["G2"]).collect()] == [("G2", "2", 5, 9)]
+    with pytest.raises(ValueError, match="G9"):
+        readers.read_regions(spark, str(tmp_path / "g.bed"), ["G1", "G9"])
+    (tmp_path / "al.tsv").write_text("#protein\talias\tsource\nP0\tP12345-2\tEnsembl_UniProt\nP1\tP12345\tUniProt_AC\nP2\tnope\tUniProt_AC\nP3\tQ9Y6K9\tOther\n")
+    acc = readers.read_accessions(spark, str(tmp_path / "al.tsv"))
+    assert [tuple(r) for r in acc.collect()] == [("P12345", "P0")]
+    (tmp_path / "re.tsv").write_text("P12345-1\tR1\tu\tn\tIEA\tHomo sapiens\nP12345\tR1\tu\tn\tIEA\tHomo sapiens\nP12345\tR2\tu\tn\tIEA\tMus musculus\n")
+    assert [tuple(r) for r in readers.read_memberships(spark, str(tmp_path / "re.tsv"), acc, "Homo sapiens").collect()] == [("P0", "R1")]
+    (tmp_path / "m.tsv").write_text("From src:1\tTo src:14\nC1\tU1\nC1\tU2\nC1\tU2\n\tU3\n")
+    assert sorted(tuple(r) for r in readers.read_identifier_map(spark, str(tmp_path / "m.tsv")).collect()) == [("C1", "U1"), ("C1", "U2")]
+    for read in (lambda p: readers.read_identifier_map(spark, p), lambda p: readers.read_metadata(spark, p, ["sig_id"])):
+        with pytest.raises(ValueError):
+            read(str(tmp_path / "g.bed"))
+
+
+def test_archive_records(spark, tmp_path):
+    line = "1\t5\t77\tC\tT\t.\t.\tCLNSIG=Pathogenic/Likely_pathogenic;CLNREVSTAT={};GENEINFO=G1:12|G2:13\n"
+    (tmp_path / "c.vcf").write_text("##x\n#CHROM\n" + line.format("reviewed_by_expert_panel") + line.format("brand_new"))
+    got = sorted((r.gene, r["class"], r.stars, r.status) for r in readers.archive_records(readers.read_vcf(spark, str(tmp_path / "c.vcf"))).na.fill(-1).collect())
+    assert got == [("G1", "pathogenic", -1, "brand_new"), ("G1", "pathogenic", 3, "reviewed_by_expert_panel")]
+
+
+def test_submission_files(spark, tmp_path):
+    head = ["proband_id", "chrom", "epcr"]
+
+    def codes(raw):
+        (tmp_path / "s.csv").write_bytes(raw)
+        return sorted((r.row, r.code) for r in submission.file_violations(spark, str(tmp_path / "s.csv"), head, 2).collect())
+
+    assert codes(b"proband_id,chrom,epcr\np,chr1,0.5\n") == []
+    assert codes(b"") == [(0, "empty")] and codes(b"\xff\xfe") == [(0, "encoding")]
+    assert codes(b"\xef\xbb\xbfchrom,proband_id,epcr\n") == [(0, "byte_order_mark"), (0, "header_order"), (0, "no_rows")]
+    assert codes(b"proband_id,chrom,x\na,chr1,1,\nb,chr1,1\n,chr1,2\n") == [(0, "header_missing"), (0, "header_unexpected"), (0, "several_ids"), (0, "too_many_rows"), (1, "width"), (3, "no_id")]
+    rows = spark.createDataFrame([(1, "chr1", "5", "A", "T"), (2, "1", "-5", "A", ""), (3, None, " ", "", None)], "row long, contig string, pos string, ref string, alt string")
+    assert sorted((r.row, r.code) for r in submission.allele_violations(rows).collect()) == [(2, "not_positive"), (2, "partly_filled"), (2, "prefix"), (3, "missing_allele")]
+    built = spark.createDataFrame([("G", 1, 2, 0.4), ("G", 1, 3, 0.9), ("G", 2, 3, 0.1)], "gene string, a_id long, b_id long, epcr double")
+    assert [(r.row, r.b_id) for r in submission.ranked_rows(built).collect()] == [(1, 3), (2, 2)]
+    with pytest.raises(ValueError):
+        submission.ranked_rows(built.union(built.selectExpr("'H'", "a_id", "b_id", "epcr")))
+
+
 def test_recorded_tables_only(spark, tmp_path):
     for n in ("a", "b", "stale"):
         (tmp_path / f"{n}.tsv").write_text("key\trank\nk1\t1\n")
