@@ -198,14 +198,19 @@ def first_unmasked(text: Column, patterns: list[tuple[str, str]], masks: list[st
     """The first pattern, in pattern order, with a match that no mask's span covers; NULL if none has.
 
     A match is masked only if its start lies inside a span; every match is looked
-    at.  Texts that no pattern matches at all cost one search a pattern.
+    at.
     """
-    covered = F.concat(*[_spans(text, m) for m in masks])
-    out = F.lit(None).cast("string")
-    for name, pattern in reversed(patterns):
-        free = F.exists(_spans(text, pattern), lambda m: ~F.exists(covered, lambda c: (c["start"] <= m["start"]) & (m["start"] < c["end"])))
-        out = F.when(text.rlike(f"(?iU){pattern}") & free, F.lit(name)).otherwise(out)
-    return out
+    some = "(?iU)" + "|".join(f"(?:{p})" for _, p in patterns)
+
+    def among(covered):
+        out = F.lit(None).cast("string")
+        for name, pattern in reversed(patterns):
+            free = F.exists(_spans(text, pattern), lambda m: ~F.exists(covered, lambda c: (c["start"] <= m["start"]) & (m["start"] < c["end"])))
+            out = F.when(text.rlike(f"(?iU){pattern}") & free, F.lit(name)).otherwise(out)
+        return out
+
+    # the masks' spans are found once, and only in texts that a pattern matches at all
+    return F.when(text.rlike(some), F.transform(F.array(F.concat(*[_spans(text, m) for m in masks])), among)[0])
 
 
 def as_list(value: Column) -> Column:

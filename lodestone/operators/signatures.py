@@ -24,20 +24,28 @@ def running_sum(ranks: DataFrame, members: DataFrame) -> DataFrame:
     """Weighted running-sum score per (query, sig) of the genes in ``members`` (query, gene).
 
     The first position of the largest absolute deviation decides; a signature
-    without weight on the members scores 0.
+    without weight on the members scores 0, one that has none of them no row.
+    Between two members the sum only falls, so its extremes lie at a member or
+    just before one: the join on genes brings those alone, not every gene of
+    every pair.
     """
-    sizes = members.groupBy("query").agg(F.count("*").alias("k"))
-    all_ = ranks.join(F.broadcast(sizes))  # queries are few: sizes has a row for each
-    hit = all_.join(F.broadcast(members.withColumn("hit", F.lit(1))), ["query", "gene"], "left")
-    weight = F.when(F.col("hit").isNotNull(), F.abs("z")).otherwise(0.0)
-    per = Window.partitionBy("query", "sig").orderBy("pos").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    total = Window.partitionBy("query", "sig")
-    walked = hit.withColumn("w", weight).withColumn("total", F.sum("w").over(total))
-    dev = F.coalesce(F.try_divide(F.sum("w").over(per), F.col("total")), F.lit(0.0)) - F.sum(F.when(F.col("hit").isNull(), 1).otherwise(0)).over(per) / (F.col("n") - F.col("k"))
-    walked = walked.withColumn("dev", F.round(dev, 12))
-    return walked.groupBy("query", "sig", "grp").agg(
-        F.when(F.max("total") > 0, F.max_by("dev", F.struct(F.abs("dev"), -F.col("pos")))).otherwise(0.0).alias("es")
-    )
+    hits = ranks.join(members.select("query", "gene"), "gene").withColumn("w", F.abs("z"))
+    per = Window.partitionBy("query", "sig").orderBy("pos")
+    every = Window.partitionBy("query", "sig")
+    walked = hits.select(
+        *("query", "sig", "grp", "pos"),
+        F.sum("w").over(every).alias("total"), F.sum("w").over(per).alias("upto"), F.col("w"),
+        F.try_divide(F.col("pos") - F.row_number().over(per) + 1, F.col("n") - F.count("*").over(every)).alias("missed"),
+    )
+
+    def at(weight, pos):
+        dev = F.coalesce(F.try_divide(weight, F.col("total")), F.lit(0.0)) - F.coalesce("missed", F.lit(0.0))
+        return F.struct(F.round(dev, 12).alias("dev"), pos.alias("pos"))
+
+    places = F.array(at(F.col("upto") - F.col("w"), F.col("pos") - 1), at(F.col("upto"), F.col("pos")))
+    tried = walked.select("query", "sig", "grp", "total", F.explode(places).alias("x")).filter("x.pos >= 0")
+    best = F.max_by("x.dev", F.struct(F.abs("x.dev"), -F.col("x.pos")))
+    return tried.groupBy("query", "sig", "grp").agg(F.when(F.max("total") > 0, best).otherwise(0.0).alias("es"))
 
 
 def connectivity(ranks: DataFrame, tails: DataFrame) -> DataFrame:
@@ -80,7 +88,7 @@ def deflate(vectors: DataFrame, axis: DataFrame) -> DataFrame:
     """Removes a direction from each query's centred vector: ``query, gene, z, r_before``."""
     centred = vectors.withColumn("c", F.col("z") - F.avg("z").over(Window.partitionBy("query")))
     a = axis.withColumn("a", F.col("z") - F.avg("z").over(Window.partitionBy(F.lit(1)))).select("gene", "a")
-    joined = centred.join(F.broadcast(a), "gene")  # a row a gene
+    joined = centred.join(a, "gene")
     w = Window.partitionBy("query")
     along = F.sum(F.col("c") * F.col("a")).over(w) / F.sum(F.col("a") * F.col("a")).over(w)
     return joined.select("query", "gene", (F.col("c") - along * F.col("a")).alias("z"), F.corr("c", "a").over(w).alias("r_before"), F.col("a"))

@@ -32,24 +32,28 @@ def verdicts(labels: DataFrame) -> DataFrame:
     risk = [p for p in lexical.GENOTOXIC if p[0] in ("malignancy_risk", "secondary_malignancy")]
     rows = labels.withColumns({f"__{n}": _section(n) for n in [*WARNINGS, "pediatric_use"]})
     rows = rows.withColumn("__finding", F.coalesce(*[_section(n) for n in FINDINGS]))
-    rows = rows.withColumns({f"__hit_{n}": lexical.first_unmasked(F.col(f"__{n}"), risk, lexical.NEGATED) for n in WARNINGS})
-    rows = rows.withColumn("__geno", lexical.first_unmasked(F.col("__finding"), lexical.GENOTOXIC, lexical.NEGATED))
     denied = [p for _, p in lexical.PEDIATRIC_DENIED]
-    rows = rows.withColumn("__ok", lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_ESTABLISHED, denied))
-    rows = rows.withColumn("__no", lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_DENIED, lexical.NEGATED))
+    hits = F.struct(
+        *[lexical.first_unmasked(F.col(f"__{n}"), risk, lexical.NEGATED).alias(n) for n in WARNINGS],
+        lexical.first_unmasked(F.col("__finding"), lexical.GENOTOXIC, lexical.NEGATED).alias("geno"),
+        F.coalesce(F.col("__finding").rlike("(?i)" + "|".join(lexical.NEGATIVE)), F.lit(False)).alias("negative"),
+        lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_ESTABLISHED, denied).alias("ok"),
+        lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_DENIED, lexical.NEGATED).alias("no"),
+    )
+    # a generator is evaluated once a row; a projection would be put in place wherever it is used
+    rows = rows.select("*", F.explode(F.array(hits)).alias("__hit"))
 
     classes = F.coalesce(F.array_join("classes", " "), F.lit(""))
     toxic_class = classes.rlike("(?i)" + "|".join(lexical.CYTOTOXIC_CLASSES))
-    warned = F.coalesce(*[F.col(f"__hit_{n}") for n in WARNINGS])
-    negative = F.coalesce(F.col("__finding").rlike("(?i)" + "|".join(lexical.NEGATIVE)), F.lit(False))
+    warned = F.coalesce(*[F.col(f"__hit.{n}") for n in WARNINGS])
     geno = (
         F.when(toxic_class, "cytotoxic_class")
         .when(warned.isNotNull(), warned)
-        .when(F.col("__geno").isNotNull(), F.col("__geno"))
-        .when(negative, "negative_findings_reported")
+        .when(F.col("__hit.geno").isNotNull(), F.col("__hit.geno"))
+        .when(F.col("__hit.negative"), "negative_findings_reported")
         .otherwise("insufficient_evidence")
     )
-    child = F.coalesce("__ok", "__no", F.lit("insufficient_evidence"))
+    child = F.coalesce("__hit.ok", "__hit.no", F.lit("insufficient_evidence"))
     known = F.size(F.coalesce("statuses", F.array().cast("array<string>"))) > 0
     sold = F.coalesce(F.arrays_overlap("statuses", F.array(*[F.lit(s) for s in MARKETED])), F.lit(False))
     market = F.when(~known, "insufficient_evidence").when(sold, "marketed").otherwise("not_currently_marketed")
@@ -65,7 +69,7 @@ def verdicts(labels: DataFrame) -> DataFrame:
         "verdicts",
         F.array(
             _verdict(RULES[0], F.when(geno == "negative_findings_reported", passed).otherwise(excluded), geno),
-            _verdict(RULES[1], F.when(F.col("__ok").isNotNull(), passed).otherwise(excluded), child),
+            _verdict(RULES[1], F.when(F.col("__hit.ok").isNotNull(), passed).otherwise(excluded), child),
             _verdict(RULES[2], F.when(market == "marketed", passed).otherwise(excluded), market),
             _verdict(RULES[3], F.lit("not_applicable"), F.lit("endpoint_has_no_cns_requirement")),
             _verdict(RULES[4], F.when(F.col("sections").isNull(), "not_applicable").otherwise(passed), status),
