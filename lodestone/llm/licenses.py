@@ -252,3 +252,27 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     )
     hits = _settled(hits.withColumn("lo", F.array_min("places")).withColumn("hi", F.array_max("places")))
     return hits.groupBy("doc_id", "license_id").agg(F.count("*").alias("matches"), F.max("share").alias("containment"))
+
+
+_PLACE = "STRUCT(p BIGINT, k BIGINT)"
+#: Every place of every template's shingles in the whole text: no windows, no MinHash.
+SQL = f"""
+WITH tp(t, name, body) AS (VALUES {", ".join("({}, '{}', '{}')".format(n, name, body.replace("'", "''")) for n, (name, body) in enumerate(TEMPLATES))}),
+tw AS (SELECT t, name, regexp_extract_all(lower(body), '{WORDS}') AS w FROM tp),
+tg AS (SELECT t, name, CAST(len(w) AS BIGINT) AS words, unnest(range(1, len(w) - {WIDTH - 2})) AS k, w FROM tw),
+ts AS (SELECT t, name, words, array_to_string(w[k:k + {WIDTH - 1}], ' ') AS gram, min(k) AS k FROM tg GROUP BY ALL),
+tn AS (SELECT t, name, words, count(*) AS n FROM ts GROUP BY ALL),
+d AS (SELECT doc_id, text, row_number() OVER () AS id FROM (SELECT DISTINCT doc_id, text FROM documents)),
+dw AS (SELECT id, regexp_extract_all(lower(coalesce(text, '')), '{WORDS}') AS w FROM d),
+dp AS (SELECT id, w, unnest(range(1, len(w) - {WIDTH - 2})) AS p FROM dw),
+dg AS (SELECT id, p, array_to_string(w[p:p + {WIDTH - 1}], ' ') AS gram FROM dp),
+a AS (SELECT id, ts.t, list({{'done': CAST([] AS {_PLACE}[][]), 'at': [CAST({{'p': p, 'k': k}} AS {_PLACE})]}} ORDER BY p) AS xs FROM dg JOIN ts USING (gram) GROUP BY id, ts.t),
+r AS (SELECT id, t, name, n, list_reduce(xs, lambda acc, x: CASE WHEN x['at'][1]['p'] - acc['at'][1]['p'] >= words * 1.5
+      OR (x['at'][1]['k'] = acc['at'][1]['k'] AND len(list_distinct(list_transform(acc['at'], lambda v: v['k']))) * 100 >= {PERCENT} * n)
+    THEN {{'done': list_append(acc['done'], acc['at']), 'at': x['at']}} ELSE {{'done': acc['done'], 'at': list_concat(acc['at'], x['at'])}} END) AS s FROM a JOIN tn USING (t)),
+u AS (SELECT id, t, name, n, unnest(list_append(s['done'], s['at'])) AS hit FROM r),
+h AS (SELECT *, list_transform(hit, lambda v: v['p']) AS places, len(list_distinct(list_transform(hit, lambda v: v['k']))) / n AS share FROM u),
+g AS (SELECT id, list([{{'name': name, 'share': share, 'places': places}}] ORDER BY len(places) DESC, share DESC, t, places[1]) AS xs FROM h WHERE share * 100 >= {PERCENT} GROUP BY id),
+b AS (SELECT id, unnest(list_reduce(xs, lambda acc, x: CASE WHEN len(list_filter(acc, lambda y: list_has_any(y['places'], x[1]['places']))) > 0 THEN acc ELSE list_concat(acc, x) END)) AS x FROM g)
+SELECT doc_id, x['name'] AS license_id, count(*) AS matches, max(x['share']) AS containment FROM b JOIN d USING (id) GROUP BY doc_id, license_id
+"""

@@ -77,6 +77,7 @@ QUERIES = {
 #: The other operators rest on models, parsers or merges that SQL does not have.
 ORACLES: dict[str, str] = {
     "op3_superminhash": superminhash.SQL,
+    "op4_license_scan": licenses.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
     "op6_warc_salvage": warc.SQL,
     "op9_curriculum_mix": mixing.SQL,
