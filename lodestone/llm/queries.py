@@ -76,6 +76,7 @@ QUERIES = {
 
 #: The other operators rest on models, parsers or merges that SQL does not have.
 ORACLES: dict[str, str] = {
+    "op2_site_style_tree": site_tree.SQL,
     "op3_superminhash": superminhash.SQL,
     "op4_license_scan": licenses.SQL,
     "op5_exact_dedup": exact_dedup.SQL,
