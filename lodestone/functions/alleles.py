@@ -114,6 +114,16 @@ def bare_contig(contig: Column) -> Column:
     return F.regexp_replace(contig, "^chr", "")
 
 
+def prefixed_contig(contig: Column) -> Column:
+    """The name with one ``chr``, whichever way it came."""
+    return F.concat(F.lit("chr"), bare_contig(contig))
+
+
+def remote_contig(contig: Column, prefixed: bool) -> Column:
+    """The name as another file spells it: with or without ``chr``."""
+    return prefixed_contig(contig) if prefixed else bare_contig(contig)
+
+
 def phase(partner: Column, pid_a: Column, pid_b: Column, pgt_a: Column, pgt_b: Column) -> Column:
     """trans, cis or unphased: a 1/2 partner first, then shared phase sets."""
     return (

@@ -94,22 +94,32 @@ def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: i
     strength = sym.groupBy("src").agg(F.sum("score").alias("total"))
     salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
     moves = cut(sym.join(strength, "src").select("src", salt.alias("salt"), "dst", (F.col("score") / F.col("total")).alias("share")))
-    moves = moves.repartition("src", "salt").checkpoint()
+    moves = moves.repartition("src", "salt").persist()  # a lost part is dealt again from the table
     n = seed_nodes.count()
     nodes = sym.select(F.col("src").alias("node")).distinct()
     start = nodes.join(seed_nodes.withColumn("s", F.lit(1.0 / n)), "node", "left").select("node", F.coalesce("s", F.lit(0.0)).alias("home"))
     start = cut(start)
     score = start.select("node", F.col("home").alias("score"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    for _ in range(rounds):
+
+    def step(score: DataFrame) -> DataFrame:
         laid = score.filter("score > 0").select(F.col("node").alias("src"), salts.alias("salt"), "score")
         moved = laid.join(moves, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("score") * F.col("share")).alias("inflow"))
-        fresh = start.join(moved, "node", "left").join(score.withColumnRenamed("score", "old"), "node")
-        fresh = cut(fresh.select("node", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"), "old"))
-        off = fresh.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"]
-        score = fresh.select("node", "score")
+        return start.join(moved, "node", "left").select("node", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"))
+
+    done = 0
+    while done < rounds:  # four rounds a look at the tolerance; the last is compared with the one before
+        batch = min(4, rounds - done)
+        for _ in range(batch - 1):
+            score = step(score)
+        score = cut(score) if batch > 1 else score
+        both = cut(step(score).join(score.withColumnRenamed("score", "old"), "node"))
+        done += batch
+        off = both.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"]
+        score = both.select("node", "score")
         if off is None or off <= tolerance:
             break
+    moves.unpersist()
     return score
 
 

@@ -207,3 +207,15 @@ def biallelic_pairs(spark, sf_dir):
 @query(f"{_CONFIGS}{_VERDICT_SQL}")
 def gene_verdict(spark, sf_dir):
     return _verdicts(*_configurations(spark, sf_dir))
+
+
+@query("""WITH x AS (SELECT CASE WHEN l_linenumber % 3 = 0 THEN 'hemizygous' WHEN l_linenumber % 2 = 0 THEN 'hom_alt' ELSE 'het' END AS zygosity,
+  CASE WHEN l_returnflag = 'R' AND l_linestatus = 'F' THEN 'mane_select' WHEN l_returnflag = 'R' THEN 'non_mane' ELSE 'not_lof' END AS tier, 'chr' || (l_suppkey % 3) AS contig FROM lineitem)
+SELECT contig, zygosity, tier, count(*) AS n FROM x GROUP BY ALL""")
+def zygosity_tiers(spark, sf_dir):
+    n = F.col("l_linenumber")
+    gt = F.when(n % 3 == 0, F.array(F.lit(1))).when(n % 2 == 0, F.array(F.lit(1), F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))
+    lof = F.col("l_returnflag") == "R"
+    contig = fn.prefixed_contig(F.when(F.col("l_orderkey") % 2 == 0, F.concat(F.lit("chr"), F.col("l_suppkey") % 3)).otherwise((F.col("l_suppkey") % 3).cast("string")))
+    rows = table(spark, sf_dir, "lineitem").select(contig.alias("contig"), fn.zygosity(gt).alias("zygosity"), fn.lof_tier(lof & (F.col("l_linestatus") == "F"), lof).alias("tier"))
+    return rows.groupBy("contig", "zygosity", "tier").agg(F.count("*").alias("n"))

@@ -239,3 +239,15 @@ def signature_nominees(spark, sf_dir):
     controls = ops.control_queries(best, "0", WANTED, SEED)
     rungs = sig.ladder(best.join(controls.unionAll(controls.sparkSession.createDataFrame([(0,)], controls.schema)), "query", "left_semi"), signatures.DEPTHS)
     return ops.nominated(best.filter("query = 0").drop("query"), ops.deepest(sig.passing_depth(rungs, "0", P_MAX)))
+
+
+@query(f"""WITH {_DEFLATED}, rh AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY z DESC, gene) AS h, row_number() OVER (PARTITION BY query ORDER BY z, gene DESC) AS l FROM mn),
+raw AS (SELECT query, gene, CASE WHEN h <= {signatures.SIZE} THEN 'up' ELSE 'down' END AS tail FROM rh WHERE h <= {signatures.SIZE} OR l <= {signatures.SIZE})
+SELECT query, tail, count(*) AS n_raw, count(tl.gene) AS n_shared FROM raw LEFT JOIN tl USING (query, gene, tail) GROUP BY query, tail""")
+def tail_overlap(spark, sf_dir):
+    """How much of each query's tails is left when the direction common to all queries is taken out."""
+    e = table(spark, sf_dir, "embeddings").select("label", F.transform("embedding", lambda v: v.cast("double")).alias("z"))
+    means = sig.consensus(e, "label")
+    flat = sig.deflate(means, means.groupBy("gene").agg(F.avg("z").alias("z"))).select("query", "gene", F.round("z", 9).alias("z"))
+    kept = sig.query_tails(flat, signatures.SIZE).withColumn("kept", F.lit(True))
+    return sig.query_tails(means, signatures.SIZE).join(kept, ["query", "gene", "tail"], "left").groupBy("query", "tail").agg(F.count("*").alias("n_raw"), F.count("kept").alias("n_shared"))

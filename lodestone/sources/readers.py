@@ -257,3 +257,26 @@ def sha256(path: str) -> str:
         json.dump({"of": tag, "sha256": h.hexdigest()}, f)
     os.replace(f"{side}.tmp", side)
     return h.hexdigest()
+
+
+def parts_of(spark: SparkSession, folder: str, pattern: str = "*.parquet") -> list[str]:
+    """Files of a folder that any of Spark's stores holds, in order; none at all is an error."""
+    found = sorted(r["path"] for r in spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path").collect())
+    if not found:
+        raise ValueError(f"{folder} holds no {pattern}")
+    return found
+
+
+def provenance(path: str, origin: str, taken: str) -> dict:
+    """Where a file comes from, its size and digest, kept beside it; a file that has changed since is an error."""
+    record, side = {"origin": origin, "bytes": os.path.getsize(path), "sha256": sha256(path)}, f"{path}.origin.json"
+    if os.path.exists(side):
+        with open(side, encoding="utf-8") as f:
+            held = json.load(f)
+        if {k: held[k] for k in record} != record:
+            raise ValueError(f"{path} is not the file that was taken from {held['origin']}")
+        return held
+    with open(f"{side}.{os.getpid()}.tmp", "w", encoding="utf-8") as f:
+        json.dump(record | {"taken": taken}, f, sort_keys=True)
+    os.replace(f"{side}.{os.getpid()}.tmp", side)
+    return record | {"taken": taken}

@@ -7,7 +7,8 @@ import zipfile
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.plans import runner
+from lodestone.functions import alleles
+from lodestone.plans import reports, runner
 from lodestone.sources import readers, sinks, submission
 from lodestone.streaming import events
 
@@ -188,3 +189,35 @@ def test_streams(spark, tmp_path):
     batch = src.groupBy(F.window("ts", "1 hour"), "event_type").count().count()
     assert whole.count() == batch
     assert run(events.sessions(stream, "10 minutes", "1 hour"), "sessions", "append").count() >= 0
+
+
+def test_reports(spark, tmp_path):
+    df = spark.createDataFrame([(1, 0.5, "<b>"), (2, None, None)], "id int, x double, note string")
+    assert reports.field_contract(df, ["id", "z"], True) == {"satisfied": ["id"], "outstanding": ["z"]}
+    assert reports.field_contract(df, ["id", "z"], False)["outstanding"] == ["id", "z"]
+    got = {r.claim: (r.found, r.holds) for r in reports.claims(spark, {"rows": (df, "count(*)", 2), "sum": (df, "sum(id)", 4), "none": (df.limit(0), "sum(id)", 0)}).collect()}
+    assert got == {"rows": (2.0, True), "sum": (3.0, False), "none": (None, False)}
+    assert [r.x for r in reports.formatted(df, {"x": 4}).orderBy("id").collect()] == ["0.5000", None]
+    page = reports.html_table(df, ["id"])
+    assert page == "<table><tr><th>id</th><th>x</th><th>note</th></tr><tr><td>1</td><td>0.5</td><td>&lt;b&gt;</td></tr><tr><td>2</td><td></td><td></td></tr></table>"
+    with pytest.raises(ValueError):
+        reports.html_table(df, ["id"], 1)
+    with pytest.raises(ValueError):
+        reports.figures(spark, "", ["no_such_query"])
+    df.write.parquet(str(tmp_path / "t"))
+    assert len(readers.parts_of(spark, str(tmp_path / "t"))) >= 1
+    (tmp_path / "empty").mkdir()
+    for broken in (lambda: readers.parts_of(spark, str(tmp_path / "empty")), lambda: reports.artifacts(str(tmp_path / "empty"))):
+        with pytest.raises(ValueError):
+            broken()
+    assert reports.artifacts(str(tmp_path)) == ["empty", "t"]
+    (tmp_path / "status.json").write_text(json.dumps({"t": {"status": "complete"}, "gone": {"status": "failed"}}))
+    assert reports.artifacts(str(tmp_path)) == ["t"]
+    (tmp_path / "f").write_bytes(b"abc")
+    first = readers.provenance(str(tmp_path / "f"), "https://example.org/f", "2026-01-01")
+    assert readers.provenance(str(tmp_path / "f"), "https://example.org/f", "2027-01-01") == first and first["bytes"] == 3
+    (tmp_path / "f").write_bytes(b"abcd")
+    with pytest.raises(ValueError):
+        readers.provenance(str(tmp_path / "f"), "https://example.org/f", "2026-01-01")
+    names = spark.createDataFrame([("chr1",), ("2",)], "c string").select(alleles.prefixed_contig(F.col("c")).alias("a"), alleles.remote_contig(F.col("c"), False).alias("b")).collect()
+    assert [tuple(r) for r in names] == [("chr1", "1"), ("chr2", "2")]
