@@ -71,6 +71,15 @@ def draw_sql(*parts: str) -> str:
     return f"CAST('0x' || substr(md5({key}), 1, 15) AS BIGINT)"
 
 
+#: Bytes of UTF-8 in which A-Z are lower-cased and what is no part of a term is a space.
+_TERMS = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
+
+
+def term_bytes(text) -> list[bytes]:
+    """The terms (runs of letters A-Z and of all beyond ASCII) of a text in UTF-8; none of a null."""
+    return bytes(text).translate(_TERMS).split() if text is not None else []
+
+
 def count_words(text: Column) -> Column:
     """Number of words of a text; null counts as none."""
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit(WORD)).cast("long")

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, exact_dedup, langid, licenses, mixing, quality, sharding, site_tree, superminhash, warc
+from . import bpe, divergence, exact_dedup, langid, licenses, mixing, quality, sharding, site_tree, superminhash, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -58,6 +58,10 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -71,6 +75,7 @@ QUERIES = {
         op8_isolation_forest,
         op9_curriculum_mix,
         op10_feistel_shards,
+        op12_divergence_audit,
     )
 }
 
@@ -83,4 +88,5 @@ ORACLES: dict[str, str] = {
     "op6_warc_salvage": warc.SQL,
     "op9_curriculum_mix": mixing.SQL,
     "op10_feistel_shards": sharding.SQL,
+    "op12_divergence_audit": divergence.SQL,
 }
