@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, divergence, exact_dedup, langid, licenses, mixing, quality, sharding, site_tree, superminhash, warc
+from . import bpe, collocations, divergence, exact_dedup, langid, licenses, mixing, quality, sharding, site_tree, superminhash, toxicity, warc
 from .common import table
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -58,10 +58,21 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
+def op11_factorization_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    machine = toxicity.learn(docs, table(spark, sf_dir, "labels"))
+    held_out = ~toxicity.learned_from(F.col("doc_id"))
+    return toxicity.score(docs, machine).select("doc_id", held_out.alias("held_out"), "score", "predicted")
+
+
 def op12_divergence_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -75,7 +86,9 @@ QUERIES = {
         op8_isolation_forest,
         op9_curriculum_mix,
         op10_feistel_shards,
+        op11_factorization_toxicity,
         op12_divergence_audit,
+        op13_collocations,
     )
 }
 
@@ -89,4 +102,5 @@ ORACLES: dict[str, str] = {
     "op9_curriculum_mix": mixing.SQL,
     "op10_feistel_shards": sharding.SQL,
     "op12_divergence_audit": divergence.SQL,
+    "op13_collocations": collocations.SQL,
 }
