@@ -9,8 +9,9 @@ The reader checks every record: gzip checksum, version line, header block,
 Content-Length, closing line ends and block digest.  Where a check fails it
 looks for the next gzip member or version line that holds a valid record, goes
 on from there and reports the bytes between as a quarantined gap.  A member may
-hold many records; inside it the search goes on in what it inflates to, and of a
-member whose tail is damaged the records before the damage are recovered.  The
+hold many records; inside it the search goes on in what it inflates to.  All that a
+damaged member inflates to before the fault is kept: records in it that their digest
+proves are recovered, be it that only the member's checksum is wrong.  The
 reader works by offset, inflates as it goes and holds one record at a time.
 """
 
@@ -140,30 +141,104 @@ class Damaged(ValueError):
 
 
 class _Member:
-    """The content of the gzip member at ``start``, inflated as far as it is asked for."""
+    """The content of the gzip member at ``start``, inflated as far as it is asked for.
 
-    def __init__(self, src: _Bytes, start: int):
-        self.src, self.at, self.z = src, start, zlib.decompressobj(31)
-        self.base, self.held, self.error = 0, bytearray(), ""
+    The deflate stream is inflated without its gzip frame, and checksum and length are checked
+    here, so whatever comes out before a fault stays.  With ``plain`` the header is taken
+    as one of ten bytes, whatever its flags say.
+    """
 
-    def get(self, start: int, n: int) -> bytes:
-        while self.base + len(self.held) < start + n and not self.z.eof and not self.error:
-            chunk = self.z.unconsumed_tail or self.src.get(self.at, 1 << 16)
-            if not chunk:
-                self.error = "member is cut off"
-                break
-            fresh = not self.z.unconsumed_tail
+    def __init__(self, src: _Bytes, start: int, plain: bool = False):
+        self.src, self.error = src, ""
+        self.first = self.at = start + 10 if plain else self._body(start)
+        self.z = zlib.decompressobj(-15)
+        self.base, self.held = 0, bytearray()
+        self.crc, self.size, self.tail, self.ended = 0, 0, b"", False
+
+    def _body(self, start: int) -> int:
+        """Where the deflate stream begins: after the header and the fields that its flags name."""
+        head = self.src.get(start, 10)
+        at, flags = start + 10, head[3] if len(head) == 10 else 0xE0
+        if flags & 0xE0:
+            self.error = "gzip: header is damaged"
+            return at
+        if flags & 4:
+            at += 2 + int.from_bytes(self.src.get(at, 2), "little")
+        for flag in (8, 16):
+            if flags & flag:
+                end = self.src.get(at, 1 << 16).find(b"\0")
+                if end < 0:
+                    self.error = "gzip: header does not end"
+                at += end + 1
+        return at + 2 if flags & 2 else at
+
+    def _take(self, out: bytes):
+        self.held += out
+        self.crc, self.size = zlib.crc32(out, self.crc), self.size + len(out)
+
+    def _salvage(self, data: bytes):
+        """Inflates ``data``, in which a fault lies, up to the last byte before it."""
+        while data and not self.error:
+            saved = self.z.copy()
             try:
-                self.held += self.z.decompress(chunk, 1 << 22)
+                out = self.z.decompress(data)
             except zlib.error as e:
+                self.z = saved
+                if len(data) > 1:
+                    self._salvage(data[: len(data) // 2])
+                    data = data[len(data) // 2 :]
+                    continue
+                try:  # one byte may still say a few things before it goes wrong
+                    while out := self.z.decompress(data, 1):
+                        self._take(out)
+                        data = self.z.unconsumed_tail
+                except zlib.error:
+                    pass
                 self.error = f"gzip: {e}"
+                return
+            self._take(out)
+            self.at += len(data) - len(self.z.unused_data)
+            return
+
+    def get(self, start: int, n: int) -> bytes:
+        while self.base + len(self.held) < start + n and not self.ended and not self.error:
+            data = self.tail or self.src.get(self.at, 1 << 16)
+            if not data:
+                self.error = "member is cut off"
                 break
-            if fresh:
-                self.at += len(chunk)
-            if self.z.eof:
-                self.at -= len(self.z.unused_data)
+            saved = self.z.copy()
+            try:
+                out = self.z.decompress(data, 1 << 22)
+            except zlib.error:
+                self.z, self.tail = saved, b""
+                self._salvage(data)
+            else:
+                self._take(out)
+                self.tail = self.z.unconsumed_tail
+                self.at += len(data) - len(self.tail) - len(self.z.unused_data)
+            if self.z.eof and not self.ended:
+                self.ended = True
+                said = self.src.get(self.at, 8)
+                if said != self.crc.to_bytes(4, "little") + (self.size & 0xFFFFFFFF).to_bytes(4, "little"):
+                    self.error = "gzip: checksum or length differ" if len(said) == 8 else "member is cut off"
         return bytes(self.held[start - self.base : start - self.base + n])
 
+    def stop(self) -> int:
+        """Where what was read ends: behind the trailer, if it is sound."""
+        return self.at + 8 if self.ended and not self.error else self.at
+
+    def place(self, offset: int) -> int:
+        """The offset in the file up to which the first ``offset`` inflated bytes are told."""
+        z, at, done, step = zlib.decompressobj(-15), self.first, 0, 1 << 12
+        while done < offset and at < self.at:
+            saved, data = z.copy(), self.src.get(at, min(step, self.at - at))
+            out = len(z.decompress(data))
+            if done + out >= offset and len(data) > 1:
+                z, step = saved, len(data) // 2
+                continue
+            at, done = at + len(data), done + out
+        return at
+
     def drop(self, upto: int):
         """Forgets what lies before ``upto``."""
         del self.held[: upto - self.base]
@@ -226,12 +301,14 @@ def _parse(get, start: int, most_head: int) -> tuple[dict, bytes, int, bool]:
     return headers, block, body + len(block) + len(_END), said.startswith("sha1:")
 
 
-def _inside(src: _Bytes, start: int):
-    """What the gzip member at ``start`` holds; returns its end, or -1 and why it cannot be read to it.
+def _inside(src: _Bytes, start: int, plain: bool = False):
+    """What the gzip member at ``start`` holds.
 
-    Offsets are those of the file.  A gap inside names the inflated bytes.
+    Returns where to go on, where the bytes begin that are lost (-1: none are) and why, and
+    whether a record was found.  Offsets are those of the file; a gap inside
+    also names the inflated bytes.
     """
-    member, at, bad, why, found = _Member(src, start), 0, None, "", False
+    member, at, bad, why, last = _Member(src, start, plain), 0, -1, "", -1
     while member.get(at, 1):
         try:
             headers, block, end, proved = _parse(member.get, at, MOST_BYTES)
@@ -239,64 +316,81 @@ def _inside(src: _Bytes, start: int):
             if member.error and not proved:
                 raise Damaged(member.error)
         except Damaged as e:
-            if bad is None:
+            if bad < 0:
                 bad, why = at, str(e)
             at = member.find(at + 1)
             if at < 0:
                 break
             continue
-        if bad is not None:
-            yield "gap", start, member.at, f"{why}; inflated bytes {bad} to {at}", b""
-            bad = None
-        found = True
-        yield "record", start, member.at, headers, block
+        if bad >= 0:
+            yield "gap", member.place(bad) if last >= 0 else start, member.place(at), f"{why}; inflated bytes {bad} to {at}", b""
+            bad = -1
+        yield "record", start, member.stop(), headers, block
         member.drop(end)
-        at = end
-    if member.error or not found:
-        return (-1 if member.error else member.at), member.error or why or "an empty member", found
-    if bad is not None:
-        yield "gap", start, member.at, f"{why}; inflated bytes from {bad}", b""
-    return member.at, "", True
+        at = last = end
+    if last < 0:
+        return (member.stop() if member.ended and not member.error else start + 1), start, member.error or why or "an empty member", False
+    if member.ended and bad < 0:  # all of it was read; its checksum alone may be wrong
+        return member.stop(), member.at if member.error else -1, member.error, True
+    lost = member.place(last)
+    if member.ended and not member.error:
+        yield "gap", lost, member.stop(), f"{why}; inflated bytes from {last}", b""
+        return member.stop(), -1, "", True
+    # what follows the last good record may hold the next member, if this one was cut off; a
+    # version line right there is that of the stored record that has just failed
+    return lost + (src.get(lost, len(_VERSION)) == _VERSION), lost, member.error or why, True
 
 
 def records_of(file, size: int):
-    """Yields ('record', start, stop, headers, block) and ('gap', start, stop, reason, b'')."""
+    """Yields ('record', start, stop, headers, block) and ('gap', start, stop, reason, b'').
+
+    A gap begins where the last good record ends.  The search goes on right behind it, so
+    no record comes twice and none that can be read is passed over.
+    """
     src = _Bytes(file, size)
-    at, bad, why = 0, None, ""
+    at, bad, why, good = 0, -1, "", True
     while at < size:
-        if src.get(at, 3) == _MAGIC:
-            inner = _inside(src, at)
+        plain = src.get(at, len(_VERSION)) == _VERSION
+        tries = [] if plain else [False, True] if src.get(at, 3) == _MAGIC else [True] if good else []
+        found = False
+        for forced in tries:  # a header whose bytes are damaged hides a sound stream
+            inner = _inside(src, at, forced)
             try:
                 while True:
                     row = next(inner)
-                    if bad is not None:
+                    if 0 <= bad < at:  # a trailer may be missing without a byte lost
                         yield "gap", bad, at, why, b""
-                        bad = None
+                    bad = -1
                     yield row
             except StopIteration as end:
-                stop, reason, found = end.value
-            if reason and bad is None:
-                bad, why = at, reason
-            if stop >= 0:
-                at = stop
-                continue
-        else:
+                resume, lost, reason, found = end.value
+            if found or not forced and resume > at + 1:
+                break
+        if tries and (found or src.get(at, 3) == _MAGIC and resume > at + 1):
+            good = lost < 0
+            if not good and bad < 0 and lost < size:
+                bad, why = lost, reason
+            at = resume if good or not found else src.find(resume)
+        elif plain:
             try:
                 headers, block, stop, _ = _parse(src.get, at, MOST_HEAD)
             except Damaged as e:
-                if bad is None:
+                if bad < 0:
                     bad, why = at, str(e)
+                good, at = False, src.find(at + 1)
             else:
-                if bad is not None:
+                if 0 <= bad < at:
                     yield "gap", bad, at, why, b""
-                    bad = None
+                bad = -1
                 yield "record", at, stop, headers, block
-                at = stop
-                continue
-        at = src.find(at + 1)
+                good, at = True, stop
+        else:
+            if bad < 0:
+                bad, why = at, reason if tries else "no version line"
+            good, at = False, src.find(at + 1)
         if at < 0:
             break
-    if bad is not None:
+    if bad >= 0:
         yield "gap", bad, size, why, b""
 
 

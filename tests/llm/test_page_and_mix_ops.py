@@ -175,6 +175,101 @@ def test_salvage():
     assert [k for k, *_ in warc.records_of(File(member(bare)), len(member(bare)))] == ["record"]
 
 
+class _File(io.BytesIO):
+    def read_at(self, n, at):
+        return self.getbuffer()[at : at + n].tobytes()
+
+
+def _member(raw, level=6):
+    z = zlib.compressobj(level, zlib.DEFLATED, 31)
+    return z.compress(raw) + z.flush()
+
+
+def _salvaged(raw, records):
+    """Which of ``records`` come out, by their blocks, and the gaps, in order."""
+    known = {r.partition(b"\r\n\r\n")[2][:-4]: k for k, r in enumerate(records)}
+    rows = list(warc.records_of(_File(raw), len(raw)))
+    spans = [(a, b) for k, a, b, _, _ in rows if k == "gap"]
+    assert all(a < b for a, b in spans) and all(x[1] <= y[0] for x, y in zip(spans, spans[1:]))
+    return [known[block] for k, _, _, _, block in rows if k == "record"], spans
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_a_wrong_trailer_costs_no_record(level):
+    own = [warc.record(f"urn:page:{k}", None, bytes([96 + k]) * 300) for k in range(3)]
+    first = _member(own[0] + own[1], level)
+    for at in range(1, 9):
+        hurt = bytearray(first + _member(own[2]))
+        hurt[len(first) - at] ^= 0x41
+        assert _salvaged(bytes(hurt), own) == ([0, 1, 2], [(len(first) - 8, len(first))])
+    assert _salvaged(bytes(hurt[: len(first)]), own) == ([0, 1], [(len(first) - 8, len(first))])
+    assert _salvaged(first[:-3] + _member(own[2]), own) == ([0, 1, 2], [(len(first) - 8, len(first) - 3)])
+
+
+def test_what_was_inflated_before_a_fault_stays():
+    """A fault in the first 64 KB of input loses no record before it, and the gap begins behind the last one."""
+    records = [warc.record(f"urn:page:{k}", None, random.Random(k).randbytes(900)) for k in range(20)]
+    whole = bytearray(_member(b"".join(records)))
+    whole[len(whole) * 3 // 4] ^= 0xFF
+    records.append(warc.record("urn:page:99", None, b"after"))
+    whole += _member(records[-1])
+    found, spans = _salvaged(bytes(whole), records)
+    assert found[:14] == list(range(14)) and found[-1] == 20 and len(found) == len(set(found))
+    assert sum(b - a for a, b in spans) < len(whole) // 3
+
+
+@pytest.mark.parametrize("level", [0, 1, 9])
+@pytest.mark.parametrize("change", [0x01, 0xFF])
+def test_damage_at_every_place(level, change):
+    """One wrong byte costs no record but the one that holds it, and none comes twice.
+
+    Members of one record, of three, and a plain record: of a compressed member of many,
+    the records from the wrong byte on may go, those before it stay.
+    """
+    record = [warc.record(f"urn:page:{k}", "http://x/é", random.Random(k).randbytes(60) + b"text " * 12) for k in range(6)]
+    parts = [(_member(record[0], level), [0]), (_member(b"".join(record[1:4]), level), [1, 2, 3]), (record[4], [4]), (_member(record[5], level), [5])]
+    raw = b"".join(p for p, _ in parts)
+    assert _salvaged(raw, record) == (list(range(6)), [])
+    start = 0
+    for part, ids in parts:
+        for at in range(start, start + len(part)):
+            hurt = bytearray(raw)
+            hurt[at] ^= change
+            found, _ = _salvaged(bytes(hurt), record)
+            assert len(found) == len(set(found)), at
+            lost = set(range(6)) - set(found)
+            if level == 0 or len(ids) == 1:
+                assert len(lost) <= 1 and lost <= set(ids), (at, lost)
+            else:
+                assert lost <= set(ids), (at, lost)
+                z = zlib.decompressobj(31)
+                try:
+                    out = z.decompress(raw[start:at])
+                except zlib.error:
+                    out = b""
+                sound, told = [], 0
+                for k in ids:
+                    told += len(record[k])
+                    if told <= len(out):
+                        sound.append(k)
+                assert not lost & set(sound), (at, lost, sound)
+        start += len(part)
+
+
+@pytest.mark.parametrize("level", [0, 6])
+def test_an_archive_cut_at_every_place(level):
+    record = [warc.record(f"urn:page:{k}", None, random.Random(k).randbytes(80)) for k in range(4)]
+    parts = [(_member(record[0], level), [0]), (record[1], [1]), (_member(record[2] + record[3], level), [2, 3])]
+    raw = b"".join(p for p, _ in parts)
+    for at in range(len(raw)):
+        found, spans = _salvaged(raw[:at], record)
+        ends = [sum(len(p) for p, _ in parts[: k + 1]) for k in range(3)]
+        whole = [i for (_, ids), end in zip(parts, ends) if end <= at for i in ids]
+        assert found[: len(whole)] == whole and len(found) == len(set(found))
+        # what is cut off is a gap to the end, unless every byte of the record is there
+        assert not spans or spans[-1][1] == at
+
+
 def _warc_brute(pages):
     last = {}
     for i, h in pages:
