@@ -34,8 +34,8 @@ INSIDE = 80
 TOP = 2000
 #: Bits of the broadcast; Spark's bitmaps have 2^15 bits each.
 BITS = 1 << 27
-#: Words that a worker counts at once; changes no result.
-HELD = 2_000_000
+#: Words that a worker counts at once, and rows that it hands on at once; they change no result.
+HELD, HANDED = 1_000_000, 50_000
 #: Parts in which a language is ranked.
 SALTS = 64
 COUNTS = "lang string, phrase string, count long"
@@ -68,28 +68,32 @@ def _hashes(words) -> np.ndarray:
 
 
 def _counted(lang: str, ids: np.ndarray, words: list[bytes], level: int, bits: np.ndarray | None):
-    """Phrases of ``level`` words among ``ids`` (0 is an edge), and how often they occur."""
+    """Phrases of ``level`` words among ``ids`` (0 is an edge), and how often they occur, some at a time."""
     inside = ids > 0
     if len(ids) < level:
-        return [], []
+        return
     shorter = level - 1
     whole = inside[: len(ids) - shorter + 1].copy()
     for i in range(1, shorter):
         whole &= inside[i : i + len(whole)]
     at = _places(lang, _hashes(words)[ids], shorter)
     whole &= (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+    del at
     starts = np.flatnonzero(whole[:-1] & whole[1:])
     if not len(starts):
-        return [], []
-    code, most = ids[starts], len(words)
+        return
+    code, most = ids[starts].astype(np.int64), len(words)
     for i in range(1, level):
         if most * len(words) >= 1 << 62:
             seen, code = np.unique(code, return_inverse=True)
             most = len(seen)
         code, most = code * len(words) + ids[starts + i], most * len(words)
     _, first, counts = np.unique(code, return_index=True, return_counts=True)
-    parts = [[words[j] for j in ids[starts[first] + i].tolist()] for i in range(level)]
-    return [b" ".join(p) for p in zip(*parts)], counts
+    starts = starts[first]
+    del code, first
+    for k in range(0, len(starts), HANDED):
+        parts = [map(words.__getitem__, ids[starts[k : k + HANDED] + i].tolist()) for i in range(level)]
+        yield [b" ".join(p) for p in zip(*parts)], counts[k : k + HANDED]
 
 
 def _level(level: int, bits, held: int):
@@ -107,8 +111,9 @@ def _level(level: int, bits, held: int):
 
     def runs(chunk):
         for lang, (numbers, arrays) in chunk.items():
-            phrases, counts = _counted(lang, np.concatenate(arrays), list(numbers), level, bits.value)
-            if phrases:
+            ids = np.concatenate(arrays)
+            arrays.clear()
+            for phrases, counts in _counted(lang, ids, list(numbers), level, bits.value):
                 yield batch_of(lang, phrases, counts)
 
     def numbered():
@@ -128,7 +133,7 @@ def _level(level: int, bits, held: int):
                     if lang not in chunk:
                         chunk[lang] = numbered()
                     numbers, arrays = chunk[lang]
-                    arrays.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int64, count=len(words)))
+                    arrays.append(np.fromiter(map(numbers.__getitem__, words), dtype=np.int32, count=len(words)))
                 size += len(words)
                 if size >= held:
                     yield from (singles if level == 1 else runs)(chunk)
