@@ -22,9 +22,10 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
 from .common import stored
 
 LONGEST = 4
@@ -36,8 +37,6 @@ TOP = 2000
 BITS = 1 << 27
 #: Words that a worker counts at once, and rows that it hands on at once; they change no result.
 HELD, HANDED = 1_000_000, 50_000
-#: Parts in which a language is ranked.
-SALTS = 64
 COUNTS = "lang string, phrase string, count long"
 
 _EDGE = b"\xff"  # no byte of UTF-8
@@ -226,9 +225,7 @@ def mine(docs: DataFrame, lang: str = "lang", text: str = "text", longest: int =
     found = levels(docs, lang, text, longest, least, held)
     scored = score(found, inside)
     order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
-    scored = scored.withColumn("salt", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
-    best = scored.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "salt").orderBy(*order))).filter(F.col("rank") <= top)
-    best = best.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= top)
+    best = numbered(stored(scored), order, by=["lang"], name="rank").filter(F.col("rank") <= top)
     words = found[0].filter("phrase IS NULL").select("lang", F.col("count").alias("n"))
     return best.join(words, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 

@@ -170,7 +170,7 @@ def learn(docs: DataFrame, labels: DataFrame, text: str = "text", id_col: str =
     # the sample is bounded, and so are its families and buckets
     kin = seen.groupBy("toxic", "kin").agg((1 / F.count("*")).alias("weight"))
     kin = kin.withColumn("weight", F.when(F.col("kin") < 0, 1.0).otherwise(F.col("weight")))
-    seen = stored(seen.join(kin, ["toxic", "kin"]))
+    seen = stored(seen.join(F.broadcast(kin), ["toxic", "kin"]))
     total = seen.groupBy().agg(F.sum(F.col("weight") * F.col("toxic")).alias("t"), F.sum(F.col("weight") * (1 - F.col("toxic"))).alias("c")).first()
     if not total.t or not total.c:
         return Machine()
