@@ -180,39 +180,6 @@ def valid_citations(given: Column, allowed: Column) -> Column:
     return F.struct(F.filter(keys, lambda k: F.array_contains(ok, k)).alias("kept"), F.filter(keys, lambda k: ~F.array_contains(ok, k)).alias("dropped"))
 
 
-def _spans(text: Column, pattern: str) -> Column:
-    """Places (start, end) of all matches: lengths of the pieces between them and of the matches themselves."""
-    java = f"(?iU){pattern}"
-    between, found = F.split(text, java, -1), F.regexp_extract_all(text, F.lit(java), F.lit(0))
-    sizes = F.zip_with(F.slice(between, F.lit(1), F.size(found)), found, lambda b, m: F.struct(F.length(b).alias("b"), F.length(m).alias("m")))
-    none = F.array().cast("array<struct<start:int,end:int>>")
-
-    def step(done, x):
-        start = F.coalesce(F.try_element_at(done, F.lit(-1))["end"], F.lit(0)) + x["b"]
-        return F.concat(done, F.array(F.struct(start.alias("start"), (start + x["m"]).alias("end"))))
-
-    return F.aggregate(sizes, none, step)
-
-
-def first_unmasked(text: Column, patterns: list[tuple[str, str]], masks: list[str]) -> Column:
-    """The first pattern, in pattern order, with a match that no mask's span covers; NULL if none has.
-
-    A match is masked only if its start lies inside a span; every match is looked
-    at.
-    """
-    some = "(?iU)" + "|".join(f"(?:{p})" for _, p in patterns)
-
-    def among(covered):
-        out = F.lit(None).cast("string")
-        for name, pattern in reversed(patterns):
-            free = F.exists(_spans(text, pattern), lambda m: ~F.exists(covered, lambda c: (c["start"] <= m["start"]) & (m["start"] < c["end"])))
-            out = F.when(text.rlike(f"(?iU){pattern}") & free, F.lit(name)).otherwise(out)
-        return out
-
-    # the masks' spans are found once, and only in texts that a pattern matches at all
-    return F.when(text.rlike(some), F.transform(F.array(F.concat(*[_spans(text, m) for m in masks])), among)[0])
-
-
 def as_list(value: Column) -> Column:
     """A list column that may come as text: NULL is empty, ``[..]`` is read, anything else is its one element."""
     text = F.trim(value)

@@ -2,48 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import cut, discard
+
 #: Edges up to which the rest of a contraction is solved in one task.
 LOCAL_EDGES = 50_000
 #: Parts a node's moves are dealt over in a walk, so that a hub is many tasks' work.
 SALTS = 8
 
 
-def shared_folder(df: DataFrame) -> str:
-    """The folder named by ``spark.checkpoint.dir``; on one machine without it a temporary one."""
-    spark = df.sparkSession
-    sc = spark.sparkContext
-    where = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    held = sc._jsc.sc().getCheckpointDir()
-    if not where and held.isDefined():
-        return held.get()
-    if not where:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("spark.checkpoint.dir is not set: executors share no folder")
-        import tempfile
-
-        where = tempfile.mkdtemp(prefix="lodestone-graph-")
-    if not held.isDefined():
-        sc.setCheckpointDir(where)
-    return where
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """``df`` as a table in the shared folder, read back.
-
-    The lineage ends, a lost executor costs one step, and the next plan sees real
-    sizes: a checkpoint hands on its plan's estimate, which squares with every
-    self-join of a loop.
-    """
-    path = f"{shared_folder(df).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def build_edges(pairs: DataFrame, score_min: float) -> DataFrame:
     """Undirected edges of (a, b, score): loops and low scores dropped, the best of repeats kept."""
     kept = pairs.filter((F.col("a") != F.col("b")) & (F.col("score") >= score_min))
@@ -93,8 +62,8 @@ def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: i
     """
     strength = sym.groupBy("src").agg(F.sum("score").alias("total"))
     salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
-    moves = cut(sym.join(strength, "src").select("src", salt.alias("salt"), "dst", (F.col("score") / F.col("total")).alias("share")))
-    moves = moves.repartition("src", "salt").persist()  # a lost part is dealt again from the table
+    laid_out = cut(sym.join(strength, "src").select("src", salt.alias("salt"), "dst", (F.col("score") / F.col("total")).alias("share")))
+    moves = laid_out.repartition("src", "salt").persist()  # a lost part is dealt again from the table
     n = seed_nodes.count()
     nodes = sym.select(F.col("src").alias("node")).distinct()
     start = nodes.join(seed_nodes.withColumn("s", F.lit(1.0 / n)), "node", "left").select("node", F.coalesce("s", F.lit(0.0)).alias("home"))
@@ -107,19 +76,21 @@ def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: i
         moved = laid.join(moves, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("score") * F.col("share")).alias("inflow"))
         return start.join(moved, "node", "left").select("node", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"))
 
-    done = 0
+    done, held = 0, score
     while done < rounds:  # four rounds a look at the tolerance; the last is compared with the one before
         batch = min(4, rounds - done)
         for _ in range(batch - 1):
             score = step(score)
-        score = cut(score) if batch > 1 else score
-        both = cut(step(score).join(score.withColumnRenamed("score", "old"), "node"))
-        done += batch
+        last = cut(score) if batch > 1 else score
+        both = cut(step(last).join(last.withColumnRenamed("score", "old"), "node"))
+        discard(last, held)
+        held, done = both, done + batch
         off = both.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"]
         score = both.select("node", "score")
         if off is None or off <= tolerance:
             break
     moves.unpersist()
+    discard(laid_out, start)
     return score
 
 
@@ -145,6 +116,7 @@ def bfs_distances(sym: DataFrame, sources: DataFrame, most: int | None = None) -
             step = step.join(near.select("node"), "node", "left_anti")
         front = cut(step.withColumn("distance", F.lit(len(fronts)).cast("bigint")))
         if front.isEmpty():
+            discard(front)
             break
         fronts.append(front)
     out = fronts[0]
@@ -191,19 +163,26 @@ def components(sym: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
         root = parent.select(F.col("a").alias("component"), "p")
         return cut(labels.join(root, "component", "left").select("node", F.coalesce("p", "component").alias("component")))
 
+    held = [edges]  # tables that this round reads and the next one does not
     edges = edges.filter("a <> b")
     while edges.count() > local_edges:
-        parent = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p")))
+        jumped = cut(edges.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("p")))
+        parent = jumped
         while True:
             up = parent.select(F.col("a").alias("p"), F.col("p").alias("pp"))
-            jumped = cut(parent.join(up, "p").select("a", "p", "pp"))
+            before, jumped = jumped, cut(parent.join(up, "p").select("a", "p", "pp"))
+            discard(before)
             parent = jumped.select("a", F.col("pp").alias("p"))
             if jumped.filter("p <> pp").isEmpty():
                 break
         labels = relabelled(parent)
         ends = edges.join(parent, "a").select(F.col("p").alias("x"), F.col("b").alias("a")).join(parent, "a").select(F.col("x").alias("a"), F.col("p").alias("b"))
         edges = cut(ends.filter("a <> b").distinct())
-    return relabelled(_solved(edges))
+        discard(jumped, *held)
+        held = [edges, labels]
+    out = relabelled(_solved(edges))
+    discard(*held)
+    return out
 
 
 def largest_component(sym: DataFrame) -> DataFrame:

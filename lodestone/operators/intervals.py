@@ -6,17 +6,35 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def in_regions(points: DataFrame, regions: DataFrame, pad: int, bin_width: int = 4096) -> DataFrame:
+#: Widths of bins: a region lies on those of the first level that is not narrower than itself.
+FINEST, FACTOR, LEVELS = 4096, 8, 12
+
+
+def in_regions(points: DataFrame, regions: DataFrame, pad: int, finest: int = FINEST) -> DataFrame:
     """Points with every padded region that holds them.
 
-    Regions are laid out on bins of the contig, so the join has an equality on
-    (contig, bin) and stays a hash or merge join at any size; the exact bounds
-    follow as a condition.
+    Bins come in levels, each ``FACTOR`` times as wide as the one below.  A region is a row in
+    each of the one or two bins that it meets on its own level, whatever its length; a point is a row on each
+    level that regions use.  The join has an equality on (contig, level, bin), so it stays
+    a hash or merge join at any size; the exact bounds follow as a condition.
     """
-    r = regions.select("contig", "gene", (F.col("start") - pad).alias("lo"), (F.col("end") + pad).alias("hi"))
-    binned = r.withColumn("bin", F.explode(F.sequence(F.floor(F.col("lo") / bin_width), F.floor(F.col("hi") / bin_width))))
-    keyed = points.withColumn("bin", F.floor(F.col("pos") / bin_width))
-    return keyed.join(binned, ["contig", "bin"]).filter("pos BETWEEN lo AND hi").drop("bin", "lo", "hi")
+    r = regions.select("contig", "gene", (F.col("start") - pad).alias("lo"), (F.col("end") + pad).alias("hi")).filter("lo <= hi")
+    width = F.col("hi") - F.col("lo")
+    level = F.lit(LEVELS)
+    for k in reversed(range(LEVELS)):
+        level = F.when(width <= finest * FACTOR**k, k).otherwise(level)
+
+    def size(level):
+        return (F.lit(finest) * F.pow(F.lit(FACTOR), level)).cast("long")
+
+    def bin_of(place, level):  # whole numbers, and below zero too
+        return F.call_function("div", place - F.pmod(place, size(level)), size(level))
+
+    laid = r.withColumn("level", level.cast("int")).withColumn("bin", F.explode(F.sequence(bin_of(F.col("lo"), F.col("level")), bin_of(F.col("hi"), F.col("level")))))
+    used = sorted(x["level"] for x in laid.select("level").distinct().collect())  # at most LEVELS + 1
+    levels = F.array(*[F.lit(k) for k in used]) if used else F.array().cast("array<int>")
+    keyed = points.withColumn("level", F.explode(levels)).withColumn("bin", bin_of(F.col("pos").cast("long"), F.col("level")))
+    return keyed.join(laid, ["contig", "level", "bin"]).filter("pos BETWEEN lo AND hi").drop("level", "bin", "lo", "hi")
 
 
 def first_region(points: DataFrame, regions: DataFrame, pad: int) -> DataFrame:

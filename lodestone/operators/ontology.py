@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw
-from .graph import cut
+from .order import numbered
+from .tables import cut, discard
 
 
 def closure(edges: DataFrame, terms: DataFrame) -> DataFrame:
@@ -16,13 +17,19 @@ def closure(edges: DataFrame, terms: DataFrame) -> DataFrame:
     n = known.count()
     while True:
         on = known.select(F.col("term").alias("ancestor"), F.col("ancestor").alias("far"))
-        known = cut(known.join(on, "ancestor").select("term", F.col("far").alias("ancestor")).distinct())
+        shorter, known = known, cut(known.join(on, "ancestor").select("term", F.col("far").alias("ancestor")).distinct())
+        discard(shorter)
         more = known.count()
         if more == n:
             return known
         n = more
 
 
+def associated(records: DataFrame, least: int) -> DataFrame:
+    """Distinct ``entity, term`` that at least ``least`` of the records (entity, term) name."""
+    return records.groupBy("entity", "term").agg(F.count("*").alias("n")).filter(F.col("n") >= least).select("entity", "term")
+
+
 def information_content(annotations: DataFrame, closed: DataFrame, terms: DataFrame) -> DataFrame:
     """``term, n, ic``: -ln(max(n, 1) / N) over the entities that carry the term or one below."""
     total = annotations.agg(F.countDistinct("entity").alias("total"))
@@ -50,11 +57,28 @@ def best_match(queries: DataFrame, annotations: DataFrame, sims: DataFrame, by:
     return joined.select("entity", *by, (F.col("total") / F.col("nq")).alias("score"))
 
 
+def without_replacement(digits: Column) -> Column:
+    """Distinct numbers, ascending, of ``digits`` (the i-th below m - i): the i-th counts over what is still free.
+
+    So a draw is the beginning of a permutation that its digits name, and costs a row a number
+    drawn, not one a number of the pool.
+    """
+
+    def add(taken, digit):
+        free = F.aggregate(taken, digit, lambda x, t: x + F.when(x >= t, 1).otherwise(0).cast("long"))
+        return F.array_sort(F.array_append(taken, free))
+
+    return F.aggregate(digits, F.array().cast("array<bigint>"), add)
+
+
 def random_queries(pool: DataFrame, size: int, draws: int, seed: int) -> DataFrame:
-    """``perm, term``: for each draw ``size`` terms without replacement, by hash order."""
-    perms = pool.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(draws - 1))))
-    w = Window.partitionBy("perm").orderBy(draw(seed, F.col("perm"), F.col("term")), "term")
-    return perms.withColumn("n", F.row_number().over(w)).filter(F.col("n") <= size).select("perm", "term")
+    """``perm, term``: for each draw ``size`` terms of the pool without replacement, all of a smaller one."""
+    placed = numbered(pool.select("term"), ["term"], name="nth")
+    m = pool.count()
+    perms = pool.sparkSession.range(draws).select(F.col("id").cast("int").alias("perm"))
+    digits = F.array(*[draw(seed, F.col("perm"), F.lit(i)) % F.lit(m - i) for i in range(min(size, m))]).cast("array<bigint>")
+    drawn = perms.select("perm", F.explode(without_replacement(digits)).alias("at"))
+    return drawn.join(placed, F.col("at") == F.col("nth") - 1).select("perm", "term")
 
 
 def permutation_p(observed: DataFrame, null: DataFrame, draws: int) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw
+from .order import numbered
 
 BROAD_FRACTION = 0.5
 
@@ -86,7 +87,7 @@ def negative_fractions(ranked: DataFrame) -> DataFrame:
     position less the positives up to it: only positives are ordered.
     """
     totals = ranked.agg(F.count("*").alias("n"), F.count_if("is_positive").alias("np"))
-    pos = ranked.filter("is_positive").select("position").withColumn("idx", F.row_number().over(Window.orderBy("position")))
+    pos = numbered(ranked.filter("is_positive").select("position"), ["position"], name="idx")
     above = (F.col("position") - 1) - (F.col("idx") - 1)
     negatives = F.col("n") - F.col("np")
     return pos.join(F.broadcast(totals)).select("idx", "position", F.try_divide(negatives - above, negatives).alias("fraction"))

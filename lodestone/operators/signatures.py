@@ -2,9 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .order import numbered
+from .quantiles import quantiles
+from .tables import cut
+
+#: Signatures of a tile: a task multiplies two of them.
+TILE = 256
+
 
 def ranked(signatures: DataFrame) -> DataFrame:
     """Long form, each signature's genes in descending order: ``sig, grp, gene, z, pos, n``.
@@ -62,10 +71,10 @@ def normalise(scores: DataFrame) -> DataFrame:
     return scores.withColumn("ncs", F.when(F.col("wtcs") == 0, 0.0).otherwise(F.col("wtcs") / F.avg(F.abs("wtcs")).over(w)))
 
 
-def max_quantile(v: Column) -> Column:
-    """Of the 33 and 67 per cent points the one of larger magnitude, ties high."""
-    q = F.percentile(v, F.array(F.lit(0.33), F.lit(0.67)))
-    return F.when(F.abs(q[1]) >= F.abs(q[0]), q[1]).otherwise(q[0])
+def max_quantile(scores: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """``by..., score``: of the 33 and 67 per cent points of a group's values the one of larger magnitude, ties high."""
+    q = F.col("quantiles")
+    return quantiles(cut(scores.select(*by, value)), value, [0.33, 0.67], by).select(*by, F.when(F.abs(q[1]) >= F.abs(q[0]), q[1]).otherwise(q[0]).alias("score"))
 
 
 def consensus(signatures: DataFrame, by: str) -> DataFrame:
@@ -108,20 +117,42 @@ def passing_depth(rungs: DataFrame, observed: str, p_max: float) -> DataFrame:
     return null.join(obs, "depth").groupBy("depth").agg(p.alias("p")).withColumn("passes", F.col("p") <= p_max)
 
 
-def spearman(signatures: DataFrame) -> DataFrame:
+def spearman(signatures: DataFrame, tile: int = TILE) -> DataFrame:
     """Rank correlation of each pair (a before b) of signatures of one group; average ranks for ties.
 
-    A signature's ranks become one centred vector of length 1, so a pair is one
-    row and its correlation one product of arrays.  The result is quadratic in a
-    group: groups are replicates of one treatment.  A constant signature has no
-    correlation (NULL).
+    A signature's ranks become one centred vector of length 1.  The signatures of a group are
+    numbered and cut into tiles, and a task multiplies two tiles: a vector is copied once
+    for each tile of its group, not for each partner.  Signatures of other lengths are
+    groups of their own; a constant one has no correlation (NULL).  The result is quadratic
+    in a group: groups are replicates of one treatment.
     """
-    long = signatures.select("sig", "grp", F.posexplode("z").alias("gene", "z"))
-    low = F.rank().over(Window.partitionBy("sig").orderBy("z"))
-    ties = F.count("*").over(Window.partitionBy("sig", "z"))
-    ranks = long.withColumn("r", low + (ties - 1) / 2.0)
-    lists = ranks.groupBy("sig", "grp").agg(F.avg("r").alias("m"), F.sqrt(F.count("*") * F.var_pop("r")).alias("s"), F.sort_array(F.collect_list(F.struct("gene", "r"))).alias("v"))
-    unit = lists.select("sig", "grp", F.transform("v", lambda x: F.try_divide(x["r"] - F.col("m"), F.col("s"))).alias("u"))
-    a, b = (unit.select("grp", F.col("sig").alias(x), F.col("u").alias(f"u{x}")) for x in "ab")
-    product = F.aggregate(F.zip_with("ua", "ub", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-    return a.join(b, "grp").filter("a < b").select("a", "b", product.alias("rho"))
+    kind = signatures.schema["sig"].dataType.simpleString()
+
+    @F.pandas_udf("array<double>")
+    def unit(vectors: pd.Series) -> pd.Series:
+        out = []
+        for v in vectors:
+            r = pd.Series(v, dtype=float).rank().to_numpy()
+            r = r - r.mean() if len(r) else r
+            size = np.sqrt(r @ r)
+            out.append(r / size if size > 0 else np.full(len(r), np.nan))
+        return pd.Series(out)
+
+    def product(pdf: pd.DataFrame) -> pd.DataFrame:
+        x, y = pdf[pdf["left"]], pdf[~pdf["left"]]
+        if x.empty or y.empty:
+            return pd.DataFrame({"a": [], "b": [], "rho": []})
+        rho = np.vstack(x["u"].to_numpy()) @ np.vstack(y["u"].to_numpy()).T
+        a, b = np.broadcast_arrays(x["sig"].to_numpy()[:, None], y["sig"].to_numpy()[None, :])
+        once = (a < b) if x["t"].iloc[0] == y["t"].iloc[0] else np.ones(a.shape, bool)
+        lower = a < b
+        values = rho[once]
+        return pd.DataFrame({"a": np.where(lower, a, b)[once], "b": np.where(lower, b, a)[once], "rho": pd.array(np.where(np.isnan(values), None, values), dtype="Float64")})
+
+    rows = numbered(signatures.select("sig", "grp", F.size("z").alias("size"), unit("z").alias("u")), ["sig"], by=["grp", "size"], name="nth")
+    rows = rows.withColumn("t", F.floor((F.col("nth") - 1) / tile).cast("int"))
+    tiles = rows.groupBy("grp", "size").agg(F.max("t").alias("last"))  # a row a group
+    rows = rows.join(tiles, ["grp", "size"])
+    as_left = rows.withColumn("other", F.explode(F.sequence("t", "last"))).select("grp", "size", F.col("t").alias("i"), F.col("other").alias("j"), "t", "sig", "u", F.lit(True).alias("left"))
+    as_right = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t")))).select("grp", "size", F.col("other").alias("i"), F.col("t").alias("j"), "t", "sig", "u", F.lit(False).alias("left"))
+    return as_left.unionByName(as_right).groupBy("grp", "size", "i", "j").applyInPandas(product, f"a {kind}, b {kind}, rho double")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import lexical
+from ..functions.scan import Scanner
 
 # Rule names in their order, those that exclude, sections and statuses.
 RULES = ["genotoxic_or_cancer_risk", "pediatric_use", "currently_marketed", "bbb_penetration", "clinical_status"]
@@ -23,25 +27,47 @@ def _section(name: str) -> Column:
     return F.nullif(F.trim(F.coalesce(F.try_element_at("sections", F.lit(name)), F.lit(""))), F.lit(""))
 
 
+RISK = [p for p in lexical.GENOTOXIC if p[0] in ("malignancy_risk", "secondary_malignancy")]
+_HITS = ", ".join(f"{n} string" for n in [*WARNINGS, "geno", "ok", "no"]) + ", negative boolean"
+
+
+def _numbered(*tables: list) -> tuple[list[str], list[list[int]]]:
+    """All patterns of the tables, and the numbers of each table's own."""
+    patterns = [p for table in tables for p in table]
+    ends = [sum(map(len, tables[: k + 1])) for k in range(len(tables))]
+    return patterns, [list(range(end - len(table), end)) for table, end in zip(tables, ends)]
+
+
+def _hits(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
+    """What the sections say: each text is passed once, and only what its needles point at is looked at."""
+    risk, geno, established, denied = ([p for _, p in t] for t in (RISK, lexical.GENOTOXIC, lexical.PEDIATRIC_ESTABLISHED, lexical.PEDIATRIC_DENIED))
+    of_risk, (r, r_mask) = _numbered(risk, lexical.NEGATED)
+    of_geno, (g, g_mask, negative) = _numbered(geno, lexical.NEGATED, lexical.NEGATIVE)
+    of_child, (e, d, d_mask) = _numbered(established, denied, lexical.NEGATED)
+    risks, genos, children = Scanner(of_risk), Scanner(of_geno), Scanner(of_child)
+    named = {
+        "risk": [(n, i) for (n, _), i in zip(RISK, r)], "geno": [(n, i) for (n, _), i in zip(lexical.GENOTOXIC, g)],
+        "ok": [(n, i) for (n, _), i in zip(lexical.PEDIATRIC_ESTABLISHED, e)], "no": [(n, i) for (n, _), i in zip(lexical.PEDIATRIC_DENIED, d)],
+    }
+    for warnings_finding_child in batches:
+        rows = []
+        for *warned, finding, child in zip(*warnings_finding_child):
+            row = [risks.look(t).first_free(named["risk"], r_mask) if t else None for t in warned]
+            seen = genos.look(finding or "")
+            of = children.look(child or "")
+            rows.append([*row, seen.first_free(named["geno"], g_mask), of.first_free(named["ok"], d), of.first_free(named["no"], d_mask), any(seen.matches(i) for i in negative)])
+        yield pd.DataFrame(rows, columns=[*WARNINGS, "geno", "ok", "no", "negative"])
+
+
 def verdicts(labels: DataFrame) -> DataFrame:
     """Adds ``verdicts``, ``survives`` and ``excluded_by``.
 
     ``labels`` has id, sections (map, NULL without a label), statuses (array,
     NULL without a record) and classes (array).  What cannot be read excludes.
     """
-    risk = [p for p in lexical.GENOTOXIC if p[0] in ("malignancy_risk", "secondary_malignancy")]
     rows = labels.withColumns({f"__{n}": _section(n) for n in [*WARNINGS, "pediatric_use"]})
     rows = rows.withColumn("__finding", F.coalesce(*[_section(n) for n in FINDINGS]))
-    denied = [p for _, p in lexical.PEDIATRIC_DENIED]
-    hits = F.struct(
-        *[lexical.first_unmasked(F.col(f"__{n}"), risk, lexical.NEGATED).alias(n) for n in WARNINGS],
-        lexical.first_unmasked(F.col("__finding"), lexical.GENOTOXIC, lexical.NEGATED).alias("geno"),
-        F.coalesce(F.col("__finding").rlike("(?i)" + "|".join(lexical.NEGATIVE)), F.lit(False)).alias("negative"),
-        lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_ESTABLISHED, denied).alias("ok"),
-        lexical.first_unmasked(F.col("__pediatric_use"), lexical.PEDIATRIC_DENIED, lexical.NEGATED).alias("no"),
-    )
-    # a generator is evaluated once a row; a projection would be put in place wherever it is used
-    rows = rows.select("*", F.explode(F.array(hits)).alias("__hit"))
+    rows = rows.withColumn("__hit", F.pandas_udf(_hits, _HITS)(*[F.col(f"__{n}") for n in [*WARNINGS, "finding", "pediatric_use"]]))
 
     classes = F.coalesce(F.array_join("classes", " "), F.lit(""))
     toxic_class = classes.rlike("(?i)" + "|".join(lexical.CYTOTOXIC_CLASSES))

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.burden import baf
+from .quantiles import quantiles
+from .tables import cut
 
 
 def position_windows(sites: DataFrame, width: int, min_depth: int) -> DataFrame:
@@ -36,11 +38,10 @@ def robust_baseline(windows: DataFrame, min_het: int) -> DataFrame:
 
     Fewer than two windows give (0, 0).
     """
-    devs = windows.filter((F.col("n_het") >= min_het) & F.col("mean_abs_dev").isNotNull()).select("mean_abs_dev")
-    centre = devs.agg(F.median("mean_abs_dev").alias("centre"), F.count("*").alias("n_windows"))
-    spread = devs.join(F.broadcast(centre)).agg(  # one row
-        F.median(F.abs(F.col("mean_abs_dev") - F.col("centre"))).alias("mad"), F.first("centre").alias("centre"), F.count("*").alias("n_windows")
-    )
+    devs = cut(windows.filter((F.col("n_het") >= min_het) & F.col("mean_abs_dev").isNotNull()).select("mean_abs_dev"))
+    centre = quantiles(devs, "mean_abs_dev", [0.5]).select(F.col("quantiles")[0].alias("centre"))
+    off = cut(devs.join(F.broadcast(centre)).select("centre", F.abs(F.col("mean_abs_dev") - F.col("centre")).alias("off")))  # one row
+    spread = off.agg(F.first("centre").alias("centre"), F.count("*").alias("n_windows")).join(F.broadcast(quantiles(off, "off", [0.5]).select(F.col("quantiles")[0].alias("mad"))), how="left")
     few = F.col("n_windows") < 2
     return spread.select(
         F.when(few, 0.0).otherwise(F.col("centre")).alias("baseline"),

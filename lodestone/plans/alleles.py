@@ -39,6 +39,18 @@ def outside_regions(spark, sf_dir):
     return p.join(ops.in_regions(p, _regions(spark), PAD).select("id"), "id", "left_anti").select("id", "pos")
 
 
+_SPREAD = """genes AS (SELECT 'G' || p_partkey AS gene, p_partkey % 5 AS contig, (p_partkey * 7919) % 60000 AS start, CASE WHEN p_size <= 2 THEN 1000000000 WHEN p_size % 5 = 0 THEN 9000 ELSE p_size END AS width FROM part)"""
+
+
+@query(f"""WITH {_SPREAD}, {_POINTS} SELECT gene, count(*) AS n_points, min(id) AS first_id FROM genes g JOIN points p ON p.contig = g.contig AND pos BETWEEN start - {PAD} AND start + width + {PAD} GROUP BY gene""")
+def mixed_regions(spark, sf_dir):
+    """Points in regions of a few bases and of whole contigs."""
+    width = F.when(F.col("p_size") <= 2, 1_000_000_000).when(F.col("p_size") % 5 == 0, 9000).otherwise(F.col("p_size"))
+    start = (F.col("p_partkey") * 7919) % 60000
+    genes = table(spark, sf_dir, "part").select(F.concat(F.lit("G"), "p_partkey").alias("gene"), (F.col("p_partkey") % 5).alias("contig"), start.alias("start"), (start + width).alias("end"))
+    return ops.in_regions(_points(spark, sf_dir), genes, PAD).groupBy("gene").agg(F.count("*").alias("n_points"), F.min("id").alias("first_id"))
+
+
 _NEAR = """WITH p AS (SELECT o_orderkey AS id, o_custkey % 7 AS contig, o_orderkey AS pos FROM orders WHERE o_orderpriority = '1-URGENT'),
 s AS (SELECT l_suppkey % 7 AS contig, l_orderkey AS pos, CAST(l_quantity AS DOUBLE) AS an FROM lineitem WHERE l_returnflag = 'A')"""
 
@@ -52,30 +64,41 @@ def nearby_band(spark, sf_dir):
     return got.withColumn("ratio", F.round(F.try_divide("an_median", "an_max"), 4))
 
 
-ALLELES = [(1500, "C", "T"), (100, "AGG", "AG"), (100, "AG", "A"), (101, "GG", "G"), (10, "CTT", "CAT"), (10, "AAAA", "A"), (10, "c", "t"), (7, "ACGTACGT", "ACCTACGT"), (3, "GATTACA", "GA")]
+#: Bases that references and alternatives are cut from, so that they share ends of every length.
+_REF, _ALT = "ACGGTACGTTAGACGT", "ACGGTTACGTAGACTT"
+_RAW = f"""raw AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_suppkey, l_partkey, l_returnflag, l_orderkey AS in_pos, substr('{_REF}', CAST(1 + l_partkey % 5 AS BIGINT), CAST(1 + l_linenumber AS BIGINT)) AS in_ref,
+  lower(substr('{_ALT}', CAST(1 + l_partkey % 5 AS BIGINT), CAST(1 + l_suppkey % 6 AS BIGINT))) AS in_alt FROM lineitem)"""
+_MINIMAL = f"""{_RAW}, u AS (SELECT *, upper(in_ref) AS r, upper(in_alt) AS a FROM raw),
+t AS (SELECT *, list_max(list_filter(range(0, least(length(r), length(a))), lambda k: k = 0 OR right(r, k) = right(a, k))) AS k FROM u),
+c AS (SELECT * EXCLUDE (r, a, k), left(r, length(r) - k) AS r, left(a, length(a) - k) AS a FROM t),
+p AS (SELECT *, list_max(list_filter(range(0, least(length(r), length(a))), lambda k: k = 0 OR left(r, k) = left(a, k))) AS k FROM c),
+m AS (SELECT *, CAST(in_pos + k AS BIGINT) AS pos, substr(r, CAST(k AS BIGINT) + 1) AS ref, substr(a, CAST(k AS BIGINT) + 1) AS alt FROM p)"""
+
 
+def _raw(spark, sf_dir):
+    """Alleles as callers write them: of any length, with shared ends, in either case."""
+    start = (1 + F.col("l_partkey") % 5).cast("int")
+    return table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), "l_suppkey", "l_partkey", "l_returnflag", F.col("l_orderkey").alias("in_pos"),
+        F.substr(F.lit(_REF), start, (1 + F.col("l_linenumber")).cast("int")).alias("in_ref"), F.lower(F.substr(F.lit(_ALT), start, (1 + F.col("l_suppkey") % 6).cast("int"))).alias("in_alt"),
+    )
 
-@query(f"""WITH v(pos, r, a) AS (VALUES {', '.join(f"({p}, '{r}', '{a}')" for p, r, a in ALLELES)}),
-u AS (SELECT pos AS in_pos, r AS in_ref, a AS in_alt, pos, upper(r) AS r, upper(a) AS a FROM v),
-t AS (SELECT *, list_max(list_filter(range(0, least(length(r), length(a))), lambda k: k = 0 OR right(r, k) = right(a, k))) AS k FROM u),
-c AS (SELECT in_pos, in_ref, in_alt, pos, left(r, length(r) - k) AS r, left(a, length(a) - k) AS a FROM t),
-p AS (SELECT *, list_max(list_filter(range(0, least(length(r), length(a))), lambda k: k = 0 OR left(r, k) = left(a, k))) AS k FROM c)
-SELECT in_pos, in_ref, in_alt, CAST(pos + k AS BIGINT) AS pos, substr(r, CAST(k AS BIGINT) + 1) AS ref, substr(a, CAST(k AS BIGINT) + 1) AS alt FROM p""")
+
+@query(f"WITH {_MINIMAL} SELECT id, in_ref, in_alt, pos, ref, alt FROM m")
 def minimal_alleles(spark, sf_dir):
-    v = spark.createDataFrame(ALLELES, "in_pos long, in_ref string, in_alt string")
-    return v.withColumn("m", fn.minimal(F.col("in_pos"), F.col("in_ref"), F.col("in_alt"))).select("in_pos", "in_ref", "in_alt", "m.*")
+    return _raw(spark, sf_dir).withColumn("m", fn.minimal(F.col("in_pos"), F.col("in_ref"), F.col("in_alt"))).select("id", "in_ref", "in_alt", "m.*")
 
 
-_KEYED = """a AS (SELECT l_orderkey AS pos, chr(CAST(65 + l_linenumber % 3 AS INTEGER)) AS ref, chr(CAST(70 + l_partkey % 4 AS INTEGER)) AS alt, l_suppkey AS id, 'chr' || (l_suppkey % 3) AS contig FROM lineitem WHERE l_returnflag = 'R'),
-b AS (SELECT l_orderkey AS pos, chr(CAST(65 + l_linenumber % 3 AS INTEGER)) AS ref, chr(CAST(70 + l_suppkey % 4 AS INTEGER)) AS alt, l_partkey AS rec, CAST(l_suppkey % 3 AS VARCHAR) AS contig FROM lineitem WHERE l_returnflag = 'R')"""
+_KEYED = f"""{_MINIMAL}, a AS (SELECT id, 'chr' || (l_suppkey % 3) AS contig, pos, ref, alt FROM m WHERE l_returnflag = 'R'),
+b AS (SELECT l_partkey AS rec, CAST(l_suppkey % 3 AS VARCHAR) AS contig, pos, ref, alt FROM m WHERE l_returnflag <> 'N')"""
 
 
 def _keyed(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
-    ref = F.char((65 + F.col("l_linenumber") % 3).cast("long")).alias("ref")
+    """Calls and archive records, both brought to their minimal form: that is what they are joined by."""
+    rows = _raw(spark, sf_dir).withColumn("m", fn.minimal(F.col("in_pos"), F.col("in_ref"), F.col("in_alt")))
     bare = (F.col("l_suppkey") % 3).cast("string")
-    a = li.select(F.col("l_orderkey").alias("pos"), ref, F.char((70 + F.col("l_partkey") % 4).cast("long")).alias("alt"), F.col("l_suppkey").alias("id"), fn.bare_contig(F.concat(F.lit("chr"), bare)).alias("contig"))
-    b = li.select(F.col("l_orderkey").alias("pos"), ref, F.char((70 + F.col("l_suppkey") % 4).cast("long")).alias("alt"), F.col("l_partkey").alias("rec"), bare.alias("contig"))
+    a = rows.filter("l_returnflag = 'R'").select("id", fn.bare_contig(F.concat(F.lit("chr"), bare)).alias("contig"), "m.*")
+    b = rows.filter("l_returnflag <> 'N'").select(F.col("l_partkey").alias("rec"), bare.alias("contig"), "m.*")
     return a, b
 
 
@@ -95,15 +118,19 @@ def same_position_other_allele(spark, sf_dir):
 SIGNIFICANCE = ["Pathogenic", "Pathogenic/Likely_pathogenic", "Pathogenic|risk_factor", "Pathogenic_low_penetrance", "Likely_pathogenic", "Benign", "Benign/Likely_benign", "Likely_benign", "Uncertain_significance", "Conflicting_classifications_of_pathogenicity", "Conflicting_interpretations_of_pathogenicity", "drug_response", ""]
 
 
-@query(f"""WITH v(s) AS (VALUES {', '.join(f"('{s}')" for s in SIGNIFICANCE)}),
+_STATED = f"list_extract({SIGNIFICANCE}, CAST(1 + (l_partkey + l_linenumber) % {len(SIGNIFICANCE)} AS INTEGER)) || CASE WHEN l_suppkey % 4 = 0 THEN '|risk_factor' ELSE '' END"
+
+
+@query(f"""WITH v AS (SELECT {_STATED} AS s FROM lineitem),
 p AS (SELECT s, list_transform(string_split(string_split(s, '|')[1], '/'), lambda x: trim(replace(x, '_low_penetrance', ''), '_')) AS parts FROM v)
 SELECT s AS clnsig, CASE WHEN list_has_any(parts, ['Conflicting_classifications_of_pathogenicity', 'Conflicting_interpretations_of_pathogenicity']) THEN 'conflicting'
  WHEN list_contains(parts, 'Pathogenic') THEN 'pathogenic' WHEN list_contains(parts, 'Likely_pathogenic') THEN 'likely_pathogenic'
  WHEN list_contains(parts, 'Benign') THEN 'benign' WHEN list_contains(parts, 'Likely_benign') THEN 'likely_benign'
- WHEN list_has_any(parts, ['Uncertain_significance', 'Uncertain_risk_allele']) THEN 'uncertain' ELSE 'other' END AS class FROM p""")
+ WHEN list_has_any(parts, ['Uncertain_significance', 'Uncertain_risk_allele']) THEN 'uncertain' ELSE 'other' END AS class, count(*) AS n FROM p GROUP BY ALL""")
 def significance_class(spark, sf_dir):
-    v = spark.createDataFrame([(s,) for s in SIGNIFICANCE], "clnsig string")
-    return v.withColumn("class", fn.significance_class(F.col("clnsig")))
+    stated = F.get(F.array(*[F.lit(s) for s in SIGNIFICANCE]), ((F.col("l_partkey") + F.col("l_linenumber")) % len(SIGNIFICANCE)).cast("int"))
+    v = table(spark, sf_dir, "lineitem").select(F.concat(stated, F.when(F.col("l_suppkey") % 4 == 0, "|risk_factor").otherwise("")).alias("clnsig"))
+    return v.groupBy("clnsig", fn.significance_class(F.col("clnsig")).alias("class")).agg(F.count("*").alias("n"))
 
 
 @query(f"""WITH m(status, stars) AS (VALUES {', '.join(f"('{k}', {v})" for k, v in fn.REVIEW_STARS.items())}),
@@ -116,16 +143,31 @@ def review_stars(spark, sf_dir):
     return s.groupBy("status").agg(F.count("*").alias("n")).withColumn("stars", fn.review_stars(F.col("status")).cast("bigint"))
 
 
-ANN = [
-    ("v1", "T|stop_gained|HIGH|GENE1|id|transcript|TX1|protein_coding|5/10|c.1A>T|p.Arg550Ter|,T|missense_variant|MODERATE|GENE1|id|transcript|TX2|protein_coding|2/3|c.2A>T|p.Gly12Val|"),
-    ("v2", "T|splice_donor_variant&intron_variant|HIGH|GENE1|id|transcript|TX3|retained_intron|1/2|c.3+1G>T||"),
-    ("v3", "C|missense_variant|MODERATE|GENE2|id|transcript|TX4|protein_coding|3/3|c.4A>C|p.Leu7Pro|,C|synonymous_variant|LOW|GENE2|id|transcript|TX5|protein_coding|1/4|c.5A>C|p.Ala9=|"),
-    ("v4", "G|short|HIGH"),
-]
+#: What an annotation field may say, by the remainder of a key.
+EFFECTS = ["stop_gained", "missense_variant", "splice_donor_variant&intron_variant", "synonymous_variant", "frameshift_variant", "intron_variant", "exon_loss_variant"]
+BIOTYPES = ["protein_coding", "protein_coding", "retained_intron"]
+
+
+def _info(pick, text, glue) -> str:
+    """An INFO text of two annotations and a short one, in either engine's SQL."""
+
+    def one(k):
+        effect, impact = pick(EFFECTS, f"(l_partkey + {k}) % 7"), pick(fn.IMPACTS, f"(l_linenumber + {k}) % 4")
+        rank = glue([text(f"1 + (l_suppkey + {k}) % 3"), "'/3'"])
+        protein = f"CASE WHEN l_orderkey % 5 = {k} THEN '' ELSE " + glue(["'p.Arg'", text("1 + l_orderkey % 900"), "'Ter'"]) + " END"
+        gene, transcript = glue(["'G'", text(f"l_partkey % 9 + {k} * (l_suppkey % 2)")]), glue(["'TX'", text(f"(l_suppkey + 3 * {k}) % 10")])
+        return glue(["'T|'", effect, "'|'", impact, "'|'", gene, "'|id|transcript|'", transcript, "'|'", pick(BIOTYPES, f"(l_orderkey + {k}) % 3"), "'|'", rank, "'|c.1A>T|'", protein, "'|'"])
+
+    return glue(["'AC=2;DB;ANN='", one(0), "','", one(1), "',G|short|HIGH;AF=0.5;NOTE=a=b'"])
 
 
-@query(f"""WITH v(id, ann) AS (VALUES {', '.join(f"('{i}', '{a}')" for i, a in ANN)}),
-e AS (SELECT id, string_split(x, '|') AS p FROM (SELECT id, unnest(string_split(ann, ',')) AS x FROM v)),
+_INFO_SQL = _info(lambda xs, k: f"list_extract({xs}, CAST(1 + {k} AS INTEGER))", lambda x: f"CAST({x} AS VARCHAR)", " || ".join)
+_INFO = _info(lambda xs, k: f"array({', '.join(map(repr, xs))})[CAST({k} AS INT)]", lambda x: f"CAST({x} AS STRING)", lambda xs: f"concat({', '.join(xs)})")
+
+
+@query(f"""WITH v AS (SELECT l_orderkey * 10 + l_linenumber AS id, {_INFO_SQL} AS info FROM lineitem),
+i AS (SELECT id, list_filter(string_split(info, ';'), lambda x: starts_with(x, 'ANN='))[-1][5:] AS ann FROM v),
+e AS (SELECT id, string_split(x, '|') AS p FROM (SELECT id, unnest(string_split(ann, ',')) AS x FROM i)),
 f AS (SELECT id, p[4] AS gene, p[7] AS transcript, p[11] AS hgvs_p, p[9] AS rank, p[3] AS impact,
   CASE WHEN p[8] <> 'protein_coding' THEN 'other' WHEN list_has_any(string_split(p[2], '&'), {fn.LOF_EFFECTS}) THEN 'lof'
        WHEN p[3] IN ('HIGH', 'MODERATE') THEN 'protein_altering' ELSE 'other' END AS effect_class FROM e WHERE len(p) >= 11)
@@ -134,12 +176,18 @@ SELECT id, gene, transcript, effect_class, TRY_CAST(nullif(regexp_extract(hgvs_p
 FROM (SELECT *, row_number() OVER (PARTITION BY id, gene ORDER BY CASE effect_class WHEN 'lof' THEN 0 WHEN 'protein_altering' THEN 1 ELSE 2 END,
   CASE impact WHEN 'HIGH' THEN 0 WHEN 'MODERATE' THEN 1 WHEN 'LOW' THEN 2 ELSE 3 END, transcript) AS n FROM f) WHERE n = 1""")
 def ann_best(spark, sf_dir):
-    v = spark.createDataFrame(ANN, "id string, ann string")
-    a = v.select("id", F.explode(fn.annotations(F.col("ann"))).alias("a")).select("id", "a.*")
+    """The INFO text of every variant, its annotations, and the best of each gene."""
+    v = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.expr(_INFO).alias("info"))
+    return best_annotations(v).select("id", "gene", "transcript", "effect_class", "protein_pos", "last_exon")
+
+
+def best_annotations(variants):
+    """Of (id, info) the best annotation of each variant and gene: class, then impact, then transcript."""
+    a = variants.select("id", F.explode(fn.annotations(fn.info_map(F.col("info"))["ANN"])).alias("a")).select("id", "a.*")
     a = a.withColumn("effect_class", fn.effect_class(F.col("effects"), F.col("biotype"), F.col("impact")))
     rank = F.when(F.col("effect_class") == "lof", 0).when(F.col("effect_class") == "protein_altering", 1).otherwise(2)
     best = ops.best_on(a, ["id", "gene"], rank, fn.impact_rank(F.col("impact")).desc(), "transcript")
-    return best.select("id", "gene", "transcript", "effect_class", fn.protein_position(F.col("hgvs_p")).cast("bigint").alias("protein_pos"), fn.last_exon(F.col("rank")).alias("last_exon"))
+    return best.select("*", fn.protein_position(F.col("hgvs_p")).cast("bigint").alias("protein_pos"), fn.last_exon(F.col("rank")).alias("last_exon"))
 
 
 #: Line items stand for alleles, parts for genes: genes grow in number with the table, not in size.

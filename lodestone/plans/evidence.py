@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import lexical as fn
+from ..functions.scan import names_of
 from ..operators import harmonize, triage
 from .registry import query, table
 
-SUPPORT = [("license", r"licensed?"), ("version", r"\bversion\b"), ("the", r"\bthe\b")]
-ADVERSE = [("insult", r"\bidiot\b|\bclown\b"), ("secret", r"token\s*=")]
+#: Phrases of the shipped tables, added to the invented texts so that every bucket is met.
+TAILS = [" It is selectively toxic.", " The agent is clastogenic.", " Growth was strongly inhibited; antiproliferative.", " Licensed here under terms.", " Sensitivity licensed under test.", ""]
+TAIL = "CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(TAILS)) + " END"
 WEIGHTS = {"clinical": 1.0, "in_vivo": 0.7, "in_vitro": 0.45, "ungraded": 0.2}
 
 
@@ -25,15 +27,22 @@ def doc_cooccurrence(spark, sf_dir):
     return d.select("doc_id", fn.cooccur(F.col("s"), fn.term_pattern("licensed"), fn.term_pattern("under")).alias("cooccur"), F.size("s").cast("bigint").alias("n_sentences"))
 
 
-_DIRECTION = f"""WITH d AS (SELECT doc_id, source, {_names_sql(SUPPORT)} AS support, {_names_sql(ADVERSE)} AS adverse FROM documents),
+_DIRECTION = f"""WITH t AS (SELECT doc_id, source, coalesce(text, '') || {TAIL} AS text FROM documents),
+d AS (SELECT doc_id, source, {_names_sql(fn.SUPPORT)} AS support, {_names_sql(fn.ADVERSE)} AS adverse FROM t),
 w AS (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY doc_id),
 c AS (SELECT d.doc_id, source, array_to_string(support, '|') AS support, array_to_string(adverse, '|') AS adverse,
  CASE WHEN coalesce(toxic, 0) = 1 THEN 'withdrawn' WHEN len(adverse) > 0 THEN 'adverse_direction' WHEN len(support) = 0 THEN 'no_direction_phrase' ELSE 'supporting' END AS bucket FROM d LEFT JOIN w USING (doc_id))"""
 
 
+def read_texts():
+    """One pass over a text finds the names of both tables, and whether one sentence has both terms."""
+    text = F.concat(F.coalesce("text", F.lit("")), F.expr(TAIL))
+    return names_of(text, {"support": fn.SUPPORT, "adverse": fn.ADVERSE}, {"cooccurs": (fn.term_pattern("licensed"), fn.term_pattern("under"))})
+
+
 def _directed(spark, sf_dir):
     w = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    d = table(spark, sf_dir, "documents").select("doc_id", "source", fn.matches(F.col("text"), SUPPORT).alias("support"), fn.matches(F.col("text"), ADVERSE).alias("adverse"))
+    d = table(spark, sf_dir, "documents").select("doc_id", "source", read_texts().alias("x")).select("doc_id", "source", "x.support", "x.adverse")
     bucket = (
         F.when(F.coalesce("toxic", F.lit(0)) == 1, "withdrawn")
         .when(F.size("adverse") > 0, "adverse_direction")
@@ -124,10 +133,9 @@ def _free_sql(text: str, patterns, masks) -> str:
     return f"CASE {cases} END"
 
 
-_RISK = [p for p in fn.GENOTOXIC if p[0] in ("malignancy_risk", "secondary_malignancy")]
 _TRIAGE = f"""WITH {_LABELS}, g AS (SELECT *, CASE WHEN regexp_matches(class, '(?i){'|'.join(fn.CYTOTOXIC_CLASSES)}') THEN 'cytotoxic_class' WHEN warned IS NOT NULL THEN warned WHEN found IS NOT NULL THEN found
     WHEN coalesce(regexp_matches(finding, '(?i){'|'.join(fn.NEGATIVE)}'), false) THEN 'negative_findings_reported' ELSE 'insufficient_evidence' END AS geno
-  FROM (SELECT *, {_free_sql('boxed', _RISK, fn.NEGATED)} AS warned, {_free_sql('finding', fn.GENOTOXIC, fn.NEGATED)} AS found,
+  FROM (SELECT *, {_free_sql('boxed', triage.RISK, fn.NEGATED)} AS warned, {_free_sql('finding', fn.GENOTOXIC, fn.NEGATED)} AS found,
     {_free_sql('pediatric', fn.PEDIATRIC_ESTABLISHED, [p for _, p in fn.PEDIATRIC_DENIED])} AS ok, {_free_sql('pediatric', fn.PEDIATRIC_DENIED, fn.NEGATED)} AS denied FROM d)),
 v AS (SELECT doc_id, unnest([
   {{'rule': 'genotoxic_or_cancer_risk', 'verdict': CASE WHEN geno = 'negative_findings_reported' THEN 'pass' ELSE 'excluded' END, 'reason': geno}},
@@ -191,13 +199,13 @@ def html_escape(spark, sf_dir):
 
 
 _PACKETS = """WITH p AS (SELECT p_partkey AS id, CASE p_size % 4 WHEN 0 THEN 'clinical' WHEN 1 THEN 'in_vivo' WHEN 2 THEN 'in_vitro' ELSE 'ungraded' END AS grade,
- p_retailprice > 1000 AS supported, p_partkey % 5 = 0 AS contradicted, p_partkey % 3 AS n_adverse, p_partkey % 4 AS n_channels, p_partkey % 2 = 0 AS discriminating FROM part)"""
+ p_retailprice > 975 AS supported, p_partkey % 5 = 0 AS contradicted, p_partkey % 3 AS n_adverse, p_partkey % 4 AS n_channels, p_partkey % 2 = 0 AS discriminating FROM part)"""
 
 
 def _packets(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     return p.selectExpr(
-        "p_partkey AS id", "CASE p_size % 4 WHEN 0 THEN 'clinical' WHEN 1 THEN 'in_vivo' WHEN 2 THEN 'in_vitro' ELSE 'ungraded' END AS grade", "p_retailprice > 1000 AS supported",
+        "p_partkey AS id", "CASE p_size % 4 WHEN 0 THEN 'clinical' WHEN 1 THEN 'in_vivo' WHEN 2 THEN 'in_vitro' ELSE 'ungraded' END AS grade", "p_retailprice > 975 AS supported",
         "p_partkey % 5 = 0 AS contradicted", "p_partkey % 3 AS n_adverse", "p_partkey % 4 AS n_channels", "p_partkey % 2 = 0 AS discriminating",
     )
 
@@ -226,17 +234,30 @@ def citation_validate(spark, sf_dir):
     return v.select("id", F.array_join("v.kept", "|").alias("kept"), F.array_join("v.dropped", "|").alias("dropped"))
 
 
-#: Rows of a submission, several of them wrong.
-SUBMISSION = [(1, "chr1", "100", "A", "T", "0.9"), (2, "chr1", "100", "A", "T", "0.8"), (3, "chr99", "x", "A", "A", "0.85"), (4, "chr2", "7", "N", "T", "0"), (5, "chr3", "8", "G", "GA", "1.0"), (6, "chr4", "", "G", "C", "0.1")]
+#: Orders as rows of a submission, many of them wrong.
+_SUBMITTED = """o_orderkey AS row, {chr} AS contig, CASE WHEN o_orderkey % 11 = 0 THEN 'x' ELSE CAST(o_custkey % 40 AS {text}) END AS pos, CASE o_orderkey % 13 WHEN 0 THEN 'N' WHEN 1 THEN 'GA' ELSE 'A' END AS ref,
+CASE o_custkey % 7 WHEN 0 THEN 'A' WHEN 1 THEN '' ELSE 'T' END AS alt, CASE WHEN o_orderkey % 17 = 0 THEN '0' WHEN o_orderkey % 19 = 0 THEN 'one' ELSE CAST(1 - (o_orderkey % 100) / 100.0 AS {text}) END AS epcr"""
 
 
-@query(f"""WITH s(row, contig, pos, ref, alt, epcr) AS (VALUES {', '.join(map(str, SUBMISSION))}), n AS (SELECT *, TRY_CAST(epcr AS DOUBLE) AS e, lag(TRY_CAST(epcr AS DOUBLE)) OVER (ORDER BY row) AS before, count(*) OVER (PARTITION BY contig, pos, ref, alt ORDER BY row) AS nth FROM s)
+@query(f"""WITH s AS (SELECT {_SUBMITTED.format(text="VARCHAR", chr="'chr' || (o_custkey % 26)")} FROM orders), n AS (SELECT *, TRY_CAST(epcr AS DOUBLE) AS e, lag(TRY_CAST(epcr AS DOUBLE)) OVER (ORDER BY row) AS before, count(*) OVER (PARTITION BY contig, pos, ref, alt ORDER BY row) AS nth FROM s)
 SELECT CAST(row AS BIGINT) AS row, unnest(list_filter([CASE WHEN NOT regexp_matches(contig, '^chr([1-9]|1[0-9]|2[0-2]|X|Y|MT)$') THEN 'contig' END, CASE WHEN TRY_CAST(pos AS BIGINT) IS NULL THEN 'position' END,
  CASE WHEN NOT regexp_matches(ref, '^[ACGT]+$') OR NOT regexp_matches(alt, '^[ACGT]+$') THEN 'bases' END, CASE WHEN ref = alt THEN 'same' END, CASE WHEN NOT (e > 0 AND e <= 1) THEN 'range' END, CASE WHEN e > before THEN 'order' END, CASE WHEN nth > 1 THEN 'duplicate' END], lambda x: x IS NOT NULL)) AS code FROM n""")
 def submission_check(spark, sf_dir):
     from ..sources.submission import violations
 
-    return violations(spark.createDataFrame(SUBMISSION, "row long, contig string, pos string, ref string, alt string, epcr string"))
+    return violations(table(spark, sf_dir, "orders").selectExpr(*_columns(_SUBMITTED.format(text="STRING", chr="concat('chr', o_custkey % 26)"))))
+
+
+def _columns(select: str) -> list[str]:
+    """Expressions of a SELECT list: cut at the commas outside brackets."""
+    out, depth = [""], 0
+    for c in select:
+        depth += (c == "(") - (c == ")")
+        out[-1] += c
+        if c == "," and not depth:
+            out[-1] = out[-1][:-1]
+            out.append("")
+    return [x.strip() for x in out]
 
 
 @query("""SELECT o_orderkey AS id, o_orderstatus AS status FROM orders WHERE o_orderpriority = '1-URGENT'""")

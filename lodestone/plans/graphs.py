@@ -162,6 +162,8 @@ def resolve_parent(spark, sf_dir):
     return ops.resolve_parents(p)
 
 
-@query(f"SELECT k, {draw_sql(7, 'k')} % 97 AS v FROM range(2000) t(k)")
+@query(f"SELECT {draw_sql(7, 'l_orderkey', 'l_linenumber')} % 97 AS v, count(*) AS n, min(l_orderkey) AS first_key FROM lineitem GROUP BY 1")
 def hash_draws(spark, sf_dir):
-    return spark.range(2000).select(F.col("id").alias("k"), (draw(7, F.col("id")) % 97).alias("v"))
+    """How evenly stateless draws fall over every line item."""
+    li = table(spark, sf_dir, "lineitem")
+    return li.groupBy((draw(7, F.col("l_orderkey"), F.col("l_linenumber")) % 97).alias("v")).agg(F.count("*").alias("n"), F.min("l_orderkey").alias("first_key"))

@@ -9,11 +9,13 @@ from .registry import query, table
 from ..functions.draws import draw_sql
 
 PERMS, SEED, SIZE = 50, 11, 3
+#: Line items that associate a supplier with a segment: about twice what any pair of them has.
+LEAST = 9
 
-_ONTO = """terms AS (SELECT 'W' AS term UNION SELECT 'R' || r_regionkey FROM region UNION SELECT 'N' || n_nationkey FROM nation UNION SELECT 'S' || c_nationkey || c_mktsegment FROM customer),
+_ONTO = f"""terms AS (SELECT 'W' AS term UNION SELECT 'R' || r_regionkey FROM region UNION SELECT 'N' || n_nationkey FROM nation UNION SELECT 'S' || c_nationkey || c_mktsegment FROM customer),
 par AS (SELECT 'R' || r_regionkey AS term, 'W' AS parent FROM region UNION SELECT 'N' || n_nationkey, 'R' || n_regionkey FROM nation UNION SELECT 'S' || c_nationkey || c_mktsegment, 'N' || c_nationkey FROM customer),
 cl AS (SELECT term, term AS ancestor FROM terms UNION SELECT cl.term, par.parent FROM cl JOIN par ON par.term = cl.ancestor),
-ann AS (SELECT DISTINCT l_suppkey AS entity, 'S' || c_nationkey || c_mktsegment AS term FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_quantity >= 49),
+ann AS (SELECT l_suppkey AS entity, 'S' || c_nationkey || c_mktsegment AS term FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey GROUP BY ALL HAVING count(*) >= {LEAST}),
 ic AS (SELECT t.term, count(DISTINCT entity) AS n, -ln(greatest(count(DISTINCT entity), 1) / (SELECT count(DISTINCT entity) FROM ann)) AS ic FROM terms t LEFT JOIN cl ON cl.ancestor = t.term LEFT JOIN ann ON ann.term = cl.term GROUP BY t.term),
 q AS (SELECT term FROM terms WHERE term IN ('S1BUILDING', 'S2MACHINERY', 'N3'))"""
 _SIM = f"{_ONTO}, sim AS (SELECT a.term AS q, b.term, max(ic.ic) AS sim FROM cl a JOIN cl b USING (ancestor) JOIN ic ON ic.term = ancestor WHERE a.term IN (SELECT term FROM q) GROUP BY ALL)"
@@ -21,7 +23,10 @@ _SCORE = f"""{_ONTO}, sim AS (SELECT a.term AS q, b.term, max(ic.ic) AS sim FROM
 best AS (SELECT entity, q, max(sim) AS best FROM ann JOIN sim USING (term) GROUP BY ALL),
 obs AS (SELECT entity, sum(best) / (SELECT count(*) FROM q) AS score FROM best WHERE q IN (SELECT term FROM q) GROUP BY entity),
 pool AS (SELECT DISTINCT term FROM ann),
-rq AS (SELECT perm, term FROM (SELECT perm, term, row_number() OVER (PARTITION BY perm ORDER BY {draw_sql(SEED, 'perm', 'term')}, term) AS n FROM pool, range({PERMS}) t(perm)) WHERE n <= {SIZE}),
+pn AS (SELECT term, row_number() OVER (ORDER BY term) - 1 AS place FROM pool),
+dg AS (SELECT perm, list_transform(range(least({SIZE}, m)), lambda i: [{draw_sql(SEED, 'perm', 'i')} % (m - i)]) AS digits FROM range({PERMS}) t(perm), (SELECT count(*) AS m FROM pool)),
+tk AS (SELECT perm, unnest(list_reduce(list_prepend([]::BIGINT[], digits), lambda taken, d: list_sort(list_append(taken, list_reduce(list_prepend(d[1], taken), lambda x, t: x + CASE WHEN x >= t THEN 1 ELSE 0 END))))) AS place FROM dg),
+rq AS (SELECT perm, term FROM tk JOIN pn USING (place)),
 nul AS (SELECT perm, entity, sum(best) / {SIZE}.0 AS score FROM rq JOIN best ON best.q = rq.term GROUP BY ALL),
 pv AS (SELECT obs.entity, obs.score, (count(*) FILTER (WHERE nul.score >= obs.score - 1e-12) + 1) / ({PERMS} + 1) AS p FROM obs LEFT JOIN nul USING (entity) GROUP BY ALL)"""
 
@@ -43,11 +48,11 @@ def _ontology(spark, sf_dir):
 
 
 def _annotations(spark, sf_dir):
-    li = table(spark, sf_dir, "lineitem").filter("l_quantity >= 49").select("l_orderkey", "l_suppkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", _segment("c_nationkey", "c_mktsegment").alias("term"))
     got = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
-    return got.select(F.col("l_suppkey").alias("entity"), "term").distinct()
+    return ops.associated(got.select(F.col("l_suppkey").alias("entity"), "term"), LEAST)
 
 
 def _query(terms):
@@ -103,16 +108,16 @@ def term_ratio(spark, sf_dir):
 
 
 @query(f"""WITH RECURSIVE {_SCORE}, hits AS (SELECT entity, score FROM pv WHERE p <= 0.5), a AS (SELECT l_partkey AS part, max(score) AS s, count(DISTINCT entity) AS n FROM hits JOIN lineitem ON l_suppkey = entity WHERE l_returnflag = 'A' GROUP BY 1),
-b AS (SELECT l_partkey AS part, max(ic) AS s, count(DISTINCT term) AS n FROM ann JOIN ic USING (term) JOIN lineitem ON l_suppkey = entity WHERE l_returnflag = 'R' AND l_quantity >= 45 GROUP BY 1)
+b AS (SELECT l_partkey AS part, max(ic) AS s, count(DISTINCT term) AS n FROM ann JOIN ic USING (term) JOIN lineitem ON l_suppkey = entity WHERE l_returnflag = 'R' GROUP BY 1)
 SELECT part, round(greatest(coalesce(a.s, 0), coalesce(b.s, 0)), 6) AS score, coalesce(a.n, 0) + coalesce(b.n, 0) AS support FROM a FULL JOIN b USING (part)""")
 def indication_routes(spark, sf_dir):
     """Two routes from entities to parts, by hits and by terms; the better one scores."""
     hits = _p_values(spark, sf_dir).filter("p <= 0.5")
-    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag", "l_quantity")
+    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag")
     a = hits.join(li.filter("l_returnflag = 'A'"), F.col("entity") == F.col("l_suppkey")).groupBy("l_partkey").agg(F.max("score").alias("s"), F.countDistinct("entity").alias("n"))
     terms, closed = _ontology(spark, sf_dir)
     ann = _annotations(spark, sf_dir)
     ic = ops.information_content(ann, closed, terms)
-    b = ann.join(ic, "term").join(li.filter("l_returnflag = 'R' AND l_quantity >= 45"), F.col("entity") == F.col("l_suppkey")).groupBy("l_partkey").agg(F.max("ic").alias("s"), F.countDistinct("term").alias("n"))
+    b = ann.join(ic, "term").join(li.filter("l_returnflag = 'R'"), F.col("entity") == F.col("l_suppkey")).groupBy("l_partkey").agg(F.max("ic").alias("s"), F.countDistinct("term").alias("n"))
     both = a.unionByName(b).groupBy(F.col("l_partkey").alias("part")).agg(F.max("s").alias("s"), F.sum("n").alias("support"))
     return both.select("part", F.round(F.greatest("s", F.lit(0.0)), 6).alias("score"), "support")

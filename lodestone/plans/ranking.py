@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import draw_sql
 from ..operators import ranking as ops
+from ..operators.order import numbered
 from .registry import query, table
 
 SAMPLES, SEED = 200, 42
+#: What each channel ranks: sizes up to, prices from, quantities returned from; all else it leaves unranked.
+SIZE, PRICE, SOLD = 40, 975, 315
 
-_RANKS = """a AS (SELECT 'size' AS channel, p_partkey AS key, row_number() OVER (ORDER BY p_size, p_partkey) AS position FROM part WHERE p_size <= 40),
-b AS (SELECT 'price', p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) FROM part WHERE p_brand IN ('Brand#11', 'Brand#12', 'Brand#23', 'Brand#34')),
-c AS (SELECT 'sold', l_partkey, row_number() OVER (ORDER BY sum(l_quantity) DESC, l_partkey) FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 48 GROUP BY l_partkey),
+_RANKS = f"""a AS (SELECT 'size' AS channel, p_partkey AS key, row_number() OVER (ORDER BY p_size, p_partkey) AS position FROM part WHERE p_size <= {SIZE}),
+b AS (SELECT 'price', p_partkey, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) FROM part WHERE p_retailprice >= {PRICE}),
+c AS (SELECT 'sold', l_partkey, row_number() OVER (ORDER BY sum(l_quantity) DESC, l_partkey) FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_partkey HAVING sum(l_quantity) >= {SOLD}),
 r AS (SELECT * FROM a UNION ALL SELECT * FROM b UNION ALL SELECT * FROM c),
 t AS (SELECT channel, count(*) AS total FROM r GROUP BY channel), n AS (SELECT channel, key, min(position) / any_value(total) AS r FROM r JOIN t USING (channel) GROUP BY ALL)"""
 _RRA = f"""{_RANKS}, o AS (SELECT *, row_number() OVER (PARTITION BY key ORDER BY r, channel) AS i FROM n),
@@ -24,19 +27,19 @@ agg AS (SELECT key, least(1, 3 * p) AS score, p, n_support, n_discriminating, CA
 
 
 def _rankings(spark, sf_dir):
-    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice", "p_brand")
-    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 48")
-    sold = li.groupBy("l_partkey").agg(F.sum("l_quantity").alias("q"))
-
-    def channel(rows, name, key, *order):
-        return rows.select(F.lit(name).alias("channel"), F.col(key).alias("key"), F.row_number().over(Window.orderBy(*order)).alias("position"))
-
-    brands = part.filter(F.col("p_brand").isin("Brand#11", "Brand#12", "Brand#23", "Brand#34"))
-    return (
-        channel(part.filter("p_size <= 40"), "size", "p_partkey", "p_size", "p_partkey")
-        .unionAll(channel(brands, "price", "p_partkey", F.desc("p_retailprice"), "p_partkey"))
-        .unionAll(channel(sold, "sold", "l_partkey", F.desc("q"), "l_partkey"))
+    part = table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+    li = table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R'")
+    sold = li.groupBy("l_partkey").agg(F.sum("l_quantity").alias("q")).filter(F.col("q") >= SOLD)
+
+    def channel(rows, name, key, value):
+        return rows.select(F.lit(name).alias("channel"), F.col(key).alias("key"), value.cast("double").alias("value"))
+
+    rows = (
+        channel(part.filter(F.col("p_size") <= SIZE), "size", "p_partkey", F.col("p_size"))
+        .unionAll(channel(part.filter(F.col("p_retailprice") >= PRICE), "price", "p_partkey", -F.col("p_retailprice")))
+        .unionAll(channel(sold, "sold", "l_partkey", -F.col("q")))
     )
+    return numbered(rows, ["value", "key"], by=["channel"])
 
 
 @query(f"WITH {_RRA} SELECT key, round(score, 9) AS score, round(p, 9) AS p, n_support, convergence FROM agg")
@@ -73,8 +76,7 @@ f AS (SELECT idx, ((n - np) - (position - idx)) / nullif(n - np, 0) AS fraction,
 def _ranked(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "n_chars")
     q = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    w = Window.orderBy(F.desc("n_chars"), "doc_id")
-    return d.join(q, "doc_id").select((F.col("quality") == 1).alias("is_positive"), F.row_number().over(w).cast("bigint").alias("position"))
+    return numbered(d.join(q, "doc_id").select("doc_id", "n_chars", (F.col("quality") == 1).alias("is_positive")), [F.desc("n_chars"), "doc_id"])
 
 
 @query(f"WITH {_BENCH} SELECT round(avg(fraction), 6) AS auroc, count(*) AS n_positives FROM f")

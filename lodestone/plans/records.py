@@ -11,7 +11,7 @@ from ..operators import records as ops
 from ..operators import signatures as sig
 from ..operators import windows as win
 from . import graphs, ontology, signatures, windows
-from .evidence import _names_sql
+from .evidence import TAIL, _names_sql, read_texts
 from .registry import query, table
 
 
@@ -82,12 +82,12 @@ def drug_targets(spark, sf_dir):
 _STAGE = "CASE p_size % 3 WHEN 0 THEN 'APPROVAL' WHEN 1 THEN 'PHASE_3' ELSE 'PHASE_1' END"
 
 
-@query(f"""WITH d AS (SELECT DISTINCT l_partkey AS drug FROM lineitem), m AS (SELECT p_partkey AS drug, p_name AS name, {_STAGE} AS stage FROM part WHERE p_retailprice > 1000),
+@query(f"""WITH d AS (SELECT DISTINCT l_partkey AS drug FROM lineitem), m AS (SELECT p_partkey AS drug, p_name AS name, {_STAGE} AS stage FROM part WHERE p_retailprice > 975),
 i AS (SELECT DISTINCT l_partkey AS drug, l_suppkey AS indication FROM lineitem WHERE l_returnflag = 'A'), n AS (SELECT drug, count(*) AS n FROM i GROUP BY drug)
 SELECT drug, coalesce(name, '') AS name, coalesce(stage, '') AS stage, coalesce(stage, '') = 'APPROVAL' AS approved, coalesce(n, 0) AS n_indications FROM d LEFT JOIN m USING (drug) LEFT JOIN n USING (drug)""")
 def drug_records(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("drug"), F.col("l_suppkey").alias("indication"), F.when(F.col("l_returnflag") == "A", ops.APPROVED).otherwise("PHASE_2").alias("stage"))
-    m = table(spark, sf_dir, "part").filter("p_retailprice > 1000").selectExpr("p_partkey AS drug", "p_name AS name", f"{_STAGE} AS stage")
+    m = table(spark, sf_dir, "part").filter("p_retailprice > 975").selectExpr("p_partkey AS drug", "p_name AS name", f"{_STAGE} AS stage")
     return ops.drug_records(li.select("drug").distinct(), m, li)
 
 
@@ -116,10 +116,7 @@ def gene_axis(spark, sf_dir):
     return ops.gene_axis(release("l_returnflag = 'N'"), release("l_returnflag <> 'N'"), landmarks)
 
 
-#: Phrases of the shipped tables, added to the invented texts so that every bucket is met.
-TAILS = [" It is selectively toxic.", " The agent is clastogenic.", " Growth was strongly inhibited; antiproliferative.", " Licensed here under terms.", " Sensitivity licensed under test.", ""]
-_TAIL = "CASE doc_id % 6 " + " ".join(f"WHEN {k} THEN '{t}'" for k, t in enumerate(TAILS)) + " END"
-_BUCKETS = f"""WITH w AS (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY doc_id), d AS (SELECT doc_id, lang, source, n_chars, coalesce(text, '') || {_TAIL} AS text FROM documents),
+_BUCKETS = f"""WITH w AS (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY doc_id), d AS (SELECT doc_id, lang, source, n_chars, coalesce(text, '') || {TAIL} AS text FROM documents),
 f AS (SELECT doc_id, lang, CASE WHEN source = 'src3' THEN 'curated' ELSE 'retrieved' END AS origin, n_chars >= 20 AS citable, coalesce(toxic, 0) = 1 AS withdrawn, {_names_sql(lexical.SUPPORT)} AS support, {_names_sql(lexical.ADVERSE)} AS adverse,
   len(list_filter(string_split(regexp_replace(text, '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), lambda x: regexp_matches(x, '(?i)licensed') AND regexp_matches(x, '(?i)under'))) > 0 AS cooccurs FROM d LEFT JOIN w USING (doc_id)),
 c AS (SELECT *, CASE WHEN NOT citable THEN 'uncitable' WHEN withdrawn THEN 'withdrawn' WHEN len(adverse) > 0 THEN 'adverse_direction' WHEN origin = 'curated' THEN 'supporting_curated'
@@ -128,13 +125,11 @@ c AS (SELECT *, CASE WHEN NOT citable THEN 'uncitable' WHEN withdrawn THEN 'with
 
 def _classified(spark, sf_dir):
     w = table(spark, sf_dir, "labels").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    d = table(spark, sf_dir, "documents").withColumn("text", F.concat(F.coalesce("text", F.lit("")), F.expr(_TAIL)))
-    d = d.join(w, "doc_id", "left").select(
-        "doc_id", "lang", F.when(F.col("source") == "src3", "curated").otherwise("retrieved").alias("origin"), (F.col("n_chars") >= 20).alias("citable"), (F.coalesce("toxic", F.lit(0)) == 1).alias("withdrawn"),
-        lexical.matches(F.col("text"), lexical.SUPPORT).alias("support"), lexical.matches(F.col("text"), lexical.ADVERSE).alias("adverse"),
-        lexical.cooccur(lexical.sentences(F.col("text")), lexical.term_pattern("licensed"), lexical.term_pattern("under")).alias("cooccurs"),
-    )
-    return ops.classified(d)
+    d = table(spark, sf_dir, "documents").select("doc_id", "lang", "source", "n_chars", read_texts().alias("x")).join(w, "doc_id", "left")
+    return ops.classified(d.select(
+        "doc_id", "lang", F.when(F.col("source") == "src3", "curated").otherwise("retrieved").alias("origin"), (F.col("n_chars") >= 20).alias("citable"),
+        (F.coalesce("toxic", F.lit(0)) == 1).alias("withdrawn"), "x.*",
+    ))
 
 
 @query(f"{_BUCKETS} SELECT doc_id, bucket, array_to_string(support, '|') AS support, array_to_string(adverse, '|') AS adverse FROM c")
@@ -234,8 +229,8 @@ def signature_nominees(spark, sf_dir):
     means = sig.consensus(e, "label")
     flat = sig.deflate(means, means.groupBy("gene").agg(F.avg("z").alias("z"))).select("query", "gene", F.round("z", 9).alias("z"))
     scores = sig.normalise(sig.connectivity(sig.ranked(signatures._signatures(spark, sf_dir)), sig.query_tails(flat, signatures.SIZE)))
-    best = scores.withColumn("ncs", F.col("ncs").cast("double")).groupBy("query", F.col("grp").alias("key")).agg(F.round(sig.max_quantile(F.col("ncs")), 9).alias("score"))
-    best = graph.cut(best)
+    best = sig.max_quantile(scores.select("query", F.col("grp").alias("key"), F.col("ncs").cast("double").alias("ncs")), "ncs", ["query", "key"])
+    best = graph.cut(best.withColumn("score", F.round("score", 9)))
     controls = ops.control_queries(best, "0", WANTED, SEED)
     rungs = sig.ladder(best.join(controls.unionAll(controls.sparkSession.createDataFrame([(0,)], controls.schema)), "query", "left_semi"), signatures.DEPTHS)
     return ops.nominated(best.filter("query = 0").drop("query"), ops.deepest(sig.passing_depth(rungs, "0", P_MAX)))

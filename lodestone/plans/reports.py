@@ -54,21 +54,17 @@ def html_table(table: DataFrame, order: list, most: int = 1000) -> str:
 
 
 @query("""WITH p AS (SELECT p_partkey AS key, CASE WHEN p_size <= 40 THEN row_number() OVER (PARTITION BY p_size <= 40 ORDER BY p_size, p_partkey) END AS rank_size,
-  CASE WHEN p_retailprice > 1000 THEN row_number() OVER (PARTITION BY p_retailprice > 1000 ORDER BY p_retailprice DESC, p_partkey) END AS rank_price FROM part)
+  CASE WHEN p_retailprice > 975 THEN row_number() OVER (PARTITION BY p_retailprice > 975 ORDER BY p_retailprice DESC, p_partkey) END AS rank_price FROM part)
 SELECT 'size' AS channel, key, rank_size AS position FROM p WHERE rank_size IS NOT NULL UNION ALL SELECT 'price', key, rank_price FROM p WHERE rank_price IS NOT NULL""")
 def channel_rankings(spark, sf_dir):
     """Each channel's own ranking out of a table of ``rank_`` columns: what it did not rank is not in it."""
-    from pyspark.sql import Window
-
+    from ..operators.order import numbered
     from .registry import table
 
-    p = table(spark, sf_dir, "part")
-    size, price = F.col("p_size") <= 40, F.col("p_retailprice") > 1000
-    wide = p.select(
-        F.col("p_partkey").alias("key"), F.when(size, F.row_number().over(Window.partitionBy(size).orderBy("p_size", "p_partkey"))).alias("rank_size"),
-        F.when(price, F.row_number().over(Window.partitionBy(price).orderBy(F.desc("p_retailprice"), "p_partkey"))).alias("rank_price"),
-    )
-    return rankings(wide, ["size", "price"])
+    p = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_size", "p_retailprice")
+    size = numbered(p.filter("p_size <= 40"), ["p_size", "key"], name="rank_size").select("key", "rank_size")
+    price = numbered(p.filter("p_retailprice > 975"), [F.desc("p_retailprice"), "key"], name="rank_price").select("key", "rank_price")
+    return rankings(size.join(price, "key", "full"), ["size", "price"])
 
 
 def rankings(wide: DataFrame, channels: list[str]) -> DataFrame:
@@ -77,7 +73,7 @@ def rankings(wide: DataFrame, channels: list[str]) -> DataFrame:
     return long.select("x.channel", "key", "x.position").filter("position IS NOT NULL")
 
 
-@query("""WITH t AS (SELECT CASE WHEN p_partkey % 4 > 0 AND p_size % 4 < 3 THEN 'supported' ELSE 'hypothesis' END AS tier, p_size % 4 AS grade, p_retailprice > 1000 AS supported FROM part)
+@query("""WITH t AS (SELECT CASE WHEN p_partkey % 4 > 0 AND p_size % 4 < 3 THEN 'supported' ELSE 'hypothesis' END AS tier, p_size % 4 AS grade, p_retailprice > 975 AS supported FROM part)
 SELECT 'tier' AS figure, tier AS label, count(*) AS n FROM t GROUP BY tier UNION ALL SELECT 'grade', CAST(grade AS VARCHAR), count(*) FROM t GROUP BY grade
 UNION ALL SELECT 'supported', CAST(supported AS VARCHAR), count(*) FROM t GROUP BY supported""")
 def figure_inputs(spark, sf_dir):
@@ -85,7 +81,7 @@ def figure_inputs(spark, sf_dir):
     from .registry import table
 
     t = table(spark, sf_dir, "part").selectExpr(
-        "CASE WHEN p_partkey % 4 > 0 AND p_size % 4 < 3 THEN 'supported' ELSE 'hypothesis' END AS tier", "CAST(p_size % 4 AS STRING) AS grade", "CAST(p_retailprice > 1000 AS STRING) AS supported"
+        "CASE WHEN p_partkey % 4 > 0 AND p_size % 4 < 3 THEN 'supported' ELSE 'hypothesis' END AS tier", "CAST(p_size % 4 AS STRING) AS grade", "CAST(p_retailprice > 975 AS STRING) AS supported"
     )
     long = t.select(F.explode(F.array(*[F.struct(F.lit(c).alias("figure"), F.col(c).alias("label")) for c in t.columns])).alias("x"))
     return long.groupBy("x.figure", "x.label").agg(F.count("*").alias("n"))

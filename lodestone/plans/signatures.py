@@ -61,7 +61,7 @@ _MAXQ = f"{_NCS}, mq AS (SELECT query, grp AS key, CASE WHEN abs(quantile_cont(n
 
 def _quantiles(spark, sf_dir):
     n = ops.normalise(_scores(spark, sf_dir)).withColumn("ncs", F.col("ncs").cast("double"))
-    return n.groupBy("query", F.col("grp").alias("key")).agg(ops.max_quantile(F.col("ncs")).alias("score"))
+    return ops.max_quantile(n.withColumnRenamed("grp", "key"), "ncs", ["query", "key"])
 
 
 @query(f"WITH {_MAXQ} SELECT query, key, round(score, 6) AS score FROM mq")

@@ -8,11 +8,13 @@ import io
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..operators.order import numbered
+
 
 def violations(rows: DataFrame) -> DataFrame:
     """``row, code`` for (row, contig, pos, ref, alt, epcr), all read as text."""
-    e = F.col("epcr").try_cast("double")
-    n = rows.withColumn("e", e).withColumn("before", F.lag("e").over(Window.orderBy("row")))
+    n = numbered(rows.withColumn("e", F.col("epcr").try_cast("double")), ["row"], name="place")
+    n = n.join(n.select((F.col("place") + 1).alias("place"), F.col("e").alias("before")), "place", "left")
     n = n.withColumn("nth", F.row_number().over(Window.partitionBy("contig", "pos", "ref", "alt").orderBy("row")))
     rules = [
         ("contig", ~F.col("contig").rlike("^chr([1-9]|1[0-9]|2[0-2]|X|Y|MT)$")),

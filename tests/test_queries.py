@@ -101,9 +101,11 @@ GENOTOXIC = [
 
 
 def test_negation_covers_only_its_span(spark):
-    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(GENOTOXIC)], "k int, t string")
-    got = df.select("k", lexical.first_unmasked(F.col("t"), lexical.GENOTOXIC, lexical.NEGATED).alias("x")).orderBy("k").collect()
-    assert [r.x for r in got] == [w for _, w in GENOTOXIC]
+    rows = [(k, {"nonclinical_toxicology": t} if t else {}, [], []) for k, (t, _) in enumerate(GENOTOXIC)]
+    labels = spark.createDataFrame(rows, "k int, sections map<string,string>, statuses array<string>, classes array<string>")
+    got = triage.verdicts(labels).orderBy("k").collect()
+    reasons = [next(v.reason for v in r.verdicts if v.rule == "genotoxic_or_cancer_risk") for r in got]
+    assert [x if x not in ("negative_findings_reported", "insufficient_evidence") else None for x in reasons] == [w for _, w in GENOTOXIC]
 
 
 PEDIATRIC = [
