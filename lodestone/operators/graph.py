@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from .tables import cut, discard
 
@@ -102,12 +104,39 @@ def top_module(scores: DataFrame, seed_nodes: DataFrame, size: int) -> DataFrame
     return top.withColumn("rank", F.row_number().over(Window.orderBy(F.desc("is_seed"), F.desc("score"), "node")))
 
 
-def bfs_distances(sym: DataFrame, sources: DataFrame, most: int | None = None) -> DataFrame:
+def _walked(sym: DataFrame, sources: DataFrame, most: int | None) -> DataFrame:
+    """Hops over a bounded number of edges, in one task; the sources are few next to the edges or ends of them."""
+    kind, arrow = sym.schema["src"].dataType.simpleString(), to_arrow_type(sym.schema["src"].dataType)
+    rows = sym.select("src", "dst").unionAll(sources.select(F.col("node"), F.lit(None).cast(kind)))
+
+    def run(batches):
+        near: dict = {}
+        seen: dict = {}
+        for batch in batches:
+            for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if b is None:
+                    seen[a] = 0
+                else:
+                    near.setdefault(a, []).append(b)
+        front, hops = list(seen), 0
+        while front and (most is None or hops < most):
+            hops += 1
+            front = list(dict.fromkeys(b for a in front for b in near.get(a, ()) if b not in seen))
+            seen.update(dict.fromkeys(front, hops))
+        yield pa.RecordBatch.from_arrays([pa.array(list(seen), arrow), pa.array(list(seen.values()), pa.int64())], names=["node", "distance"])
+
+    return rows.coalesce(1).mapInArrow(run, f"node {kind}, distance bigint")
+
+
+def bfs_distances(sym: DataFrame, sources: DataFrame, most: int | None = None, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """Hops from the nearest source: ``node, distance``; unreachable nodes are absent.
 
     Edges go both ways, so neighbours of one front lie in it, in the one before
-    or in the next: no step looks at all that was seen.
+    or in the next: no step looks at all that was seen.  A graph of at most ``local_edges`` edges
+    with as many sources is walked in one task.
     """
+    if sym.limit(local_edges + 1).count() <= local_edges and sources.limit(local_edges + 1).count() <= local_edges:
+        return cut(_walked(sym, sources, most))
     front = cut(sources.select("node").distinct().withColumn("distance", F.lit(0).cast("bigint")))
     fronts = [front]
     while most is None or len(fronts) <= most:

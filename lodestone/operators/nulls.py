@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw
+from .order import numbered
+from .tables import cut
+
+#: Nodes of a block of a bin.
+BLOCK = 256
 
 
 def mean_distance(targets: DataFrame, distances: DataFrame) -> DataFrame:
@@ -14,18 +19,29 @@ def mean_distance(targets: DataFrame, distances: DataFrame) -> DataFrame:
     return used.groupBy("key").agg(F.avg("distance").alias("d"), F.count("*").alias("n"))
 
 
-def matched_null(targets: DataFrame, bins: DataFrame, distances: DataFrame, draws: int, seed: int) -> DataFrame:
+def matched_null(targets: DataFrame, bins: DataFrame, distances: DataFrame, draws: int, seed: int, block: int = BLOCK) -> DataFrame:
     """Per key and draw the mean distance of random nodes of the targets' bins.
 
     Every target is replaced by a node of its bin, chosen by a hash of seed,
-    key, node and draw; nothing depends on the order of rows.
+    key, node and draw; nothing depends on the order of rows.  A bin's nodes lie in blocks of at most
+    ``block`` in the order of their names, so a bin of any size is many small rows.  A bin of one
+    block is met once a target and drawn from in place; only draws from larger bins are
+    rows of a join.
     """
-    pool = bins.join(distances, "node").withColumn("i", F.row_number().over(Window.partitionBy("bin").orderBy("node")) - 1)
+    pool = cut(numbered(bins.join(distances, "node").select("node", "bin", "distance"), ["node"], by=["bin"], name="nth"))
+    at = F.col("nth") - 1
+    laid = pool.groupBy("bin", F.floor(at / block).alias("blk")).agg(F.transform(F.array_sort(F.collect_list(F.struct("nth", "distance"))), lambda x: x["distance"]).alias("held"))
     sizes = pool.groupBy("bin").agg(F.count("*").alias("m"))
-    used = targets.join(bins.select("node", "bin"), "node").join(distances.select("node"), "node").join(sizes, "bin")
-    drawn = used.withColumn("perm", F.explode(F.sequence(F.lit(0), F.lit(draws - 1)))).withColumn("i", draw(seed, F.col("key"), F.col("node"), F.col("perm")) % F.col("m"))
-    picked = drawn.select("key", "perm", "bin", "i").join(pool.select("bin", "i", "distance"), ["bin", "i"])
-    return picked.groupBy("key", "perm").agg(F.avg("distance").alias("d"))
+    used = targets.join(pool.select("node", "bin"), "node").join(sizes, "bin")
+    perm = F.explode(F.sequence(F.lit(0), F.lit(draws - 1))).alias("perm")
+
+    def i(m: Column) -> Column:
+        return draw(seed, F.col("key"), F.col("node"), F.col("perm")) % m
+
+    small = used.filter(F.col("m") <= block).join(laid.select("bin", "held"), "bin").select("key", "node", "m", "held", perm).select("key", "perm", F.get("held", i(F.col("m")).cast("int")).alias("distance"))
+    large = used.filter(F.col("m") > block).select("key", "node", "bin", "m", perm).select("key", "perm", "bin", i(F.col("m")).alias("i"))
+    large = large.withColumn("blk", F.floor(F.col("i") / block)).join(laid, ["bin", "blk"]).select("key", "perm", F.get("held", (F.col("i") % block).cast("int")).alias("distance"))
+    return small.unionByName(large).groupBy("key", "perm").agg(F.avg("distance").alias("d"))
 
 
 def z_scores(observed: DataFrame, null: DataFrame) -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.draws import draw
+from ..functions.draws import draw, without_replacement
 from .order import numbered
 from .tables import cut, discard
 
@@ -57,20 +57,6 @@ def best_match(queries: DataFrame, annotations: DataFrame, sims: DataFrame, by:
     return joined.select("entity", *by, (F.col("total") / F.col("nq")).alias("score"))
 
 
-def without_replacement(digits: Column) -> Column:
-    """Distinct numbers, ascending, of ``digits`` (the i-th below m - i): the i-th counts over what is still free.
-
-    So a draw is the beginning of a permutation that its digits name, and costs a row a number
-    drawn, not one a number of the pool.
-    """
-
-    def add(taken, digit):
-        free = F.aggregate(taken, digit, lambda x, t: x + F.when(x >= t, 1).otherwise(0).cast("long"))
-        return F.array_sort(F.array_append(taken, free))
-
-    return F.aggregate(digits, F.array().cast("array<bigint>"), add)
-
-
 def random_queries(pool: DataFrame, size: int, draws: int, seed: int) -> DataFrame:
     """``perm, term``: for each draw ``size`` terms of the pool without replacement, all of a smaller one."""
     placed = numbered(pool.select("term"), ["term"], name="nth")

@@ -53,5 +53,5 @@ def quantiles(rows: DataFrame, value: str, probs: list[float], by: list[str] | N
     high = F.coalesce(F.min(F.when(F.col("upto") > F.col("rank") + 1, F.col("v"))), F.first("next"), low)
     found = running.groupBy(*names, "i", "n", "part").agg(low.alias("low"), high.alias("high"))
     at = F.when(F.col("part") == 0, F.col("low")).otherwise(F.col("low") * (1 - F.col("part")) + F.col("high") * F.col("part"))
-    listed = found.groupBy(*names).agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", at.alias("q")))).alias("q"))
+    listed = found.groupBy(*names).agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("i", at.alias("q")))).alias("q")).filter("n IS NOT NULL")
     return listed.select(*[F.col(n).alias(c) for c, n in zip(by, names)], "n", F.transform("q", lambda x: x["q"]).alias("quantiles"))

@@ -174,6 +174,25 @@ def complete(rows: DataFrame, survivors: DataFrame, key: str) -> DataFrame:
     return out.filter(F.coalesce("__here", missing)).drop("__here")
 
 
+def capped(rows: DataFrame, by: list[str], order: list, most: int, parts: int = 32) -> DataFrame:
+    """The first ``most`` rows of each group in order; ties that the order leaves are cut anyhow.
+
+    Rows are ranked in ``parts`` parts of a group first (Spark keeps the best of a part before it
+    shuffles), so a hot group is many tasks' work and its last task sees ``parts * most`` rows.
+    """
+    keys = [F.col(c) if isinstance(c, str) else c for c in order]
+    part = Window.partitionBy(*by, "__part").orderBy(*keys)
+    dealt = rows.withColumn("__part", F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in rows.columns]), F.lit(parts)))
+    best = dealt.withColumn("__n", F.row_number().over(part)).filter(F.col("__n") <= most).drop("__n", "__part")
+    whole = Window.partitionBy(*by).orderBy(*keys) if by else Window.orderBy(*keys)
+    return best.withColumn("__n", F.row_number().over(whole)).filter(F.col("__n") <= most).drop("__n")
+
+
+def unmapped(rows: DataFrame, value: str, mapped: Column) -> DataFrame:
+    """``value, n``: how often each value comes that a vocabulary does not map."""
+    return rows.filter(F.col(value).isNotNull() & mapped.isNull()).groupBy(value).agg(F.count("*").alias("n"))
+
+
 def control_queries(queries: DataFrame, observed_query: str, wanted: int, seed: int) -> DataFrame:
     """``wanted`` queries other than the observed one, by a hash of their names; too few are an error."""
     others = queries.select("query").distinct().filter(F.col("query").cast("string") != observed_query)

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.draws import draw, without_replacement
 from .order import numbered
 from .quantiles import quantiles
 from .tables import cut
@@ -93,6 +94,15 @@ def query_tails(means: DataFrame, size: int) -> DataFrame:
     return r.filter(ok & ((F.col("h") <= size) | (F.col("l") <= size))).select("query", "gene", F.when(F.col("h") <= size, "up").otherwise("down").alias("tail"))
 
 
+def random_tails(spark: SparkSession, genes: int, size: int, queries: int, seed: int) -> DataFrame:
+    """``query, gene, tail`` of ``queries`` random queries (from 1): ``size`` genes up and as many others down."""
+    q = spark.range(1, queries + 1).select(F.col("id").alias("query"))
+    both = F.array(*[draw(seed, F.col("query"), F.lit(i)) % F.lit(genes - i) for i in range(2 * size)]).cast("array<bigint>")
+    ups = F.array(*[draw(seed + 1, F.col("query"), F.lit(i)) % F.lit(2 * size - i) for i in range(size)]).cast("array<bigint>")
+    drawn = q.select("query", without_replacement(ups).alias("ups"), F.posexplode(without_replacement(both)).alias("k", "gene"))
+    return drawn.select("query", F.col("gene").cast("int").alias("gene"), F.when(F.array_contains("ups", F.col("k").cast("long")), "up").otherwise("down").alias("tail"))
+
+
 def deflate(vectors: DataFrame, axis: DataFrame) -> DataFrame:
     """Removes a direction from each query's centred vector: ``query, gene, z, r_before``."""
     centred = vectors.withColumn("c", F.col("z") - F.avg("z").over(Window.partitionBy("query")))

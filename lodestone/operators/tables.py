@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame
 
 
+_made: dict[str, DataFrame] = {}
+
+
 def shared_folder(df: DataFrame) -> str:
     """The folder named by ``spark.checkpoint.dir``; on one machine without it a temporary one."""
     spark = df.sparkSession
@@ -36,6 +39,7 @@ def cut(df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._cut_path = path
+    _made[path] = out
     return out
 
 
@@ -43,7 +47,14 @@ def discard(*tables: DataFrame) -> None:
     """Deletes tables that ``cut`` has made and nothing reads any more; other frames are left alone."""
     for df in tables:
         path = vars(df).get("_cut_path")
-        if path:
+        if path and _made.pop(path, None) is not None:
             sc = df.sparkSession.sparkContext
             where = sc._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(sc._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def sweep() -> int:
+    """Deletes every table that ``cut`` has made and that is still there: once results are written.  Returns how many."""
+    left = list(_made.values())
+    discard(*left)
+    return len(left)

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from dataclasses import dataclass
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -11,9 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import lexical
 from ..functions.scan import Scanner
 
-# Rule names in their order, those that exclude, sections and statuses.
-RULES = ["genotoxic_or_cancer_risk", "pediatric_use", "currently_marketed", "bbb_penetration", "clinical_status"]
-HARD_RULES = ["genotoxic_or_cancer_risk", "pediatric_use", "currently_marketed"]
+# Sections and statuses.
 WARNINGS = ["boxed_warning", "warnings_and_cautions", "warnings"]
 FINDINGS = ["carcinogenesis_and_mutagenesis_and_impairment_of_fertility", "nonclinical_toxicology"]
 MARKETED = ["Prescription", "Over-the-counter"]
@@ -59,49 +58,86 @@ def _hits(batches: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=[*WARNINGS, "geno", "ok", "no", "negative"])
 
 
-def verdicts(labels: DataFrame) -> DataFrame:
-    """Adds ``verdicts``, ``survives`` and ``excluded_by``.
+@dataclass(frozen=True)
+class Rule:
+    """A rule: its name, whether it excludes, and what gives (verdict, reason) from the columns of ``read``."""
 
-    ``labels`` has id, sections (map, NULL without a label), statuses (array,
-    NULL without a record) and classes (array).  What cannot be read excludes.
-    """
-    rows = labels.withColumns({f"__{n}": _section(n) for n in [*WARNINGS, "pediatric_use"]})
-    rows = rows.withColumn("__finding", F.coalesce(*[_section(n) for n in FINDINGS]))
-    rows = rows.withColumn("__hit", F.pandas_udf(_hits, _HITS)(*[F.col(f"__{n}") for n in [*WARNINGS, "finding", "pediatric_use"]]))
+    name: str
+    hard: bool
+    judge: Callable[[], tuple[Column, Column]]
+
+
+EXCLUDED, PASSED = "excluded", "pass"
 
+
+def _genotoxic() -> tuple[Column, Column]:
     classes = F.coalesce(F.array_join("classes", " "), F.lit(""))
-    toxic_class = classes.rlike("(?i)" + "|".join(lexical.CYTOTOXIC_CLASSES))
     warned = F.coalesce(*[F.col(f"__hit.{n}") for n in WARNINGS])
-    geno = (
-        F.when(toxic_class, "cytotoxic_class")
+    reason = (
+        F.when(classes.rlike("(?i)" + "|".join(lexical.CYTOTOXIC_CLASSES)), "cytotoxic_class")
         .when(warned.isNotNull(), warned)
         .when(F.col("__hit.geno").isNotNull(), F.col("__hit.geno"))
         .when(F.col("__hit.negative"), "negative_findings_reported")
         .otherwise("insufficient_evidence")
     )
-    child = F.coalesce("__hit.ok", "__hit.no", F.lit("insufficient_evidence"))
+    return F.when(reason == "negative_findings_reported", PASSED).otherwise(EXCLUDED), reason
+
+
+def _pediatric() -> tuple[Column, Column]:
+    return F.when(F.col("__hit.ok").isNotNull(), PASSED).otherwise(EXCLUDED), F.coalesce("__hit.ok", "__hit.no", F.lit("insufficient_evidence"))
+
+
+def _marketed() -> tuple[Column, Column]:
     known = F.size(F.coalesce("statuses", F.array().cast("array<string>"))) > 0
     sold = F.coalesce(F.arrays_overlap("statuses", F.array(*[F.lit(s) for s in MARKETED])), F.lit(False))
-    market = F.when(~known, "insufficient_evidence").when(sold, "marketed").otherwise("not_currently_marketed")
-    warnings = [_section(n).isNotNull() for n in ["contraindications", "warnings_and_cautions", "warnings"]]
-    status = (
+    reason = F.when(~known, "insufficient_evidence").when(sold, "marketed").otherwise("not_currently_marketed")
+    return F.when(reason == "marketed", PASSED).otherwise(EXCLUDED), reason
+
+
+def _barrier() -> tuple[Column, Column]:
+    return F.lit("not_applicable"), F.lit("endpoint_has_no_cns_requirement")
+
+
+def _status() -> tuple[Column, Column]:
+    warned = [_section(n).isNotNull() for n in ["contraindications", "warnings_and_cautions", "warnings"]]
+    reason = (
         F.when(F.col("sections").isNull(), "no_label")
         .when(F.col("__boxed_warning").isNotNull(), "boxed_warning_present")
-        .when(warnings[0] | warnings[1] | warnings[2], "warnings_recorded")
+        .when(warned[0] | warned[1] | warned[2], "warnings_recorded")
         .otherwise("no_warning_sections")
     )
-    excluded, passed = F.lit("excluded"), F.lit("pass")
-    rows = rows.withColumn(
-        "verdicts",
-        F.array(
-            _verdict(RULES[0], F.when(geno == "negative_findings_reported", passed).otherwise(excluded), geno),
-            _verdict(RULES[1], F.when(F.col("__hit.ok").isNotNull(), passed).otherwise(excluded), child),
-            _verdict(RULES[2], F.when(market == "marketed", passed).otherwise(excluded), market),
-            _verdict(RULES[3], F.lit("not_applicable"), F.lit("endpoint_has_no_cns_requirement")),
-            _verdict(RULES[4], F.when(F.col("sections").isNull(), "not_applicable").otherwise(passed), status),
-        ),
-    )
-    hard = F.filter("verdicts", lambda v: (v["verdict"] == "excluded") & v["rule"].isin(HARD_RULES))
+    return F.when(F.col("sections").isNull(), "not_applicable").otherwise(PASSED), reason
+
+
+#: The rules in their order (names are fixed values).  A caller's own list may follow, lack or replace some of them.
+RULES = [
+    Rule("genotoxic_or_cancer_risk", True, _genotoxic),
+    Rule("pediatric_use", True, _pediatric),
+    Rule("currently_marketed", True, _marketed),
+    Rule("bbb_penetration", False, _barrier),
+    Rule("clinical_status", False, _status),
+]
+
+
+def verdicts(labels: DataFrame, rules: list[Rule] | None = None) -> DataFrame:
+    """Adds ``verdicts``, ``survives`` and ``excluded_by``: the first hard rule that excludes.
+
+    ``labels`` has id, sections (map, NULL without a label), statuses (array,
+    NULL without a record) and classes (array).  What cannot be read excludes.  A
+    verdict that is NULL excludes too; two rules of one name are an error.
+    """
+    rules = RULES if rules is None else rules
+    if len({r.name for r in rules}) < len(rules):
+        raise ValueError("two rules have one name")
+    rows = labels.withColumns({f"__{n}": _section(n) for n in [*WARNINGS, "pediatric_use"]})
+    rows = rows.withColumn("__finding", F.coalesce(*[_section(n) for n in FINDINGS]))
+    rows = rows.withColumn("__hit", F.pandas_udf(_hits, _HITS)(*[F.col(f"__{n}") for n in [*WARNINGS, "finding", "pediatric_use"]]))
+    judged = []
+    for rule in rules:
+        verdict, reason = rule.judge()
+        judged.append(_verdict(rule.name, F.coalesce(verdict, F.lit(EXCLUDED)), F.coalesce(reason, F.lit("insufficient_evidence"))))
+    rows = rows.withColumn("verdicts", F.array(*judged) if judged else F.array().cast("array<struct<rule:string,verdict:string,reason:string>>"))
+    hard = F.filter("verdicts", lambda v: (v["verdict"] == EXCLUDED) & v["rule"].isin([r.name for r in rules if r.hard]))
     rows = rows.withColumn("survives", F.size(hard) == 0).withColumn("excluded_by", F.get(hard, F.lit(0))["rule"])
     return rows.select(*labels.columns, "verdicts", "survives", "excluded_by")
 

@@ -165,7 +165,7 @@ _INFO_SQL = _info(lambda xs, k: f"list_extract({xs}, CAST(1 + {k} AS INTEGER))",
 _INFO = _info(lambda xs, k: f"array({', '.join(map(repr, xs))})[CAST({k} AS INT)]", lambda x: f"CAST({x} AS STRING)", lambda xs: f"concat({', '.join(xs)})")
 
 
-@query(f"""WITH v AS (SELECT l_orderkey * 10 + l_linenumber AS id, {_INFO_SQL} AS info FROM lineitem),
+@query(f"""WITH v AS (SELECT DISTINCT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey) AS id, {_INFO_SQL} AS info FROM lineitem),
 i AS (SELECT id, list_filter(string_split(info, ';'), lambda x: starts_with(x, 'ANN='))[-1][5:] AS ann FROM v),
 e AS (SELECT id, string_split(x, '|') AS p FROM (SELECT id, unnest(string_split(ann, ',')) AS x FROM i)),
 f AS (SELECT id, p[4] AS gene, p[7] AS transcript, p[11] AS hgvs_p, p[9] AS rank, p[3] AS impact,
@@ -177,7 +177,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY id, gene ORDER BY CASE effect_cl
   CASE impact WHEN 'HIGH' THEN 0 WHEN 'MODERATE' THEN 1 WHEN 'LOW' THEN 2 ELSE 3 END, transcript) AS n FROM f) WHERE n = 1""")
 def ann_best(spark, sf_dir):
     """The INFO text of every variant, its annotations, and the best of each gene."""
-    v = table(spark, sf_dir, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("id"), F.expr(_INFO).alias("info"))
+    v = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), F.expr(_INFO).alias("info")).distinct()
     return best_annotations(v).select("id", "gene", "transcript", "effect_class", "protein_pos", "last_exon")
 
 

@@ -191,6 +191,30 @@ def scope_narrowing(spark, sf_dir):
     return ops.complete(ops.narrowed(p.select("key", "rationale"), survivors, "key", ["key"], 50), survivors, "key")
 
 
+@query("""WITH s AS (SELECT p_partkey FROM part WHERE p_size > 45), n AS (SELECT l_partkey AS key, l_orderkey AS ord, l_linenumber AS line, 'some' AS survivors FROM lineitem WHERE l_partkey IN (SELECT p_partkey FROM s)),
+f AS (SELECT l_partkey, l_orderkey, l_linenumber, 'none' FROM (SELECT *, row_number() OVER (ORDER BY l_orderkey, l_linenumber, l_partkey) AS n FROM lineitem) WHERE n <= 50)
+SELECT survivors, key, count(*) AS n, min(ord) AS first_ord FROM (SELECT * FROM n UNION ALL SELECT * FROM f) GROUP BY ALL""")
+def scope_fallback(spark, sf_dir):
+    """Rows of the survivors, each of its many; and where nothing survives the first rows in order."""
+    rows = table(spark, sf_dir, "lineitem").select(F.col("l_partkey").alias("key"), F.col("l_orderkey").alias("ord"), F.col("l_linenumber").alias("line"))
+    keys = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("key"), "p_size")
+    some, none = (ops.narrowed(rows, keys.filter(f"p_size > {least}"), "key", ["ord", "line", "key"], 50) for least in (45, 1000))
+    both = some.withColumn("survivors", F.lit("some")).unionByName(none.withColumn("survivors", F.lit("none")))
+    return both.groupBy("survivors", "key").agg(F.count("*").alias("n"), F.min("ord").alias("first_ord"))
+
+
+_STATUS = "CASE (p_partkey + p_size) % 5 WHEN 0 THEN 'practice_guideline' WHEN 1 THEN 'no_assertion_provided' WHEN 2 THEN 'flagged_' || p_size % 3 WHEN 3 THEN 'new_status' END"
+
+
+@query(f"SELECT status, count(*) AS n FROM (SELECT {_STATUS} AS status FROM part) WHERE status LIKE 'flagged%' OR status = 'new_status' GROUP BY status")
+def unmapped_statuses(spark, sf_dir):
+    """Review states that the vocabulary does not know, counted rather than scored."""
+    from ..functions.alleles import review_stars
+
+    rows = table(spark, sf_dir, "part").select(F.expr(_STATUS).alias("status"))
+    return ops.unmapped(rows, "status", review_stars(F.col("status")))
+
+
 def _shift(m: str) -> str:
     steps = "list_prepend([0.0, 0.4999], list_transform(range(1, 31), lambda k: [k * 1.0, 0.0]))"
     fold = windows._fold("(b[1] + b[2]) / 2")
@@ -246,3 +270,31 @@ def tail_overlap(spark, sf_dir):
     flat = sig.deflate(means, means.groupBy("gene").agg(F.avg("z").alias("z"))).select("query", "gene", F.round("z", 9).alias("z"))
     kept = sig.query_tails(flat, signatures.SIZE).withColumn("kept", F.lit(True))
     return sig.query_tails(means, signatures.SIZE).join(kept, ["query", "gene", "tail"], "left").groupBy("query", "tail").agg(F.count("*").alias("n_raw"), F.count("kept").alias("n_shared"))
+
+
+RANDOM = 12
+_DIGITS = ", ".join("[" + draw_sql(SEED, "query", str(i)) + f" % (n - {i})]" for i in range(2 * signatures.SIZE))
+_HALVES = ", ".join("[" + draw_sql(SEED + 1, "query", str(i)) + f" % ({2 * signatures.SIZE} - {i})]" for i in range(signatures.SIZE))
+_PICK = "list_reduce(list_prepend([]::BIGINT[], {digits}), lambda taken, d: list_sort(list_append(taken, list_reduce(list_prepend(d[1], taken), lambda x, t: x + CASE WHEN x >= t THEN 1 ELSE 0 END))))"
+_RANDOM_TAILS = f"""{signatures._MEANS}, rg AS (SELECT q AS query, (SELECT count(DISTINCT gene) FROM mn) AS n FROM range(1, {RANDOM + 1}) t(q)),
+rp AS (SELECT query, {_PICK.format(digits=f"[{_DIGITS}]")} AS genes, {_PICK.format(digits=f"[{_HALVES}]")} AS ups FROM rg),
+rt AS (SELECT query, unnest(genes) AS gene, unnest(range(len(genes))) AS k, ups FROM rp),
+th AS (SELECT *, row_number() OVER (PARTITION BY query ORDER BY z DESC, gene) AS h, row_number() OVER (PARTITION BY query ORDER BY z, gene DESC) AS l FROM mn WHERE query = 0),
+tl AS (SELECT query, gene, CASE WHEN list_contains(ups, k) THEN 'up' ELSE 'down' END AS tail FROM rt UNION ALL SELECT 0, gene, CASE WHEN h <= {signatures.SIZE} THEN 'up' ELSE 'down' END FROM th WHERE h <= {signatures.SIZE} OR l <= {signatures.SIZE})"""
+
+
+@query(f"""WITH {signatures._MAXQ.replace(signatures._TAILS, _RANDOM_TAILS)}, b AS (SELECT query, round(min(score), 9) AS best FROM mq GROUP BY query), z AS (SELECT query, count(*) FILTER (WHERE wtcs = 0) / count(*) AS zero FROM wt GROUP BY query)
+SELECT query, round(best, 6) AS best, round(zero, 6) AS zero, CASE WHEN query = 0 THEN round(((SELECT count(*) FROM b WHERE query <> 0 AND best <= (SELECT best FROM b WHERE query = 0)) + 1) / ({RANDOM} + 1), 6) END AS p FROM b JOIN z USING (query)""")
+def random_query_null(spark, sf_dir):
+    """The best score of one query against those of random genes, and the share of signatures that score nothing."""
+    e = table(spark, sf_dir, "embeddings").select("label", F.transform("embedding", lambda v: v.cast("double")).alias("z"))
+    observed = sig.query_tails(sig.consensus(e, "label").filter("query = 0"), signatures.SIZE).select(F.col("query").cast("long").alias("query"), "gene", "tail")
+    n = e.select(F.max(F.size("z")).alias("n")).first()["n"]
+    tails = observed.unionByName(sig.random_tails(spark, n, signatures.SIZE, RANDOM, SEED))
+    scores = graph.cut(sig.normalise(sig.connectivity(sig.ranked(signatures._signatures(spark, sf_dir)), tails)).withColumn("ncs", F.col("ncs").cast("double")))
+    best = sig.max_quantile(scores.withColumnRenamed("grp", "key"), "ncs", ["query", "key"]).groupBy("query").agg(F.round(F.min("score"), 9).alias("best"))
+    zero = scores.groupBy("query").agg((F.count_if(F.col("wtcs") == 0) / F.count("*")).alias("zero"))
+    best = graph.cut(best)
+    own = best.filter("query = 0").select(F.col("best").alias("own"))
+    p = best.filter("query <> 0").join(F.broadcast(own), F.col("best") <= F.col("own"), "left_semi").agg(F.round((F.count("*") + 1) / (RANDOM + 1), 6).alias("p"))  # a row each
+    return best.join(zero, "query").join(F.broadcast(p)).select("query", F.round("best", 6).alias("best"), F.round("zero", 6).alias("zero"), F.when(F.col("query") == 0, F.col("p")).alias("p"))

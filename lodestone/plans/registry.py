@@ -26,4 +26,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-from . import alleles, evidence, graphs, identity, ontology, ranking, records, reports, signatures, windows  # noqa: E402, F401
+from . import alleles, evidence, graphs, identity, literature, ontology, ranking, records, reports, signatures, windows  # noqa: E402, F401

@@ -130,3 +130,25 @@ def noise_deconvolution(spark, sf_dir):
         F.round(burden.folded_mean(F.lit(0.1), F.col("sigma")), 5).alias("folded"),
         F.round(burden.deconvolve_shift(F.col("mean_abs_dev"), F.col("sigma")), 5).alias("shift"),
     )
+
+
+_SITES_TEXT = """concat(CAST(l_suppkey % 24 AS {t}), '\t', CAST(l_orderkey AS {t}), '\trs', CAST(l_partkey AS {t}), '\tA\tT\t.\t', CASE WHEN l_linestatus = 'F' THEN 'PASS' ELSE 'q10' END, '\tDP=', CAST(l_linenumber AS {t}))"""
+_REGION = ("3", 1000, 30000, "17")
+
+
+@query(f"""SELECT CAST(l_suppkey % 24 AS VARCHAR) AS contig, count(*) AS n_sites, count(*) FILTER (WHERE l_linestatus = 'F') AS n_pass, CAST(sum(l_linenumber) AS BIGINT) AS depth, min(l_orderkey) AS first_pos FROM lineitem
+WHERE l_suppkey % 24 = 17 OR (l_suppkey % 24 = 3 AND l_orderkey BETWEEN 1000 AND 30000) GROUP BY 1""")
+def region_scan(spark, sf_dir):
+    """Sites written as block-gzipped, indexed text and read back: of two contigs, one in part, through the index."""
+    import uuid
+
+    from ..operators.tables import shared_folder
+    from ..sources import bgzf, readers
+
+    li = table(spark, sf_dir, "lineitem")
+    lines = li.select((F.col("l_suppkey") % 24).cast("string").alias("contig"), F.col("l_orderkey").alias("pos"), F.expr(_SITES_TEXT.format(t="STRING")).alias("value"))
+    folder = f"{shared_folder(li).rstrip('/')}/sites-{uuid.uuid4().hex}"
+    bgzf.write_sorted(lines, folder).collect()  # a row a file
+    sites = readers.read_block_vcf(spark, folder, "{}:{}-{},{}".format(*_REGION))
+    passing = (F.size("filter") == 0) | F.array_contains("filter", "PASS")
+    return sites.groupBy("contig").agg(F.count("*").alias("n_sites"), F.count_if(passing).alias("n_pass"), F.sum(F.col("info")["DP"].cast("bigint")).alias("depth"), F.min("pos").alias("first_pos"))

@@ -194,6 +194,7 @@ def chunks_of(index, contig: str, start: int, end: int) -> list[tuple[int, int]]
     """Stretches of virtual offsets that may hold lines in [start, end), from 0, near ones joined."""
     if contig not in index or start >= end:
         return []
+    start, end = max(start, 0), max(end, 1)
     bins, linear = index[contig]
     least = linear[min(start >> LINEAR, len(linear) - 1)] if linear else 0
     wanted = [range(first + (start >> shift), first + (min(end, FAR) - 1 >> shift) + 1) for shift, first in LEVELS]
@@ -208,12 +209,12 @@ def chunks_of(index, contig: str, start: int, end: int) -> list[tuple[int, int]]
 
 
 def regions_of(text: str) -> list[tuple[str, int, int]]:
-    """``1:100-200,2`` as (contig, start, end) from 0, end excluded."""
+    """``1:100-200,2`` as (contig, start, end) from 0, end excluded; a whole contig from -1, as a place may be 0."""
     out = []
     for piece in filter(None, text.split(",")):
         contig, _, span = piece.strip().rpartition(":") if ":" in piece else (piece.strip(), "", "")
         a, _, b = span.partition("-")
-        out.append((contig, int(a) - 1 if a else 0, int(b) if b else FAR))
+        out.append((contig, int(a) - 1 if a else -1, int(b) if b else FAR))
     return out
 
 
@@ -234,7 +235,7 @@ class Reader(DataSourceReader):
         self.path, self.split = options["path"], int(options.get("split", SPLIT))
         self.regions = regions_of(options["regions"]) if options.get("regions") else None
         self.contigs: list[str] | None = None
-        self.low, self.high = 0, FAR
+        self.low, self.high = -1, FAR
 
     def pushFilters(self, filters):
         """Filters tell which blocks to read; Spark still applies each of them to the rows."""
@@ -356,12 +357,13 @@ def write_sorted(lines: DataFrame, folder: str, files: int | None = None) -> Dat
                     text += value.encode() + b"\n"
                     flush(65279)
                     end, width = offset << 16 | len(text), max(1, len(value.split("\t", 4)[3]) if value.count("\t") > 3 else 1)
-                    chunks = bins.setdefault(bin_of(pos - 1, pos - 1 + width), [])
+                    first = max(pos - 1, 0)
+                    chunks = bins.setdefault(bin_of(first, first + width), [])
                     if chunks and chunks[-1][1] == begin:
                         chunks[-1] = (chunks[-1][0], end)
                     else:
                         chunks.append((begin, end))
-                    for k in range(pos - 1 >> LINEAR, (pos + width - 2 >> LINEAR) + 1):
+                    for k in range(first >> LINEAR, (first + width - 1 >> LINEAR) + 1):
                         linear.extend([begin if not linear else linear[-1]] * (k - len(linear)))
                         if len(linear) == k:
                             linear.append(begin)

@@ -35,10 +35,22 @@ def not_empty(df: DataFrame, what: str) -> DataFrame:
 
 
 def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
-    """One row per line of a variant file of at most one sample; compressed files are respread."""
+    """One row per line of a variant file of at most one sample; compressed files are respread; see ``read_block_vcf`` for block-gzip."""
     lines = spark.read.text(path).filter(~F.col("value").startswith("#"))
-    if partitions:
-        lines = lines.repartition(partitions)
+    return parsed_vcf(lines.repartition(partitions) if partitions else lines)
+
+
+def read_block_vcf(spark: SparkSession, path: str, regions: str | None = None) -> DataFrame:
+    """Rows of block-gzipped variant files, read in splits; of regions (``1:100-200,2``) only the blocks that hold them."""
+    from . import bgzf
+
+    bgzf.register(spark)
+    source = spark.read.format("bgzf")
+    return parsed_vcf((source.option("regions", regions) if regions else source).load(path).select("value"))
+
+
+def parsed_vcf(lines: DataFrame) -> DataFrame:
+    """Lines of a variant file (column value, no comments) as rows."""
     parts = F.split("value", "\t")
     f = [F.get(parts, F.lit(k)) for k in range(10)]  # an element that is not there is NULL, whatever runs first
     listed = lambda c, sep: F.filter(F.split(c, sep), lambda x: ~x.isin("", "."))
