@@ -69,7 +69,10 @@ def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: i
     n = seed_nodes.count()
     nodes = sym.select(F.col("src").alias("node")).distinct()
     start = nodes.join(seed_nodes.withColumn("s", F.lit(1.0 / n)), "node", "left").select("node", F.coalesce("s", F.lit(0.0)).alias("home"))
-    start = cut(start)
+    homes = cut(start)
+    # laid out by node once: each round joins what flows in, which comes by node too
+    parts = int(sym.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = homes.repartition(parts, "node").persist()
     score = start.select("node", F.col("home").alias("score"))
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
 
@@ -92,7 +95,8 @@ def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: i
         if off is None or off <= tolerance:
             break
     moves.unpersist()
-    discard(laid_out, start)
+    start.unpersist()
+    discard(laid_out, homes)
     return score
 
 

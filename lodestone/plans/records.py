@@ -298,3 +298,16 @@ def random_query_null(spark, sf_dir):
     own = best.filter("query = 0").select(F.col("best").alias("own"))
     p = best.filter("query <> 0").join(F.broadcast(own), F.col("best") <= F.col("own"), "left_semi").agg(F.round((F.count("*") + 1) / (RANDOM + 1), 6).alias("p"))  # a row each
     return best.join(zero, "query").join(F.broadcast(p)).select("query", F.round("best", 6).alias("best"), F.round("zero", 6).alias("zero"), F.when(F.col("query") == 0, F.col("p")).alias("p"))
+
+
+HEAD = 3
+
+
+@query(f"""WITH {signatures._MAXQ}, h AS (SELECT query, key FROM (SELECT query, key, row_number() OVER (PARTITION BY query ORDER BY round(score, 9), key) AS n FROM mq) WHERE n <= {HEAD})
+SELECT a.query, count(*) AS n_head, count(b.key) AS n_shared FROM h a LEFT JOIN (SELECT key FROM h WHERE query = 0) b USING (key) WHERE a.query <> 0 GROUP BY a.query""")
+def head_overlap(spark, sf_dir):
+    """How many of the first nominees of each other query are those of the observed one too."""
+    scores = graph.cut(signatures._quantiles(spark, sf_dir).withColumn("score", F.round("score", 9)))
+    head = ops.capped(scores, ["query"], ["score", "key"], HEAD).select("query", "key")
+    own = head.filter("query = 0").select("key", F.lit(True).alias("here"))
+    return head.filter("query <> 0").join(own, "key", "left").groupBy("query").agg(F.count("*").alias("n_head"), F.count("here").alias("n_shared"))
