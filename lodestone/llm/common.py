@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import tempfile
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.tables import cut as written
+from ..operators.tables import discard  # noqa: F401
+
 #: Words are runs of anything but ASCII space and TAB..CR.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
@@ -43,11 +45,10 @@ def stored(df: DataFrame) -> DataFrame:
     """``df`` as a table in the shared folder, read back: for loops.
 
     A checkpoint hands on its plan's size estimate, which squares with every
-    self-join of a loop; a table has its real size.
+    self-join of a loop; a table has its real size.  ``discard`` deletes one that nothing reads any more.
     """
-    path = f"{shared_dir(df.sparkSession).rstrip('/')}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    shared_dir(df.sparkSession)
+    return written(df)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

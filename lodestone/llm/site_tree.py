@@ -16,8 +16,9 @@ importance.  Where one branch holds nearly all words, slight branches beside it
 (menus, adverts, footers whose words change from page to page) are cut as well.
 Marks are evidence of the same table: elements and whole names that mark
 boilerplate, and all beside an article or main element, have importance 0; a
-name that only holds such a word counts if the node's share is small.  A tree of
-few pages has marks alone.
+name that only holds such a word counts if the node's share is small.  Nodes that few
+pages of a host show borrow from pages of the same layout on other hosts: a branch that is
+slight beside a main one there goes.  What no host tells has marks alone.
 
 The tree is a table of one row a host and node; pages are not grouped, so a host
 of any size is spread evenly.
@@ -315,14 +316,8 @@ def observe(html: str | None) -> list[tuple]:
     return [(k, *r[:5], _hash(";".join(r[5])), _hash(_digits.sub("0", " ".join(" ".join(r[6]).split())))) for k, r in seen.items()]
 
 
-def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
-    """The merged trees' nodes: ``host``, ``node``, ``mark``, ``head``, ``pages``, ``importance``, ``share``, ``main``.
-
-    Copies of a page count once a host.  With m pages and shares p of the values a
-    node takes, its entropy is - sum p log_m p; a node's importance is the larger
-    of its two, 1 on a single page.  ``share`` is that of its parents' words,
-    ``main`` that of the largest branches there.
-    """
+def _observed(pages: DataFrame, html: str, url: str) -> DataFrame:
+    """How often each node of a host shows each layout and content, over its distinct pages; as a checkpoint."""
 
     def rows(it):
         names = ["host", "page", *(f.split()[0] for f in NODE.split(", "))]
@@ -335,10 +330,31 @@ def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
 
     seen = pages.select(F.col(url).alias("u"), F.col(html).alias("h"), F.xxhash64(F.col(html)).alias("page"))
     seen = seen.mapInPandas(rows, f"host string, page long, {NODE}").distinct()
-
+    sums = [F.sum(c).alias(c) for c in _SUMS]
     # one pass over the pages: all counts come from the same grouped rows
-    sums = [F.sum(c).alias(c) for c in ("words", "held", "main")]
-    pairs = cut(seen.groupBy("host", "node", "layout", "content").agg(F.count("*").alias("n"), F.min("mark").alias("mark"), F.bool_or("head").alias("head"), *sums))
+    return cut(seen.groupBy("host", "node", "layout", "content").agg(F.count("*").alias("n"), F.min("mark").alias("mark"), F.bool_or("head").alias("head"), *sums))
+
+
+_SUMS = ("words", "held", "main")
+
+
+def _shares() -> list:
+    return [F.coalesce(F.try_divide(c, "held"), F.lit(0.0)).alias(a) for c, a in (("words", "share"), ("main", "main"))]
+
+
+def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
+    """The merged trees' nodes: ``host``, ``node``, ``mark``, ``head``, ``pages``, ``importance``, ``share``, ``main``.
+
+    Copies of a page count once a host.  With m pages and shares p of the values a
+    node takes, its entropy is - sum p log_m p; a node's importance is the larger
+    of its two, 1 on a single page.  ``share`` is that of its parents' words,
+    ``main`` that of the largest branches there.
+    """
+    return _merged(_observed(pages, html, url))
+
+
+def _merged(pairs: DataFrame) -> DataFrame:
+    sums = [F.sum(c).alias(c) for c in _SUMS]
 
     def of(value: str, *more) -> DataFrame:
         n = pairs.groupBy("host", "node", value).agg(F.sum("n").alias("n"), *more)
@@ -347,19 +363,34 @@ def style_tree(pages: DataFrame, html: str = "html", url: str = "url") -> DataFr
         return total.withColumn(value, F.when(F.col("m") < 2, 1.0).otherwise(1 - F.col("s") / F.col("m") / F.ln("m"))).drop("s")
 
     both = of("layout").join(of("content", F.min("mark").alias("mark"), F.bool_or("head").alias("head"), *sums).drop("m"), ["host", "node"])
-    share, main = (F.coalesce(F.try_divide(c, "held"), F.lit(0.0)).alias(a) for c, a in (("words", "share"), ("main", "main")))
-    return both.select("host", "node", "mark", "head", F.col("m").alias("pages"), F.greatest("layout", "content").alias("importance"), share, main)
+    return both.select("host", "node", "mark", "head", F.col("m").alias("pages"), F.greatest("layout", "content").alias("importance"), *_shares())
+
+
+def _slight(main: str = "main", share: str = "share", head: str = "head"):
+    return (F.col(main) >= MAIN_SHARE) & (F.col(share) < SLIGHT) & ~F.col(head)
 
 
 def decisions(tree: DataFrame, low: float = LOW) -> DataFrame:
     """``host, node, whole``: the nodes that go, with their whole branches or only in branches of such nodes."""
     many = F.col("pages") >= PAGES
-    slight = (F.col("main") >= MAIN_SHARE) & (F.col("share") < SLIGHT) & ~F.col("head")
-    whole = F.when(F.col("mark").isin(NOISY, BESIDE), True).when(F.col("mark") == DOUBT, many & (F.col("share") < DOUBTED)).when(F.col("mark") == PLAIN, many & slight).otherwise(False)
+    whole = F.when(F.col("mark").isin(NOISY, BESIDE), True).when(F.col("mark") == DOUBT, many & (F.col("share") < DOUBTED)).when(F.col("mark") == PLAIN, many & _slight()).otherwise(False)
     lows = many & (F.col("importance") < low) & F.col("mark").isin(PLAIN, DOUBT)
     return tree.withColumn("whole", whole).filter(F.col("whole") | lows).select("host", "node", "whole")
 
 
+def borrowed(tree: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``host, node, whole`` for nodes that too few pages of their host show: those of one layout on other hosts tell.
+
+    A node's hash is that of its path, looks and children, so sites of one make share it.  A
+    branch goes if it is slight beside a main one over all pages that have it, and has a larger one beside it on
+    its own host's pages too.  Texts are no evidence here: copies of an article on many hosts would read as boilerplate.
+    """
+    few = tree.filter((F.col("pages") < PAGES) & (F.col("mark") == PLAIN) & ~F.col("head") & (F.col("share") < F.col("main"))).select("host", "node")
+    wide = pairs.groupBy("node").agg(F.sum("n").alias("pages"), F.bool_or("head").alias("head"), *[F.sum(c).alias(c) for c in _SUMS])
+    wide = wide.select("node", "pages", "head", *_shares()).filter((F.col("pages") >= PAGES) & _slight()).select("node")
+    return few.join(wide, "node").select("host", "node", F.lit(True).alias("whole"))
+
+
 def extract(
     pages: DataFrame, html: str = "html", url: str = "url", id_col: str = "page_id", low: float = LOW, broadcast_rows: int = BROADCAST_ROWS, salts: int = SALTS
 ) -> DataFrame:
@@ -371,7 +402,9 @@ def extract(
     Up to ``broadcast_rows`` nodes that go are held by every task.  Beyond, pages
     and nodes meet by host and salt, nodes first, and a task holds one host's.
     """
-    gone = cut(decisions(style_tree(pages, html, url), low))
+    pairs = _observed(pages, html, url)
+    tree = _merged(pairs)
+    gone = cut(decisions(tree, low).unionByName(borrowed(tree, pairs)))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("h"))
     out = "page_id long, url string, text string, n_chars long"
     none = (frozenset(), frozenset())

@@ -29,7 +29,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, stored
+from ..operators.graph import LOCAL_EDGES, solved
+from .common import cut, discard, stored
 
 WIDTH = 5
 PLACES = 128
@@ -144,35 +145,41 @@ def sketch(docs: DataFrame, text: str, id_col: str, width: int, places: int, row
     return docs.select(F.col(id_col).alias("id"), sketched(F.col(text)).alias("s")).select("id", "s.*")
 
 
-def connected(edges: DataFrame) -> DataFrame:
+def connected(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
     """``v, c`` for every vertex of ``edges`` (a, b): c is its component's least vertex.
 
     Rounds of contraction: every vertex points to its least neighbour, pointers
     are followed to their roots, edges are moved to the roots.  A round at least
-    halves the vertices that still have edges.  Nothing comes to the driver but
-    counts.
+    halves the vertices that still have edges; once at most ``local_edges`` edges are left, one
+    task joins the rest.  Nothing comes to the driver but counts, and a round's tables go
+    with it.
     """
     edges = stored(edges.select("a", "b").filter("a <> b").distinct())
     labels = None
-    while not edges.isEmpty():
-        both = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select(F.col("b"), F.col("a")))
-        parents = stored(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("c")))
-        while True:  # follow pointers; chains halve each time
-            up = parents.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-            jumped = stored(parents.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("n"), "c"))
-            moved = not jumped.filter("n <> c").isEmpty()
-            parents = jumped.select("v", F.col("n").alias("c"))
-            if not moved:
-                break
-        if labels is None:
-            labels = parents
+    while left := edges.count():
+        if left <= local_edges:
+            parents = jumped = stored(solved(edges).select(F.col("a").alias("v"), F.col("p").alias("c")))
         else:
-            up = parents.select(F.col("v").alias("c"), F.col("c").alias("cc"))
-            labels = stored(labels.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("c")))
+            both = edges.select(F.col("a").alias("v"), F.col("b").alias("w")).union(edges.select(F.col("b"), F.col("a")))
+            parents = jumped = stored(both.groupBy("v").agg(F.min("w").alias("w")).select("v", F.least("v", "w").alias("c")))
+            while True:  # follow pointers; chains halve each time
+                up = parents.select(F.col("v").alias("c"), F.col("c").alias("cc"))
+                before, jumped = jumped, stored(parents.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("n"), "c"))
+                discard(before)
+                parents = jumped.select("v", F.col("n").alias("c"))
+                if jumped.filter("n <> c").isEmpty():
+                    break
+        up = parents.select(F.col("v").alias("c"), F.col("c").alias("cc"))
+        old, labels = labels, stored(parents if labels is None else labels.join(up, "c", "left").select("v", F.coalesce("cc", "c").alias("c")))
+        if left <= local_edges:
+            discard(jumped, edges, *([] if old is None else [old]))
+            return labels
+        last = edges
         for end in ("a", "b"):
             up = parents.select(F.col("v").alias(end), F.col("c").alias("cc"))
             edges = edges.join(up, end).withColumn(end, F.col("cc")).drop("cc")
         edges = stored(edges.filter("a <> b").distinct())
+        discard(jumped, last, *([] if old is None else [old]))
     if labels is None:
         return edges.select(F.col("a").alias("v"), F.col("b").alias("c"))
     return labels

@@ -214,7 +214,7 @@ class _Member:
                 self._salvage(data)
             else:
                 self._take(out)
-                self.tail = self.z.unconsumed_tail
+                self.tail = b"" if self.z.eof else self.z.unconsumed_tail  # at its end zlib may name what is left twice
                 self.at += len(data) - len(self.tail) - len(self.z.unused_data)
             if self.z.eof and not self.ended:
                 self.ended = True

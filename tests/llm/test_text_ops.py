@@ -186,9 +186,10 @@ def test_superminhash_estimates_similarity():
         assert int(superminhash.signature(np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))).max()) < 2**63
 
 
-def test_components_of_long_chains_and_stars(spark):
+@pytest.mark.parametrize("local", [0, 40, 50_000])
+def test_components_of_long_chains_and_stars(spark, local):
     edges = [(k, k + 1) for k in range(0, 60)] + [(100, k) for k in range(101, 160)] + [(200, 201), (201, 200), (7, 7)]
-    got = {r.v: r.c for r in superminhash.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    got = {r.v: r.c for r in superminhash.connected(spark.createDataFrame(edges, "a long, b long"), local).collect()}
     assert got == {**{k: 0 for k in range(61)}, **{k: 100 for k in range(100, 160)}, 200: 200, 201: 200}
 
 
