@@ -158,7 +158,7 @@ def bfs_distances(sym: DataFrame, sources: DataFrame, most: int | None = None, l
     return out
 
 
-def _solved(edges: DataFrame) -> DataFrame:
+def solved(edges: DataFrame) -> DataFrame:
     """``a, p``: the least node that each end of a bounded number of edges reaches, in one task."""
     kind = edges.schema["a"].dataType.simpleString()
 
@@ -213,7 +213,7 @@ def components(sym: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
         edges = cut(ends.filter("a <> b").distinct())
         discard(jumped, *held)
         held = [edges, labels]
-    out = relabelled(_solved(edges))
+    out = relabelled(solved(edges))
     discard(*held)
     return out
 
