@@ -323,7 +323,9 @@ def round_trip(df: DataFrame, text: str, id_col: str, ranks: dict[bytes, int], p
     """Encodes and decodes every text in one pass over it; returns digests of both.
 
     ``id_col, n_tokens, ids_sha256`` (decimal ids joined by a space) and
-    ``decoded_sha256`` (their pieces joined).
+    ``decoded_sha256`` (their pieces joined).  A null text is an empty one, with the digests of
+    nothing; rows that repeat give a row each, a text of any length is encoded whole, an
+    empty table gives no row.
     """
     rows = df.select(id_col, text)
     passes = _passes(rows, text, ranks, pattern, cache_words)

@@ -160,14 +160,15 @@ def predict(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     A null or empty text, or one without a letter, is ``und`` with score 0 and
     rejected.  Ties go to the language first in code point order and are
     rejected.  Rows that repeat are judged alike; columns named as the three new
-    ones are replaced.
+    ones are replaced.  A text of any length is compressed whole, block by block; an
+    empty table gives no row.
     """
     out = _classified(docs, model, text)
     return out.select(*[F.col(f"`{c}`") for c in docs.columns if c not in ("lang_pred", "score", "rejected")], "__lid.*")
 
 
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang", id_col: str = "doc_id") -> Model:
-    """A model of the rows of ``docs`` that are not held out."""
+    """A model of the rows of ``docs`` that are not held out; of an empty table one without languages, which rejects all."""
     return fit(sample(docs.filter(~held_out(F.col(id_col))), text, lang, id_col))
 
 

@@ -204,8 +204,8 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text: st
     then that of the largest share, then the first of the list: a text wins over
     a statement or clause it holds.  Rows of one id, or without an
     id, are one document, and a text that it repeats counts once.  Other columns
-    are not read; an empty table or no template gives an empty result.  A
-    template of fewer than five words is an error.
+    are not read; an empty table or no template gives an empty result.  Texts of any
+    length are searched whole.  A template of fewer than five words is an error.
     """
     import re
 

@@ -139,7 +139,7 @@ def mix(docs: DataFrame, tilt: float = TILT, seed: int = SEED, partitions: int |
     The takings are range-sorted with their texts as in ``curriculum``, and the
     words taken are counted in what has been moved.  Rows come in the order of
     their first positions, documents that are not taken last and without one.
-    Columns of other names are not read.
+    Columns of other names are not read; an empty table gives an empty mix.
     """
     id_col, text, source = options.get("id_col", "doc_id"), options.get("text", "text"), options.get("source", "source")
     placed = _placed(docs.select(id_col, text, source), tilt, seed, **options).select(

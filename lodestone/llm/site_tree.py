@@ -397,7 +397,8 @@ def extract(
     """``page_id, url, text, n_chars``: one row per row of ``pages``, repeated rows alike.
 
     Null html is an empty page with an empty text.  Pages of a null url, or one
-    without a host, form one site.  Other columns are not read.
+    without a host, form one site.  Other columns are not read.  A page of any length or
+    depth is read whole; of equal shares at a bound the branch stays; an empty table gives no row.
 
     Up to ``broadcast_rows`` nodes that go are held by every task.  Beyond, pages
     and nodes meet by host and salt, nodes first, and a task holds one host's.

@@ -449,6 +449,12 @@ def list_files(spark: SparkSession, folder: str) -> DataFrame:
     return found.repartition("path").select("path")
 
 
+def remove(folder: str) -> None:
+    """Deletes a folder of archives that nothing reads any more."""
+    fs, base = _filesystem(_as_uri(folder))
+    fs.delete_dir(base)
+
+
 def archive_pages(pages: DataFrame, folder: str, html: str = "html", url: str = "url", id_col: str = "page_id") -> DataFrame:
     """Writes one record a row of ``pages``; returns the files, already written.
 
@@ -476,7 +482,8 @@ def archive_pages(pages: DataFrame, folder: str, html: str = "html", url: str =
 def round_trip(pages: DataFrame) -> DataFrame:
     """Archives ``pages`` in the shared folder and reads the archives back.
 
-    One row per row of ``pages``: a gap in what was just written is an error.
+    One row per row of ``pages``, none of an empty table: a gap in what was just written is an
+    error.  The archives stay in the shared folder; ``remove`` deletes a folder of them.
     """
     spark = pages.sparkSession
     folder = f"{_as_uri(shared_dir(spark)).rstrip('/')}/warc-{uuid.uuid4().hex}"
