@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.draws import draw
+from .order import numbered
 
 APPROVED = "APPROVAL"
 
@@ -209,7 +210,6 @@ def deepest(rungs: DataFrame) -> DataFrame:
 
 def nominated(scores: DataFrame, depth: DataFrame) -> DataFrame:
     """``key, score, rank, percentile``: the keys down to the depth; percentiles are of all keys."""
-    w = Window.orderBy("score", "key")  # a row a key of one query
-    every = Window.orderBy(F.lit(0)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    ranked = scores.withColumn("rank", F.row_number().over(w).cast("bigint")).withColumn("percentile", 100 * F.col("rank") / F.count("*").over(every))
+    total = scores.agg(F.count("*").alias("total"))
+    ranked = numbered(scores, ["score", "key"], name="rank").join(F.broadcast(total)).withColumn("percentile", 100 * F.col("rank") / F.col("total"))
     return ranked.join(F.broadcast(depth)).filter("rank <= depth").select("key", "score", "rank", "percentile")
