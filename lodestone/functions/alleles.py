@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Vocabularies of the annotation and archive formats.
@@ -53,12 +53,24 @@ def minimal(pos: Column, ref: Column, alt: Column) -> Column:
 
         return F.array_max(F.filter(F.sequence(F.lit(0), F.greatest(most, F.lit(0))), lambda k: same(k) | (k == 0)))
 
-    t = longest(a, b, True)
-    a1, b1 = F.left(a, F.length(a) - t), F.left(b, F.length(b) - t)
-    p = longest(a1, b1, False)
-    return F.struct(
-        (pos + p).cast("bigint").alias("pos"), F.substr(a1, p + 1, F.length(a1)).alias("ref"), F.substr(b1, p + 1, F.length(b1)).alias("alt")
-    )
+    def once(value: Column, body) -> Column:
+        return F.transform(F.array(value), body)[0]  # a lambda's value is computed once
+
+    def cut_prefix(x):
+        p = longest(x["a"], x["b"], False)
+        return once(p, lambda k: F.struct((pos + k).cast("bigint").alias("pos"), F.substr(x["a"], k + 1, F.length(x["a"])).alias("ref"), F.substr(x["b"], k + 1, F.length(x["b"])).alias("alt")))
+
+    def cut_suffix(t):
+        return once(F.struct(F.left(a, F.length(a) - t).alias("a"), F.left(b, F.length(b) - t).alias("b")), cut_prefix)
+
+    # most alleles are one base long, and have nothing to share
+    whole = F.struct(pos.cast("bigint").alias("pos"), a.alias("ref"), b.alias("alt"))
+    return F.when(F.least(F.length(a), F.length(b)) <= 1, whole).otherwise(once(longest(a, b, True), cut_suffix))
+
+
+def with_minimal(rows: DataFrame, pos: str, ref: str, alt: str) -> DataFrame:
+    """``rows`` with the struct ``m`` of ``minimal``: a generator, so it is computed once a row whatever reads its fields."""
+    return rows.select("*", F.explode(F.array(minimal(F.col(pos), F.col(ref), F.col(alt)))).alias("m"))
 
 
 def significance_class(clnsig: Column) -> Column:

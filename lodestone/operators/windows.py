@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.burden import baf
 from .quantiles import quantiles
-from .tables import cut
+from .tables import cut, discard
 
 
 def position_windows(sites: DataFrame, width: int, min_depth: int) -> DataFrame:
@@ -43,11 +43,14 @@ def robust_baseline(windows: DataFrame, min_het: int) -> DataFrame:
     off = cut(devs.join(F.broadcast(centre)).select("centre", F.abs(F.col("mean_abs_dev") - F.col("centre")).alias("off")))  # one row
     spread = off.agg(F.first("centre").alias("centre"), F.count("*").alias("n_windows")).join(F.broadcast(quantiles(off, "off", [0.5]).select(F.col("quantiles")[0].alias("mad"))), how="left")
     few = F.col("n_windows") < 2
-    return spread.select(
+    found = spread.select(
         F.when(few, 0.0).otherwise(F.col("centre")).alias("baseline"),
         F.when(few, 0.0).otherwise(F.col("mad") * 1.4826).alias("sd"),
         "n_windows",
     )
+    out = cut(found)  # one row, that scores and roll-ups read again
+    discard(devs, off)
+    return out
 
 
 def score_windows(windows: DataFrame, baseline: DataFrame, min_het: int, threshold: float) -> DataFrame:

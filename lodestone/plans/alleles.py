@@ -86,7 +86,7 @@ def _raw(spark, sf_dir):
 
 @query(f"WITH {_MINIMAL} SELECT id, in_ref, in_alt, pos, ref, alt FROM m")
 def minimal_alleles(spark, sf_dir):
-    return _raw(spark, sf_dir).withColumn("m", fn.minimal(F.col("in_pos"), F.col("in_ref"), F.col("in_alt"))).select("id", "in_ref", "in_alt", "m.*")
+    return fn.with_minimal(_raw(spark, sf_dir), "in_pos", "in_ref", "in_alt").select("id", "in_ref", "in_alt", "m.*")
 
 
 _KEYED = f"""{_MINIMAL}, a AS (SELECT id, 'chr' || (l_suppkey % 3) AS contig, pos, ref, alt FROM m WHERE l_returnflag = 'R'),
@@ -95,7 +95,7 @@ b AS (SELECT l_partkey AS rec, CAST(l_suppkey % 3 AS VARCHAR) AS contig, pos, re
 
 def _keyed(spark, sf_dir):
     """Calls and archive records, both brought to their minimal form: that is what they are joined by."""
-    rows = _raw(spark, sf_dir).withColumn("m", fn.minimal(F.col("in_pos"), F.col("in_ref"), F.col("in_alt")))
+    rows = fn.with_minimal(_raw(spark, sf_dir), "in_pos", "in_ref", "in_alt")
     bare = (F.col("l_suppkey") % 3).cast("string")
     a = rows.filter("l_returnflag = 'R'").select("id", fn.bare_contig(F.concat(F.lit("chr"), bare)).alias("contig"), "m.*")
     b = rows.filter("l_returnflag <> 'N'").select(F.col("l_partkey").alias("rec"), bare.alias("contig"), "m.*")
