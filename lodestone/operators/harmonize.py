@@ -48,10 +48,14 @@ def merge_identifiers(candidates: DataFrame, records: DataFrame) -> DataFrame:
 
     ``candidates`` has key and ids (array); ``records`` identifier, section, status.
     """
-    hits = candidates.select("key", F.explode(F.array_distinct("ids")).alias("identifier")).join(records, "identifier")
-    return hits.groupBy("key").agg(
-        F.array_join(F.array_sort(F.collect_set("section")), " ").alias("text"), F.array_join(F.array_sort(F.collect_set("status")), "|").alias("statuses"), F.count("*").alias("n_records")
-    )
+    # a row an identifier: what candidates share is not multiplied by their number
+    whole = records.groupBy("identifier").agg(F.collect_set("section").alias("sections"), F.collect_set("status").alias("statuses"), F.count("*").alias("n"))
+    hits = candidates.select("key", F.explode(F.array_distinct("ids")).alias("identifier")).join(whole, "identifier")
+
+    def merged(name: str, glue: str):
+        return F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_list(name)))), glue).alias("text" if name == "sections" else name)
+
+    return hits.groupBy("key").agg(merged("sections", " "), merged("statuses", "|"), F.sum("n").alias("n_records"))
 
 
 def pooled(curated: DataFrame, retrieved: DataFrame, key: str) -> DataFrame:

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lodestone.operators import graph, intervals, ontology, order, quantiles, signatures, tables
+from lodestone.operators import graph, harmonize, intervals, ontology, order, quantiles, signatures, tables
 from lodestone.plans import alleles as allele_plans
 from lodestone.sources import bgzf
 
@@ -382,3 +382,21 @@ def test_best_annotations(spark):
     got = allele_plans.best_annotations(spark.createDataFrame(ann, "id string, info string"))
     rows = sorted((r.id, r.gene, r.transcript, r.effect_class, r.protein_pos, r.last_exon) for r in got.collect())
     assert rows == [("v1", "GENE1", "TX1", "lof", 550, False), ("v2", "GENE1", "TX3", "other", None, False), ("v3", "GENE2", "TX4", "protein_altering", 7, True)]
+
+
+# ---- what is counted before it is joined
+
+
+def test_identifiers_are_merged_before_they_meet(spark):
+    rng = random.Random(8)
+    records = [(rng.choice(["a", "b", "c", "d", None]), rng.choice(["x", "y", "z", None]), rng.choice("123")) for _ in range(400)] + [("e", None, None)]
+    candidates = [(k, [rng.choice(["a", "b", "c", "e", "none"]) for _ in range(3)]) for k in range(40)] + [(40, None), (41, []), (3, ["a"])]
+    c, r = spark.createDataFrame(candidates, "key int, ids array<string>"), spark.createDataFrame(records, "identifier string, section string, status string")
+    df = harmonize.merge_identifiers(c, r)
+    want = {}
+    for key, ids in candidates:
+        hit = [x for i in sorted(set(ids or [])) for x in records if x[0] == i]
+        want.setdefault(key, []).extend(hit)
+    want = {k: (" ".join(sorted({x[1] for x in v if x[1]})), "|".join(sorted({x[2] for x in v if x[2]})), len(v)) for k, v in want.items() if v}
+    assert {x.key: (x.text, x.statuses, x.n_records) for x in df.collect()} == want
+    assert "Aggregate" in df._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
