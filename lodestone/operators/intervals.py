@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .tables import cut
 
 #: Widths of bins: a region lies on those of the first level that is not narrower than itself.
 FINEST, FACTOR, LEVELS = 4096, 8, 12
+#: Bins of counts: each level's are 2 ** BITS times as wide as those below; levels that one job counts.
+BITS, AT_ONCE = 2, 4
 
 
 def in_regions(points: DataFrame, regions: DataFrame, pad: int, finest: int = FINEST) -> DataFrame:
@@ -37,6 +40,50 @@ def in_regions(points: DataFrame, regions: DataFrame, pad: int, finest: int = FI
     return keyed.join(laid, ["contig", "level", "bin"]).filter("pos BETWEEN lo AND hi").drop("level", "bin", "lo", "hi")
 
 
+def _covered(lo: Column, hi: Column, levels: int) -> Column:
+    """For each level the bins, 4 times as wide as the level's below, that make up [lo, hi] exactly: at most seven."""
+
+    def edge(k):  # the first whole bin of level k, and the first one after the last
+        return F.shiftright(lo + ((1 << BITS * k) - 1), BITS * k), F.shiftright(hi + 1, BITS * k)
+
+    def run(start, end):
+        return F.when(start < end, F.sequence(start, end - 1)).otherwise(F.array().cast("array<bigint>"))
+
+    each = []
+    for k in range(levels):
+        (a, e), (a_up, e_up) = edge(k), edge(k + 1)
+        whole = run(a, e)
+        if k < levels - 1:
+            ends = F.concat(run(a, F.shiftleft(a_up, BITS)), run(F.shiftleft(e_up, BITS), e))
+            whole = F.when(a_up >= e_up, whole).otherwise(ends)
+        each.append(whole)
+    return F.array(*each)
+
+
+def totals_in_regions(points: DataFrame, regions: DataFrame, pad: int) -> DataFrame:
+    """``gene, n_points, first_id``: how many points a gene's padded regions hold, and the least id; genes without points are left out.
+
+    A pair of a point and a region is no row.  Points are counted by bins of width 1, 4, 16 and so on, and
+    a region of any length is made up of a few bins of each width, so both sides and their join grow
+    with the rows and the logarithm of a region.  Positions are whole numbers.
+    """
+    base = cut(points.select("contig", F.col("pos").cast("long").alias("bin"), "id").filter("bin IS NOT NULL").groupBy("contig", "bin").agg(F.count("*").alias("n"), F.min("id").alias("id")))
+    base = base.select("contig", F.lit(0).alias("level"), "bin", "n", "id")
+    span = base.agg(F.min("bin").alias("lo"), F.max("bin").alias("hi")).first()
+    first, last = (0, -1) if span["lo"] is None else (span["lo"], span["hi"])
+    held, levels = base, 1
+    while last - first >= 1 << BITS * levels - BITS:  # a few levels a table, the next ones from its widest bins
+        up = F.explode(F.array(*[F.struct(F.lit(levels - 1 + j).alias("level"), F.shiftright("bin", BITS * j).alias("bin")) for j in range(1, AT_ONCE + 1)]))
+        more = cut(base.select("contig", up.alias("x"), "n", "id").groupBy("contig", "x.level", "x.bin").agg(F.sum("n").alias("n"), F.min("id").alias("id")))
+        levels += AT_ONCE
+        held, base = held.unionByName(more), more.filter(F.col("level") == levels - 1)
+    r = regions.select("contig", "gene", (F.col("start") - pad).alias("lo"), (F.col("end") + pad).alias("hi")).filter("lo <= hi")
+    # no further than points lie
+    r = r.withColumns({"lo": F.greatest(F.col("lo"), F.lit(first)), "hi": F.least(F.col("hi"), F.lit(last))}).filter("lo <= hi")
+    laid = r.select("contig", "gene", F.posexplode(_covered(F.col("lo"), F.col("hi"), levels)).alias("level", "bins")).select("contig", "gene", "level", F.explode("bins").alias("bin"))
+    return laid.join(held, ["contig", "level", "bin"]).groupBy("gene").agg(F.sum("n").alias("n_points"), F.min("id").alias("first_id"))
+
+
 def first_region(points: DataFrame, regions: DataFrame, pad: int) -> DataFrame:
     """Per point the region of the first name that holds it; points in none are left out, repeated ones stay."""
     numbered = points.withColumn("__row", F.monotonically_increasing_id())

@@ -48,7 +48,7 @@ def mixed_regions(spark, sf_dir):
     width = F.when(F.col("p_size") <= 2, 1_000_000_000).when(F.col("p_size") % 5 == 0, 9000).otherwise(F.col("p_size"))
     start = (F.col("p_partkey") * 7919) % 60000
     genes = table(spark, sf_dir, "part").select(F.concat(F.lit("G"), "p_partkey").alias("gene"), (F.col("p_partkey") % 5).alias("contig"), start.alias("start"), (start + width).alias("end"))
-    return ops.in_regions(_points(spark, sf_dir), genes, PAD).groupBy("gene").agg(F.count("*").alias("n_points"), F.min("id").alias("first_id"))
+    return ops.totals_in_regions(_points(spark, sf_dir), genes, PAD)
 
 
 _NEAR = """WITH p AS (SELECT o_orderkey AS id, o_custkey % 7 AS contig, o_orderkey AS pos FROM orders WHERE o_orderpriority = '1-URGENT'),

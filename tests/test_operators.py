@@ -110,6 +110,27 @@ def test_a_long_region_is_few_rows(spark):
     assert joined.count() == 1 and "Generate" in generated
 
 
+@pytest.mark.parametrize("far", [40, 30_000, 10**9])
+def test_totals_in_regions(spark, far):
+    rng = random.Random(far)
+    widths = [0, 1, 2, 3, 4, 5, 15, 16, 17, 63, 900, 4096, 40_000, 10**9, 10**14]
+    regions = [(f"g{rng.randrange(120)}", rng.randrange(3), a := rng.randrange(-60, far), a + rng.choice(widths)) for _ in range(200)] + [("reversed", 1, 500, 100), ("open", 1, None, 100)]
+    points = [(rng.randrange(900), rng.choice([0, 1, 2, None]), rng.randrange(-50, far)) for _ in range(700)] + [(600, 1, -20), (601, 1, -20), (602, 1, None)]
+    p, r = spark.createDataFrame(points, "id int, contig int, pos long"), spark.createDataFrame(regions, "gene string, contig int, start long, end long")
+    want = {}
+    for g, d, a, b in regions:
+        want.setdefault(g, []).extend(i for i, c, x in points if None not in (a, x) and c == d and a - 3 <= x <= b + 3)
+    assert {x.gene: (x.n_points, x.first_id) for x in intervals.totals_in_regions(p, r, 3).collect()} == {g: (len(v), min(v)) for g, v in want.items() if v}
+    assert intervals.totals_in_regions(p, r.limit(0), 3).count() == 0 and intervals.totals_in_regions(p.limit(0), r, 3).count() == 0
+
+
+def test_long_regions_do_not_multiply_points(spark):
+    p = spark.range(20_000).select("id", F.lit(1).alias("contig"), F.col("id").alias("pos"))
+    r = spark.range(20_000).select(F.col("id").cast("string").alias("gene"), F.lit(1).alias("contig"), F.lit(0).alias("start"), F.lit(10**9).alias("end"))  # 4 * 10^8 pairs
+    got = intervals.totals_in_regions(p, r, 0)
+    assert got.filter("n_points = 20000 AND first_id = 0").count() == 20_000
+
+
 # ---- draws
 
 
