@@ -328,6 +328,17 @@ def test_a_repeated_id_is_learned_once(spark):
     assert forest.threshold == again.threshold and [t[0].tolist() for t in forest.trees] == [t[0].tolist() for t in again.trees]
 
 
+def test_the_forest_learns_from_every_label(spark):
+    n = 9000  # more than any bound on labelled rows that there was
+    rng = random.Random(7)
+    texts = [" ".join(rng.choice(["ab", "cdefg", "h", "#", "longer|word"]) + str(rng.randrange(90)) for _ in range(rng.randint(45, 70))) for _ in range(60)]
+    docs = spark.createDataFrame([(k, texts[k % 60]) for k in range(n)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k % 60 < 50)) for k in range(n)], "doc_id long, quality int")
+    forest = quality.learn(docs, labels)
+    want = quality.fit(np.array([quality.statistics(texts[k % 60]) for k in range(n)]), np.arange(n) % 60 < 50)
+    assert forest.threshold == want.threshold and all(np.array_equal(a, b) for s, t in zip(forest.trees, want.trees) for a, b in zip(s, t))
+
+
 def test_quality_edges(spark):
     docs = spark.createDataFrame([(1, None, 5), (2, "", 6), (None, "a " * 60, 7), (3, "b c d e f " * 30_000, 8)], "doc_id long, text string, n_words int")
     labels = spark.createDataFrame([], "doc_id long, quality int")
