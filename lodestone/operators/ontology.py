@@ -48,10 +48,12 @@ def similarities(queries: DataFrame, closed: DataFrame, ic: DataFrame) -> DataFr
 def best_match(queries: DataFrame, annotations: DataFrame, sims: DataFrame, by: list[str]) -> DataFrame:
     """Per entity the mean over query terms of its best term's similarity; absent is 0.
 
-    ``queries`` has ``term`` and the columns ``by`` that tell queries apart.
+    ``queries`` has ``term`` and the columns ``by`` that tell queries apart.  Annotations
+    are dealt out by entity once; what is made of them stays where it is.
     """
     n = queries.groupBy(*by).agg(F.count("*").alias("nq")) if by else queries.agg(F.count("*").alias("nq"))
-    best = annotations.join(sims, "term").groupBy("entity", "q").agg(F.max("sim").alias("best"))
+    asked = sims.join(queries.select(F.col("term").alias("q")).distinct(), "q", "left_semi")
+    best = annotations.repartition("entity").join(asked, "term").groupBy("entity", "q").agg(F.max("sim").alias("best"))
     summed = queries.withColumnRenamed("term", "q").join(best, "q").groupBy("entity", *by).agg(F.sum("best").alias("total"))
     joined = summed.join(n, by) if by else summed.join(F.broadcast(n))
     return joined.select("entity", *by, (F.col("total") / F.col("nq")).alias("score"))

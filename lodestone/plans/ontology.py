@@ -51,8 +51,9 @@ def _annotations(spark, sf_dir):
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     c = table(spark, sf_dir, "customer").select("c_custkey", _segment("c_nationkey", "c_mktsegment").alias("term"))
-    got = li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).join(c, F.col("o_custkey") == F.col("c_custkey"))
-    return ops.associated(got.select(F.col("l_suppkey").alias("entity"), "term"), LEAST)
+    named = o.join(c, F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", "term")  # line items are dealt out once, by order
+    got = li.join(named, F.col("l_orderkey") == F.col("o_orderkey"))
+    return ops.cut(ops.associated(got.select(F.col("l_suppkey").alias("entity"), "term"), LEAST))  # read several times, and small
 
 
 def _query(terms):
@@ -77,25 +78,28 @@ def resnik(spark, sf_dir):
     return ops.similarities(_query(terms), closed, ic).select("q", "term", F.round("sim", 6).alias("sim"))
 
 
-def _p_values(spark, sf_dir):
+def _evidence(spark, sf_dir):
+    """Terms, annotations and the terms' information content, each computed once."""
     terms, closed = _ontology(spark, sf_dir)
     ann = _annotations(spark, sf_dir)
-    ic = ops.information_content(ann, closed, terms)
-    pool = ann.select("term").distinct()
+    return terms, closed, ann, ops.cut(ops.information_content(ann, closed, terms))
+
+
+def _p_values(terms, closed, ann, ic):
+    pool = ops.cut(ann.select("term").distinct())
     sims = ops.cut(ops.similarities(pool.union(_query(terms)), closed, ic))
-    observed = ops.best_match(_query(terms), ann, sims, [])
-    null = ops.best_match(ops.random_queries(pool, SIZE, PERMS, SEED), ann, sims, ["perm"])
-    return ops.permutation_p(observed, null, PERMS)
+    drawn = ops.cut(ops.random_queries(pool, SIZE, PERMS, SEED))
+    return ops.permutation_p(ops.best_match(_query(terms), ann, sims, []), ops.best_match(drawn, ann, sims, ["perm"]), PERMS)
 
 
 @query(f"WITH RECURSIVE {_SCORE} SELECT entity, round(score, 6) AS score, round(p, 6) AS p FROM pv")
 def phenotype_p(spark, sf_dir):
-    return _p_values(spark, sf_dir).select("entity", F.round("score", 6).alias("score"), F.round("p", 6).alias("p"))
+    return _p_values(*_evidence(spark, sf_dir)).select("entity", F.round("score", 6).alias("score"), F.round("p", 6).alias("p"))
 
 
 @query(f"WITH RECURSIVE {_SCORE} SELECT entity, round(p, 6) AS p, round(score, 6) AS score FROM pv WHERE p <= 0.5 ORDER BY round(p, 6), round(score, 6) DESC, entity LIMIT 20")
 def top_entities(spark, sf_dir):
-    r = _p_values(spark, sf_dir).filter("p <= 0.5").select("entity", F.round("p", 6).alias("p"), F.round("score", 6).alias("score"))
+    r = _p_values(*_evidence(spark, sf_dir)).filter("p <= 0.5").select("entity", F.round("p", 6).alias("p"), F.round("score", 6).alias("score"))
     return r.orderBy("p", F.desc("score"), "entity").limit(20)
 
 
@@ -112,7 +116,7 @@ b AS (SELECT l_partkey AS part, max(ic) AS s, count(DISTINCT term) AS n FROM ann
 SELECT part, round(greatest(coalesce(a.s, 0), coalesce(b.s, 0)), 6) AS score, coalesce(a.n, 0) + coalesce(b.n, 0) AS support FROM a FULL JOIN b USING (part)""")
 def indication_routes(spark, sf_dir):
     """Two routes from entities to parts, by hits and by terms; the better one scores."""
-    hits = _p_values(spark, sf_dir).filter("p <= 0.5")
+    hits = _p_values(*_evidence(spark, sf_dir)).filter("p <= 0.5")
     li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag")
     a = hits.join(li.filter("l_returnflag = 'A'"), F.col("entity") == F.col("l_suppkey")).groupBy("l_partkey").agg(F.max("score").alias("s"), F.countDistinct("entity").alias("n"))
     terms, closed = _ontology(spark, sf_dir)

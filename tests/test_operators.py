@@ -421,3 +421,23 @@ def test_identifiers_are_merged_before_they_meet(spark):
     want = {k: (" ".join(sorted({x[1] for x in v if x[1]})), "|".join(sorted({x[2] for x in v if x[2]})), len(v)) for k, v in want.items() if v}
     assert {x.key: (x.text, x.statuses, x.n_records) for x in df.collect()} == want
     assert "Aggregate" in df._jdf.queryExecution().optimizedPlan().toString().split("Join", 1)[1]
+
+
+def test_best_matches_stay_with_their_entity(spark):
+    rng = random.Random(3)
+    ann = {(rng.randrange(3000), f"t{rng.randrange(6)}") for _ in range(6000)}
+    sims = [(f"t{a}", f"t{b}", rng.random()) for a in range(6) for b in range(6) if (a + b) % 5]
+    asked = [(p, f"t{rng.randrange(6)}") for p in range(4)] + [(0, "t9")]
+    kinds = ["perm int, term string", "entity int, term string", "q string, term string, sim double"]
+    asked_at, ann_at, sims_at = (tables.cut(spark.createDataFrame(rows, kind)) for rows, kind in zip([asked, sorted(ann), sims], kinds))
+    got = ontology.best_match(asked_at, ann_at, sims_at, ["perm"])
+    want = {}
+    for p in range(4):
+        terms = [t for n, t in asked if n == p]
+        for e in {x for x, _ in ann}:
+            best = [max((s for q, t, s in sims if q == one and (e, t) in ann), default=None) for one in terms]
+            if any(b is not None for b in best):
+                want[e, p] = pytest.approx(sum(b or 0 for b in best) / len(terms))
+    assert {(r.entity, r.perm): r.score for r in got.collect()} == want
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.split("\n") if "hashpartitioning(entity" in x and ", q#" in x]
