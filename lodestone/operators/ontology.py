@@ -76,6 +76,22 @@ def permutation_p(observed: DataFrame, null: DataFrame, draws: int) -> DataFrame
     return observed.join(counts, "entity", "left").select("entity", "score", ((F.coalesce("k", F.lit(0)) + 1) / (draws + 1)).alias("p"))
 
 
+def routes(hits: DataFrame, annotations: DataFrame, ic: DataFrame, of_hits: DataFrame, of_terms: DataFrame) -> DataFrame:
+    """``target, s, support``: the best score or content that reaches a target, and the distinct hits and terms that do.
+
+    ``of_hits`` and ``of_terms`` are links (entity, target).  An entity's terms are one row and travel as
+    numbers, so a link is a row however many terms its entity has; they are told apart where the target's rows are.
+    """
+    numbers = cut(numbered(annotations.select("term").distinct(), ["term"], name="code")).select("term", F.col("code").cast("int").alias("code"))
+    held = annotations.join(ic.select("term", "ic"), "term").join(numbers, "term")
+    carried = held.repartition("entity").groupBy("entity").agg(F.max("ic").alias("s"), F.collect_set("code").alias("codes"))
+    a = of_hits.join(hits, "entity").select("target", F.col("score").alias("s"), "entity").repartition("target")
+    a = a.groupBy("target").agg(F.max("s").alias("s"), F.countDistinct("entity").alias("n"))
+    b = of_terms.join(carried, "entity").select("target", "s", "codes").repartition("target").select("target", "s", F.explode("codes").alias("code"))
+    b = b.groupBy("target").agg(F.max("s").alias("s"), F.countDistinct("code").alias("n"))
+    return a.unionByName(b).groupBy("target").agg(F.max("s").alias("s"), F.sum("n").alias("support"))
+
+
 def term_ratios(query: DataFrame, terms: DataFrame, closed: DataFrame, ic: DataFrame) -> DataFrame:
     """Per term the best share of a lineage-related query term's content: ``term, ratio``."""
     lineage = closed.select(F.col("term").alias("t"), F.col("ancestor").alias("q")).unionAll(closed.select("ancestor", "term")).distinct()

@@ -116,12 +116,11 @@ b AS (SELECT l_partkey AS part, max(ic) AS s, count(DISTINCT term) AS n FROM ann
 SELECT part, round(greatest(coalesce(a.s, 0), coalesce(b.s, 0)), 6) AS score, coalesce(a.n, 0) + coalesce(b.n, 0) AS support FROM a FULL JOIN b USING (part)""")
 def indication_routes(spark, sf_dir):
     """Two routes from entities to parts, by hits and by terms; the better one scores."""
-    hits = _p_values(*_evidence(spark, sf_dir)).filter("p <= 0.5")
-    li = table(spark, sf_dir, "lineitem").select("l_suppkey", "l_partkey", "l_returnflag")
-    a = hits.join(li.filter("l_returnflag = 'A'"), F.col("entity") == F.col("l_suppkey")).groupBy("l_partkey").agg(F.max("score").alias("s"), F.countDistinct("entity").alias("n"))
-    terms, closed = _ontology(spark, sf_dir)
-    ann = _annotations(spark, sf_dir)
-    ic = ops.information_content(ann, closed, terms)
-    b = ann.join(ic, "term").join(li.filter("l_returnflag = 'R'"), F.col("entity") == F.col("l_suppkey")).groupBy("l_partkey").agg(F.max("ic").alias("s"), F.countDistinct("term").alias("n"))
-    both = a.unionByName(b).groupBy(F.col("l_partkey").alias("part")).agg(F.max("s").alias("s"), F.sum("n").alias("support"))
-    return both.select("part", F.round(F.greatest("s", F.lit(0.0)), 6).alias("score"), "support")
+    terms, closed, ann, ic = _evidence(spark, sf_dir)
+    hits = _p_values(terms, closed, ann, ic).filter("p <= 0.5").select("entity", "score")
+    return ops.routes(hits, ann, ic, *_links(spark, sf_dir)).select(F.col("target").alias("part"), F.round(F.greatest("s", F.lit(0.0)), 6).alias("score"), "support")
+
+
+def _links(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").alias("entity"), F.col("l_partkey").alias("target"), "l_returnflag")
+    return li.filter("l_returnflag = 'A'").drop("l_returnflag"), li.filter("l_returnflag = 'R'").drop("l_returnflag")

@@ -441,3 +441,24 @@ def test_best_matches_stay_with_their_entity(spark):
     assert {(r.entity, r.perm): r.score for r in got.collect()} == want
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert not [x for x in plan.split("\n") if "hashpartitioning(entity" in x and ", q#" in x]
+
+
+def test_routes_to_targets(spark):
+    rng = random.Random(4)
+    hits, ic = {e: rng.random() for e in range(0, 20, 2)}, {f"t{k}": rng.random() for k in range(5)}
+    ann = sorted({(rng.randrange(15), f"t{rng.randrange(5)}") for _ in range(40)})
+    first, second = ([(rng.randrange(22), rng.randrange(30)) for _ in range(120)] for _ in range(2))
+    link = "entity int, target int"
+    got = ontology.routes(
+        spark.createDataFrame(list(hits.items()), "entity int, score double"), spark.createDataFrame(ann, "entity int, term string"),
+        spark.createDataFrame(list(ic.items()), "term string, ic double"), spark.createDataFrame(first, link), spark.createDataFrame(second, link),
+    )
+    want = {}
+    for e, x in first:
+        if e in hits:
+            want.setdefault(x, set()).add((hits[e], e))
+    for e, x in second:
+        for n, t in ann:
+            if n == e:
+                want.setdefault(x, set()).add((ic[t], t))
+    assert {r.target: (r.s, r.support) for r in got.collect()} == {x: (max(s for s, _ in v), len(v)) for x, v in want.items()}
