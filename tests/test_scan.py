@@ -72,3 +72,13 @@ def test_names_of_a_column(spark):
     got = {r.k: (r.support, r.adverse, r.both) for r in df.select("k", x.alias("x")).select("k", "x.*").collect()}
     assert got == {1: (["selectivity"], [], True), 2: ([], [], False), 3: ([], [], False), 4: (["sensitivity"], ["genotoxic"], False), 5: ([], [], False), 6: ([], [], True)}
     assert df.limit(0).select(x).count() == 0
+
+
+def test_a_filter_on_verdicts_does_not_read_the_texts_again(spark):
+    from lodestone.operators import triage
+
+    labels = spark.range(4).selectExpr("id", "map('nonclinical_toxicology', concat('It was genotoxic ', id)) AS sections", "array('Prescription') AS statuses", "array('x') AS classes")
+    exploded = triage.verdicts(labels).select("id", F.explode("verdicts").alias("v")).filter("v.verdict = 'excluded'")
+    plan = exploded._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "], 251" in plan
+    assert {r.v.reason for r in exploded.collect()} == {"genotoxic_statement", "insufficient_evidence"}
