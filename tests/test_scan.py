@@ -74,6 +74,12 @@ def test_names_of_a_column(spark):
     assert df.limit(0).select(x).count() == 0
 
 
+def test_names_come_from_arrow_and_not_from_pandas(spark):
+    x = scan.names_of(F.lit("selective"), {"support": lexical.SUPPORT}).alias("x")
+    plan = spark.range(2).select(x).select("x.*")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython [") == 1 and "], 251" in plan  # PythonEvalType.SQL_SCALAR_ARROW_ITER_UDF
+
+
 def test_a_filter_on_verdicts_does_not_read_the_texts_again(spark):
     from lodestone.operators import triage
 
