@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 
 from ..functions.draws import draw
 from .order import numbered
+from .tables import cut
 
 BROAD_FRACTION = 0.5
+#: Draws of a bootstrap that one task makes.
+DRAWS = 1 << 20
 
 
 def normalised_ranks(rankings: DataFrame) -> DataFrame:
@@ -101,16 +104,19 @@ def auroc(ranked: DataFrame) -> DataFrame:
 def bootstrap(ranked: DataFrame, samples: int, seed: int, lo: float = 0.025, hi: float = 0.975) -> DataFrame:
     """One row: percentile interval of the mean fraction over resampled positives.
 
-    At most one positive gives no interval.  Draws are stateless.
+    At most one positive gives no interval.  Draws are stateless, so they are dealt out by
+    number, ``DRAWS`` a task, however few tasks the positives lie in; the positives' own table is
+    broadcast below Spark's threshold and shuffled beyond it.
     """
-    pos = negative_fractions(ranked)
-    n = pos.agg(F.count("*").alias("m"))
-    draws = pos.select("idx").join(F.broadcast(n)).withColumn("sample", F.explode(F.sequence(F.lit(0), F.lit(samples - 1))))
-    picked = draws.select("sample", "m", (draw(seed, F.col("sample"), F.col("idx")) % F.col("m") + 1).alias("pick"))
-    means = picked.join(pos.select(F.col("idx").alias("pick"), "fraction"), "pick").groupBy("sample", "m").agg(F.avg("fraction").alias("a"))
-    line = means.groupBy("m").agg(F.sort_array(F.collect_list("a")).alias("a"))
+    pos = cut(negative_fractions(ranked).select(F.col("idx").alias("pick"), "fraction"))
+    m = pos.count()
+    parts = max(ranked.sparkSession.sparkContext.defaultParallelism, m * samples // DRAWS + 1)
+    draws = ranked.sparkSession.range(0, m * samples, 1, parts).selectExpr(f"id % {samples} AS sample", f"id DIV {samples} + 1 AS idx")
+    picked = draws.select("sample", (draw(seed, F.col("sample"), F.col("idx")) % F.lit(max(m, 1)) + 1).alias("pick"))
+    means = picked.join(pos, "pick").groupBy("sample").agg(F.avg("fraction").alias("a"))
+    line = means.agg(F.sort_array(F.collect_list("a")).alias("a"))  # a number a sample
 
     def at(q):
-        return F.when(F.col("m") > 1, F.round(F.get("a", F.lit(int(q * (samples - 1)))), 4))
+        return F.when(F.lit(m > 1), F.round(F.get("a", F.lit(int(q * (samples - 1)))), 4))
 
-    return line.select(at(lo).alias("lo"), at(hi).alias("hi"), F.col("m").alias("n_positives"))
+    return line.select(at(lo).alias("lo"), at(hi).alias("hi"), F.lit(m).cast("bigint").alias("n_positives"))

@@ -1,6 +1,7 @@
 """Queries against their SQL, and vectors of single operators."""
 
 import ast
+import hashlib
 import pathlib
 
 import pytest
@@ -156,6 +157,19 @@ def test_bootstrap_of_one_positive_has_no_interval(spark):
     assert r.lo is None and r.hi is None
 
 
+def test_bootstrap_deals_its_draws_over_tasks(spark):
+    rows = [(p, p % 3 == 0) for p in range(1, 61)]
+    ranked = spark.createDataFrame(rows, "position long, is_positive boolean").coalesce(1)
+    df = ranking.bootstrap(ranked, 40, 7)
+    fractions = [(40 - (p - i)) / 40 for i, p in enumerate(range(3, 61, 3), 1)]
+    means = sorted(sum(fractions[int(hashlib.md5(f"7|{s}|{i}".encode()).hexdigest()[:8], 16) % 20] for i in range(1, 21)) / 20 for s in range(40))
+    r = df.first()
+    assert (r.lo, r.hi, r.n_positives) == (pytest.approx(means[0], abs=6e-5), pytest.approx(means[38], abs=6e-5), 20)
+    assert "Range (0, 800, step=1, splits=" in df._jdf.queryExecution().executedPlan().toString()
+    none = ranking.bootstrap(ranked.filter("NOT is_positive"), 40, 7).collect()
+    assert [(x.lo, x.hi, x.n_positives) for x in none] == [(None, None, 0)]
+
+
 def test_graph_vectors(spark):
     pairs = [("P0", "P1", 950), ("P0", "P2", 920), ("P1", "P2", 900), ("P0", "P3", 800), ("P3", "P4", 750), ("P4", "P5", 720), ("P5", "P6", 400), ("P8", "P9", 990), ("P0", "P0", 999)]
     sym = graph.both_ways(graph.build_edges(spark.createDataFrame(pairs, "a string, b string, score int"), 700))
