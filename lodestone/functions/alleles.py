@@ -150,8 +150,17 @@ def info_map(info: Column) -> Column:
     """``k=v;k=v`` as a map: flags are dropped, values keep later ``=``, the last key wins."""
     pairs = F.filter(F.split(info, ";"), lambda p: F.contains(p, F.lit("=")))
     entries = F.transform(pairs, lambda p: F.struct(F.substring_index(p, "=", 1).alias("key"), F.substr(p, F.instr(p, F.lit("=")) + 1, F.length(p)).alias("value")))
-    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda o: o["key"] == e["key"]))
-    return F.map_from_entries(last)
+
+    def last(all_):
+        return F.filter(all_, lambda e, i: ~F.exists(F.slice(all_, i + 2, F.size(all_)), lambda o: o["key"] == e["key"]))
+
+    return F.map_from_entries(F.transform(F.array(entries), last)[0])  # a lambda's value is computed once
+
+
+def info_value(info: Column, key: str) -> Column:
+    """The value of one key in ``info_map``, without the map; NULL where it is missing."""
+    last = F.try_element_at(F.filter(F.split(info, ";"), lambda p: F.startswith(p, F.lit(f"{key}="))), F.lit(-1))
+    return F.substring(last, len(key) + 2, 1 << 30)
 
 
 def annotations(ann: Column) -> Column:

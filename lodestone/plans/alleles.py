@@ -177,16 +177,33 @@ FROM (SELECT *, row_number() OVER (PARTITION BY id, gene ORDER BY CASE effect_cl
   CASE impact WHEN 'HIGH' THEN 0 WHEN 'MODERATE' THEN 1 WHEN 'LOW' THEN 2 ELSE 3 END, transcript) AS n FROM f) WHERE n = 1""")
 def ann_best(spark, sf_dir):
     """The INFO text of every variant, its annotations, and the best of each gene."""
-    v = table(spark, sf_dir, "lineitem").select(F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), F.expr(_INFO).alias("info")).distinct()
-    return best_annotations(v).select("id", "gene", "transcript", "effect_class", "protein_pos", "last_exon")
+    key = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    v = table(spark, sf_dir, "lineitem").select(*key).distinct()  # numbers meet, not the texts that follow from them
+    return best_annotations(v.select(F.concat_ws("-", *key).alias("id"), F.expr(_INFO).alias("info")), repeats=False).select("id", "gene", "transcript", "effect_class", "protein_pos", "last_exon")
 
 
-def best_annotations(variants):
-    """Of (id, info) the best annotation of each variant and gene: class, then impact, then transcript."""
-    a = variants.select("id", F.explode(fn.annotations(fn.info_map(F.col("info"))["ANN"])).alias("a")).select("id", "a.*")
-    a = a.withColumn("effect_class", fn.effect_class(F.col("effects"), F.col("biotype"), F.col("impact")))
-    rank = F.when(F.col("effect_class") == "lof", 0).when(F.col("effect_class") == "protein_altering", 1).otherwise(2)
-    best = ops.best_on(a, ["id", "gene"], rank, fn.impact_rank(F.col("impact")).desc(), "transcript")
+def best_annotations(variants, repeats=True):
+    """Of (id, info) the best annotation of each variant and gene: class, then impact, then transcript.
+
+    A row's own annotations are compared within the row.  Only if ids may have more rows
+    than one (``repeats``) are the best of rows shuffled to be compared by id.
+    """
+
+    classes = F.array(*[F.lit(c) for c in ("lof", "protein_altering", "other")])
+
+    def keyed(x):
+        place = F.array_position(classes, fn.effect_class(x["effects"], x["biotype"], x["impact"])).cast("int")
+        return F.struct(x["gene"].alias("gene"), place.alias("class"), (-fn.impact_rank(x["impact"])).alias("severity"), x["transcript"].alias("transcript"), x.alias("a"))
+
+    def firsts(xs):  # in order of gene, so the first of a gene follows another one
+        return F.filter(xs, lambda x, i: (i == 0) | ~x["gene"].eqNullSafe(F.get(xs, i - 1)["gene"]))
+
+    ordered = F.array_sort(F.transform(fn.annotations(fn.info_value(F.col("info"), "ANN")), keyed))
+    best = variants.select("id", F.explode(F.transform(F.array(ordered), firsts)[0]).alias("x"))
+    if repeats:
+        order = ["x.class", "x.severity", "x.transcript"]
+        best = ops.best_on(best.withColumn("gene", F.col("x.gene")), ["id", "gene"], *[F.col(c).asc_nulls_first() for c in order])
+    best = best.select("id", "x.a.*", F.get(classes, F.col("x.class") - 1).alias("effect_class"))
     return best.select("*", fn.protein_position(F.col("hgvs_p")).cast("bigint").alias("protein_pos"), fn.last_exon(F.col("rank")).alias("last_exon"))
 
 

@@ -405,6 +405,26 @@ def test_best_annotations(spark):
     assert rows == [("v1", "GENE1", "TX1", "lof", 550, False), ("v2", "GENE1", "TX3", "other", None, False), ("v3", "GENE2", "TX4", "protein_altering", 7, True)]
 
 
+def test_annotations_are_compared_within_a_row(spark):
+    from lodestone.functions import alleles as fn
+
+    one = "T|{}|{}|{}|id|transcript|{}|protein_coding|1/3|c.1A>T|p.Gly7Val|"
+    rows = [
+        ("v1", "ANN=" + ",".join([one.format("missense_variant", "LOW", "B", "TX9"), one.format("stop_gained", "LOW", "A", "TX2"), one.format("stop_gained", "HIGH", "A", "TX3"), one.format("missense_variant", "odd", "B", "TX1")])),
+        ("v1", "ANN=" + one.format("stop_gained", "HIGH", "A", "TX1")),
+        ("v2", "ANN=x;ANN=" + one.format("intron_variant", "LOW", "", "TX1") + ";XANN=y"),
+        ("v3", None),
+    ]
+    df = spark.createDataFrame(rows, "id string, info string")
+    got = allele_plans.best_annotations(df)
+    assert sorted((r.id, r.gene, r.transcript) for r in got.collect()) == [("v1", "A", "TX1"), ("v1", "B", "TX9"), ("v2", "", "TX1")]
+    once = allele_plans.best_annotations(df, repeats=False)
+    assert "Exchange" not in once._jdf.queryExecution().executedPlan().toString()
+    assert sorted((r.id, r.gene, r.transcript) for r in once.collect()) == [("v1", "A", "TX1"), ("v1", "A", "TX3"), ("v1", "B", "TX9"), ("v2", "", "TX1")]
+    values = df.select(fn.info_value(F.col("info"), "ANN").alias("x"), fn.info_map(F.col("info"))["ANN"].alias("y")).collect()
+    assert all(r.x == r.y for r in values)
+
+
 # ---- what is counted before it is joined
 
 
