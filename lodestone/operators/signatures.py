@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from typing import Any
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -12,8 +15,12 @@ from .order import numbered
 from .quantiles import quantiles
 from .tables import cut
 
-#: Signatures of a tile: a task multiplies two of them.
+#: Signatures of a tile at least: a task multiplies two of them.
 TILE = 256
+#: Tiles of a group up to which tiles grow with it, and signatures of a tile at most.
+TILES, WIDEST = 16, 1 << 16
+#: Products of a piece of a result.
+PIECE = 1 << 20
 
 
 def ranked(signatures: DataFrame) -> DataFrame:
@@ -127,42 +134,58 @@ def passing_depth(rungs: DataFrame, observed: str, p_max: float) -> DataFrame:
     return null.join(obs, "depth").groupBy("depth").agg(p.alias("p")).withColumn("passes", F.col("p") <= p_max)
 
 
-def spearman(signatures: DataFrame, tile: int = TILE) -> DataFrame:
+def spearman(signatures: DataFrame, tile: int = TILE, tiles: int = TILES) -> DataFrame:
     """Rank correlation of each pair (a before b) of signatures of one group; average ranks for ties.
 
-    A signature's ranks become one centred vector of length 1.  The signatures of a group are
-    numbered and cut into tiles, and a task multiplies two tiles: a vector is copied once
-    for each tile of its group, not for each partner.  Signatures of other lengths are
+    A signature travels as its ranks, doubled to whole numbers; a task makes vectors of them, centred and of length 1.
+    The signatures of a group are numbered and cut into tiles of at least ``tile``, and a task multiplies
+    two tiles: a vector is copied once for each tile of its group, not for each partner.  Tiles grow
+    with their group up to ``WIDEST``, so copies are at most ``tiles`` + 1 up to there, and the
+    shuffle grows with the rows.  Signatures of other lengths are
     groups of their own; a constant one has no correlation (NULL).  The result is quadratic
     in a group: groups are replicates of one treatment.
     """
     kind = signatures.schema["sig"].dataType.simpleString()
 
-    @F.pandas_udf("array<double>")
-    def unit(vectors: pd.Series) -> pd.Series:
-        out = []
-        for v in vectors:
-            r = pd.Series(v, dtype=float).rank().to_numpy()
-            r = r - r.mean() if len(r) else r
-            size = np.sqrt(r @ r)
-            out.append(r / size if size > 0 else np.full(len(r), np.nan))
-        return pd.Series(out)
-
-    def product(pdf: pd.DataFrame) -> pd.DataFrame:
-        x, y = pdf[pdf["left"]], pdf[~pdf["left"]]
+    @F.pandas_udf("array<int>")
+    def doubled(vectors: pd.Series) -> pd.Series:
+        each = [2 * pd.Series(v, dtype=float).rank().to_numpy() for v in vectors]
+        return pd.Series([np.rint(r if not np.isnan(r).any() else np.zeros(len(r))).astype(np.int32) for r in each])
+
+    def units(ranks: pd.Series) -> np.ndarray:
+        r = np.vstack(ranks.to_numpy()).astype(float) / 2
+        r = r - r.mean(axis=1, keepdims=True)
+        size = np.sqrt((r * r).sum(axis=1, keepdims=True))
+        return np.where(size > 0, r / np.where(size > 0, size, 1.0), np.nan)
+
+    def product(keys: tuple[Any, ...], batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(batches))
+        _, _, i, j = keys
+        x = pdf if i == j else pdf[pdf["t"] == i]
+        y = pdf if i == j else pdf[pdf["t"] == j]
         if x.empty or y.empty:
-            return pd.DataFrame({"a": [], "b": [], "rho": []})
-        rho = np.vstack(x["u"].to_numpy()) @ np.vstack(y["u"].to_numpy()).T
-        a, b = np.broadcast_arrays(x["sig"].to_numpy()[:, None], y["sig"].to_numpy()[None, :])
-        once = (a < b) if x["t"].iloc[0] == y["t"].iloc[0] else np.ones(a.shape, bool)
-        lower = a < b
-        values = rho[once]
-        return pd.DataFrame({"a": np.where(lower, a, b)[once], "b": np.where(lower, b, a)[once], "rho": pd.array(np.where(np.isnan(values), None, values), dtype="Float64")})
-
-    rows = numbered(signatures.select("sig", "grp", F.size("z").alias("size"), unit("z").alias("u")), ["sig"], by=["grp", "size"], name="nth")
-    rows = rows.withColumn("t", F.floor((F.col("nth") - 1) / tile).cast("int"))
-    tiles = rows.groupBy("grp", "size").agg(F.max("t").alias("last"))  # a row a group
-    rows = rows.join(tiles, ["grp", "size"])
-    as_left = rows.withColumn("other", F.explode(F.sequence("t", "last"))).select("grp", "size", F.col("t").alias("i"), F.col("other").alias("j"), "t", "sig", "u", F.lit(True).alias("left"))
-    as_right = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("t")))).select("grp", "size", F.col("other").alias("i"), F.col("t").alias("j"), "t", "sig", "u", F.lit(False).alias("left"))
-    return as_left.unionByName(as_right).groupBy("grp", "size", "i", "j").applyInPandas(product, f"a {kind}, b {kind}, rho double")
+            return
+        u, v = units(x["r"]), units(y["r"])
+        step = max(1, PIECE // len(y))
+        for k in range(0, len(x), step):  # a piece of the result at a time
+            rho = u[k : k + step] @ v.T
+            a, b = np.broadcast_arrays(x["sig"].to_numpy()[k : k + step, None], y["sig"].to_numpy()[None, :])
+            lower = a < b
+            once = lower if i == j else np.ones(a.shape, bool)
+            values = rho[once]
+            yield pd.DataFrame({"a": np.where(lower, a, b)[once], "b": np.where(lower, b, a)[once], "rho": pd.array(np.where(np.isnan(values), None, values), dtype="Float64")})
+
+    rows = signatures.select("sig", "grp", F.size("z").alias("size"), "z").filter("size > 0").select("sig", "grp", "size", doubled("z").alias("r"))
+    met = _dealt(numbered(rows, ["sig"], by=["grp", "size"], name="nth"), tile, tiles)
+    keys = ["grp", "size", "i", "j"]
+    parts = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few bytes make many products: not to be coalesced
+    return met.repartition(parts, *keys).groupBy(*keys).applyInPandas(product, f"a {kind}, b {kind}, rho double")
+
+
+def _dealt(rows: DataFrame, tile: int, tiles: int) -> DataFrame:
+    """``rows`` (grp, size, nth, sig, r) once for each tile of their group: ``i, j`` are the tiles that meet, ``t`` the row's own."""
+    wide = F.least(F.greatest(F.lit(tile), F.ceil(F.max("nth") / tiles)), F.lit(max(tile, WIDEST)))
+    groups = rows.groupBy("grp", "size").agg(F.max("nth").alias("n"), wide.alias("wide"))  # a row a group
+    placed = rows.join(groups, ["grp", "size"]).withColumns({"t": F.floor((F.col("nth") - 1) / F.col("wide")).cast("int"), "last": F.floor((F.col("n") - 1) / F.col("wide")).cast("int")})
+    met = placed.select("grp", "size", "t", "sig", "r", F.explode(F.sequence(F.lit(0), "last")).alias("other"))
+    return met.select("grp", "size", F.least("t", "other").alias("i"), F.greatest("t", "other").alias("j"), "t", "sig", "r")

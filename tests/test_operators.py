@@ -179,6 +179,17 @@ def test_spearman_by_tiles(spark, tile):
     assert signatures.spearman(df.limit(0)).count() == 0
 
 
+def test_tiles_grow_with_their_group(spark):
+    rng = random.Random(4)
+    rows = [(k, k % 2, [float(rng.randrange(9)) for _ in range(7)]) for k in range(60)] + [(60, 0, None), (61, 0, []), (62, 0, [1.0, float("nan"), 3.0, 1.0, 2.0, 5.0, 4.0])]
+    df = spark.createDataFrame(rows, "sig long, grp int, z array<double>")
+    got = {(r.a, r.b): r.rho for r in signatures.spearman(df, 2, 3).collect()}
+    assert got == {(r.a, r.b): r.rho if r.rho is None else pytest.approx(r.rho, abs=1e-12) for r in signatures.spearman(df, 256).collect()}
+    assert len(got) == 30 * 29 // 2 * 2 + 30 and all((rho is None) == (62 in pair) for pair, rho in got.items())
+    numbers = df.filter("sig < 60").selectExpr("grp", "7 AS size", "CAST(sig DIV 2 + 1 AS BIGINT) AS nth", "sig", "z AS r")
+    assert {r["count"] for r in signatures._dealt(numbers, 2, 3).groupBy("sig").count().collect()} == {3}
+
+
 # ---- block-gzip text
 
 
