@@ -11,8 +11,8 @@ from .tables import cut, discard
 
 #: Edges up to which the rest of a contraction is solved in one task.
 LOCAL_EDGES = 50_000
-#: Parts a node's moves are dealt over in a walk, so that a hub is many tasks' work.
-SALTS = 8
+#: Moves of a node that stay together in a walk: a hub is dealt over as many parts as it needs, other nodes are one.
+TOGETHER = 10_000
 
 
 def build_edges(pairs: DataFrame, score_min: float) -> DataFrame:
@@ -54,32 +54,32 @@ def seeds(sym: DataFrame, node, strong: float) -> DataFrame:
     return own.unionAll(near).distinct()
 
 
-def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: int, tolerance: float = 1e-10) -> DataFrame:
+def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: int, tolerance: float = 1e-10, together: int = TOGETHER) -> DataFrame:
     """Random walk with restart over weighted edges: ``node, score``.
 
     Mass moves by weight over out-strength, until no score moves by more than
-    ``tolerance`` or ``rounds`` rounds are done.  Moves stay partitioned by
-    (node, salt) over all rounds: only scores are shuffled, and a hub's moves lie
+    ``tolerance`` or ``rounds`` rounds are done.  Moves stay partitioned and sorted by
+    (node, salt) over all rounds: only scores are shuffled and sorted, and a hub's moves lie
     in several partitions.
     """
-    strength = sym.groupBy("src").agg(F.sum("score").alias("total"))
-    salt = F.pmod(F.xxhash64("dst"), F.lit(SALTS)).cast("int")
-    laid_out = cut(sym.join(strength, "src").select("src", salt.alias("salt"), "dst", (F.col("score") / F.col("total")).alias("share")))
-    moves = laid_out.repartition("src", "salt").persist()  # a lost part is dealt again from the table
+    strength = sym.groupBy("src").agg(F.sum("score").alias("total"), (F.floor(F.count("*") / together) + 1).cast("int").alias("salts"))
     n = seed_nodes.count()
-    nodes = sym.select(F.col("src").alias("node")).distinct()
-    start = nodes.join(seed_nodes.withColumn("s", F.lit(1.0 / n)), "node", "left").select("node", F.coalesce("s", F.lit(0.0)).alias("home"))
-    homes = cut(start)
-    # laid out by node once: each round joins what flows in, which comes by node too
+    at_start = strength.select(F.col("src").alias("node"), "salts").join(seed_nodes.withColumn("s", F.lit(1.0 / n)), "node", "left")
+    homes = cut(at_start.select("node", "salts", F.coalesce("s", F.lit(0.0)).alias("home")))
     parts = int(sym.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    start = homes.repartition(parts, "node").persist()
-    score = start.select("node", F.col("home").alias("score"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    salt = F.pmod(F.xxhash64("dst"), F.col("salts").cast("bigint")).cast("int")
+    laid_out = cut(sym.join(strength, "src").select("src", salt.alias("salt"), "dst", (F.col("score") / F.col("total")).alias("share")))
+    # a lost part is dealt again from the table; the sort is kept with it, so no round sorts the moves again
+    moves = laid_out.repartition(parts, "src", "salt").sortWithinPartitions("src", "salt").persist()
+    # laid out by node once: each round joins what flows in, which comes by node too
+    start = homes.repartition(parts, "node").sortWithinPartitions("node").persist()
+    score = start.select("node", "salts", F.col("home").alias("score"))
+    salts = F.explode(F.sequence(F.lit(0), F.col("salts") - 1))
 
     def step(score: DataFrame) -> DataFrame:
         laid = score.filter("score > 0").select(F.col("node").alias("src"), salts.alias("salt"), "score")
         moved = laid.join(moves, ["src", "salt"]).groupBy(F.col("dst").alias("node")).agg(F.sum(F.col("score") * F.col("share")).alias("inflow"))
-        return start.join(moved, "node", "left").select("node", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"))
+        return start.join(moved, "node", "left").select("node", "salts", ((1 - restart) * F.coalesce("inflow", F.lit(0.0)) + restart * F.col("home")).alias("score"))
 
     done, held = 0, score
     while done < rounds:  # four rounds a look at the tolerance; the last is compared with the one before
@@ -87,17 +87,17 @@ def random_walk(sym: DataFrame, seed_nodes: DataFrame, restart: float, rounds: i
         for _ in range(batch - 1):
             score = step(score)
         last = cut(score) if batch > 1 else score
-        both = cut(step(last).join(last.withColumnRenamed("score", "old"), "node"))
+        both = cut(step(last).join(last.select("node", F.col("score").alias("old")), "node"))
         discard(last, held)
         held, done = both, done + batch
         off = both.agg(F.max(F.abs(F.col("score") - F.col("old"))).alias("d")).first()["d"]
-        score = both.select("node", "score")
+        score = both.select("node", "salts", "score")
         if off is None or off <= tolerance:
             break
     moves.unpersist()
     start.unpersist()
     discard(laid_out, homes)
-    return score
+    return score.select("node", "score")
 
 
 def top_module(scores: DataFrame, seed_nodes: DataFrame, size: int) -> DataFrame:

@@ -190,6 +190,27 @@ def test_tiles_grow_with_their_group(spark):
     assert {r["count"] for r in signatures._dealt(numbers, 2, 3).groupBy("sig").count().collect()} == {3}
 
 
+@pytest.mark.parametrize("together", [1, 3, 10_000])
+def test_a_walk_sorts_its_moves_once(spark, together, monkeypatch):
+    from lodestone.operators import graph
+
+    rng = random.Random(5)
+    pairs = {("hub", f"n{k}"): rng.randrange(1, 9) for k in range(12)} | {(f"n{k}", f"n{k + 1}"): rng.randrange(1, 9) for k in range(11)}
+    sym = graph.both_ways(graph.build_edges(spark.createDataFrame([(a, b, s) for (a, b), s in pairs.items()], "a string, b string, score int"), 0))
+    plans, cut = [], graph.cut
+    monkeypatch.setattr(graph, "cut", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), cut(df))[1])
+    got = {r.node: r.score for r in graph.random_walk(sym, spark.createDataFrame([("n0",)], "node string"), 0.5, 6, together=together).collect()}
+    near: dict = {}
+    for (a, b), s in pairs.items():
+        near.setdefault(a, {})[b] = s
+        near.setdefault(b, {})[a] = s
+    score = {x: float(x == "n0") for x in near}
+    for _ in range(6):
+        score = {x: 0.5 * sum(score[y] * w / sum(near[y].values()) for y, w in near[x].items()) + 0.5 * (x == "n0") for x in near}
+    assert got == {x: pytest.approx(v, abs=1e-12) for x, v in score.items()}
+    assert any("InMemoryRelation" in p and "Sort [src#" in p.split("InMemoryRelation", 1)[1] for p in plans)
+
+
 # ---- block-gzip text
 
 
