@@ -211,6 +211,15 @@ def test_a_walk_sorts_its_moves_once(spark, together, monkeypatch):
     assert any("InMemoryRelation" in p and "Sort [src#" in p.split("InMemoryRelation", 1)[1] for p in plans)
 
 
+def test_a_module_lays_its_edges_down_once(spark, sf_dir, monkeypatch):
+    from lodestone.plans import graphs
+
+    laid, cut = [], graphs.ops.cut
+    monkeypatch.setattr(graphs.ops, "cut", lambda df: (laid.append(df.columns), cut(df))[1])
+    assert graphs.module_topk(spark, sf_dir).columns == ["node", "is_seed", "rank"]
+    assert laid.count(["src", "dst", "score"]) == 1
+
+
 # ---- block-gzip text
 
 
