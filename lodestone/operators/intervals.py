@@ -9,8 +9,8 @@ from .tables import cut
 
 #: Widths of bins: a region lies on those of the first level that is not narrower than itself.
 FINEST, FACTOR, LEVELS = 4096, 8, 12
-#: Bins of counts: each level's are 2 ** BITS times as wide as those below; levels that one job counts.
-BITS, AT_ONCE = 2, 4
+#: Bins of counts: the first level's hold 2 ** LEAF positions, each other's are 2 ** BITS times as wide as those below; levels that one job counts.
+LEAF, BITS, AT_ONCE = 6, 2, 4
 
 
 def in_regions(points: DataFrame, regions: DataFrame, pad: int, finest: int = FINEST) -> DataFrame:
@@ -63,25 +63,34 @@ def _covered(lo: Column, hi: Column, levels: int) -> Column:
 def totals_in_regions(points: DataFrame, regions: DataFrame, pad: int) -> DataFrame:
     """``gene, n_points, first_id``: how many points a gene's padded regions hold, and the least id; genes without points are left out.
 
-    A pair of a point and a region is no row.  Points are counted by bins of width 1, 4, 16 and so on, and
-    a region of any length is made up of a few bins of each width, so both sides and their join grow
-    with the rows and the logarithm of a region.  Positions are whole numbers.
+    A pair of a point and a region is no row.  Points are counted by position and by bins of width 64, 256, 1024 and so on.
+    A region of any length is made up of a few bins of each width, and of positions in the two of width 64 where it
+    begins and ends, so both sides and their join grow with the rows and the logarithm of a region.
+    They are joined by a merge.  Positions are whole numbers.
     """
-    base = cut(points.select("contig", F.col("pos").cast("long").alias("bin"), "id").filter("bin IS NOT NULL").groupBy("contig", "bin").agg(F.count("*").alias("n"), F.min("id").alias("id")))
-    base = base.select("contig", F.lit(0).alias("level"), "bin", "n", "id")
-    span = base.agg(F.min("bin").alias("lo"), F.max("bin").alias("hi")).first()
+    least = F.sum("n").alias("n"), F.min("id").alias("id")
+    base = cut(points.select("contig", F.col("pos").cast("long").alias("pos"), "id").filter("pos IS NOT NULL").groupBy("contig", "pos").agg(F.count("*").alias("n"), F.min("id").alias("id")))
+    span = base.agg(F.min("pos").alias("lo"), F.max("pos").alias("hi")).first()
     first, last = (0, -1) if span["lo"] is None else (span["lo"], span["hi"])
-    held, levels = base, 1
-    while last - first >= 1 << BITS * levels - BITS:  # a few levels a table, the next ones from its widest bins
+    held = base.select("contig", F.lit(0).alias("level"), F.shiftright("pos", LEAF).alias("bin"), "pos", "n", "id")
+    top = cut(held.groupBy("contig", F.lit(1).alias("level"), "bin").agg(*least))
+    held, levels = held.unionByName(top, allowMissingColumns=True), 2
+    while (last >> LEAF) - (first >> LEAF) >= 1 << BITS * (levels - 2):  # a few levels a table, the next ones from its widest bins
         up = F.explode(F.array(*[F.struct(F.lit(levels - 1 + j).alias("level"), F.shiftright("bin", BITS * j).alias("bin")) for j in range(1, AT_ONCE + 1)]))
-        more = cut(base.select("contig", up.alias("x"), "n", "id").groupBy("contig", "x.level", "x.bin").agg(F.sum("n").alias("n"), F.min("id").alias("id")))
+        more = cut(top.select("contig", up.alias("x"), "n", "id").groupBy("contig", "x.level", "x.bin").agg(*least))
         levels += AT_ONCE
-        held, base = held.unionByName(more), more.filter(F.col("level") == levels - 1)
+        held, top = held.unionByName(more, allowMissingColumns=True), more.filter(F.col("level") == levels - 1)
     r = regions.select("contig", "gene", (F.col("start") - pad).alias("lo"), (F.col("end") + pad).alias("hi")).filter("lo <= hi")
     # no further than points lie
     r = r.withColumns({"lo": F.greatest(F.col("lo"), F.lit(first)), "hi": F.least(F.col("hi"), F.lit(last))}).filter("lo <= hi")
-    laid = r.select("contig", "gene", F.posexplode(_covered(F.col("lo"), F.col("hi"), levels)).alias("level", "bins")).select("contig", "gene", "level", F.explode("bins").alias("bin"))
-    return laid.join(held, ["contig", "level", "bin"]).groupBy("gene").agg(F.sum("n").alias("n_points"), F.min("id").alias("first_id"))
+    # regions are few bytes and many bins: dealt out before they grow, and never broadcast, as estimates see no bins
+    r = r.repartition("gene", "lo", "hi")
+    begin, end = F.shiftright("lo", LEAF), F.shiftright("hi", LEAF)
+    bins = F.concat(F.array(F.array_distinct(F.array(begin, end))), _covered(begin + 1, end - 1, levels - 1))
+    laid = r.select("contig", "gene", "lo", "hi", F.posexplode(bins).alias("level", "bins")).select("contig", "gene", "lo", "hi", "level", F.explode("bins").alias("bin"))
+    # the first key is what sorting compares first: bins differ most
+    met = laid.hint("merge").join(held, ["bin", "level", "contig"]).filter("level > 0 OR pos BETWEEN lo AND hi")
+    return met.groupBy("gene").agg(F.sum("n").alias("n_points"), F.min("id").alias("first_id"))
 
 
 def first_region(points: DataFrame, regions: DataFrame, pad: int) -> DataFrame:

@@ -131,6 +131,15 @@ def test_long_regions_do_not_multiply_points(spark):
     assert got.filter("n_points = 20000 AND first_id = 0").count() == 20_000
 
 
+def test_bins_of_regions_are_not_broadcast(spark):
+    p = spark.range(3000).select("id", F.lit(1).alias("contig"), F.col("id").alias("pos"))
+    r = spark.range(400).select(F.col("id").cast("string").alias("gene"), F.lit(1).alias("contig"), F.col("id").alias("start"), (F.col("id") + 1000).alias("end"))  # few bytes by Spark's estimate
+    got = intervals.totals_in_regions(p, r, 5)
+    assert {(int(x.gene), x.n_points, x.first_id) for x in got.collect()} == {(k, k + 1006 - max(0, k - 5), max(0, k - 5)) for k in range(400)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 # ---- draws
 
 
